@@ -32,14 +32,15 @@ def number_rows(rows: DataFrame, natural_key: str, key_column: str, start: Colum
     return numbered.withColumn(key_column, key.cast("long")).drop("_bucket", "_offset")
 
 
-def assign_keys(rows: DataFrame, natural_key: str, key_column: str, start: Column) -> DataFrame:
-    """Number the rows whose key is still null; keyed rows pass through unchanged.
+def assign_keys(rows: DataFrame, natural_key: str, key_column: str) -> DataFrame:
+    """Number the rows whose key is still null, above the highest key; keyed rows pass unchanged.
 
     ``rows`` is read several times, so callers pass a stored frame.
     """
     keyed = rows.filter(F.col(key_column).isNotNull())
     fresh = rows.filter(F.col(key_column).isNull())
-    return keyed.unionByName(number_rows(fresh, natural_key, key_column, start).select(*rows.columns))
+    numbered = number_rows(fresh, natural_key, key_column, highest(rows, key_column))
+    return keyed.unionByName(numbered.select(*rows.columns))
 
 
 def next_id_number(table: DataFrame, id_column: str) -> DataFrame:

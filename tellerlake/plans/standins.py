@@ -18,14 +18,14 @@ SELECT 'BR' || cast(1000 + n_nationkey AS string) AS branch_id, n_name AS branch
        '2024-01-31T00:00:00' AS _ingestion_ts, 'b1' AS _batch_id
 FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
     "merchants_in": """
-SELECT 'MER' || lpad(cast(s_suppkey AS string), greatest(4, length(cast(s_suppkey AS string))), '0') AS merchant_id,
+SELECT 'MER' || lpad(cast(s_suppkey AS string), cast(greatest(4, length(cast(s_suppkey AS string))) AS int), '0') AS merchant_id,
        s_name AS merchant_name, 'CAT' || cast(s_nationkey % 9 AS string) AS merchant_category,
        cast(1000 + s_suppkey AS string) AS mcc_code,
        CASE WHEN s_suppkey % 3 = 0 THEN 'True' ELSE 'False' END AS is_online,
        '2024-01-31T00:00:00' AS _ingestion_ts, 'b1' AS _batch_id
 FROM {supplier}""",
     "customers_in": """
-SELECT 'CUS' || lpad(cast(c_custkey AS string), greatest(6, length(cast(c_custkey AS string))), '0') AS customer_id,
+SELECT 'CUS' || lpad(cast(c_custkey AS string), cast(greatest(6, length(cast(c_custkey AS string))) AS int), '0') AS customer_id,
        'First' || cast(c_custkey % 50 AS string) AS first_name,
        c_name AS last_name, CASE WHEN c_custkey % 50 = 49 THEN 'invalid' WHEN c_custkey % 61 = 60 THEN NULL
             ELSE 'u' || cast(c_custkey AS string) || '@example.com' END AS email,
@@ -42,9 +42,9 @@ SELECT 'CUS' || lpad(cast(c_custkey AS string), greatest(6, length(cast(c_custke
        '2024-01-31T00:00:00' AS _ingestion_ts, 'b1' AS _batch_id
 FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
     "accounts_in": """
-SELECT 'ACC' || lpad(cast(c_custkey AS string), greatest(7, length(cast(c_custkey AS string))), '0') AS account_id,
+SELECT 'ACC' || lpad(cast(c_custkey AS string), cast(greatest(7, length(cast(c_custkey AS string))) AS int), '0') AS account_id,
        CASE WHEN c_custkey % 97 = 96 THEN 'CUS999999999999' WHEN c_custkey % 101 = 100 THEN NULL
-            ELSE 'CUS' || lpad(cast(c_custkey AS string), greatest(6, length(cast(c_custkey AS string))), '0') END AS customer_id,
+            ELSE 'CUS' || lpad(cast(c_custkey AS string), cast(greatest(6, length(cast(c_custkey AS string))) AS int), '0') END AS customer_id,
        CASE WHEN c_custkey % 53 = 52 THEN 'BR9999' ELSE 'BR' || cast(1000 + c_nationkey AS string) END AS branch_id,
        CASE c_custkey % 3 WHEN 0 THEN 'Cheque' WHEN 1 THEN 'Savings' ELSE 'Credit Card' END AS account_type,
        cast(1000000000 + c_custkey AS string) AS account_number, 'ZAR' AS currency,
@@ -60,9 +60,9 @@ FROM {customer}""",
     # One row per event; every tenth transaction arrives a second time, completed, in a later batch.
     "transactions_in": """
 WITH b AS (
-  SELECT 'TXN' || lpad(cast(event_id AS string), greatest(9, length(cast(event_id AS string))), '0') AS transaction_id,
+  SELECT 'TXN' || lpad(cast(event_id AS string), cast(greatest(9, length(cast(event_id AS string))) AS int), '0') AS transaction_id,
          CASE WHEN event_id % 211 = 210 THEN 'ACC99999999999'
-              ELSE 'ACC' || lpad(cast(user_id AS string), greatest(7, length(cast(user_id AS string))), '0') END AS account_id,
+              ELSE 'ACC' || lpad(cast(user_id AS string), cast(greatest(7, length(cast(user_id AS string))) AS int), '0') END AS account_id,
          CASE WHEN event_type = 'purchase' THEN 'MER' || lpad(cast(event_id % 120 AS string), 4, '0') END AS merchant_id,
          CASE event_type WHEN 'purchase' THEN 'Purchase' WHEN 'click' THEN 'EFT Transfer Out' WHEN 'view' THEN 'Bank Charges'
               WHEN 'signup' THEN 'Salary Credit' ELSE 'ATM Withdrawal' END AS transaction_type,

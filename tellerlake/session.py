@@ -1,6 +1,7 @@
 """Session defaults for standalone runs, and the shared folder used to cut lineage."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,8 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write the frame to reliable storage once, so that later uses read it instead of recomputing."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Write the frame to the shared folder once; later uses read the columns they need from there."""
+    path = f"{shared_dir(df.sparkSession)}/tellerlake/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
