@@ -1,8 +1,5 @@
 """Bands and flags derived from single rows."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # (exclusive upper bound, label) pairs, then the label above the last bound (fixed values).
 AGE_BANDS = ((25, "Under 25"), (35, "25-34"), (45, "35-44"), (55, "45-54"), (65, "55-64"))
 AGE_TOP = "65+"
@@ -23,49 +20,51 @@ CREDIT_TYPES = ("Salary Credit", "EFT Transfer In", "Reversal")
 MAJOR_CITIES = ("Johannesburg", "Cape Town", "Durban", "Pretoria")
 
 
-def band(value: Column, bounds: tuple, top: str) -> Column:
+def _band(value: str, bounds: tuple, top: str) -> str:
     """Label of the first bound above ``value``; nulls compare false and land in the top band."""
-    chain = F
-    for upper, label in bounds:
-        chain = chain.when(value < upper, label)
-    return chain.otherwise(top)
+    cases = " ".join(f"WHEN {value} < {upper}D THEN '{label}'" for upper, label in bounds)
+    return f"CASE {cases} ELSE '{top}' END"
+
+
+def _listed(values: tuple) -> str:
+    return ", ".join(f"'{value}'" for value in values)
 
 
-def age_band(age: Column) -> Column:
-    return band(age, AGE_BANDS, AGE_TOP)
+def age_band(age: str) -> str:
+    return _band(age, AGE_BANDS, AGE_TOP)
 
 
-def amount_band(amount: Column) -> Column:
-    return band(amount, AMOUNT_BANDS, AMOUNT_TOP)
+def amount_band(amount: str) -> str:
+    return _band(amount, AMOUNT_BANDS, AMOUNT_TOP)
 
 
-def fraud_risk_band(score: Column) -> Column:
-    return band(score, FRAUD_BANDS, FRAUD_TOP)
+def fraud_risk_band(score: str) -> str:
+    return _band(score, FRAUD_BANDS, FRAUD_TOP)
 
 
-def is_completed(status: Column) -> Column:
-    return status == "Completed"
+def is_completed(status: str) -> str:
+    return f"{status} = 'Completed'"
 
 
-def is_declined(status: Column) -> Column:
-    return status.contains("Declined") | (status == "Failed")
+def is_declined(status: str) -> str:
+    return f"(CONTAINS({status}, 'Declined') OR {status} = 'Failed')"
 
 
-def is_night(hour: Column) -> Column:
-    return (hour < 6) | (hour >= 22)
+def is_night(hour: str) -> str:
+    return f"({hour} < 6 OR {hour} >= 22)"
 
 
-def is_business_hours(hour: Column) -> Column:
-    return hour.between(9, 17)
+def is_business_hours(hour: str) -> str:
+    return f"{hour} BETWEEN 9 AND 17"
 
 
-def is_debit_type(transaction_type: Column) -> Column:
-    return ~transaction_type.isin(*CREDIT_TYPES)
+def is_debit_type(transaction_type: str) -> str:
+    return f"{transaction_type} NOT IN ({_listed(CREDIT_TYPES)})"
 
 
-def signed_amount(amount: Column, is_debit: Column) -> Column:
-    return F.when(is_debit, -amount).otherwise(amount)
+def signed_amount(amount: str, is_debit: str) -> str:
+    return f"IF({is_debit}, -{amount}, {amount})"
 
 
-def branch_region(city: Column) -> Column:
-    return F.when(city.isin(*MAJOR_CITIES), "Urban").otherwise("Suburban")
+def branch_region(city: str) -> str:
+    return f"IF({city} IN ({_listed(MAJOR_CITIES)}), 'Urban', 'Suburban')"

@@ -1,51 +1,44 @@
 """Calendar expressions on dates."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def date_key(day: Column) -> Column:
+def date_key(day: str) -> str:
     """20240131-style integer, by arithmetic so that it stays inside generated code."""
-    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+    return f"(YEAR({day}) * 10000 + MONTH({day}) * 100 + DAY({day}))"
 
 
-def date_stamp(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd")
+def date_stamp(day: str) -> str:
+    return f"DATE_FORMAT({day}, 'yyyyMMdd')"
 
 
-def iso_day_of_week(day: Column) -> Column:
+def iso_day_of_week(day: str) -> str:
     """1 = Monday .. 7 = Sunday."""
-    return F.weekday(day) + 1
+    return f"(WEEKDAY({day}) + 1)"
 
 
-def is_weekend(day: Column) -> Column:
-    return iso_day_of_week(day).isin(6, 7)
+def is_weekend(day: str) -> str:
+    return f"(WEEKDAY({day}) >= 5)"
 
 
-def is_holiday_season(day: Column) -> Column:
-    return F.month(day) == 12
+def is_holiday_season(day: str) -> str:
+    return f"(MONTH({day}) = 12)"
 
 
-def is_month_end(day: Column) -> Column:
-    return day == F.last_day(day)
+def is_month_end(day: str) -> str:
+    return f"({day} = LAST_DAY({day}))"
 
 
-def is_quarter_end(day: Column) -> Column:
-    return is_month_end(day) & (F.month(day) % 3 == 0)
+def is_quarter_end(day: str) -> str:
+    return f"({is_month_end(day)} AND MONTH({day}) % 3 = 0)"
 
 
-def is_year_end(day: Column) -> Column:
-    return is_month_end(day) & (F.month(day) == 12)
+def is_year_end(day: str) -> str:
+    return f"({is_month_end(day)} AND MONTH({day}) = 12)"
 
 
-def fiscal_year(day: Column) -> Column:
+def fiscal_year(day: str) -> str:
     """The fiscal year starts in March and is named after the calendar year it starts in."""
-    return F.year(F.add_months(day, -2))
-
-
-def fiscal_quarter(day: Column) -> Column:
-    return F.quarter(F.add_months(day, -2))
+    return f"YEAR(ADD_MONTHS({day}, -2))"
 
 
-def account_age_days(open_date: Column, as_of: Column) -> Column:
-    return F.datediff(as_of, open_date)
+def fiscal_quarter(day: str) -> str:
+    return f"QUARTER(ADD_MONTHS({day}, -2))"

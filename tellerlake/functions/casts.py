@@ -1,40 +1,38 @@
 """Lenient casts from raw text: what cannot be read becomes null instead of failing the job."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Texts that stand for "no value" in raw CSV cells (fixed values).
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-_PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
+_PLAIN_NUMBER = "^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+) *$"
 
 
-def null_tokens_to_null(column: Column) -> Column:
-    return F.when(~column.isin(*NULL_TOKENS), column)
+def null_tokens_to_null(text: str) -> str:
+    tokens = ", ".join(f"'{token}'" for token in NULL_TOKENS)
+    return f"CASE WHEN {text} NOT IN ({tokens}) THEN {text} END"
 
 
-def to_integer(column: Column) -> Column:
+def to_integer(text: str) -> str:
     """Integer from text; a decimal part is cut off ('1234.0' gives 1234)."""
-    return F.when(column.rlike(_PLAIN_NUMBER), column.try_cast("double").try_cast("int"))
+    return f"CASE WHEN {text} RLIKE '{_PLAIN_NUMBER}' THEN TRY_CAST(TRY_CAST({text} AS DOUBLE) AS INT) END"
 
 
-def to_double(column: Column) -> Column:
+def to_double(text: str) -> str:
     """Double from text; not-a-number counts as missing."""
-    return F.nanvl(column.try_cast("double"), F.lit(None).cast("double"))
+    return f"NANVL(TRY_CAST({text} AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
-def to_boolean(column: Column) -> Column:
-    return column.try_cast("boolean")
+def to_boolean(text: str) -> str:
+    return f"TRY_CAST({text} AS BOOLEAN)"
 
 
-def to_day(column: Column) -> Column:
+def to_day(text: str) -> str:
     """Date from strict yyyy-MM-dd text."""
-    return F.try_to_date(column, "yyyy-MM-dd")
+    return f"TRY_TO_DATE({text}, 'yyyy-MM-dd')"
 
 
-def hour_of(column: Column) -> Column:
+def hour_of(text: str) -> str:
     """Hour from HH:mm:ss text."""
-    return F.hour(F.try_to_timestamp(column, F.lit("HH:mm:ss")))
+    return f"HOUR(TRY_TO_TIMESTAMP({text}, 'HH:mm:ss'))"

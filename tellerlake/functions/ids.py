@@ -2,9 +2,6 @@
 
 import uuid
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Prefix and digits of each entity's id (fixed values).
 ID_SHAPES = {
     "merchants": ("MER", 4),
@@ -14,19 +11,19 @@ ID_SHAPES = {
 }
 
 
-def format_id(entity: str, number: Column) -> Column:
+def format_id(entity: str, number: str) -> str:
     """Business id for a number; numbers wider than the padding keep all their digits."""
     prefix, digits = ID_SHAPES[entity]
-    return F.format_string(f"{prefix}%0{digits}d", number.cast("long"))
+    return f"FORMAT_STRING('{prefix}%0{digits}d', CAST({number} AS BIGINT))"
 
 
-def id_number(business_id: Column) -> Column:
+def id_number(business_id: str) -> str:
     """Trailing digits of an id as a number, null when there are none."""
-    return F.regexp_extract(business_id, r"(\d+)$", 1).try_cast("long")
+    return f"TRY_CAST(REGEXP_EXTRACT({business_id}, '([0-9]+)$', 1) AS BIGINT)"
 
 
-def short_reference(text: Column) -> Column:
-    return F.upper(F.substring(text, 1, 8))
+def short_reference(text: str) -> str:
+    return f"UPPER(SUBSTRING({text}, 1, 8))"
 
 
 def new_batch_id() -> str:

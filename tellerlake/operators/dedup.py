@@ -1,6 +1,6 @@
 """Keep one row per key."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Most significant first; together they order every copy of a row (fixed values).
@@ -13,11 +13,10 @@ def latest_by_key(df: DataFrame, key: str) -> DataFrame:
     Filtering ``row_number`` to 1 lets Spark keep only one row per key in every map task before
     the shuffle, so a key with very many copies sends one row per task, not all of them.
     """
-    order = [F.col(name).desc_nulls_last() for name in RECENCY if name in df.columns]
-    newest_first = Window.partitionBy(key).orderBy(*order)
+    order = ", ".join(f"{name} DESC NULLS LAST" for name in RECENCY if name in df.columns)
     return (
-        df.filter(F.col(key).isNotNull())
-        .withColumn("_copy", F.row_number().over(newest_first))
+        df.filter(f"{key} IS NOT NULL")
+        .withColumn("_copy", F.expr(f"ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY {order})"))
         .filter("_copy = 1")
         .drop("_copy")
     )

@@ -1,6 +1,6 @@
 """Generated and seeded dimensions."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerlake.functions import calendar
@@ -22,34 +22,33 @@ TRANSACTION_TYPES = (
 )
 
 
-def calendar_attributes(day: Column) -> dict[str, Column]:
+def calendar_columns(day: str) -> list[str]:
     """Every column of the calendar dimension for a date."""
-    return {
-        "date_key": calendar.date_key(day),
-        "full_date": day,
-        "day_of_week": calendar.iso_day_of_week(day).cast("short"),
-        "day_name": F.date_format(day, "EEEE"),
-        "day_of_month": F.dayofmonth(day).cast("short"),
-        "day_of_year": F.dayofyear(day).cast("short"),
-        "week_of_year": F.weekofyear(day).cast("short"),
-        "month_number": F.month(day).cast("short"),
-        "month_name": F.date_format(day, "MMMM"),
-        "quarter": F.quarter(day).cast("short"),
-        "year": F.year(day).cast("short"),
-        "is_weekend": calendar.is_weekend(day),
-        "is_month_end": calendar.is_month_end(day),
-        "is_quarter_end": calendar.is_quarter_end(day),
-        "is_year_end": calendar.is_year_end(day),
-        "fiscal_year": calendar.fiscal_year(day).cast("short"),
-        "fiscal_quarter": calendar.fiscal_quarter(day).cast("short"),
-    }
+    return [
+        f"{calendar.date_key(day)} AS date_key",
+        f"{day} AS full_date",
+        f"CAST({calendar.iso_day_of_week(day)} AS SMALLINT) AS day_of_week",
+        f"DATE_FORMAT({day}, 'EEEE') AS day_name",
+        f"CAST(DAY({day}) AS SMALLINT) AS day_of_month",
+        f"CAST(DAYOFYEAR({day}) AS SMALLINT) AS day_of_year",
+        f"CAST(WEEKOFYEAR({day}) AS SMALLINT) AS week_of_year",
+        f"CAST(MONTH({day}) AS SMALLINT) AS month_number",
+        f"DATE_FORMAT({day}, 'MMMM') AS month_name",
+        f"CAST(QUARTER({day}) AS SMALLINT) AS quarter",
+        f"CAST(YEAR({day}) AS SMALLINT) AS year",
+        f"{calendar.is_weekend(day)} AS is_weekend",
+        f"{calendar.is_month_end(day)} AS is_month_end",
+        f"{calendar.is_quarter_end(day)} AS is_quarter_end",
+        f"{calendar.is_year_end(day)} AS is_year_end",
+        f"CAST({calendar.fiscal_year(day)} AS SMALLINT) AS fiscal_year",
+        f"CAST({calendar.fiscal_quarter(day)} AS SMALLINT) AS fiscal_quarter",
+    ]
 
 
 def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included."""
-    span = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    days = spark.range(1).select(F.explode(span).alias("_day"))
-    return days.select(*(c.alias(n) for n, c in calendar_attributes(F.col("_day")).items()))
+    days = spark.range(1).selectExpr(f"EXPLODE(SEQUENCE(DATE '{start}', DATE '{end}')) AS _day")
+    return days.selectExpr(*calendar_columns("_day"))
 
 
 def transaction_type_seed(spark: SparkSession) -> DataFrame:
@@ -61,14 +60,15 @@ def transaction_type_seed(spark: SparkSession) -> DataFrame:
 def dim_transaction_type(spark: SparkSession, existing: DataFrame | None = None) -> DataFrame:
     """The seeded lookup, added to an existing one without touching the names it already has.
 
-    Keys follow the order of the seed. The seed is a fixed handful of rows, so one task numbers it.
+    Keys follow the order of the seed: its position when there is no table yet, else above the
+    keys in use. The seed is a fixed handful of rows, so one task numbers it.
     """
     columns = ["txn_type_key", "txn_type_name", "txn_category", "balance_direction"]
     seed = transaction_type_seed(spark)
-    start = F.lit(0)
-    if existing is not None:
-        seed = absent_from(seed, existing, "txn_type_name")
-        start = highest(existing, "txn_type_key")
-    key = (start + F.row_number().over(Window.orderBy("position"))).cast("long")
-    fresh = seed.withColumn("txn_type_key", key).select(columns)
-    return fresh if existing is None else existing.select(columns).unionByName(fresh)
+    if existing is None:
+        return seed.selectExpr("CAST(position AS BIGINT) AS txn_type_key", *columns[1:])
+    fresh = absent_from(seed, existing, "txn_type_name").selectExpr(
+        "CAST(ROW_NUMBER() OVER (ORDER BY position) AS BIGINT) AS txn_type_key", *columns[1:]
+    )
+    fresh = fresh.withColumn("txn_type_key", F.col("txn_type_key") + highest(existing, "txn_type_key"))
+    return existing.select(columns).unionByName(fresh)

@@ -2,13 +2,14 @@
 
 import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake import schemas
 from tellerlake.functions import calendar
 from tellerlake.operators.dedup import absent_from
-from tellerlake.operators.scd import current_rows
+from tellerlake.operators.scd import Load, current_rows
+from tellerlake.schemas import day_literal, text_literal, time_literal
 
 # The watermark of an empty fact table (fixed value).
 BEGINNING = datetime.date(1900, 1, 1)
@@ -16,7 +17,7 @@ BEGINNING = datetime.date(1900, 1, 1)
 
 def watermark(fact: DataFrame) -> DataFrame:
     """One row: the latest loaded transaction date, or the beginning of time for an empty table."""
-    return fact.agg(F.coalesce(F.max("transaction_date"), F.lit(BEGINNING)).alias("watermark"))
+    return fact.agg(F.expr(f"COALESCE(MAX(transaction_date), {day_literal(BEGINNING)}) AS watermark"))
 
 
 def newer_than(transactions: DataFrame, day: datetime.date) -> DataFrame:
@@ -25,10 +26,10 @@ def newer_than(transactions: DataFrame, day: datetime.date) -> DataFrame:
     The day is a literal, so it reaches the Parquet scan; the condition on the year and month
     columns, which follows from it, prunes directories of the partitioned silver table.
     """
-    newer = F.col("transaction_date") > F.lit(day)
+    newer = f"transaction_date > {day_literal(day)}"
     if {"transaction_year", "transaction_month"} <= set(transactions.columns):
-        year, month = F.col("transaction_year"), F.col("transaction_month")
-        newer &= (year > day.year) | ((year == day.year) & (month >= day.month))
+        newer += f""" AND (transaction_year > {day.year}
+            OR (transaction_year = {day.year} AND transaction_month >= {day.month}))"""
     return transactions.filter(newer)
 
 
@@ -55,29 +56,27 @@ def staged(transactions: DataFrame) -> DataFrame:
     return schemas.conform(transactions, schemas.STAGED_TRANSACTION)
 
 
-def _valid_on(prefix: str) -> Column:
-    day, start, end = (F.col(n) for n in ("transaction_date", f"{prefix}scd_start_date", f"{prefix}scd_end_date"))
-    return (day >= start) & (end.isNull() | (day < end))
+def _spread(column: str) -> str:
+    """The column with nulls replaced by texts that match nothing, so that they do not share a task."""
+    return f"COALESCE({column}, CONCAT(CHR(1), transaction_id))"
 
 
-def _account_lookup(dim_accounts: DataFrame, versions: str) -> tuple[DataFrame, Column]:
+def _account_lookup(dim_accounts: DataFrame, versions: str) -> tuple[DataFrame, str]:
     """The account rows to match and the condition that ties a transaction to one of them."""
     columns = ["account_id", "account_key", "customer_key", "branch_key"]
-    same_account = _spread("account_id") == F.col("_a_account_id")
+    same_account = f"{_spread('account_id')} = _a_account_id"
     if versions == "current":
         rows = current_rows(dim_accounts)
     elif versions == "as_of":
         rows = dim_accounts
         columns += ["scd_start_date", "scd_end_date"]
-        same_account &= _valid_on("_a_")
+        same_account += (
+            " AND transaction_date >= _a_scd_start_date"
+            " AND (_a_scd_end_date IS NULL OR transaction_date < _a_scd_end_date)"
+        )
     else:
         raise ValueError(f"unknown versions mode: {versions}")
-    return rows.select(*(F.col(n).alias(f"_a_{n}") for n in columns)), same_account
-
-
-def _spread(column: str) -> Column:
-    """The column with nulls replaced by texts that match nothing, so that they do not share a task."""
-    return F.coalesce(F.col(column), F.concat(F.lit("\0"), F.col("transaction_id")))
+    return rows.selectExpr(*(f"{name} AS _a_{name}" for name in columns)), same_account
 
 
 def resolve_keys(
@@ -86,8 +85,7 @@ def resolve_keys(
     dim_merchants: DataFrame,
     dim_types: DataFrame,
     dim_branches: DataFrame,
-    batch_id: str,
-    loaded_at: Column,
+    load: Load,
     versions: str = "current",
 ) -> DataFrame:
     """Staged rows with the surrogate keys of their dimensions; unmatched keys stay null.
@@ -98,33 +96,32 @@ def resolve_keys(
     takes the account version valid on the transaction date instead of the current one.
     """
     lookup, same_account = _account_lookup(dim_accounts, versions)
-    merchant = dim_merchants.select(F.col("merchant_id").alias("_m_id"), "merchant_key")
-    kind = dim_types.select(F.col("txn_type_name").alias("_t_name"), "txn_type_key")
+    merchant = dim_merchants.selectExpr("merchant_id AS _m_id", "merchant_key")
+    kind = dim_types.selectExpr("txn_type_name AS _t_name", "txn_type_key")
     branch = dim_branches.select("branch_key")
     joined = (
         staged(transactions)
-        .join(lookup, same_account, "left")
-        .join(merchant, _spread("merchant_id") == F.col("_m_id"), "left")
-        .join(kind, F.col("transaction_type") == F.col("_t_name"), "left")
-        .join(branch, F.col("_a_branch_key") == F.col("branch_key"), "left")
+        .join(lookup, F.expr(same_account), "left")
+        .join(merchant, F.expr(f"{_spread('merchant_id')} = _m_id"), "left")
+        .join(kind, F.expr("transaction_type = _t_name"), "left")
+        .join(branch, F.expr("_a_branch_key = branch_key"), "left")
     )
     return schemas.conform(
         joined,
         schemas.FACT_TRANSACTIONS,
-        transaction_key=F.lit(None),
-        date_key=calendar.date_key(F.col("transaction_date")),
-        account_key=F.col("_a_account_key"),
-        customer_key=F.col("_a_customer_key"),
-        dw_loaded_at=loaded_at,
-        dw_batch_id=F.lit(batch_id),
+        transaction_key="NULL",
+        date_key=calendar.date_key("transaction_date"),
+        account_key="_a_account_key",
+        customer_key="_a_customer_key",
+        dw_loaded_at=time_literal(load.loaded_at),
+        dw_batch_id=text_literal(load.batch_id),
     )
 
 
-def with_transaction_keys(fact_rows: DataFrame, start: int | Column) -> DataFrame:
+def with_written_keys(rows: DataFrame, key_column: str, start: int) -> DataFrame:
     """Unique keys above ``start`` without a shuffle, for a frame that is written exactly once.
 
     The key is the position of the row in its write task, which costs nothing at any size but
     exists only in the written files: read the keys back from there, never recompute them.
     """
-    start = F.lit(start) if isinstance(start, int) else start
-    return fact_rows.withColumn("transaction_key", start + 1 + F.monotonically_increasing_id())
+    return rows.withColumn(key_column, F.expr(f"{start + 1}L + MONOTONICALLY_INCREASING_ID()"))

@@ -1,6 +1,6 @@
 """Surrogate keys and id ranges."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.functions import ids
@@ -11,10 +11,10 @@ BUCKET_DIGITS = 3
 
 def highest(table: DataFrame, key_column: str) -> Column:
     """Highest key in use, 0 for an empty table, as a scalar subquery of the enclosing frame."""
-    return table.agg(F.coalesce(F.max(key_column), F.lit(0)).cast("long")).scalar()
+    return table.agg(F.expr(f"COALESCE(MAX({key_column}), 0L)")).scalar()
 
 
-def number_rows(rows: DataFrame, natural_key: str, key_column: str, start: Column) -> DataFrame:
+def number_rows(rows: DataFrame, natural_key: str, key_column: str, start: Column | None = None) -> DataFrame:
     """Give every row the next dense key after ``start``; the natural key must be unique.
 
     Rows are numbered inside digest buckets of equal expected size, on top of the running total
@@ -22,14 +22,20 @@ def number_rows(rows: DataFrame, natural_key: str, key_column: str, start: Colum
     retried or recomputed task hands out the same keys, and no task sees all the rows. The totals
     are at most 16 ** BUCKET_DIGITS rows, which bounds both the broadcast and their window.
     """
-    digest = F.substring(F.md5(F.col(natural_key).cast("binary")), 1, BUCKET_DIGITS)
-    sizes = rows.groupBy(digest.alias("_bucket")).agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_bucket").orderBy(natural_key)
-    numbered = rows.drop(key_column).withColumn("_bucket", digest).join(F.broadcast(offsets), "_bucket")
-    key = start + F.col("_offset") + F.row_number().over(within)
-    return numbered.withColumn(key_column, key.cast("long")).drop("_bucket", "_offset")
+    digest = f"SUBSTRING(MD5(CAST({natural_key} AS BINARY)), 1, {BUCKET_DIGITS}) AS _bucket"
+    offsets = (
+        rows.groupBy(F.expr(digest))
+        .agg(F.expr("COUNT(*) AS _size"))
+        .selectExpr("_bucket", "SUM(_size) OVER (ORDER BY _bucket) - _size AS _offset")
+    )
+    numbered = (
+        rows.drop(key_column)
+        .selectExpr("*", digest)
+        .join(F.broadcast(offsets), "_bucket")
+        .selectExpr("*", f"ROW_NUMBER() OVER (PARTITION BY _bucket ORDER BY {natural_key}) + _offset AS {key_column}")
+        .drop("_bucket", "_offset")
+    )
+    return numbered if start is None else numbered.withColumn(key_column, F.col(key_column) + start)
 
 
 def assign_keys(rows: DataFrame, natural_key: str, key_column: str) -> DataFrame:
@@ -37,12 +43,12 @@ def assign_keys(rows: DataFrame, natural_key: str, key_column: str) -> DataFrame
 
     ``rows`` is read several times, so callers pass a stored frame.
     """
-    keyed = rows.filter(F.col(key_column).isNotNull())
-    fresh = rows.filter(F.col(key_column).isNull())
+    keyed = rows.filter(f"{key_column} IS NOT NULL")
+    fresh = rows.filter(f"{key_column} IS NULL")
     numbered = number_rows(fresh, natural_key, key_column, highest(rows, key_column))
     return keyed.unionByName(numbered.select(*rows.columns))
 
 
 def next_id_number(table: DataFrame, id_column: str) -> DataFrame:
     """One row: the number the next business id takes (1 for an empty table)."""
-    return table.agg((F.coalesce(F.max(ids.id_number(F.col(id_column))), F.lit(0)) + 1).alias("next_number"))
+    return table.agg(F.expr(f"COALESCE(MAX({ids.id_number(id_column)}), 0L) + 1 AS next_number"))

@@ -1,9 +1,13 @@
 """Marts over the star schema, and the selections the reports make from them."""
 
-from pyspark.sql import Column, DataFrame
+import datetime
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tellerlake.functions import bands
 from tellerlake.operators.scd import current_rows
+from tellerlake.schemas import day_literal
 
 CUSTOMER_REPORT_ROWS = 5000
 SUMMARY_REPORT_DAYS = 30
@@ -15,15 +19,14 @@ def customer_360(fact: DataFrame, dim_customers: DataFrame, dim_accounts: DataFr
     Facts are summed per customer key before any join, then per customer, because a fact keeps the
     key of the version that was current when it was loaded.
     """
-    money = "decimal(18,2)"
     per_key = (
-        fact.filter(F.col("status") == "Completed")
+        fact.filter("status = 'Completed'")
         .groupBy("customer_key")
         .agg(
-            F.count("*").alias("n"),
-            F.sum(F.when(F.col("is_debit"), F.col("amount"))).alias("spend"),
-            F.sum(F.when(~F.col("is_debit"), F.col("amount"))).alias("income"),
-            F.max("transaction_date").alias("last_day"),
+            F.expr("COUNT(*) AS n"),
+            F.expr("SUM(IF(is_debit, amount, NULL)) AS spend"),
+            F.expr("SUM(IF(NOT is_debit, amount, NULL)) AS income"),
+            F.expr("MAX(transaction_date) AS last_day"),
         )
     )
     activity = (
@@ -31,26 +34,22 @@ def customer_360(fact: DataFrame, dim_customers: DataFrame, dim_accounts: DataFr
         .join(per_key, "customer_key")
         .groupBy("customer_id")
         .agg(
-            F.sum("n").alias("completed_txn_count"),
-            F.sum("spend").alias("total_spend"),
-            F.sum("income").alias("total_income"),
-            F.max("last_day").alias("last_transaction_date"),
+            F.expr("SUM(n) AS completed_txn_count"),
+            F.expr("SUM(spend) AS total_spend"),
+            F.expr("SUM(income) AS total_income"),
+            F.expr("MAX(last_day) AS last_transaction_date"),
         )
     )
     holdings = (
         current_rows(dim_accounts)
         .groupBy("customer_id")
-        .agg(
-            F.count("*").alias("account_count"),
-            F.count_if(F.col("status") == "Active").alias("active_account_count"),
-        )
+        .agg(F.expr("COUNT(*) AS account_count"), F.expr("COUNT_IF(status = 'Active') AS active_account_count"))
     )
-    zero = F.lit(0)
     return (
         current_rows(dim_customers)
         .join(holdings, "customer_id", "left")
         .join(activity, "customer_id", "left")
-        .select(
+        .selectExpr(
             "customer_key",
             "customer_id",
             "full_name",
@@ -61,11 +60,11 @@ def customer_360(fact: DataFrame, dim_customers: DataFrame, dim_accounts: DataFr
             "risk_rating",
             "kyc_verified",
             "is_active",
-            F.coalesce("account_count", zero).alias("account_count"),
-            F.coalesce("active_account_count", zero).alias("active_account_count"),
-            F.coalesce("completed_txn_count", zero).alias("completed_txn_count"),
-            F.coalesce("total_spend", zero).cast(money).alias("total_spend"),
-            F.coalesce("total_income", zero).cast(money).alias("total_income"),
+            "COALESCE(account_count, 0L) AS account_count",
+            "COALESCE(active_account_count, 0L) AS active_account_count",
+            "COALESCE(completed_txn_count, 0L) AS completed_txn_count",
+            "CAST(COALESCE(total_spend, 0) AS DECIMAL(18,2)) AS total_spend",
+            "CAST(COALESCE(total_income, 0) AS DECIMAL(18,2)) AS total_income",
             "last_transaction_date",
         )
     )
@@ -73,8 +72,7 @@ def customer_360(fact: DataFrame, dim_customers: DataFrame, dim_accounts: DataFr
 
 def fraud_signals(fact: DataFrame) -> DataFrame:
     """Every fact with its alert level: the fraud band in capitals, CRITICAL for flagged rows."""
-    level = F.when(F.col("is_fraud_flag"), "CRITICAL").otherwise(F.upper("fraud_risk_band"))
-    return fact.select(
+    return fact.selectExpr(
         "transaction_id",
         "transaction_date",
         "account_key",
@@ -86,21 +84,20 @@ def fraud_signals(fact: DataFrame) -> DataFrame:
         "is_fraud_flag",
         "fraud_score",
         "fraud_risk_band",
-        level.alias("alert_level"),
+        "IF(is_fraud_flag, 'CRITICAL', UPPER(fraud_risk_band)) AS alert_level",
     )
 
 
 def daily_transaction_summary(fact: DataFrame, dim_types: DataFrame) -> DataFrame:
     """Counts and amounts per day, transaction type and channel."""
-    money = "decimal(18,2)"
     per_key = fact.groupBy("transaction_date", "txn_type_key", "channel").agg(
-        F.count("*").alias("txn_count"),
-        F.count_if(F.col("status") == "Completed").alias("completed_count"),
-        F.count_if(F.col("status").contains("Declined") | (F.col("status") == "Failed")).alias("declined_count"),
-        F.count_if("is_fraud_flag").alias("flagged_count"),
-        F.sum("amount").cast(money).alias("total_amount"),
+        F.expr("COUNT(*) AS txn_count"),
+        F.expr(f"COUNT_IF({bands.is_completed('status')}) AS completed_count"),
+        F.expr(f"COUNT_IF({bands.is_declined('status')}) AS declined_count"),
+        F.expr("COUNT_IF(is_fraud_flag) AS flagged_count"),
+        F.expr("CAST(SUM(amount) AS DECIMAL(18,2)) AS total_amount"),
     )
-    names = dim_types.select("txn_type_key", F.col("txn_type_name").alias("transaction_type"))
+    names = dim_types.selectExpr("txn_type_key", "txn_type_name AS transaction_type")
     return per_key.join(names, "txn_type_key", "left").select(
         "transaction_date",
         "transaction_type",
@@ -118,8 +115,10 @@ def customer_report(mart: DataFrame, rows: int = CUSTOMER_REPORT_ROWS) -> DataFr
 
 
 def fraud_report(mart: DataFrame) -> DataFrame:
-    return mart.filter(F.col("alert_level").isin("CRITICAL", "HIGH"))
+    return mart.filter("alert_level IN ('CRITICAL', 'HIGH')")
 
 
-def summary_report(mart: DataFrame, as_of: Column, days: int = SUMMARY_REPORT_DAYS) -> DataFrame:
-    return mart.filter(F.col("transaction_date") >= F.date_sub(as_of, days))
+def summary_report(mart: DataFrame, as_of: datetime.date, days: int = SUMMARY_REPORT_DAYS) -> DataFrame:
+    """The days since ``as_of - days``, selected by SQL text over the mart."""
+    since = day_literal(as_of - datetime.timedelta(days=days))
+    return mart.sparkSession.sql(f"SELECT * FROM {{mart}} WHERE transaction_date >= {since}", mart=mart)

@@ -1,12 +1,14 @@
 """Integrity counts and data-quality results."""
 
+import datetime
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake import schemas
+from tellerlake.schemas import time_literal
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -16,90 +18,82 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 def orphan_count(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """One row: how many child rows have no parent. Only one row per key is shuffled to the join."""
-    per_key = child.groupBy(key).agg(F.count("*").alias("n"))
-    return orphans(per_key, parent, key).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_orphans"))
+    per_key = child.groupBy(key).agg(F.expr("COUNT(*) AS n"))
+    return orphans(per_key, parent, key).agg(F.expr("COALESCE(SUM(n), 0L) AS n_orphans"))
 
 
 def decline_rate(transactions: DataFrame) -> DataFrame:
     """One row: totals and the share of declined transactions in percent, in a single pass."""
-    counts = transactions.agg(
-        F.count("*").alias("total"),
-        F.count_if("is_completed").alias("completed"),
-        F.count_if("is_declined").alias("declined"),
-    )
-    rate = F.col("declined") / F.greatest("total", F.lit(1)) * 100
-    return counts.withColumn("decline_rate_pct", rate)
+    return transactions.agg(
+        F.expr("COUNT(*) AS total"),
+        F.expr("COUNT_IF(is_completed) AS completed"),
+        F.expr("COUNT_IF(is_declined) AS declined"),
+    ).selectExpr("*", "declined / GREATEST(total, 1) * 100 AS decline_rate_pct")
 
 
 @dataclass(frozen=True)
 class RowCheck:
-    """A check that looks at one row at a time: ``fails`` is true on the bad ones."""
+    """A check that looks at one row at a time: the SQL in ``fails`` is true on the bad ones."""
 
     name: str
     kind: str
-    fails: Column
+    fails: str
     severity: str = "warning"
 
 
 def not_null(column: str, severity: str = "critical") -> RowCheck:
-    return RowCheck(f"{column}_not_null", "not_null", F.col(column).isNull(), severity)
+    return RowCheck(f"{column}_not_null", "not_null", f"{column} IS NULL", severity)
 
 
 def fits_width(column: str, width: int) -> RowCheck:
-    return RowCheck(f"{column}_width", "width", F.length(column) > width)
+    return RowCheck(f"{column}_width", "width", f"LENGTH({column}) > {width}")
 
 
 def fits_type(column: str, data_type: str) -> RowCheck:
     """The value survives the cast to the type it is stored as."""
-    lost = F.col(column).isNotNull() & F.col(column).try_cast(data_type).isNull()
+    lost = f"{column} IS NOT NULL AND TRY_CAST({column} AS {data_type}) IS NULL"
     return RowCheck(f"{column}_precision", "precision", lost)
 
 
-def agrees(column: str, expected: Column) -> RowCheck:
+def agrees(column: str, expected: str) -> RowCheck:
     """A delivered column equals what its source columns imply."""
-    return RowCheck(f"{column}_agrees", "consistency", ~F.col(column).eqNullSafe(expected))
-
-
-def _result(table: str, name: str, kind: str, severity: str, failed: Column, example: Column) -> Column:
-    """One result as a struct; expects the row count in ``_rows``."""
-    percent = failed / F.greatest("_rows", F.lit(1)) * 100
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        F.lit(name).alias("check_name"),
-        F.lit(kind).alias("check_type"),
-        (failed == 0).alias("passed"),
-        F.col("_rows").cast("long").alias("rows_checked"),
-        failed.cast("long").alias("rows_failed"),
-        percent.cast(schemas.RATE).alias("failure_pct"),
-        F.lit(severity).alias("severity"),
-        F.to_json(F.struct(example.alias("example"))).alias("details"),
-    )
+    return RowCheck(f"{column}_agrees", "consistency", f"NOT ({column} <=> ({expected}))")
+
+
+def _result(table: str, check: RowCheck, failed: str, example: str) -> str:
+    """One row of the log as a struct; expects the row count in ``_rows``."""
+    percent = f"CAST({failed} / GREATEST(_rows, 1) * 100 AS {schemas.RATE.simpleString()})"
+    return f"""NAMED_STRUCT(
+        'table_name', '{table}', 'check_name', '{check.name}', 'check_type', '{check.kind}',
+        'passed', {failed} = 0, 'rows_checked', _rows, 'rows_failed', {failed}, 'failure_pct', {percent},
+        'severity', '{check.severity}', 'details', TO_JSON(NAMED_STRUCT('example', {example})))"""
 
 
 def row_checks(table: str, df: DataFrame, key: str, checks: list[RowCheck]) -> DataFrame:
     """All row checks of a table in one aggregate; each failure names its smallest key."""
-    measures = [F.count("*").alias("_rows")]
+    measures = ["COUNT(*) AS _rows"]
     for i, check in enumerate(checks):
-        measures.append(F.count_if(check.fails).alias(f"_failed{i}"))
-        measures.append(F.min(F.when(check.fails, F.col(key).cast("string"))).alias(f"_example{i}"))
-    results = [
-        _result(table, c.name, c.kind, c.severity, F.col(f"_failed{i}"), F.col(f"_example{i}"))
-        for i, c in enumerate(checks)
-    ]
-    return df.agg(*measures).select(F.inline(F.array(*results)))
+        measures.append(f"COUNT_IF({check.fails}) AS _failed{i}")
+        measures.append(f"MIN(IF({check.fails}, CAST({key} AS STRING), NULL)) AS _example{i}")
+    results = ", ".join(_result(table, check, f"_failed{i}", f"_example{i}") for i, check in enumerate(checks))
+    return df.agg(*(F.expr(m) for m in measures)).selectExpr(f"INLINE(ARRAY({results}))")
 
 
-def unique_check(table: str, df: DataFrame, key: str, name: str | None = None) -> DataFrame:
-    """Rows beyond the first of each key; null keys are left to the not-null check."""
-    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+def _per_key_check(table: str, check: RowCheck, per_key: DataFrame, failed: str) -> DataFrame:
+    """A check over one row per key ``k`` with its row count ``n``; ``failed`` counts the bad ones."""
     totals = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("_rows"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("_failed"),
-        F.min(F.when(F.col("n") > 1, F.col(key).cast("string"))).alias("_example"),
+        F.expr("COALESCE(SUM(n), 0L) AS _rows"),
+        F.expr(f"COALESCE(SUM(IF({check.fails}, {failed}, 0L)), 0L) AS _failed"),
+        F.expr(f"MIN(IF({check.fails}, CAST(k AS STRING), NULL)) AS _example"),
     )
-    label = name or f"{key}_unique"
-    result = _result(table, label, "unique", "critical", F.col("_failed"), F.col("_example"))
-    return totals.select(F.inline(F.array(result)))
+    return totals.selectExpr(f"INLINE(ARRAY({_result(table, check, '_failed', '_example')}))")
+
+
+def unique_check(table: str, df: DataFrame, key: str, name: str | None = None) -> DataFrame:
+    """Rows beyond the first of each key; null keys are left to the not-null check."""
+    per_key = df.filter(f"{key} IS NOT NULL").groupBy(F.expr(f"{key} AS k")).agg(F.expr("COUNT(*) AS n"))
+    check = RowCheck(name or f"{key}_unique", "unique", "n > 1", "critical")
+    return _per_key_check(table, check, per_key, "n - 1")
 
 
 def one_current_check(table: str, dim: DataFrame, key: str) -> DataFrame:
@@ -113,33 +107,60 @@ def foreign_key_check(
 
     A null key passes, as a database foreign key lets it, unless ``nulls_fail`` makes it an orphan.
     """
-    known = parent.select(F.col(parent_key or key).alias("_known")).distinct()
-    per_key = child.groupBy(key).agg(F.count("*").alias("n"))
-    matched = per_key.join(known, F.col(key) == F.col("_known"), "left")
-    lost = F.col("_known").isNull()
-    if not nulls_fail:
-        lost &= F.col(key).isNotNull()
-    totals = matched.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("_rows"),
-        F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).alias("_failed"),
-        F.min(F.when(lost, F.col(key).cast("string"))).alias("_example"),
-    )
+    known = parent.selectExpr(f"{parent_key or key} AS _known").distinct()
+    per_key = child.groupBy(F.expr(f"{key} AS k")).agg(F.expr("COUNT(*) AS n"))
     kind = "orphan" if nulls_fail else "foreign_key"
-    result = _result(table, f"{key}_{kind}", kind, "warning", F.col("_failed"), F.col("_example"))
-    return totals.select(F.inline(F.array(result)))
+    lost = "_known IS NULL" if nulls_fail else "_known IS NULL AND k IS NOT NULL"
+    return _per_key_check(
+        table, RowCheck(f"{key}_{kind}", kind, lost), per_key.join(known, F.expr("k = _known"), "left"), "n"
+    )
 
 
 def version_chain_check(table: str, dim: DataFrame, key: str) -> DataFrame:
     """Versions count 1..n without gaps and each closes on the day the next one starts."""
-    by_version = Window.partitionBy(key).orderBy("scd_version")
-    next_start = F.lead("scd_start_date").over(by_version)
-    position = F.row_number().over(by_version)
-    broken = (F.col("scd_version") != position) | ~F.col("scd_end_date").eqNullSafe(next_start)
-    flagged = dim.select(key, broken.alias("_broken"))
-    check = RowCheck(f"{key}_version_chain", "version_chain", F.col("_broken"), "critical")
-    return row_checks(table, flagged, key, [check])
+    window = f"OVER (PARTITION BY {key} ORDER BY scd_version)"
+    broken = f"scd_version <> ROW_NUMBER() {window} OR NOT (scd_end_date <=> LEAD(scd_start_date) {window})"
+    flagged = dim.selectExpr(key, f"{broken} AS _broken")
+    return row_checks(table, flagged, key, [RowCheck(f"{key}_version_chain", "version_chain", "_broken", "critical")])
+
+
+def silver_results(
+    transactions: DataFrame, accounts: DataFrame, customers: DataFrame, branches: DataFrame
+) -> list[DataFrame]:
+    """Checks of the silver tables: keys, widths and precision of transactions, and parents."""
+    row_level = [not_null(column) for column in ("transaction_id", "account_id", "amount")]
+    row_level += [fits_width(column, width) for column, width in schemas.STAGED_WIDTHS.items()]
+    row_level += [
+        fits_type(column, schemas.STAGED_TRANSACTION[column].dataType.simpleString())
+        for column in ("amount", "fraud_score")
+    ]
+    return [
+        row_checks("transactions", transactions, "transaction_id", row_level),
+        unique_check("transactions", transactions, "transaction_id"),
+        foreign_key_check("accounts", accounts, "customer_id", customers, nulls_fail=True),
+        foreign_key_check("transactions", transactions, "account_id", accounts, nulls_fail=True),
+        foreign_key_check("accounts", accounts, "branch_id", branches, nulls_fail=True),
+    ]
+
+
+def gold_results(
+    fact: DataFrame, dim_accounts: DataFrame, dim_customers: DataFrame, dim_date: DataFrame
+) -> list[DataFrame]:
+    """Checks of the star schema: current versions, version chains and resolved keys."""
+    return [
+        one_current_check("dim_customers", dim_customers, "customer_id"),
+        one_current_check("dim_accounts", dim_accounts, "account_id"),
+        version_chain_check("dim_customers", dim_customers, "customer_id"),
+        version_chain_check("dim_accounts", dim_accounts, "account_id"),
+        row_checks("fact_transactions", fact, "transaction_id", [not_null("account_key", "warning")]),
+        foreign_key_check("fact_transactions", fact, "account_key", dim_accounts),
+        foreign_key_check("fact_transactions", fact, "customer_key", dim_customers),
+        foreign_key_check("fact_transactions", fact, "date_key", dim_date),
+        foreign_key_check("dim_accounts", dim_accounts, "customer_key", dim_customers),
+    ]
 
 
-def all_results(parts: list[DataFrame], checked_at: Column) -> DataFrame:
+def all_results(parts: list[DataFrame], checked_at: datetime.datetime) -> DataFrame:
     """Results of several checks as rows of the data-quality log."""
-    return schemas.conform(reduce(DataFrame.unionByName, parts), schemas.AUDIT_DATA_QUALITY, checked_at=checked_at)
+    rows = reduce(DataFrame.unionByName, parts)
+    return schemas.conform(rows, schemas.AUDIT_DATA_QUALITY, checked_at=time_literal(checked_at))

@@ -5,14 +5,15 @@ leaves behind, so current rows and incoming rows are each shuffled once and noth
 row by row. Rows that still need a surrogate key come out with a null key.
 """
 
+import datetime
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tellerlake import schemas
+from tellerlake.schemas import day_literal, text_literal, time_literal
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,9 @@ class Dimension:
     tracked: tuple[str, ...] = ()
     fixed: tuple[str, ...] = ()
 
+    def kind(self, column: str) -> str:
+        return self.schema[column].dataType.simpleString()
+
 
 BRANCHES = Dimension("dim_branches", schemas.DIM_BRANCHES, "branch_key", "branch_id", fixed=("opened_date",))
 MERCHANTS = Dimension("dim_merchants", schemas.DIM_MERCHANTS, "merchant_key", "merchant_id")
@@ -51,113 +55,98 @@ ACCOUNTS = Dimension(
 INSERT, UPDATE, EXPIRE, KEEP = "insert", "update", "expire", "keep"
 
 
-def empty(dimension: Dimension, like: DataFrame) -> DataFrame:
-    return like.sparkSession.createDataFrame([], dimension.schema)
+@dataclass(frozen=True)
+class Load:
+    """What stamps the rows of one run."""
+
+    batch_id: str
+    as_of: datetime.date
+    loaded_at: datetime.datetime
 
 
 def current_rows(dim: DataFrame) -> DataFrame:
     return dim.filter("scd_is_current")
 
 
-def _differs(old: Column, new: Column, kind: str) -> Column:
-    """Changed or not: no flag means false, no amount means zero, no text is a value of its own."""
-    if kind == "boolean":
-        return F.coalesce(old, F.lit(False)) != F.coalesce(new, F.lit(False))
-    if kind.startswith("decimal"):
-        return F.coalesce(old, F.lit(0).cast(kind)) != F.coalesce(new, F.lit(0).cast(kind))
-    return ~old.eqNullSafe(new)
+def first_rows(incoming: DataFrame, dimension: Dimension, load: Load) -> DataFrame:
+    """Incoming rows as first versions of the dimension, without a surrogate key."""
+    return schemas.conform(
+        incoming,
+        dimension.schema,
+        **{dimension.surrogate: "NULL"},
+        scd_start_date=day_literal(load.as_of),
+        scd_end_date="NULL",
+        scd_is_current="TRUE",
+        scd_version="1",
+        dw_created_at=time_literal(load.loaded_at),
+        dw_batch_id=text_literal(load.batch_id),
+    )
 
 
-def _pair_up(dim: DataFrame, incoming: DataFrame, natural: str) -> DataFrame:
+def _pair_up(dim: DataFrame, incoming: DataFrame, dimension: Dimension) -> DataFrame:
     """Old and new row of each key side by side, as structs; an absent side is null."""
-    old = dim.select(F.col(natural).alias("_old_id"), F.struct(*dim.columns).alias("_old"))
-    new = incoming.select(F.col(natural).alias("_new_id"), F.struct(*incoming.columns).alias("_new"))
-    return old.join(new, F.col("_old_id") == F.col("_new_id"), "full_outer")
+    natural, columns = dimension.natural, ", ".join(dimension.schema.names)
+    old = dim.selectExpr(f"{natural} AS _old_id", f"STRUCT({columns}) AS _old")
+    new = incoming.selectExpr(f"{natural} AS _new_id", f"STRUCT({columns}) AS _new")
+    return old.join(new, F.expr("_old_id = _new_id"), "full_outer")
 
 
-def _row(schema: StructType, action: str | Column, values: dict[str, Column]) -> Column:
-    fields = [values[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
-    label = F.lit(action) if isinstance(action, str) else action
-    return F.struct(*fields, label.alias("_action"))
+def _row(dimension: Dimension, side: str, action: str, **changed: str) -> str:
+    """A row of the dimension with the values of one side, some of them changed, and its outcome."""
+    values = {name: f"{side}.{name}" for name in dimension.schema.names} | changed
+    fields = ", ".join(f"'{name}', CAST({value} AS {dimension.kind(name)})" for name, value in values.items())
+    return f"NAMED_STRUCT({fields}, '_action', '{action}')"
 
 
-def _old_values(schema: StructType, **changed: Column) -> dict[str, Column]:
-    return {f.name: F.col(f"_old.{f.name}") for f in schema.fields} | changed
-
-
-def scd1_merge(
-    dim: DataFrame, incoming: DataFrame, dimension: Dimension, batch_id: str, loaded_at: Column
-) -> DataFrame:
+def scd1_merge(dim: DataFrame, incoming: DataFrame, dimension: Dimension, load: Load) -> DataFrame:
     """Upsert by natural key: new keys are added, known keys overwritten except their fixed columns.
 
     Result: the whole dimension plus ``_action``; added rows have a null surrogate key.
     """
-    rows = schemas.conform(
-        incoming,
-        dimension.schema,
-        **{dimension.surrogate: F.lit(None)},
-        dw_created_at=loaded_at,
-        dw_batch_id=F.lit(batch_id),
-    )
     stays = (dimension.surrogate, dimension.natural, "dw_created_at", *dimension.fixed)
-    taken = {n: F.col(f"_new.{n}") for n in dimension.schema.names if n not in stays}
-    result = (
-        F.when(F.col("_new").isNull(), _row(dimension.schema, KEEP, _old_values(dimension.schema)))
-        .when(
-            F.col("_old").isNull(),
-            _row(dimension.schema, INSERT, {n: F.col(f"_new.{n}") for n in dimension.schema.names}),
-        )
-        .otherwise(_row(dimension.schema, UPDATE, _old_values(dimension.schema, **taken)))
-    )
-    return _pair_up(dim, rows, dimension.natural).select(result.alias("_row")).select("_row.*")
+    taken = {name: f"_new.{name}" for name in dimension.schema.names if name not in stays}
+    result = f"""CASE
+        WHEN _new IS NULL THEN {_row(dimension, "_old", KEEP)}
+        WHEN _old IS NULL THEN {_row(dimension, "_new", INSERT)}
+        ELSE {_row(dimension, "_old", UPDATE, **taken)} END AS _row"""
+    pairs = _pair_up(dim, first_rows(incoming, dimension, load), dimension)
+    return pairs.selectExpr(result).select("_row.*")
+
+
+def _differs(dimension: Dimension, column: str) -> str:
+    """Changed or not: no flag means false, no amount means zero, no text is a value of its own."""
+    old, new, kind = f"_old.{column}", f"_new.{column}", dimension.kind(column)
+    if kind == "boolean":
+        return f"COALESCE({old}, FALSE) <> COALESCE({new}, FALSE)"
+    if kind.startswith("decimal"):
+        return f"COALESCE({old}, 0) <> COALESCE({new}, 0)"
+    return f"NOT ({old} <=> {new})"
 
 
-def scd2_merge(
-    current: DataFrame, incoming: DataFrame, dimension: Dimension, as_of: Column, batch_id: str, loaded_at: Column
-) -> DataFrame:
+def scd2_merge(current: DataFrame, incoming: DataFrame, dimension: Dimension, load: Load) -> DataFrame:
     """Versioned merge of unique incoming rows into the current rows of a dimension.
 
     Unchanged rows stay exactly as they are, untracked columns included. A change in a tracked
-    column closes the current row on ``as_of`` and opens the next version. Keys missing from
-    ``incoming`` stay current. Result: the current rows and those closed now, plus ``_action``;
-    opened rows have a null surrogate key. Earlier history is never read.
+    column closes the current row on the day of the load and opens the next version. Keys missing
+    from ``incoming`` stay current. Result: the current rows and those closed now, plus
+    ``_action``; opened rows have a null surrogate key. Earlier history is never read.
     """
-    schema = dimension.schema
-    rows = schemas.conform(
-        incoming,
-        schema,
-        **{dimension.surrogate: F.lit(None)},
-        scd_start_date=as_of,
-        scd_end_date=F.lit(None),
-        scd_is_current=F.lit(True),
-        scd_version=F.lit(1),
-        dw_created_at=loaded_at,
-        dw_batch_id=F.lit(batch_id),
-    )
-    changed = reduce(
-        Column.__or__,
-        (
-            _differs(F.col(f"_old.{name}"), F.col(f"_new.{name}"), schema[name].dataType.simpleString())
-            for name in dimension.tracked
-        ),
-    )
-    new_values = {name: F.col(f"_new.{name}") for name in schema.names}
-    kept = _row(schema, KEEP, _old_values(schema))
-    added = _row(schema, INSERT, new_values)
-    closed = _row(schema, EXPIRE, _old_values(schema, scd_end_date=as_of, scd_is_current=F.lit(False)))
-    opened = _row(schema, UPDATE, new_values | {"scd_version": F.col("_old.scd_version") + 1})
-    unfolded = (
-        F.when(F.col("_new").isNull(), F.array(kept))
-        .when(F.col("_old").isNull(), F.array(added))
-        .when(changed, F.array(closed, opened))
-        .otherwise(F.array(kept))
-    )
-    return _pair_up(current, rows, dimension.natural).select(F.inline(unfolded))
+    changed = " OR ".join(_differs(dimension, column) for column in dimension.tracked)
+    kept = _row(dimension, "_old", KEEP)
+    added = _row(dimension, "_new", INSERT)
+    closed = _row(dimension, "_old", EXPIRE, scd_end_date="_new.scd_start_date", scd_is_current="FALSE")
+    opened = _row(dimension, "_new", UPDATE, scd_version="_old.scd_version + 1")
+    unfolded = f"""INLINE(CASE
+        WHEN _new IS NULL THEN ARRAY({kept})
+        WHEN _old IS NULL THEN ARRAY({added})
+        WHEN {changed} THEN ARRAY({closed}, {opened})
+        ELSE ARRAY({kept}) END)"""
+    return _pair_up(current, first_rows(incoming, dimension, load), dimension).selectExpr(unfolded)
 
 
 def action_counts(merged: DataFrame) -> DataFrame:
     """Rows per outcome of a merge."""
-    return merged.groupBy("_action").agg(F.count("*").alias("n_rows"))
+    return merged.groupBy("_action").agg(F.expr("COUNT(*) AS n_rows"))
 
 
 def resolve_account_keys(accounts: DataFrame, dim_branches: DataFrame, dim_customers: DataFrame) -> DataFrame:

@@ -1,23 +1,29 @@
 """Bronze text rows to typed, deduplicated and enriched silver tables."""
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import datetime
 
-from tellerlake.functions import bands, calendar, casts
+from pyspark.sql import DataFrame
+
+from tellerlake.functions import bands, casts
 from tellerlake.operators.dedup import RECENCY, latest_by_key
 from tellerlake.operators.velocity import HOT_ROWS, with_daily_velocity
+from tellerlake.schemas import day_literal
 
 _READ = {"int": casts.to_integer, "double": casts.to_double, "boolean": casts.to_boolean, "date": casts.to_day}
 
 
-def _typed(**kinds: str) -> dict[str, Column]:
-    return {name: _READ[kind](F.col(name)) for name, kind in kinds.items()}
-
+def _project(bronze: DataFrame, columns: str, **derived: str) -> DataFrame:
+    """Silver columns, plus whatever lineage exists to order the copies of a row.
 
-def _project(bronze: DataFrame, names: str, typed: dict[str, Column]) -> DataFrame:
-    """Silver columns, plus whatever lineage exists to order the copies of a row."""
-    chosen = [typed[n].alias(n) if n in typed else F.col(n) for n in names.split()]
-    return bronze.select(*chosen, *(n for n in RECENCY if n in bronze.columns))
+    ``columns`` names them in order, ``name:kind`` for those that are read as a type; ``derived``
+    gives the SQL of columns that raw rows do not have.
+    """
+    chosen = []
+    for column in columns.split():
+        name, _, kind = column.partition(":")
+        value = derived.get(name) or (_READ[kind](name) if kind else name)
+        chosen.append(f"{value} AS {name}")
+    return bronze.selectExpr(*chosen, *(name for name in RECENCY if name in bronze.columns))
 
 
 def _without_position(df: DataFrame) -> DataFrame:
@@ -25,98 +31,56 @@ def _without_position(df: DataFrame) -> DataFrame:
 
 
 def branches(bronze: DataFrame) -> DataFrame:
-    typed = _typed(opened_date="date", is_active="boolean")
-    rows = _project(bronze, "branch_id branch_name city province region opened_date is_active", typed)
+    rows = _project(bronze, "branch_id branch_name city province region opened_date:date is_active:boolean")
     return _without_position(latest_by_key(rows, "branch_id"))
 
 
 def merchants(bronze: DataFrame) -> DataFrame:
-    typed = _typed(mcc_code="int", is_online="boolean")
-    rows = _project(bronze, "merchant_id merchant_name merchant_category mcc_code is_online", typed)
+    rows = _project(bronze, "merchant_id merchant_name merchant_category mcc_code:int is_online:boolean")
     return _without_position(latest_by_key(rows, "merchant_id"))
 
 
 def customers(bronze: DataFrame) -> DataFrame:
     """Customers without their national id number; the surviving copy must carry an e-mail address."""
-    typed = _typed(
-        date_of_birth="date", age="int", kyc_verified="boolean", onboarding_date="date", is_active="boolean"
-    )
-    typed["full_name"] = F.concat_ws(" ", "first_name", "last_name")
-    typed["age_band"] = bands.age_band(typed["age"])
     rows = _project(
         bronze,
-        "customer_id first_name last_name full_name email phone date_of_birth age age_band gender"
-        " province city postal_code customer_segment income_band risk_rating kyc_verified"
-        " onboarding_date is_active",
-        typed,
+        "customer_id first_name last_name full_name email phone date_of_birth:date age:int age_band gender"
+        " province city postal_code customer_segment income_band risk_rating kyc_verified:boolean"
+        " onboarding_date:date is_active:boolean",
+        full_name="CONCAT_WS(' ', first_name, last_name)",
+        age_band=bands.age_band(casts.to_integer("age")),
     )
-    return _without_position(latest_by_key(rows, "customer_id").filter(F.col("email").contains("@")))
+    return _without_position(latest_by_key(rows, "customer_id").filter("CONTAINS(email, '@')"))
 
 
-def accounts(bronze: DataFrame, as_of: Column) -> DataFrame:
+def accounts(bronze: DataFrame, as_of: datetime.date) -> DataFrame:
     """Accounts with an owner; ``as_of`` is the day their age is counted to."""
-    typed = _typed(
-        opening_balance="double",
-        current_balance="double",
-        credit_limit="double",
-        interest_rate="double",
-        open_date="date",
-        close_date="date",
-        overdraft_limit="double",
-    )
-    typed["account_age_days"] = calendar.account_age_days(typed["open_date"], as_of)
-    typed["has_overdraft"] = F.coalesce(typed["overdraft_limit"] > 0, F.lit(False))
     rows = _project(
         bronze,
-        "account_id customer_id branch_id account_type account_number currency opening_balance"
-        " current_balance credit_limit interest_rate status open_date close_date overdraft_limit"
-        " account_age_days has_overdraft",
-        typed,
+        "account_id customer_id branch_id account_type account_number currency opening_balance:double"
+        " current_balance:double credit_limit:double interest_rate:double status open_date:date"
+        " close_date:date overdraft_limit:double account_age_days has_overdraft",
+        account_age_days=f"DATEDIFF({day_literal(as_of)}, {casts.to_day('open_date')})",
+        has_overdraft=f"COALESCE({casts.to_double('overdraft_limit')} > 0, FALSE)",
     )
-    kept = latest_by_key(rows, "account_id").filter(F.col("customer_id").isNotNull())
-    return kept.drop(*RECENCY)
+    return latest_by_key(rows, "account_id").filter("customer_id IS NOT NULL").drop(*RECENCY)
 
 
 def typed_transactions(bronze: DataFrame) -> DataFrame:
     """The latest copy of each transaction, typed."""
-    typed = _typed(
-        amount="double",
-        is_debit="boolean",
-        balance_after="double",
-        transaction_date="date",
-        is_fraud_flag="boolean",
-        fraud_score="double",
-        is_weekend="boolean",
-        is_holiday_season="boolean",
-    )
     rows = _project(
         bronze,
-        "transaction_id account_id merchant_id transaction_type channel amount is_debit currency"
-        " balance_after transaction_date transaction_time reference description status is_fraud_flag"
-        " fraud_score is_weekend is_holiday_season",
-        typed,
+        "transaction_id account_id merchant_id transaction_type channel amount:double is_debit:boolean"
+        " currency balance_after:double transaction_date:date transaction_time reference description"
+        " status is_fraud_flag:boolean fraud_score:double is_weekend:boolean is_holiday_season:boolean",
     )
     return _without_position(latest_by_key(rows, "transaction_id"))
 
 
-def with_time_and_bands(transactions: DataFrame) -> DataFrame:
-    hour = casts.hour_of(F.col("transaction_time"))
-    day = F.col("transaction_date")
-    status = F.col("status")
-    return transactions.withColumns(
-        {
-            "transaction_hour": hour,
-            # 1 = Sunday here; the calendar dimension counts from Monday.
-            "transaction_day_of_week": F.dayofweek(day),
-            "transaction_month": F.month(day),
-            "transaction_year": F.year(day),
-            "is_night_transaction": bands.is_night(hour),
-            "is_business_hours": bands.is_business_hours(hour),
-            "amount_band": bands.amount_band(F.col("amount")),
-            "fraud_risk_band": bands.fraud_risk_band(F.col("fraud_score")),
-            "is_declined": bands.is_declined(status),
-            "is_completed": bands.is_completed(status),
-        }
+def with_velocity(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Completion flag and daily velocity of deduplicated transactions."""
+    return with_daily_velocity(
+        transactions.selectExpr("*", f"{bands.is_completed('status')} AS is_completed"), hot_rows
     )
 
 
@@ -125,10 +89,24 @@ def transactions(bronze: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
     Copies are removed before velocity is counted, so a re-ingested day is not counted twice.
     Completed rows without a positive amount still count towards velocity and are dropped last.
+    Bands and time flags are added after the shuffles, which then carry fewer columns.
     """
-    deduplicated = typed_transactions(bronze)
-    with_flag = deduplicated.withColumn("is_completed", bands.is_completed(F.col("status")))
-    counted = with_daily_velocity(with_flag, hot_rows)
-    velocity = ["daily_txn_count", "daily_spend_total"]
-    kept = with_time_and_bands(counted.filter(F.col("amount") > 0))
-    return kept.select(*(n for n in kept.columns if n not in velocity), *velocity)
+    typed = typed_transactions(bronze)
+    counted = with_velocity(typed, hot_rows).filter("amount > 0")
+    hour = casts.hour_of("transaction_time")
+    return counted.selectExpr(
+        *typed.columns,
+        f"{hour} AS transaction_hour",
+        # 1 = Sunday here; the calendar dimension counts from Monday.
+        "DAYOFWEEK(transaction_date) AS transaction_day_of_week",
+        "MONTH(transaction_date) AS transaction_month",
+        "YEAR(transaction_date) AS transaction_year",
+        f"{bands.is_night(hour)} AS is_night_transaction",
+        f"{bands.is_business_hours(hour)} AS is_business_hours",
+        f"{bands.amount_band('amount')} AS amount_band",
+        f"{bands.fraud_risk_band('fraud_score')} AS fraud_risk_band",
+        f"{bands.is_declined('status')} AS is_declined",
+        "is_completed",
+        "daily_txn_count",
+        "daily_spend_total",
+    )

@@ -1,16 +1,15 @@
 """Daily account balances."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake import schemas
 from tellerlake.functions import calendar
-from tellerlake.operators.scd import current_rows
+from tellerlake.operators.scd import Load, current_rows
+from tellerlake.schemas import text_literal, time_literal
 
 
-def account_snapshots(
-    transactions: DataFrame, dim_accounts: DataFrame, batch_id: str, loaded_at: Column
-) -> DataFrame:
+def account_snapshots(transactions: DataFrame, dim_accounts: DataFrame, load: Load) -> DataFrame:
     """One row per account and day with completed transactions.
 
     Closing balance is the balance after the day's last transaction, opening balance the closing
@@ -18,29 +17,32 @@ def account_snapshots(
     partially aggregated group-by first, so the window over an account's days only sees one row
     per day, whatever the account's volume.
     """
-    amount = F.col("amount").try_cast(schemas.MONEY)
-    balance = F.col("balance_after").try_cast(schemas.MONEY)
-    is_debit = F.coalesce(F.col("is_debit"), F.lit(False))
+    amount = "TRY_CAST(amount AS DECIMAL(15,2))"
+    credit = "NOT COALESCE(is_debit, FALSE)"
     days = (
-        transactions.filter(F.col("status") == "Completed")
+        transactions.filter("status = 'Completed'")
         .groupBy("account_id", "transaction_date")
         .agg(
-            F.max_by(balance, F.struct("transaction_time", "transaction_id")).alias("closing_balance"),
-            F.coalesce(F.sum(F.when(~is_debit, amount)), F.lit(0)).alias("daily_credits"),
-            F.coalesce(F.sum(F.when(is_debit, amount)), F.lit(0)).alias("daily_debits"),
-            F.count("*").alias("txn_count"),
+            F.expr(
+                "MAX_BY(TRY_CAST(balance_after AS DECIMAL(15,2)), STRUCT(transaction_time, transaction_id))"
+                " AS closing_balance"
+            ),
+            F.expr(f"COALESCE(SUM(IF({credit}, {amount}, NULL)), 0) AS daily_credits"),
+            F.expr(f"COALESCE(SUM(IF({credit}, NULL, {amount})), 0) AS daily_debits"),
+            F.expr("COUNT(*) AS txn_count"),
+        )
+        .selectExpr(
+            "*", "LAG(closing_balance) OVER (PARTITION BY account_id ORDER BY transaction_date) AS opening_balance"
         )
     )
-    previous = Window.partitionBy("account_id").orderBy("transaction_date")
-    chained = days.withColumn("opening_balance", F.lag("closing_balance").over(previous))
     account = current_rows(dim_accounts).select("account_id", "account_key", "customer_key")
     return schemas.conform(
-        chained.join(account, "account_id", "left"),
+        days.join(account, "account_id", "left"),
         schemas.FACT_ACCOUNT_SNAPSHOTS,
-        snapshot_key=F.lit(None),
-        snapshot_date=F.col("transaction_date"),
-        date_key=calendar.date_key(F.col("transaction_date")),
-        is_overdrawn=F.col("closing_balance") < 0,
-        dw_loaded_at=loaded_at,
-        dw_batch_id=F.lit(batch_id),
+        snapshot_key="NULL",
+        snapshot_date="transaction_date",
+        date_key=calendar.date_key("transaction_date"),
+        is_overdrawn="closing_balance < 0",
+        dw_loaded_at=time_literal(load.loaded_at),
+        dw_batch_id=text_literal(load.batch_id),
     )

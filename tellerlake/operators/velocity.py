@@ -1,15 +1,14 @@
 """Daily account velocity: completed transactions and spend per account and day, on every row."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A day of one account with more rows than this is split. Such days number at most
 # rows / HOT_ROWS, which bounds the table broadcast below.
 HOT_ROWS = 1_000_000
 
-
-def _spend() -> Column:
-    return F.when(F.col("is_debit"), F.col("amount")).otherwise(0.0)
+_COUNT = "COUNT_IF(is_completed)"
+_SPEND = "SUM(CASE WHEN is_completed THEN IF(is_debit, amount, 0D) END)"
 
 
 def with_daily_velocity(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -19,28 +18,17 @@ def with_daily_velocity(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> Da
     all rows cannot go to a single task: its totals come from a partially aggregated group-by and
     are broadcast, and its rows are spread over chunks of about ``hot_rows`` rows.
     """
-    day = ["account_id", "transaction_date"]
-    done = F.col("is_completed")
     hot = (
-        transactions.groupBy(*day)
-        .agg(
-            F.count("*").alias("_rows"),
-            F.count_if(done).alias("_hot_count"),
-            F.sum(F.when(done, _spend())).alias("_hot_spend"),
-        )
-        .filter(F.col("_rows") > hot_rows)
-        .select(*(F.col(name).alias(f"_hot_{name}") for name in day), "_rows", "_hot_count", "_hot_spend")
-    )
-    same_day = [F.col(name).eqNullSafe(F.col(f"_hot_{name}")) for name in day]
-    chunk = F.pmod(F.xxhash64("transaction_id"), F.ceil(F.col("_rows") / hot_rows))
-    spread = transactions.join(F.broadcast(hot), same_day, "left").withColumn(
-        "_chunk", F.coalesce(chunk, F.lit(0))
+        transactions.groupBy(F.expr("account_id AS _hot_account"), F.expr("transaction_date AS _hot_day"))
+        .agg(F.expr("COUNT(*) AS _hot_rows"), F.expr(f"{_COUNT} AS _hot_count"), F.expr(f"{_SPEND} AS _hot_spend"))
+        .filter(f"_hot_rows > {hot_rows}")
     )
-    per_day = Window.partitionBy(*day, "_chunk")
-    count = F.coalesce("_hot_count", F.count_if(done).over(per_day))
-    spend = F.coalesce("_hot_spend", F.sum(F.when(done, _spend())).over(per_day))
-    return spread.select(
+    same_day = F.expr("account_id <=> _hot_account AND transaction_date <=> _hot_day")
+    chunk = f"COALESCE(PMOD(XXHASH64(transaction_id), CEIL(_hot_rows / {hot_rows})), 0) AS _chunk"
+    spread = transactions.join(F.broadcast(hot), same_day, "left").selectExpr("*", chunk)
+    window = "OVER (PARTITION BY account_id, transaction_date, _chunk)"
+    return spread.selectExpr(
         *transactions.columns,
-        F.when(done, count).otherwise(0).cast("long").alias("daily_txn_count"),
-        F.when(done, F.coalesce(spend, F.lit(0.0))).otherwise(0.0).alias("daily_spend_total"),
+        f"IF(is_completed, COALESCE(_hot_count, {_COUNT} {window}), 0L) AS daily_txn_count",
+        f"IF(is_completed, COALESCE(_hot_spend, {_SPEND} {window}, 0D), 0D) AS daily_spend_total",
     )

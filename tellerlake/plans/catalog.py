@@ -3,23 +3,23 @@
 import datetime
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tellerlake import schemas
 from tellerlake.functions import bands, calendar, ids
 from tellerlake.operators import dedup, dims, facts, keys, marts, quality, scd, silver, snapshots
-from tellerlake.operators.velocity import with_daily_velocity
 from tellerlake.plans.standins import view
-from tellerlake.session import materialise, shared_dir
+from tellerlake.session import materialise, reopen, shared_dir
 from tellerlake.sources import raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DAY_ONE, DAY_TWO = datetime.date(2024, 1, 31), datetime.date(2024, 2, 1)
-LOADED_UNTIL = datetime.date(2024, 1, 15)
-BATCH_ONE, BATCH_TWO = "b1", "b2"
+DAY_ONE = scd.Load("b1", datetime.date(2024, 1, 31), datetime.datetime(2024, 1, 31))
+DAY_TWO = scd.Load("b2", datetime.date(2024, 2, 1), datetime.datetime(2024, 2, 1))
 MONEY = "decimal(15,2)"
 
 QUERIES: dict[str, Query] = {}
@@ -30,25 +30,35 @@ def query(build: Query) -> Query:
     return build
 
 
-def _loaded_at(day: datetime.date):
-    return F.lit(datetime.datetime(day.year, day.month, day.day))
+def _all(parts: dict[str, DataFrame], label: str) -> DataFrame:
+    """The rows of several frames, each labelled with its name."""
+    labelled = [frame.selectExpr(f"'{name}' AS {label}", "*") for name, frame in parts.items()]
+    return reduce(DataFrame.union, labelled)
 
 
 def _exact_spend(transactions: DataFrame) -> DataFrame:
     """Sums of doubles depend on their order in the last digit; cents do not."""
-    return transactions.withColumn("daily_spend_total", F.col("daily_spend_total").cast(MONEY))
+    return transactions.withColumn("daily_spend_total", transactions.daily_spend_total.cast(MONEY))
 
 
 def _silver_accounts(spark: SparkSession, sf_dir: str, name: str = "accounts_in") -> DataFrame:
-    return silver.accounts(view(spark, sf_dir, name), F.lit(DAY_TWO))
+    return silver.accounts(view(spark, sf_dir, name), DAY_TWO.as_of)
 
 
 def _silver_transactions(spark: SparkSession, sf_dir: str, name: str = "transactions_in") -> DataFrame:
     return silver.transactions(view(spark, sf_dir, name))
 
 
-def _after(merged: DataFrame, dimension: scd.Dimension) -> DataFrame:
-    """The dimension a merge leaves behind, with keys, and the outcome of each row."""
+# The gold dimensions after two days of loads
+
+
+def _opened(incoming: DataFrame, dimension: scd.Dimension) -> DataFrame:
+    """The first load of a dimension: every row is new."""
+    rows = scd.first_rows(incoming, dimension, DAY_ONE).drop(dimension.surrogate)
+    return keys.number_rows(rows, dimension.natural, dimension.surrogate)
+
+
+def _keyed(merged: DataFrame, dimension: scd.Dimension) -> DataFrame:
     return keys.assign_keys(materialise(merged), dimension.natural, dimension.surrogate)
 
 
@@ -56,21 +66,14 @@ def _scd1(spark: SparkSession, sf_dir: str, dimension: scd.Dimension, clean) ->
     """The dimension after day one and after day two."""
     table = dimension.name.removeprefix("dim_")
     first, second = (clean(view(spark, sf_dir, f"{table}_day{n}")) for n in (1, 2))
-    empty = scd.empty(dimension, first)
-    one = _after(scd.scd1_merge(empty, first, dimension, BATCH_ONE, _loaded_at(DAY_ONE)), dimension)
-    merged = scd.scd1_merge(one.drop("_action"), second, dimension, BATCH_TWO, _loaded_at(DAY_TWO))
-    return one, _after(merged, dimension)
+    one = _opened(first, dimension)
+    return one, _keyed(scd.scd1_merge(one, second, dimension, DAY_TWO), dimension)
 
 
 def _scd2(first: DataFrame, second: DataFrame, dimension: scd.Dimension) -> tuple[DataFrame, DataFrame]:
     """The dimension after day one and after day two, which holds every version."""
-    empty = scd.empty(dimension, first)
-    opening = scd.scd2_merge(empty, first, dimension, F.lit(DAY_ONE), BATCH_ONE, _loaded_at(DAY_ONE))
-    one = _after(opening, dimension)
-    merged = scd.scd2_merge(
-        one.drop("_action"), second, dimension, F.lit(DAY_TWO), BATCH_TWO, _loaded_at(DAY_TWO)
-    )
-    return one, _after(merged, dimension)
+    one = _opened(first, dimension)
+    return one, _keyed(scd.scd2_merge(one, second, dimension, DAY_TWO), dimension)
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -87,31 +90,43 @@ def _accounts(spark: SparkSession, sf_dir: str, branches, customers) -> tuple[Da
     return _scd2(first, second, scd.ACCOUNTS)
 
 
+@dataclass
 class _Star:
-    """The dimensions after two days, stored as the gold tables hold them."""
+    """The stored dimension tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        branches = _scd1(spark, sf_dir, scd.BRANCHES, silver.branches)
-        customers = _customers(spark, sf_dir)
-        self.branches = materialise(branches[1])
-        self.customers = materialise(customers[1])
-        self.merchants = materialise(_scd1(spark, sf_dir, scd.MERCHANTS, silver.merchants)[1])
-        self.accounts = materialise(
-            _accounts(spark, sf_dir, (branches[0], self.branches), (customers[0], self.customers))[1]
-        )
-        self.types = dims.dim_transaction_type(spark)
+    branches: DataFrame
+    merchants: DataFrame
+    customers: DataFrame
+    accounts: DataFrame
+    types: DataFrame
 
     def resolve(self, transactions: DataFrame, versions: str = "current") -> DataFrame:
-        return facts.resolve_keys(
-            transactions,
-            self.accounts,
-            self.merchants,
-            self.types,
-            self.branches,
-            BATCH_TWO,
-            _loaded_at(DAY_TWO),
-            versions,
-        ).drop("transaction_key", "dw_loaded_at")
+        resolved = facts.resolve_keys(
+            transactions, self.accounts, self.merchants, self.types, self.branches, DAY_TWO, versions
+        )
+        return resolved.drop("transaction_key", "dw_loaded_at")
+
+
+_STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def _star(spark: SparkSession, sf_dir: str) -> _Star:
+    """The gold dimensions, loaded on first use and kept in the shared folder for the session."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    try:
+        stored = {name: reopen(frame) for name, frame in _STORED[at].items()}
+    except (KeyError, AnalysisException):
+        branches = _scd1(spark, sf_dir, scd.BRANCHES, silver.branches)
+        customers = _customers(spark, sf_dir)
+        stored = {
+            "branches": materialise(branches[1]),
+            "merchants": materialise(_scd1(spark, sf_dir, scd.MERCHANTS, silver.merchants)[1]),
+            "customers": materialise(customers[1]),
+        }
+        days = (branches[0], stored["branches"]), (customers[0], stored["customers"])
+        stored["accounts"] = materialise(_accounts(spark, sf_dir, *days)[1])
+        _STORED[at] = stored
+    return _Star(**stored, types=dims.dim_transaction_type(spark))
 
 
 # Silver
@@ -145,10 +160,9 @@ def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def txn_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Velocity of every transaction, those without a positive amount included."""
-    rows = silver.typed_transactions(view(spark, sf_dir, "transactions_in"))
-    flagged = rows.withColumn("is_completed", bands.is_completed(F.col("status")))
+    rows = silver.with_velocity(silver.typed_transactions(view(spark, sf_dir, "transactions_in")))
     columns = ("transaction_id", "account_id", "transaction_date", "daily_txn_count", "daily_spend_total")
-    return _exact_spend(with_daily_velocity(flagged)).select(*columns)
+    return _exact_spend(rows).select(*columns)
 
 
 @query
@@ -190,14 +204,13 @@ def orphan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "transactions_without_account": quality.orphan_count(transactions, accounts, "account_id"),
         "accounts_without_branch": quality.orphan_count(accounts, branches, "branch_id"),
     }
-    rows = [counted.select(F.lit(name).alias("check_name"), "n_orphans") for name, counted in checks.items()]
-    return rows[0].union(rows[1]).union(rows[2])
+    return _all(checks, "check_name")
 
 
 @query
 def decline_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = quality.decline_rate(_silver_transactions(spark, sf_dir))
-    return rates.withColumn("decline_rate_pct", F.col("decline_rate_pct").cast("decimal(7,4)"))
+    return rates.withColumn("decline_rate_pct", rates.decline_rate_pct.cast("decimal(7,4)"))
 
 
 @query
@@ -210,43 +223,38 @@ def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "accounts": _silver_accounts(spark, sf_dir),
         "transactions": _silver_transactions(spark, sf_dir),
     }
-    counted = [t.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows") for n, t in tables.items()]
-    result = counted[0]
-    for part in counted[1:]:
-        result = result.union(part)
-    return result
+    return _all({name: table.selectExpr("COUNT(*) AS n_rows") for name, table in tables.items()}, "table_name")
 
 
 @query
 def active_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver_accounts(spark, sf_dir).filter(F.col("status") == "Active").select(
-        "account_id", "account_type", "account_age_days", "has_overdraft"
-    )
+    active = _silver_accounts(spark, sf_dir).filter("status = 'Active'")
+    return active.select("account_id", "account_type", "account_age_days", "has_overdraft")
 
 
 @query
 def derived_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Debit, weekend and season flags, signed amounts and ids rebuilt from their number."""
     rows = silver.typed_transactions(view(spark, sf_dir, "transactions_in"))
-    day, kind = F.col("transaction_date"), F.col("transaction_type")
-    return rows.select(
+    is_debit = bands.is_debit_type("transaction_type")
+    return rows.selectExpr(
         "transaction_id",
-        ids.id_number(F.col("transaction_id")).alias("id_number"),
-        ids.format_id("transactions", ids.id_number(F.col("transaction_id"))).alias("rebuilt_id"),
-        bands.is_debit_type(kind).alias("is_debit_type"),
-        bands.signed_amount(F.col("amount"), bands.is_debit_type(kind)).alias("signed_amount"),
-        calendar.is_weekend(day).alias("weekend"),
-        calendar.is_holiday_season(day).alias("holiday_season"),
-        calendar.date_stamp(day).alias("date_stamp"),
-        ids.short_reference(F.col("description")).alias("short_reference"),
-        F.to_json(F.struct("channel", "status")).alias("metadata"),
+        f"{ids.id_number('transaction_id')} AS id_number",
+        f"{ids.format_id('transactions', ids.id_number('transaction_id'))} AS rebuilt_id",
+        f"{is_debit} AS is_debit_type",
+        f"{bands.signed_amount('amount', is_debit)} AS signed_amount",
+        f"{calendar.is_weekend('transaction_date')} AS weekend",
+        f"{calendar.is_holiday_season('transaction_date')} AS holiday_season",
+        f"{calendar.date_stamp('transaction_date')} AS date_stamp",
+        f"{ids.short_reference('description')} AS short_reference",
+        "TO_JSON(NAMED_STRUCT('channel', channel, 'status', status)) AS metadata",
     )
 
 
 @query
 def branch_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = silver.branches(view(spark, sf_dir, "branches_in"))
-    return rows.select("branch_id", "city", bands.branch_region(F.col("city")).alias("region_by_city"))
+    return rows.selectExpr("branch_id", "city", f"{bands.branch_region('city')} AS region_by_city")
 
 
 # Dimensions
@@ -257,23 +265,26 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calendar with the transactions of each day."""
     per_day = (
         _silver_transactions(spark, sf_dir)
-        .groupBy(calendar.date_key(F.col("transaction_date")).alias("date_key"))
-        .agg(F.count("*").alias("txn_count"))
+        .selectExpr(f"{calendar.date_key('transaction_date')} AS date_key")
+        .groupBy("date_key")
+        .count()
     )
-    days = dims.dim_date(spark).join(per_day, "date_key", "left")
-    return days.withColumn("txn_count", F.coalesce("txn_count", F.lit(0)))
+    days = dims.dim_date(spark)
+    return days.join(per_day, "date_key", "left").selectExpr(*days.columns, "COALESCE(count, 0L) AS txn_count")
 
 
 @query
 def dim_transaction_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The seeded types with the transactions of each."""
-    per_type = (
-        _silver_transactions(spark, sf_dir)
-        .groupBy(F.col("transaction_type").alias("txn_type_name"))
-        .agg(F.count("*").alias("txn_count"), F.sum(F.col("amount").cast(MONEY)).cast("decimal(18,2)").alias("total"))
+    per_type = spark.sql(
+        """SELECT transaction_type AS txn_type_name, COUNT(*) AS n,
+                  CAST(SUM(CAST(amount AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS total
+           FROM {rows} GROUP BY transaction_type""",
+        rows=_silver_transactions(spark, sf_dir),
     )
-    seeded = dims.dim_transaction_type(spark).join(per_type, "txn_type_name", "left")
-    return seeded.withColumn("txn_count", F.coalesce("txn_count", F.lit(0)))
+    types = dims.dim_transaction_type(spark)
+    counted = types.join(per_type, "txn_type_name", "left")
+    return counted.selectExpr(*types.columns, "COALESCE(n, 0L) AS txn_count", "total")
 
 
 @query
@@ -303,17 +314,14 @@ def scd2_action_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     branches = _scd1(spark, sf_dir, scd.BRANCHES, silver.branches)
     customers = _customers(spark, sf_dir)
     tables = {"dim_customers": customers[1], "dim_accounts": _accounts(spark, sf_dir, branches, customers)[1]}
-    counted = [
-        scd.action_counts(table).select(F.lit(name).alias("table_name"), F.col("_action").alias("outcome"), "n_rows")
-        for name, table in tables.items()
-    ]
-    return counted[0].union(counted[1])
+    counts = {name: scd.action_counts(table) for name, table in tables.items()}
+    return _all(counts, "table_name").withColumnRenamed("_action", "outcome")
 
 
 @query
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = silver.customers(view(spark, sf_dir, "customers_in")).select("customer_id")
-    return keys.number_rows(rows, "customer_id", "customer_key", F.lit(0))
+    return keys.number_rows(rows, "customer_id", "customer_key")
 
 
 # Facts
@@ -342,23 +350,24 @@ def fact_incremental_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _Star(spark, sf_dir).resolve(_silver_transactions(spark, sf_dir))
+    return _star(spark, sf_dir).resolve(_silver_transactions(spark, sf_dir))
 
 
 @query
 def fact_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts with the account version valid on their day; transactions are moved to span the change."""
-    moved = _silver_transactions(spark, sf_dir).withColumn("transaction_date", F.date_add("transaction_date", 15))
-    resolved = _Star(spark, sf_dir).resolve(moved, versions="as_of")
+    rows = _silver_transactions(spark, sf_dir)
+    moved = rows.selectExpr(
+        *(n for n in rows.columns if n != "transaction_date"), "DATE_ADD(transaction_date, 15) AS transaction_date"
+    )
+    resolved = _star(spark, sf_dir).resolve(moved, versions="as_of")
     return resolved.select("transaction_id", "transaction_date", "account_key", "customer_key", "branch_key")
 
 
 @query
 def account_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = _Star(spark, sf_dir)
-    days = snapshots.account_snapshots(
-        _silver_transactions(spark, sf_dir), star.accounts, BATCH_TWO, _loaded_at(DAY_TWO)
-    )
+    accounts = _star(spark, sf_dir).accounts
+    days = snapshots.account_snapshots(_silver_transactions(spark, sf_dir), accounts, DAY_TWO)
     return days.drop("snapshot_key", "dw_loaded_at")
 
 
@@ -366,7 +375,7 @@ def account_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _facts_of(spark: SparkSession, sf_dir: str) -> tuple[_Star, DataFrame]:
-    star = _Star(spark, sf_dir)
+    star = _star(spark, sf_dir)
     return star, star.resolve(_silver_transactions(spark, sf_dir))
 
 
@@ -400,10 +409,8 @@ def report_fraud_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def report_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last days of the summary mart, selected by SQL text."""
-    mart = mart_daily_summary(spark, sf_dir)
-    text = "SELECT * FROM {mart} WHERE transaction_date >= date_sub({day}, 5)"
-    return spark.sql(text, mart=mart, day=F.lit(LOADED_UNTIL))
+    """The last five days up to mid-January, selected by SQL text."""
+    return marts.summary_report(mart_daily_summary(spark, sf_dir), datetime.date(2024, 1, 15), days=5)
 
 
 # Appends, ids, quality
@@ -419,23 +426,21 @@ def append_new_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def next_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next free business id of each numbered table."""
-    parts = []
+    free = {}
     for entity in ("customers", "accounts", "transactions"):
         number = keys.next_id_number(view(spark, sf_dir, f"{entity}_in"), schemas.KEYS[entity])
-        business_id = ids.format_id(entity, F.col("next_number"))
-        parts.append(number.select(F.lit(entity).alias("entity"), "next_number", business_id.alias("next_id")))
-    return parts[0].union(parts[1]).union(parts[2])
+        free[entity] = number.selectExpr("next_number", f"{ids.format_id(entity, 'next_number')} AS next_id")
+    return _all(free, "entity")
 
 
 @query
 def derived_flags_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many delivered flags differ from what the date and the type imply."""
     rows = silver.typed_transactions(view(spark, sf_dir, "transactions_in"))
-    day = F.col("transaction_date")
     checks = [
-        quality.agrees("is_weekend", calendar.is_weekend(day)),
-        quality.agrees("is_holiday_season", calendar.is_holiday_season(day)),
-        quality.agrees("is_debit", bands.is_debit_type(F.col("transaction_type"))),
+        quality.agrees("is_weekend", calendar.is_weekend("transaction_date")),
+        quality.agrees("is_holiday_season", calendar.is_holiday_season("transaction_date")),
+        quality.agrees("is_debit", bands.is_debit_type("transaction_type")),
     ]
     return quality.row_checks("transactions", rows, "transaction_id", checks)
 
@@ -443,32 +448,17 @@ def derived_flags_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The data-quality log over silver, the dimensions and the facts."""
-    star, fact = _facts_of(spark, sf_dir)
+    star = _star(spark, sf_dir)
     transactions = materialise(_silver_transactions(spark, sf_dir))
-    accounts = _silver_accounts(spark, sf_dir)
+    fact = materialise(star.resolve(transactions))
+    accounts = materialise(_silver_accounts(spark, sf_dir))
     customers = silver.customers(view(spark, sf_dir, "customers_in"))
     branches = silver.branches(view(spark, sf_dir, "branches_in"))
-    fact = materialise(fact)
-    row_level = [quality.not_null("transaction_id"), quality.not_null("account_id"), quality.not_null("amount")]
-    row_level += [quality.fits_width(n, w) for n, w in schemas.STAGED_WIDTHS.items()]
-    row_level += [quality.fits_type("amount", MONEY), quality.fits_type("fraud_score", "decimal(4,3)")]
     parts = [
-        quality.row_checks("transactions", transactions, "transaction_id", row_level),
-        quality.unique_check("transactions", transactions, "transaction_id"),
-        quality.foreign_key_check("accounts", accounts, "customer_id", customers, nulls_fail=True),
-        quality.foreign_key_check("transactions", transactions, "account_id", accounts, nulls_fail=True),
-        quality.foreign_key_check("accounts", accounts, "branch_id", branches, nulls_fail=True),
-        quality.one_current_check("dim_customers", star.customers, "customer_id"),
-        quality.one_current_check("dim_accounts", star.accounts, "account_id"),
-        quality.version_chain_check("dim_customers", star.customers, "customer_id"),
-        quality.version_chain_check("dim_accounts", star.accounts, "account_id"),
-        quality.row_checks("fact_transactions", fact, "transaction_id", [quality.not_null("account_key", "warning")]),
-        quality.foreign_key_check("fact_transactions", fact, "account_key", star.accounts),
-        quality.foreign_key_check("fact_transactions", fact, "customer_key", star.customers),
-        quality.foreign_key_check("fact_transactions", fact, "date_key", dims.dim_date(spark)),
-        quality.foreign_key_check("dim_accounts", star.accounts, "customer_key", star.customers),
+        *quality.silver_results(transactions, accounts, customers, branches),
+        *quality.gold_results(fact, star.accounts, star.customers, dims.dim_date(spark)),
     ]
-    return quality.all_results(parts, _loaded_at(DAY_TWO)).drop("checked_at")
+    return quality.all_results(parts, DAY_TWO.loaded_at).drop("checked_at")
 
 
 # Bronze
@@ -476,10 +466,10 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _csv_of(spark: SparkSession, sf_dir: str, entity: str) -> str:
     """The stand-in rows of a table as raw CSV in the shared folder, with null tokens for nulls."""
-    path = f"{shared_dir(spark)}/raw-{uuid.uuid4()}/{entity}.csv"
+    path = f"{shared_dir(spark)}/tellerlake/raw-{uuid.uuid4()}/{entity}.csv"
     rows = view(spark, sf_dir, f"{entity}_in").drop("_ingestion_ts", "_batch_id")
     if entity == "customers":
-        rows = rows.withColumn("id_number", F.lit("0"))
+        rows = rows.selectExpr("*", "'0' AS id_number")
     rows.write.option("header", True).option("nullValue", "N/A").csv(path)
     return path
 
@@ -488,29 +478,18 @@ def _csv_of(spark: SparkSession, sf_dir: str, entity: str) -> str:
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts written as raw CSV and read back as bronze rows."""
     rows = raw.read_raw(spark, "accounts", _csv_of(spark, sf_dir, "accounts"))
-    at = datetime.datetime(DAY_TWO.year, DAY_TWO.month, DAY_TWO.day)
-    return raw.with_lineage(rows, BATCH_TWO, at).drop("_source_file", "_source_row_number")
+    bronze = raw.with_lineage(rows, DAY_TWO.batch_id, DAY_TWO.loaded_at)
+    return bronze.drop("_source_file", "_source_row_number")
 
 
 @query
 def bronze_row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per table: rows, and whether each file's numbers run from 1 to its row count."""
-    parts = []
-    for entity in ("branches", "merchants", "customers", "accounts", "transactions"):
+    text = """SELECT SUM(n) AS n_rows, BOOL_AND(low = 1 AND high = n AND total * 2 = n * (n + 1)) AS dense
+              FROM (SELECT COUNT(*) AS n, MIN(_source_row_number) AS low, MAX(_source_row_number) AS high,
+                           SUM(_source_row_number) AS total FROM {rows} GROUP BY _source_file)"""
+    checked = {}
+    for entity in schemas.RAW_COLUMNS:
         rows = raw.read_raw(spark, entity, _csv_of(spark, sf_dir, entity))
-        per_file = rows.groupBy("_source_file").agg(
-            F.count("*").alias("n"),
-            F.min("_source_row_number").alias("low"),
-            F.max("_source_row_number").alias("high"),
-            F.sum("_source_row_number").alias("total"),
-        )
-        dense = (F.col("low") == 1) & (F.col("high") == F.col("n")) & (F.col("total") * 2 == F.col("n") * (F.col("n") + 1))
-        parts.append(
-            per_file.agg(F.sum("n").alias("n_rows"), F.bool_and(dense).alias("dense")).select(
-                F.lit(entity).alias("table_name"), "n_rows", "dense"
-            )
-        )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.union(part)
-    return result
+        checked[entity] = spark.sql(text, rows=rows)
+    return _all(checked, "table_name")

@@ -8,7 +8,14 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("nation", "region", "customer", "supplier", "events")
+# Columns of the test tables the views read (fixed values).
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 VIEWS = {
     "branches_in": """
@@ -141,7 +148,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for source in (*TABLES, *VIEWS):
         if "{" + source + "}" in text:
             if source in TABLES:
-                sources[source] = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+                sources[source] = spark.read.schema(TABLES[source]).parquet(f"{sf_dir}/{source}.parquet")
             else:
                 sources[source] = view(spark, sf_dir, source)
     return spark.sql(text, **sources)

@@ -1,7 +1,8 @@
 """Column contracts of every layer. Names, types and order are fixed values."""
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import datetime
+
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -261,28 +262,42 @@ STAGED_WIDTHS = {
     "channel": 50,
 }
 
-# Values a row takes when its source does not carry the column at all (fixed values).
-DEFAULTS = {"is_active": True, "kyc_verified": False, "is_online": False, "currency": "ZAR", "is_fraud_flag": False}
+# Values a row takes when its source does not carry the column at all (fixed values, as SQL).
+DEFAULTS = {
+    "is_active": "TRUE",
+    "kyc_verified": "FALSE",
+    "is_online": "FALSE",
+    "currency": "'ZAR'",
+    "is_fraud_flag": "FALSE",
+}
 
 
-def conform(df: DataFrame, schema: StructType, **computed: Column) -> DataFrame:
-    """Project onto a schema: ``computed`` columns win, absent columns take their default.
+def conform(df: DataFrame, schema: StructType, **computed: str) -> DataFrame:
+    """Project onto a schema: ``computed`` SQL wins, absent columns take their default.
 
     A column that is neither present, computed nor defaulted is an error, so a misnamed source
     column can never shift its neighbours. Decimals that do not fit become null (see the
     precision checks); nothing raises in the middle of a load.
     """
-    lookup = {}
-    missing = []
-    for field in schema.fields:
-        if field.name in computed:
-            lookup[field.name] = computed[field.name]
-        elif field.name in df.columns:
-            lookup[field.name] = F.col(field.name)
-        elif field.name in DEFAULTS:
-            lookup[field.name] = F.lit(DEFAULTS[field.name])
-        else:
-            missing.append(field.name)
+    present = {name: f"`{name}`" for name in df.columns}
+    values = DEFAULTS | present | computed
+    missing = [name for name in schema.names if name not in values]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select(*(lookup[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields))
+    return df.selectExpr(
+        *(f"TRY_CAST({values[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+    )
+
+
+def text_literal(value: str) -> str:
+    """A Python string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def day_literal(day: datetime.date) -> str:
+    return f"DATE '{day.isoformat()}'"
+
+
+def time_literal(time: datetime.datetime) -> str:
+    """A UTC time as a SQL literal that does not depend on the session zone."""
+    return f"TIMESTAMP '{time:%Y-%m-%d %H:%M:%S.%f}+00:00'"

@@ -47,3 +47,9 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/tellerlake/{uuid.uuid4()}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def reopen(stored: DataFrame) -> DataFrame:
+    """A stored frame read anew; raises AnalysisException when its files are gone."""
+    path = stored.inputFiles()[0].rsplit("/", 1)[0]
+    return stored.sparkSession.read.schema(stored.schema).parquet(path)

@@ -4,11 +4,12 @@ import datetime
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerlake import schemas
 from tellerlake.functions.casts import null_tokens_to_null
+from tellerlake.schemas import day_literal, text_literal
 
 log = logging.getLogger(__name__)
 
@@ -61,32 +62,32 @@ def with_row_numbers(rows: DataFrame) -> DataFrame:
     row per input split, as many as the driver has tasks to schedule, and are broadcast. Rows
     themselves are not shuffled.
     """
-    cleared = [null_tokens_to_null(F.col(name)).alias(name) for name in rows.columns]
-    placed = rows.select(
-        *cleared,
-        F.col("_metadata.file_name").alias("_source_file"),
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
+    placed = rows.selectExpr(
+        *(f"{null_tokens_to_null(f'`{name}`')} AS `{name}`" for name in rows.columns),
+        "_metadata.file_name AS _source_file",
+        "_metadata.file_path AS _path",
+        "_metadata.file_block_start AS _block",
+        "MONOTONICALLY_INCREASING_ID() AS _id",
     )
-    splits = placed.groupBy("_path", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_size"))
-    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "_path", "_block", "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+    offsets = (
+        placed.groupBy("_path", "_block")
+        .agg(F.expr("MIN(_id) AS _first"), F.expr("COUNT(*) AS _size"))
+        .selectExpr(
+            "_path", "_block", "SUM(_size) OVER (PARTITION BY _path ORDER BY _block) - _size - _first + 1 AS _shift"
+        )
     )
-    number = F.col("_offset") + F.col("_id") - F.col("_first") + 1
-    return placed.join(F.broadcast(offsets), ["_path", "_block"]).select(
-        *rows.columns, "_source_file", number.alias("_source_row_number")
+    return placed.join(F.broadcast(offsets), ["_path", "_block"]).selectExpr(
+        *(f"`{name}`" for name in rows.columns), "_source_file", "_id + _shift AS _source_row_number"
     )
 
 
 def with_lineage(rows: DataFrame, batch_id: str, ingested_at: datetime.datetime) -> DataFrame:
     """Batch, time and day of ingestion; one value per batch, the day also as partition column."""
-    return rows.select(
-        *(name for name in rows.columns if name != "_source_row_number"),
-        F.lit(batch_id).alias("_batch_id"),
-        F.lit(ingested_at.isoformat()).alias("_ingestion_ts"),
-        F.lit(ingested_at.strftime("%Y-%m-%d")).alias("_ingestion_date"),
+    return rows.selectExpr(
+        *(f"`{name}`" for name in rows.columns if name != "_source_row_number"),
+        f"{text_literal(batch_id)} AS _batch_id",
+        f"'{ingested_at.isoformat()}' AS _ingestion_ts",
+        f"'{ingested_at:%Y-%m-%d}' AS _ingestion_date",
         "_source_row_number",
-        F.lit(ingested_at.date()).alias("date"),
+        f"{day_literal(ingested_at.date())} AS date",
     )
