@@ -23,7 +23,7 @@ SOURCE_FILES = {
 }
 
 
-def scan_csv(spark: SparkSession, path: str) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """CSV with a header row, every column text, quotes doubled inside quotes.
 
     Columns come from the header. Records stay on one line each, so that large files split.
@@ -36,7 +36,7 @@ def scan_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_raw(spark: SparkSession, table: str, path: str) -> DataFrame | None:
+def read_raw(spark: SparkSession, table: str, path: str | list[str]) -> DataFrame | None:
     """A raw table with null tokens cleared and rows numbered per file, or None if it is missing.
 
     A file lacking one of the table's columns is an error; additional columns are kept.

@@ -42,26 +42,31 @@ def append_bronze(rows: DataFrame, root: str, table: str, batch_id: str) -> int:
     """Add one batch under its ingestion date; a batch that is already there is left alone."""
     path = f"{root}/{table}"
     existing = read_if_present(rows.sparkSession, path, schemas.bronze_schema(table))
-    if existing is not None and not existing.filter(F.col("_batch_id") == batch_id).isEmpty():
+    mine = f"_batch_id = {schemas.text_literal(batch_id)}"
+    if existing is not None and not existing.filter(mine).isEmpty():
         log.warning("batch %s of %s is already loaded", batch_id, table)
         return 0
     written = Observation()
-    counted = rows.observe(written, F.count("*").alias("n_rows"))
+    counted = rows.observe(written, F.expr("COUNT(*) AS n_rows"))
     counted.write.mode("append").partitionBy("date").parquet(path)
     return written.get["n_rows"]
 
 
-def overwrite(df: DataFrame, path: str, *measures, partitions: tuple[str, ...] = (), dynamic: bool = False) -> dict:
-    """Replace a table and return its row count and further measures, taken during the write.
+def overwrite(
+    df: DataFrame,
+    path: str,
+    *measures: str,
+    partitions: tuple[str, ...] = (),
+    hidden: tuple[str, ...] = (),
+    dynamic: bool = False,
+) -> dict:
+    """Replace a table; returns its row count and further aggregates, taken during the write.
 
-    Partitioned output is first rebalanced on its partition columns: adaptive execution then splits
-    large partitions and merges small ones, instead of every task writing into every directory.
-    ``dynamic`` replaces only the partitions that occur in ``df``.
+    ``measures`` are SQL aggregates with an alias and may use ``hidden`` columns, which are not
+    written. ``dynamic`` replaces only the partitions that occur in ``df``.
     """
     taken = Observation()
-    if partitions:
-        df = df.hint("rebalance", *partitions)
-    counted = df.observe(taken, F.count("*").alias("n_rows"), *measures)
+    counted = df.observe(taken, F.expr("COUNT(*) AS n_rows"), *(F.expr(m) for m in measures)).drop(*hidden)
     writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partitions:
         writer = writer.partitionBy(*partitions)
@@ -69,6 +74,15 @@ def overwrite(df: DataFrame, path: str, *measures, partitions: tuple[str, ...] =
     return taken.get
 
 
+def balanced(df: DataFrame, *partitions: str) -> DataFrame:
+    """Rows gathered by their output partition before a partitioned write.
+
+    Adaptive execution splits large partitions and merges small ones, so each directory gets a few
+    files of a good size instead of one per task.
+    """
+    return df.hint("rebalance", *partitions)
+
+
 def commits(spark: SparkSession, root: str) -> DataFrame:
     found = read_if_present(spark, f"{root}/commits", COMMITS)
     return spark.createDataFrame([], COMMITS) if found is None else found
@@ -76,7 +90,7 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
 
 def last_commit(spark: SparkSession, root: str, table: str) -> Row | None:
     """The newest committed version of a gold table."""
-    mine = commits(spark, root).filter(F.col("table_name") == table)
+    mine = commits(spark, root).filter(f"table_name = '{table}'")
     return mine.orderBy(F.desc("version")).first()
 
 
@@ -105,4 +119,4 @@ def read_up_to(spark: SparkSession, root: str, table: str, version: int, schema:
     found = read_if_present(spark, f"{root}/{table}", StructType(schema.fields).add("version", "long"))
     if found is None:
         return spark.createDataFrame([], schema)
-    return found.filter(F.col("version") <= version).select(names)
+    return found.filter(f"version <= {version}").select(names)
