@@ -12,7 +12,7 @@ import logging
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tellerlake import schemas
 
@@ -21,15 +21,18 @@ log = logging.getLogger(__name__)
 COMMITS = "table_name string, version long, batch_id string, n_rows long, max_key long, watermark date"
 
 
-def read_if_present(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
-    """A Parquet table, or None with a warning when its directory does not exist."""
+def read_if_present(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, warn: bool = True
+) -> DataFrame | None:
+    """A Parquet table, or None, by default with a warning, when its directory does not exist."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
         return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        log.warning("table not found, skipping: %s", path)
+        if warn:
+            log.warning("table not found, skipping: %s", path)
         return None
 
 
@@ -41,7 +44,7 @@ def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
 def append_bronze(rows: DataFrame, root: str, table: str, batch_id: str) -> int:
     """Add one batch under its ingestion date; a batch that is already there is left alone."""
     path = f"{root}/{table}"
-    existing = read_if_present(rows.sparkSession, path, schemas.bronze_schema(table))
+    existing = read_if_present(rows.sparkSession, path, schemas.bronze_schema(table), warn=False)
     mine = f"_batch_id = {schemas.text_literal(batch_id)}"
     if existing is not None and not existing.filter(mine).isEmpty():
         log.warning("batch %s of %s is already loaded", batch_id, table)
@@ -84,7 +87,7 @@ def balanced(df: DataFrame, *partitions: str) -> DataFrame:
 
 
 def commits(spark: SparkSession, root: str) -> DataFrame:
-    found = read_if_present(spark, f"{root}/commits", COMMITS)
+    found = read_if_present(spark, f"{root}/commits", COMMITS, warn=False)
     return spark.createDataFrame([], COMMITS) if found is None else found
 
 
@@ -115,8 +118,8 @@ def read_version(spark: SparkSession, root: str, table: str, version: int, schem
 
 def read_up_to(spark: SparkSession, root: str, table: str, version: int, schema: StructType) -> DataFrame:
     """All versions up to one of a table that only grows; later, uncommitted ones are pruned."""
-    names = schema.names
-    found = read_if_present(spark, f"{root}/{table}", StructType(schema.fields).add("version", "long"))
+    stored = StructType([*schema.fields, StructField("version", LongType())])
+    found = read_if_present(spark, f"{root}/{table}", stored, warn=False)
     if found is None:
         return spark.createDataFrame([], schema)
-    return found.filter(f"version <= {version}").select(names)
+    return found.filter(f"version <= {version}").select(*schema.names)

@@ -13,8 +13,9 @@ def ingest_new_files(
 ) -> StreamingQuery:
     """Start a query that ingests the files that appeared in ``landing`` since the last one, then stops.
 
-    The stream only tracks which files are new; the rows are read by the batch reader, so lineage
-    and row numbers are the same. The batch id follows from the stream's batch number, and bronze
+    The stream only tracks which files are new (at most ``files_per_batch`` paths at a time, never
+    their content); the rows are read by the batch reader, so lineage and row numbers are the same.
+    The batch id follows from the stream's batch number, and bronze
     ignores a batch it already holds, so a restarted query adds nothing twice.
     """
 
@@ -29,6 +30,7 @@ def ingest_new_files(
 
     return (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(landing)
