@@ -110,7 +110,7 @@ class _Star:
 _STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def _star(spark: SparkSession, sf_dir: str) -> _Star:
+def stored_dimensions(spark: SparkSession, sf_dir: str) -> _Star:
     """The gold dimensions, loaded on first use and kept in the shared folder for the session."""
     at = (spark.sparkContext.applicationId, sf_dir)
     try:
@@ -350,7 +350,7 @@ def fact_incremental_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _star(spark, sf_dir).resolve(_silver_transactions(spark, sf_dir))
+    return stored_dimensions(spark, sf_dir).resolve(_silver_transactions(spark, sf_dir))
 
 
 @query
@@ -360,13 +360,13 @@ def fact_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = rows.selectExpr(
         *(n for n in rows.columns if n != "transaction_date"), "DATE_ADD(transaction_date, 15) AS transaction_date"
     )
-    resolved = _star(spark, sf_dir).resolve(moved, versions="as_of")
+    resolved = stored_dimensions(spark, sf_dir).resolve(moved, versions="as_of")
     return resolved.select("transaction_id", "transaction_date", "account_key", "customer_key", "branch_key")
 
 
 @query
 def account_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accounts = _star(spark, sf_dir).accounts
+    accounts = stored_dimensions(spark, sf_dir).accounts
     days = snapshots.account_snapshots(_silver_transactions(spark, sf_dir), accounts, DAY_TWO)
     return days.drop("snapshot_key", "dw_loaded_at")
 
@@ -375,7 +375,7 @@ def account_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _facts_of(spark: SparkSession, sf_dir: str) -> tuple[_Star, DataFrame]:
-    star = _star(spark, sf_dir)
+    star = stored_dimensions(spark, sf_dir)
     return star, star.resolve(_silver_transactions(spark, sf_dir))
 
 
@@ -448,7 +448,7 @@ def derived_flags_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The data-quality log over silver, the dimensions and the facts."""
-    star = _star(spark, sf_dir)
+    star = stored_dimensions(spark, sf_dir)
     transactions = materialise(_silver_transactions(spark, sf_dir))
     fact = materialise(star.resolve(transactions))
     accounts = materialise(_silver_accounts(spark, sf_dir))
