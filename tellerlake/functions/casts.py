@@ -6,6 +6,8 @@ NULL_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+_DAY = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_TIME = "^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
 _PLAIN_NUMBER = "^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+) *$"
 
 
@@ -29,10 +31,10 @@ def to_boolean(text: str) -> str:
 
 
 def to_day(text: str) -> str:
-    """Date from strict yyyy-MM-dd text."""
-    return f"TRY_TO_DATE({text}, 'yyyy-MM-dd')"
+    """Date from strict yyyy-MM-dd text; a plain cast is several times faster than a formatter."""
+    return f"IF({text} RLIKE '{_DAY}', TRY_CAST({text} AS DATE), NULL)"
 
 
 def hour_of(text: str) -> str:
-    """Hour from HH:mm:ss text."""
-    return f"HOUR(TRY_TO_TIMESTAMP({text}, 'HH:mm:ss'))"
+    """Hour from strict HH:mm:ss text."""
+    return f"IF({text} RLIKE '{_TIME}', TRY_CAST(SUBSTRING({text}, 1, 2) AS INT), NULL)"

@@ -16,7 +16,8 @@ def with_daily_velocity(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> Da
 
     Ordinary days are computed by one window. A day of one account that may hold a large share of
     all rows cannot go to a single task: its totals come from a partially aggregated group-by and
-    are broadcast, and its rows are spread over chunks of about ``hot_rows`` rows.
+    are broadcast, and its rows are spread over chunks of about ``hot_rows`` rows. The hash in the
+    window only speeds up its sort.
     """
     hot = (
         transactions.groupBy(F.expr("account_id AS _hot_account"), F.expr("transaction_date AS _hot_day"))
@@ -26,7 +27,8 @@ def with_daily_velocity(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> Da
     same_day = F.expr("account_id <=> _hot_account AND transaction_date <=> _hot_day")
     chunk = f"COALESCE(PMOD(XXHASH64(transaction_id), CEIL(_hot_rows / {hot_rows})), 0) AS _chunk"
     spread = transactions.join(F.broadcast(hot), same_day, "left").selectExpr("*", chunk)
-    window = "OVER (PARTITION BY account_id, transaction_date, _chunk)"
+    day = "account_id, transaction_date, _chunk"
+    window = f"OVER (PARTITION BY XXHASH64({day}), {day})"
     return spread.selectExpr(
         *transactions.columns,
         f"IF(is_completed, COALESCE(_hot_count, {_COUNT} {window}), 0L) AS daily_txn_count",

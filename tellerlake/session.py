@@ -10,13 +10,16 @@ def build_session(app_name: str = "tellerlake", **conf: str) -> SparkSession:
     """Session with adaptive execution on and UTC dates.
 
     The number of shuffle partitions is left to the cluster: adaptive execution starts from a
-    high count and coalesces, so nothing is pinned to the size of one machine.
+    high count and coalesces, so nothing is pinned to the size of one machine. Joins whose smaller
+    side turns out to fit a task's memory partition by partition are hashed instead of sorted; the
+    sizes are those of the finished shuffle, and larger ones still sort.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.parquet.compression.codec", "snappy")
     )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tellerlake import schemas
+from tellerlake.operators.dedup import absent_from
 
 log = logging.getLogger(__name__)
 
@@ -55,6 +56,20 @@ def append_bronze(rows: DataFrame, root: str, table: str, batch_id: str) -> int:
     return written.get["n_rows"]
 
 
+def append_new_ids(incoming: DataFrame, path: str, key: str | None = None, fresh: bool = False) -> int:
+    """Add the rows whose key the table lacks; rows already there win. Returns how many were added.
+
+    Without a key, or when starting ``fresh``, the table is replaced.
+    """
+    existing = None if fresh or key is None else read_if_present(incoming.sparkSession, path, warn=False)
+    taken = Observation()
+    if existing is not None:
+        incoming = absent_from(incoming, existing, key)
+    mode = "overwrite" if existing is None else "append"
+    incoming.observe(taken, F.expr("COUNT(*) AS n_rows")).write.mode(mode).parquet(path)
+    return taken.get["n_rows"]
+
+
 def overwrite(
     df: DataFrame,
     path: str,

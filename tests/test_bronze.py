@@ -101,3 +101,17 @@ def test_report_files_and_failures(spark, tmp_path):
     assert outcome["good"] == 1 and isinstance(outcome["bad"], ValueError)
     files = list((tmp_path / "good_20240201.csv").glob("part-*.csv"))
     assert [f.read_text() for f in files] == ["a,b\n1,x\n"]
+
+
+def test_append_new_ids(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([("1", "a"), ("2", "a")], "k string, v string")
+    second = spark.createDataFrame([("2", "b"), ("3", "b")], "k string, v string")
+    assert tables.append_new_ids(first, path, "k") == 2
+    assert tables.append_new_ids(second, path, "k") == 1
+    assert as_set(spark.read.parquet(path)) == {("1", "a"), ("2", "a"), ("3", "b")}
+    assert tables.append_new_ids(second, path, "k") == 0
+    assert tables.append_new_ids(second, path) == 2
+    assert as_set(spark.read.parquet(path)) == as_set(second)
+    assert tables.append_new_ids(first, path, "k", fresh=True) == 2
+    assert as_set(spark.read.parquet(path)) == as_set(first)
