@@ -52,8 +52,14 @@ def not_yet_loaded(
 
 
 def staged(transactions: DataFrame) -> DataFrame:
-    """The staged columns with the types of the fact table; money is rounded here, once."""
-    return schemas.conform(transactions, schemas.STAGED_TRANSACTION)
+    """The staged columns with the types of the fact table.
+
+    Money is rounded here, once, and an empty text counts as missing, as in a bulk load.
+    """
+    texts = [f.name for f in schemas.STAGED_TRANSACTION.fields if f.dataType.simpleString() == "string"]
+    return schemas.conform(
+        transactions, schemas.STAGED_TRANSACTION, **{name: f"NULLIF({name}, '')" for name in texts}
+    )
 
 
 def _spread(column: str) -> str:

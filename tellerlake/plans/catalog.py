@@ -62,32 +62,39 @@ def _keyed(merged: DataFrame, dimension: scd.Dimension) -> DataFrame:
     return keys.assign_keys(materialise(merged), dimension.natural, dimension.surrogate)
 
 
-def _scd1(spark: SparkSession, sf_dir: str, dimension: scd.Dimension, clean) -> tuple[DataFrame, DataFrame]:
-    """The dimension after day one and after day two."""
+def _scd1(spark: SparkSession, sf_dir: str, dimension: scd.Dimension, clean) -> DataFrame:
+    """An overwritten dimension after two days."""
     table = dimension.name.removeprefix("dim_")
     first, second = (clean(view(spark, sf_dir, f"{table}_day{n}")) for n in (1, 2))
-    one = _opened(first, dimension)
-    return one, _keyed(scd.scd1_merge(one, second, dimension, DAY_TWO), dimension)
+    return _keyed(scd.scd1_merge(_opened(first, dimension), second, dimension, DAY_TWO), dimension)
 
 
-def _scd2(first: DataFrame, second: DataFrame, dimension: scd.Dimension) -> tuple[DataFrame, DataFrame]:
-    """The dimension after day one and after day two, which holds every version."""
-    one = _opened(first, dimension)
-    return one, _keyed(scd.scd2_merge(one, second, dimension, DAY_TWO), dimension)
+def _scd2(first: DataFrame, second: DataFrame, dimension: scd.Dimension) -> DataFrame:
+    """A versioned dimension after two days, every version included."""
+    return _keyed(scd.scd2_merge(_opened(first, dimension), second, dimension, DAY_TWO), dimension)
 
 
-def _customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scd1(spark, sf_dir, scd.BRANCHES, silver.branches)
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = (silver.customers(view(spark, sf_dir, f"customers_day{n}")) for n in (1, 2))
     return _scd2(first, second, scd.CUSTOMERS)
 
 
-def _accounts(spark: SparkSession, sf_dir: str, branches, customers) -> tuple[DataFrame, DataFrame]:
+def _accounts(spark: SparkSession, sf_dir: str, branches: DataFrame, customers: DataFrame) -> DataFrame:
     """Accounts of each day carry the keys their branch and customer had on that day."""
-    first, second = (
-        scd.resolve_account_keys(_silver_accounts(spark, sf_dir, f"accounts_day{n}"), branches[n - 1], customers[n - 1])
-        for n in (1, 2)
+    early_branches = branches.filter(f"_action <> '{scd.INSERT}'")
+    early_customers = customers.filter(f"scd_start_date = {schemas.day_literal(DAY_ONE.as_of)}").selectExpr(
+        "customer_id", "customer_key", "TRUE AS scd_is_current"
+    )
+    first, second = (_silver_accounts(spark, sf_dir, f"accounts_day{n}") for n in (1, 2))
+    return _scd2(
+        scd.resolve_account_keys(first, early_branches, early_customers),
+        scd.resolve_account_keys(second, branches, customers),
+        scd.ACCOUNTS,
     )
-    return _scd2(first, second, scd.ACCOUNTS)
 
 
 @dataclass
@@ -116,15 +123,12 @@ def stored_dimensions(spark: SparkSession, sf_dir: str) -> _Star:
     try:
         stored = {name: reopen(frame) for name, frame in _STORED[at].items()}
     except (KeyError, AnalysisException):
-        branches = _scd1(spark, sf_dir, scd.BRANCHES, silver.branches)
-        customers = _customers(spark, sf_dir)
         stored = {
-            "branches": materialise(branches[1]),
-            "merchants": materialise(_scd1(spark, sf_dir, scd.MERCHANTS, silver.merchants)[1]),
-            "customers": materialise(customers[1]),
+            "branches": materialise(_branches(spark, sf_dir)),
+            "merchants": materialise(_scd1(spark, sf_dir, scd.MERCHANTS, silver.merchants)),
+            "customers": materialise(_customers(spark, sf_dir)),
         }
-        days = (branches[0], stored["branches"]), (customers[0], stored["customers"])
-        stored["accounts"] = materialise(_accounts(spark, sf_dir, *days)[1])
+        stored["accounts"] = materialise(_accounts(spark, sf_dir, stored["branches"], stored["customers"]))
         _STORED[at] = stored
     return _Star(**stored, types=dims.dim_transaction_type(spark))
 
@@ -289,32 +293,30 @@ def dim_transaction_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scd1_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scd1(spark, sf_dir, scd.BRANCHES, silver.branches)[1].drop("dw_created_at")
+    return _branches(spark, sf_dir).drop("dw_created_at")
 
 
 @query
 def scd1_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scd1(spark, sf_dir, scd.MERCHANTS, silver.merchants)[1].drop("dw_created_at")
+    return _scd1(spark, sf_dir, scd.MERCHANTS, silver.merchants).drop("dw_created_at")
 
 
 @query
 def scd2_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customers(spark, sf_dir)[1].drop("dw_created_at")
+    return _customers(spark, sf_dir).drop("dw_created_at")
 
 
 @query
 def scd2_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    branches = _scd1(spark, sf_dir, scd.BRANCHES, silver.branches)
-    return _accounts(spark, sf_dir, branches, _customers(spark, sf_dir))[1].drop("dw_created_at")
+    parents = materialise(_branches(spark, sf_dir)), materialise(_customers(spark, sf_dir))
+    return _accounts(spark, sf_dir, *parents).drop("dw_created_at")
 
 
 @query
 def scd2_action_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows kept, added, closed and reopened by the second day, per dimension."""
-    branches = _scd1(spark, sf_dir, scd.BRANCHES, silver.branches)
-    customers = _customers(spark, sf_dir)
-    tables = {"dim_customers": customers[1], "dim_accounts": _accounts(spark, sf_dir, branches, customers)[1]}
-    counts = {name: scd.action_counts(table) for name, table in tables.items()}
+    star = stored_dimensions(spark, sf_dir)
+    counts = {"dim_customers": scd.action_counts(star.customers), "dim_accounts": scd.action_counts(star.accounts)}
     return _all(counts, "table_name").withColumnRenamed("_action", "outcome")
 
 

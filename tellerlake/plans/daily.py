@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tellerlake import schemas
 from tellerlake.functions.ids import new_batch_id
-from tellerlake.operators import audit, dims, marts, quality, scd, silver, snapshots
+from tellerlake.operators import audit, marts, quality, scd, silver, snapshots
 from tellerlake.operators.scd import Load
 from tellerlake.plans import gold
 from tellerlake.sources import raw, reports, tables
@@ -151,6 +151,7 @@ class DailyRun:
         """Dimensions first, customers before accounts, then facts and snapshots."""
         spark, root, load = self.spark, self.paths.gold, self.load
         counts = {}
+        gold.load_seeds(spark, root, load)
         for dimension in (scd.BRANCHES, scd.MERCHANTS, scd.CUSTOMERS, scd.ACCOUNTS):
             incoming = self._silver(dimension.name.removeprefix("dim_"))
             if incoming is None:
@@ -166,8 +167,7 @@ class DailyRun:
             counts[f"{dimension.name}_updated"] = taken["updated"]
         transactions = self._silver("transactions")
         if transactions is not None:
-            types = dims.dim_transaction_type(spark)
-            counts["fact_transactions"] = gold.load_facts(spark, root, transactions, types, load, self.late)["n_rows"]
+            counts["fact_transactions"] = gold.load_facts(spark, root, transactions, load, self.late)["n_rows"]
             accounts = gold.read_type2(spark, root, scd.ACCOUNTS, current_only=True)
             days = snapshots.account_snapshots(transactions, accounts, load)
             counts["fact_account_snapshots"] = gold.load_snapshots(spark, root, days, load)["n_rows"]
@@ -183,7 +183,7 @@ class DailyRun:
                 gold.read_fact(spark, root),
                 gold.read_type2(spark, root, scd.ACCOUNTS),
                 gold.read_type2(spark, root, scd.CUSTOMERS),
-                dims.dim_date(spark),
+                gold.read_calendar(spark, root),
             ),
         ]
         path = f"{self.paths.audit}/data_quality"
@@ -197,16 +197,20 @@ class DailyRun:
         return counts
 
     def marts(self) -> dict[str, int]:
-        """Rebuild the marts from gold."""
+        """Rebuild the marts from gold, and offer gold and marts to SQL as temporary views."""
         spark, root = self.spark, self.paths.gold
         fact = gold.read_fact(spark, root)
         customers, accounts = gold.read_type2(spark, root, scd.CUSTOMERS), gold.read_type2(spark, root, scd.ACCOUNTS)
         built = {
             "customer_360": marts.customer_360(fact, customers, accounts),
             "fraud_signals": marts.fraud_signals(fact),
-            "daily_summary": marts.daily_transaction_summary(fact, dims.dim_transaction_type(spark)),
+            "daily_summary": marts.daily_transaction_summary(fact, gold.read_types(spark, root)),
         }
-        return {name: tables.overwrite(df, f"{self.paths.marts}/{name}")["n_rows"] for name, df in built.items()}
+        counts = {name: tables.overwrite(df, f"{self.paths.marts}/{name}")["n_rows"] for name, df in built.items()}
+        gold.register_views(spark, root)
+        for name in built:
+            spark.read.parquet(f"{self.paths.marts}/{name}").createOrReplaceTempView(f"mart_{name}")
+        return counts
 
     def reports(self) -> dict[str, int | Exception]:
         """Export the reports as CSV; one that fails does not stop the others."""

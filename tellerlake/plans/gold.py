@@ -7,10 +7,10 @@ with the same batch id and continues where it stopped.
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tellerlake import schemas
-from tellerlake.operators import facts, keys, scd
+from tellerlake.operators import dims, facts, keys, scd
 from tellerlake.operators.scd import Dimension, Load
 from tellerlake.session import materialise
 from tellerlake.sources import tables
@@ -20,17 +20,30 @@ log = logging.getLogger(__name__)
 FACT = "fact_transactions"
 FACT_PARTITIONS = ("transaction_year", "transaction_month")
 STORED_FACT = StructType(
-    [*schemas.FACT_TRANSACTIONS.fields, *StructType().add("transaction_year", IntegerType()).add("transaction_month", IntegerType()).fields]
+    [*schemas.FACT_TRANSACTIONS.fields, *(StructField(name, IntegerType()) for name in FACT_PARTITIONS)]
 )
 SNAPSHOTS = "fact_account_snapshots"
+CALENDAR, TYPES = "dim_date", "dim_transaction_type"
 
 
-def read_type1(spark: SparkSession, root: str, dimension: Dimension) -> DataFrame:
-    """The committed rows of an overwritten dimension."""
-    last = tables.last_commit(spark, root, dimension.name)
+def read_whole(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
+    """The committed rows of a table that each load replaces."""
+    last = tables.last_commit(spark, root, table)
     if last is None:
-        return spark.createDataFrame([], dimension.schema)
-    return tables.read_version(spark, root, dimension.name, last.version, dimension.schema)
+        return spark.createDataFrame([], schema)
+    return tables.read_version(spark, root, table, last.version, schema)
+
+
+def read_type1(spark: SparkSession, root: str, dimension: Dimension) -> DataFrame:
+    return read_whole(spark, root, dimension.name, dimension.schema)
+
+
+def read_types(spark: SparkSession, root: str) -> DataFrame:
+    return read_whole(spark, root, TYPES, schemas.DIM_TRANSACTION_TYPE)
+
+
+def read_calendar(spark: SparkSession, root: str) -> DataFrame:
+    return read_whole(spark, root, CALENDAR, schemas.DIM_DATE)
 
 
 def read_type2(spark: SparkSession, root: str, dimension: Dimension, current_only: bool = False) -> DataFrame:
@@ -53,8 +66,23 @@ def read_fact(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    last = tables.last_commit(spark, root, SNAPSHOTS)
-    return tables.read_version(spark, root, SNAPSHOTS, last.version, schemas.FACT_ACCOUNT_SNAPSHOTS)
+    return read_whole(spark, root, SNAPSHOTS, schemas.FACT_ACCOUNT_SNAPSHOTS)
+
+
+def register_views(spark: SparkSession, root: str) -> None:
+    """Temporary views of the committed tables, for SQL."""
+    views = {
+        CALENDAR: read_calendar(spark, root),
+        TYPES: read_types(spark, root),
+        scd.BRANCHES.name: read_type1(spark, root, scd.BRANCHES),
+        scd.MERCHANTS.name: read_type1(spark, root, scd.MERCHANTS),
+        scd.CUSTOMERS.name: read_type2(spark, root, scd.CUSTOMERS),
+        scd.ACCOUNTS.name: read_type2(spark, root, scd.ACCOUNTS),
+        FACT: read_fact(spark, root),
+        SNAPSHOTS: read_snapshots(spark, root),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
 
 
 def _next(spark: SparkSession, root: str, table: str, load: Load) -> tuple[object, int] | None:
@@ -66,6 +94,16 @@ def _next(spark: SparkSession, root: str, table: str, load: Load) -> tuple[objec
     return last, 1 if last is None else last.version + 1
 
 
+def load_seeds(spark: SparkSession, root: str, load: Load) -> None:
+    """Write the calendar and the transaction types where that is not done yet."""
+    if tables.last_commit(spark, root, CALENDAR) is None:
+        tables.overwrite(dims.dim_date(spark).coalesce(1), f"{root}/{CALENDAR}/version=1")
+        tables.commit(spark, root, CALENDAR, 1, load.batch_id)
+    if tables.last_commit(spark, root, TYPES) is None:
+        tables.overwrite(dims.dim_transaction_type(spark).coalesce(1), f"{root}/{TYPES}/version=1")
+        tables.commit(spark, root, TYPES, 1, load.batch_id, max_key=len(dims.TRANSACTION_TYPES))
+
+
 def load_dimension(spark: SparkSession, root: str, dimension: Dimension, incoming: DataFrame, load: Load) -> dict:
     """Merge silver rows into a dimension; returns how many rows were added and changed.
 
@@ -104,7 +142,11 @@ def load_dimension(spark: SparkSession, root: str, dimension: Dimension, incomin
 
 
 def load_facts(
-    spark: SparkSession, root: str, transactions: DataFrame, dim_types: DataFrame, load: Load, late: str = "drop",
+    spark: SparkSession,
+    root: str,
+    transactions: DataFrame,
+    load: Load,
+    late: str = "drop",
     versions: str = "current",
 ) -> dict:
     """Append the transactions the fact table does not hold yet, with their keys.
@@ -122,7 +164,7 @@ def load_facts(
         fresh,
         read_type2(spark, root, scd.ACCOUNTS, current_only=versions == "current"),
         read_type1(spark, root, scd.MERCHANTS),
-        dim_types,
+        read_types(spark, root),
         read_type1(spark, root, scd.BRANCHES),
         load,
         versions,

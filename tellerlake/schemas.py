@@ -141,6 +141,26 @@ DIM_ACCOUNTS = _struct(
     dw_batch_id=StringType(),
 )
 
+DIM_DATE = _struct(
+    date_key=IntegerType(),
+    full_date=DateType(),
+    day_of_week=ShortType(),
+    day_name=StringType(),
+    day_of_month=ShortType(),
+    day_of_year=ShortType(),
+    week_of_year=ShortType(),
+    month_number=ShortType(),
+    month_name=StringType(),
+    quarter=ShortType(),
+    year=ShortType(),
+    is_weekend=BooleanType(),
+    is_month_end=BooleanType(),
+    is_quarter_end=BooleanType(),
+    is_year_end=BooleanType(),
+    fiscal_year=ShortType(),
+    fiscal_quarter=ShortType(),
+)
+
 DIM_TRANSACTION_TYPE = _struct(
     txn_type_key=LongType(),
     txn_type_name=StringType(),

@@ -69,6 +69,11 @@ def test_three_days(spark, sf_dir, tmp_path, late):
     assert as_set(closed.select("scd_start_date", "scd_end_date").distinct()) == {(DAY_ONE, DAY_THREE)}
     assert gold.read_snapshots(spark, paths.gold).count() > 0
 
+    assert spark.sql("SELECT COUNT(*) AS n FROM dim_date").first().n == 2922
+    by_type = "SELECT COUNT(*) AS n FROM fact_transactions JOIN dim_transaction_type USING (txn_type_key)"
+    assert spark.sql(by_type).first().n == len(ids)
+    assert spark.sql("SELECT COUNT(*) AS n FROM mart_fraud_signals").first().n == len(ids)
+
     # Repeating a finished run is harmless.
     again = DailyRun(spark, paths, DAY_THREE, "run3", late)
     assert set(again.bronze().values()) == {0}

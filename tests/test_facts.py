@@ -57,10 +57,11 @@ def test_keys_resolve_and_unmatched_rows_stay(spark, star):
     rows = txns(
         spark,
         {"transaction_id": "1", "account_id": "a", "merchant_id": "m"},
-        {"transaction_id": "2", "account_id": "b", "merchant_id": "unknown", "transaction_type": "Other"},
+        {"transaction_id": "2", "account_id": "b", "merchant_id": "unknown", "transaction_type": "Other", "reference": ""},
         {"transaction_id": "3", "account_id": None, "merchant_id": None},
     )
     got = facts.resolve_keys(rows, *star, LOAD)
+    assert got.filter("reference IS NOT NULL").count() == 0
     columns = ("transaction_id", "account_key", "customer_key", "merchant_key", "branch_key", "txn_type_key", "date_key")
     assert as_set(got.select(*columns)) == {
         ("1", 3, 13, 31, 21, 1, 20240110), ("2", 4, None, None, None, None, 20240110), ("3", None, None, None, None, 1, 20240110),
