@@ -107,7 +107,7 @@ def load_seeds(spark: SparkSession, root: str, load: Load) -> None:
 def load_dimension(spark: SparkSession, root: str, dimension: Dimension, incoming: DataFrame, load: Load) -> dict:
     """Merge silver rows into a dimension; returns how many rows were added and changed.
 
-    The merge result is stored once and then read for the keys and the two writes. Closed versions
+    The merge result is staged once and then read for the keys and the two writes. Closed versions
     are only appended: a load rewrites the current rows and leaves all earlier history alone.
     """
     following = _next(spark, root, dimension.name, load)
@@ -122,7 +122,7 @@ def load_dimension(spark: SparkSession, root: str, dimension: Dimension, incomin
     else:
         before = read_type2(spark, root, dimension, current_only=True) if versioned else read_type1(spark, root, dimension)
         merge = scd.scd2_merge if versioned else scd.scd1_merge
-        merged = materialise(merge(before, incoming, dimension, load))
+        merged = materialise(merge(before, incoming, dimension, load), f"{root}/staging/{dimension.name}")
         if versioned:
             closed = merged.filter(f"_action = '{scd.EXPIRE}'").drop("_action")
             tables.overwrite(closed, f"{root}/{dimension.name}/closed/version={version}")

@@ -57,11 +57,11 @@ KEYS = {
 
 
 def bronze_schema(table: str) -> StructType:
-    """All-string business columns, lineage, and the ``date`` partition column."""
+    """All-string business columns, lineage, and the partition columns ``date`` and ``batch``."""
     fields = [StructField(name, StringType()) for name in RAW_COLUMNS[table]]
     for name in LINEAGE_COLUMNS:
         fields.append(StructField(name, LongType() if name == "_source_row_number" else StringType()))
-    fields.append(StructField("date", DateType()))
+    fields += [StructField("date", DateType()), StructField("batch", StringType())]
     return StructType(fields)
 
 

@@ -6,13 +6,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app_name: str = "tellerlake", **conf: str) -> SparkSession:
+# Shuffled bytes one task should start with, before adaptive execution merges small partitions.
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def build_session(app_name: str = "tellerlake", shuffle_bytes: int | None = None, **conf: str) -> SparkSession:
     """Session with adaptive execution on and UTC dates.
 
-    The number of shuffle partitions is left to the cluster: adaptive execution starts from a
-    high count and coalesces, so nothing is pinned to the size of one machine. Joins whose smaller
-    side turns out to fit a task's memory partition by partition are hashed instead of sorted; the
-    sizes are those of the finished shuffle, and larger ones still sort.
+    ``shuffle_bytes`` is the expected size of the largest shuffle, about that of the transactions:
+    shuffles then start with enough partitions for it and adaptive execution merges what turns out
+    small. Without it Spark's own number holds, which is too low for very large tables. Joins whose
+    smaller side turns out to fit a task's memory partition by partition are hashed instead of
+    sorted; the sizes are those of the finished shuffle, and larger ones still sort.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -23,6 +28,9 @@ def build_session(app_name: str = "tellerlake", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.parquet.compression.codec", "snappy")
     )
+    if shuffle_bytes is not None:
+        partitions = min(max(shuffle_bytes // TASK_BYTES, 200), 1_000_000)
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -45,10 +53,13 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared folder once; later uses read the columns they need from there."""
-    path = f"{shared_dir(df.sparkSession)}/tellerlake/{uuid.uuid4()}"
-    df.write.parquet(path)
+def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write the frame once; later uses read the columns they need from there.
+
+    It goes to ``path``, replacing what is there, or to a new place in the shared folder.
+    """
+    path = path or f"{shared_dir(df.sparkSession)}/tellerlake/{uuid.uuid4()}"
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -38,21 +38,24 @@ def read_if_present(
 
 
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All batches of a bronze table, ``date`` taken from the directories."""
+    """All batches of a bronze table, ``date`` and ``batch`` taken from the directories."""
     return spark.read.schema(schemas.bronze_schema(table)).parquet(f"{root}/{table}")
 
 
 def append_bronze(rows: DataFrame, root: str, table: str, batch_id: str) -> int:
-    """Add one batch under its ingestion date; a batch that is already there is left alone."""
+    """Add one batch in a directory of its own under its ingestion date.
+
+    A batch that is already there is left alone; its directory tells, no data is read for that.
+    """
     path = f"{root}/{table}"
+    batch = schemas.text_literal(batch_id)
     existing = read_if_present(rows.sparkSession, path, schemas.bronze_schema(table), warn=False)
-    mine = f"_batch_id = {schemas.text_literal(batch_id)}"
-    if existing is not None and not existing.filter(mine).isEmpty():
+    if existing is not None and not existing.filter(f"batch = {batch}").isEmpty():
         log.warning("batch %s of %s is already loaded", batch_id, table)
         return 0
     written = Observation()
-    counted = rows.observe(written, F.expr("COUNT(*) AS n_rows"))
-    counted.write.mode("append").partitionBy("date").parquet(path)
+    counted = rows.selectExpr("*", f"{batch} AS batch").observe(written, F.expr("COUNT(*) AS n_rows"))
+    counted.write.mode("append").partitionBy("date", "batch").parquet(path)
     return written.get["n_rows"]
 
 

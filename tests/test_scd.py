@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tellerlake.operators import keys, quality, scd
 from tellerlake.operators.scd import Load
+from tellerlake.session import materialise
 
 DAYS = [datetime.date(2024, 1, d) for d in (1, 2, 3)]
 LOADS = [Load(f"b{i}", day, datetime.datetime(2024, 1, 1)) for i, day in enumerate(DAYS)]
@@ -26,10 +27,10 @@ def apply(spark, dim, incoming, load):
     """The whole dimension after a load, and the outcome of each current key."""
     if dim is None:
         rows = scd.first_rows(incoming, scd.ACCOUNTS, load).drop("account_key")
-        return keys.number_rows(rows, "account_id", "account_key").select(scd.ACCOUNTS.schema.names), None
-    merged = scd.scd2_merge(scd.current_rows(dim), incoming, scd.ACCOUNTS, load)
+        return materialise(keys.number_rows(rows, "account_id", "account_key").select(scd.ACCOUNTS.schema.names)), None
+    merged = materialise(scd.scd2_merge(scd.current_rows(dim), incoming, scd.ACCOUNTS, load))
     keyed = keys.assign_keys(merged, "account_id", "account_key")
-    return dim.filter("NOT scd_is_current").unionByName(keyed.drop("_action")), keyed
+    return materialise(dim.filter("NOT scd_is_current").unionByName(keyed.drop("_action"))), keyed
 
 
 def outcome(keyed):
