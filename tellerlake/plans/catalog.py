@@ -6,14 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tellerlake import schemas
 from tellerlake.functions import bands, calendar, ids
 from tellerlake.operators import dedup, dims, facts, keys, marts, quality, scd, silver, snapshots
 from tellerlake.plans.standins import view
-from tellerlake.session import materialise, reopen, shared_dir
+from tellerlake.session import materialise, path_exists, shared_dir
 from tellerlake.sources import raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,9 +119,8 @@ _STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 def stored_dimensions(spark: SparkSession, sf_dir: str) -> _Star:
     """The gold dimensions, loaded on first use and kept in the shared folder for the session."""
     at = (spark.sparkContext.applicationId, sf_dir)
-    try:
-        stored = {name: reopen(frame) for name, frame in _STORED[at].items()}
-    except (KeyError, AnalysisException):
+    stored = _STORED.get(at, {})
+    if not stored or not all(path_exists(spark, frame.inputFiles()[0]) for frame in stored.values()):
         stored = {
             "branches": materialise(_branches(spark, sf_dir)),
             "merchants": materialise(_scd1(spark, sf_dir, scd.MERCHANTS, silver.merchants)),

@@ -63,7 +63,8 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def reopen(stored: DataFrame) -> DataFrame:
-    """A stored frame read anew; raises AnalysisException when its files are gone."""
-    path = stored.inputFiles()[0].rsplit("/", 1)[0]
-    return stored.sparkSession.read.schema(stored.schema).parquet(path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or pattern matches anything, on any file system Spark is set up for."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
+    return found is not None and len(found) > 0

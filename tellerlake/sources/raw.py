@@ -3,13 +3,13 @@
 import datetime
 import logging
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerlake import schemas
 from tellerlake.functions.casts import null_tokens_to_null
 from tellerlake.schemas import day_literal, text_literal
+from tellerlake.session import path_exists
 
 log = logging.getLogger(__name__)
 
@@ -41,13 +41,10 @@ def read_raw(spark: SparkSession, table: str, path: str | list[str]) -> DataFram
 
     A file lacking one of the table's columns is an error; additional columns are kept.
     """
-    try:
-        rows = scan_csv(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if isinstance(path, str) and not path_exists(spark, path):
         log.warning("no file for %s, skipping: %s", table, path)
         return None
+    rows = scan_csv(spark, path)
     missing = [name for name in schemas.RAW_COLUMNS[table] if name not in rows.columns]
     if missing:
         raise ValueError(f"{path} lacks columns: {', '.join(missing)}")

@@ -9,13 +9,13 @@ the path being read is never overwritten.
 import datetime
 import logging
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tellerlake import schemas
 from tellerlake.operators.dedup import absent_from
+from tellerlake.session import path_exists
 
 log = logging.getLogger(__name__)
 
@@ -26,15 +26,12 @@ def read_if_present(
     spark: SparkSession, path: str, schema: StructType | str | None = None, warn: bool = True
 ) -> DataFrame | None:
     """A Parquet table, or None, by default with a warning, when its directory does not exist."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    if not path_exists(spark, path):
         if warn:
             log.warning("table not found, skipping: %s", path)
         return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
