@@ -40,14 +40,14 @@ def not_yet_loaded(
 
     ``late="drop"`` takes what is dated after the watermark ``day``; rows that arrive late are
     lost. ``late="anti_join"`` takes every transaction id the fact table lacks, so late rows are
-    kept and a repeated load adds nothing.
+    kept and a repeated load adds nothing. Neither takes rows without a date.
     """
     if late == "drop":
         if day is None:
             day = watermark(fact).first().watermark
         return newer_than(transactions, day)
     if late == "anti_join":
-        return absent_from(transactions, fact, "transaction_id")
+        return absent_from(transactions.filter("transaction_date IS NOT NULL"), fact, "transaction_id")
     raise ValueError(f"unknown late mode: {late}")
 
 

@@ -88,6 +88,13 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     write(landing / "b.csv", ["3,a,b,c,d,e,True"])
     assert run() == {("1", "a.csv", 1), ("2", "a.csv", 2), ("3", "b.csv", 1)}
     assert len(run()) == 3
+    batches = {r._batch_id for r in tables.read_bronze(spark, bronze, "branches").collect()}
+    assert len(batches) == 2 and not any(b.startswith("None") for b in batches)
+
+    # A new checkpoint reads everything again, under batch ids of its own.
+    state = str(tmp_path / "other")
+    assert len(run()) == 3
+    assert tables.read_bronze(spark, bronze, "branches").count() == 6
 
 
 def test_report_files_and_failures(spark, tmp_path):
