@@ -15,9 +15,9 @@ def ingest_new_files(
 
     The stream only tracks which files are new (at most ``files_per_batch`` paths at a time, never
     their content); the rows are read by the batch reader, so lineage and row numbers are the same.
-    The batch id follows from the query's id, which its checkpoint keeps, and
-    the number of the micro-batch; bronze ignores a batch it already holds, so a restarted query
-    adds nothing twice and a query with a new checkpoint is not mistaken for an old one.
+    The batch id follows from the query's id, which its checkpoint keeps, and the number of the
+    micro-batch; bronze ignores a batch it already holds, so a restarted query adds nothing twice
+    and a query with a new checkpoint is not mistaken for an old one.
     """
 
     def ingest(files: DataFrame, number: int) -> None:
