@@ -1 +1,8 @@
 """Operators for preparing training text. Nothing else in the library imports this subpackage."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run on executors travel with their code, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

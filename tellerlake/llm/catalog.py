@@ -1,9 +1,19 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
+from tellerlake.llm.decontaminate import op8_decontamination
+from tellerlake.llm.language import op5_language_id
+from tellerlake.llm.nearest import op10_nearest
+from tellerlake.llm.quality import op6_quality
 from tellerlake.llm.simhash import op3_simhash
+from tellerlake.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op5_language_id": op5_language_id,
+    "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
+    "op8_decontamination": op8_decontamination,
+    "op10_nearest": op10_nearest,
 }
 
 ORACLES: dict[str, str] = {}
