@@ -2,12 +2,17 @@
 
 from tellerlake.llm.decontaminate import op8_decontamination
 from tellerlake.llm.language import op5_language_id
+from tellerlake.llm.licences import op1_licences
+from tellerlake.llm.licences import oracle as op1_oracle
+from tellerlake.llm.mixing import op2_mixing
 from tellerlake.llm.nearest import op10_nearest
 from tellerlake.llm.quality import op6_quality
 from tellerlake.llm.simhash import op3_simhash
 from tellerlake.llm.toxicity import op7_toxicity
 
 QUERIES = {
+    "op1_licences": op1_licences,
+    "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
     "op5_language_id": op5_language_id,
     "op6_quality": op6_quality,
@@ -16,4 +21,6 @@ QUERIES = {
     "op10_nearest": op10_nearest,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_licences": op1_oracle(),
+}
