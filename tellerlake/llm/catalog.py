@@ -4,6 +4,7 @@ from tellerlake.llm.decontaminate import op8_decontamination
 from tellerlake.llm.language import op5_language_id
 from tellerlake.llm.licences import op1_licences
 from tellerlake.llm.licences import oracle as op1_oracle
+from tellerlake.llm.lines import op4_line_dedup
 from tellerlake.llm.mixing import op2_mixing
 from tellerlake.llm.nearest import op10_nearest
 from tellerlake.llm.quality import op6_quality
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_licences": op1_licences,
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
+    "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
