@@ -4,6 +4,7 @@ from tellerlake.llm.decontaminate import op8_decontamination
 from tellerlake.llm.language import op5_language_id
 from tellerlake.llm.licences import op1_licences
 from tellerlake.llm.licences import oracle as op1_oracle
+from tellerlake.llm.likelihood import op9_lm_scoring
 from tellerlake.llm.lines import op4_line_dedup
 from tellerlake.llm.mixing import op2_mixing
 from tellerlake.llm.nearest import op10_nearest
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_nearest": op10_nearest,
 }
 
