@@ -4,7 +4,10 @@ Centroids come from a bounded sample (``SAMPLE_BYTES``), halved again and again
 start out equal. Every vector goes to its nearest list, and one near a boundary to the lists beyond it
 as well (``REPLICAS``, ``BOUNDARY``), unless a list already chosen lies closer to that one than the
 vector does. A query finds lists by a beam search in a graph of the centroids, held in memory, and reads
-those whose centroid is at most ``RATIO`` times as far as the nearest.
+those whose centroid is at most a certain ratio farther than the nearest. The ratio is measured, not
+guessed: the least one by which ``PROBED`` of the true neighbours of ``TRIALS`` vectors are found, their
+neighbours coming from brute force over all rows. Clustered vectors need few lists; where distances hardly
+differ, as between random directions, no ratio spares much, and most lists are read.
 
 At most ``MOST_LISTS`` centroids reach the driver and the tasks. Lists and the queries of a list are dealt
 in parts of bounded size, so neither a list of equal vectors nor a busy one lands in one task.
@@ -21,11 +24,12 @@ from tellerlake.llm.tables import store, table
 
 SAMPLE_BYTES = 32 << 20
 MOST_LISTS = 8192
-LIST_ROWS = 128
+LIST_ROWS = 512
 REPLICAS = 6
 BOUNDARY = 1.25
-RATIO = 1.32
-BEAM = 96
+TRIALS = 128
+PROBED = 0.96
+BEAM = 64
 DEGREE = 16
 ENTRIES = 64
 PART_ROWS = 20_000
@@ -105,16 +109,20 @@ def assign(rows: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
     return row, order[row, k]
 
 
-def search(queries: np.ndarray, index: Index, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(query, list) pairs that the beam search finds and the distance ratio keeps; all queries step together."""
+def search(queries: np.ndarray, index: Index, sizes: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, list) pairs that the beam search finds and the distance ratio keeps; all queries step together.
+
+    A search opens ``BEAM`` centroids, and goes on while one within the ratio is not yet opened.
+    """
     count = len(index.centroids)
     every = np.arange(len(queries))
     far = np.full((len(queries), count), np.inf)
     far[:, index.entries] = _distances(queries, index.centroids[index.entries])
     open_ = far.copy()
-    for _ in range(min(BEAM, count)):
+    for turn in range(count):
         best = open_.argmin(axis=1)
-        live = np.isfinite(open_[every, best])
+        nearest_open = open_[every, best]
+        live = np.isfinite(nearest_open) & ((turn < BEAM) | (nearest_open <= ratio**2 * far.min(axis=1)))
         if not live.any():
             break
         open_[every, best] = np.inf
@@ -127,11 +135,49 @@ def search(queries: np.ndarray, index: Index, sizes: np.ndarray) -> tuple[np.nda
     order = far.argsort(axis=1, kind="stable")
     sorted_ = np.take_along_axis(far, order, 1)
     before = np.cumsum(sizes[order], axis=1) - sizes[order]
-    kept = np.isfinite(sorted_) & ((sorted_ <= RATIO**2 * sorted_[:, :1]) | (before < LEAST_POSTINGS))
+    kept = np.isfinite(sorted_) & ((sorted_ <= ratio**2 * sorted_[:, :1]) | (before < LEAST_POSTINGS))
     query, k = np.nonzero(kept)
     return query, order[query, k]
 
 
+def calibrate(rows: DataFrame, index: Index, k: int) -> float:
+    """The least ratio that reads a list of ``PROBED`` of the true neighbours of ``TRIALS`` vectors."""
+    trials = rows.orderBy(F.xxhash64("vec_id", F.lit("trial")), "vec_id").limit(TRIALS).toArrow()
+    if not trials.num_rows:
+        return 1.0
+    ids, vectors = trials.column("vec_id").to_numpy(), _matrix(trials.column("vec").combine_chunks())
+
+    def search_all(batches):
+        best = [(np.zeros(0), np.zeros(0, np.int64), np.zeros((0, vectors.shape[1])))] * len(ids)
+        for batch in batches:
+            other, those = batch.column(0).to_numpy(), _matrix(batch.column(1))
+            near = _distances(vectors, those)
+            near[ids[:, None] == other] = np.inf
+            for i in range(len(ids)):
+                some = np.flatnonzero(near[i] <= np.partition(near[i], min(k, len(other)) - 1)[min(k, len(other)) - 1])[:k]
+                merged = [np.concatenate(x) for x in zip(best[i], (near[i][some], other[some], those[some]))]
+                top = np.lexsort((merged[1], merged[0]))[:k]
+                best[i] = tuple(m[top] for m in merged)
+        for i in range(len(ids)):
+            found = np.isfinite(best[i][0])
+            yield pa.record_batch(
+                [pa.array(np.full(found.sum(), i, np.int32)), pa.array(best[i][0][found]), pa.array(list(best[i][2][found]), pa.list_(pa.float64()))],
+                names=["trial", "far", "vec"],
+            )
+
+    all_best = rows.mapInArrow(search_all, "trial int, far double, vec array<double>")
+    turn = F.row_number().over(Window.partitionBy("trial").orderBy("far"))
+    found = all_best.withColumn("turn", turn).where(F.col("turn") <= k).toArrow()  # TRIALS times k rows
+    if not found.num_rows:
+        return 1.0
+    trial, those = found.column("trial").to_numpy(), _matrix(found.column("vec").combine_chunks())
+    apart = _distances(vectors, index.centroids.astype(float))
+    row, lists = assign(those.astype(np.float32), index)
+    needed = np.full(len(those), np.inf)
+    np.minimum.at(needed, row, apart[trial[row], lists])
+    return float(np.quantile(np.sqrt(needed / np.maximum(apart.min(axis=1)[trial], 1e-12)), PROBED)) + 1e-6
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, vec) of the vectors that take part: of the commonest length, finite, not zero, with an id."""
     vec = F.col(vector_col).cast("array<double>")
@@ -211,12 +257,13 @@ def nearest(vectors: DataFrame, queries, k: int = 10, id_col: str = "vec_id", ve
     sampled = _matrix(found).astype(np.float32) if len(found) else np.zeros((1, width), np.float32)
     index = build(sampled, min(max(total // LIST_ROWS, 1), MOST_LISTS))
 
+    ratio = calibrate(rows, index, k)
     postings = store(_dealt(rows, "vec_id", lambda m: assign(m.astype(np.float32), index)))
     sizes = np.zeros(len(index.centroids), np.int64)
     for list_, n in postings.groupBy("list").count().collect():  # a row for each list, MOST_LISTS at most
         sizes[list_] = n
     asked = rows.where(queries).withColumnRenamed("vec_id", "query_id")
-    probes = store(_dealt(asked, "query_id", lambda m: search(m.astype(np.float32), index, sizes)))
+    probes = store(_dealt(asked, "query_id", lambda m: search(m.astype(np.float32), index, sizes, ratio)))
     busy = probes.groupBy("list").count().withColumnRenamed("count", "asked")
     full = postings.groupBy("list").count().withColumnRenamed("count", "held")
     parts = busy.join(full, "list").select(
