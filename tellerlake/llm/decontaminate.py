@@ -158,7 +158,7 @@ def windows(texts: DataFrame, keys: list[str], wanted: np.ndarray | None = None)
 def _flags(hashes: DataFrame) -> np.ndarray:
     """Which leading bits occur among the hashes."""
     leading = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
-    seen = hashes.select(leading.alias("bits")).distinct().toPandas().bits.to_numpy(np.int64)
+    seen = hashes.select(leading.alias("bits")).distinct().toArrow().to_pandas().bits.to_numpy(np.int64)
     flags = np.zeros(1 << FILTER_BITS, bool)
     flags[seen] = True
     return flags

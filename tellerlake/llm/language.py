@@ -119,7 +119,7 @@ def fit(labelled: DataFrame) -> Model:
 
     rows = labelled.where("lang IS NOT NULL").select("text", F.col("lang").cast("string"))
     counted = rows.mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
-    found = counted.toPandas()
+    found = counted.toArrow().to_pandas()
     languages = sorted(found.lang.unique())
     counts = np.zeros((BUCKETS + len(SCRIPTS), len(languages)))
     counts[found.slot, [languages.index(x) for x in found.lang]] = found.n

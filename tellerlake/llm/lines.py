@@ -3,17 +3,16 @@
 A line is the set of its words. Two lines match if the Jaccard similarity of their sets is at least 0.8,
 and a line goes if any earlier line (by doc_id, then position) matches it.
 
-Lines with equal sets meet first; what remains are distinct sets, each standing at its first line. Their
-words are ordered by rarity, and only prefixes are posted: two sets that match share a word of both
-prefixes. Pairs that meet at a word must pass the length filter, the positional filter, and a parity
-filter: of 64 word classes, a set keeps whether it holds an odd number, and each class that differs
-stands for a word that only one set has. Pairs that pass are verified on the words themselves.
-
-A cluster of many similar sets never yields all its pairs. First every set meets only the earliest set of
-each posting list, which finds almost all matches; only sets without match there meet all earlier ones.
+Lines with equal sets meet first; what remains are distinct sets, each standing at its first line, so
+copies never multiply. The words of a set are ordered by rarity, and only prefixes are posted: two sets
+that match share a word of both prefixes. Pairs that meet at a word must pass the length filter, the
+positional filter, and a parity filter: of 64 word classes, a set keeps whether it holds an odd number,
+and each class that differs stands for a word that only one set has. Pairs that pass are verified on the
+words themselves.
 
 Rarity comes from counts of all words, added up in a fixed number of buckets. Any order keeps the join
-exact; a bucket counted once proves that its word occurs nowhere else, and needs no posting.
+exact; a bucket counted once proves that its word occurs nowhere else, and needs no posting. Texts move
+only where a line of theirs must be verified or goes, as far as a table of flags of fixed size tells.
 """
 
 from dataclasses import dataclass
@@ -24,14 +23,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm.tables import discard, store, table
-from tellerlake.llm.words import mix, pieces, words
+from tellerlake.llm.tables import discard, flagged, flags, may_hold, release, store, table, unpacked
+from tellerlake.llm.words import mix, pieces, raw, words
 
 #: Similarity as a fraction.
 SIMILAR = (4, 5)
-BUCKET_BITS = 20
+BUCKET_BITS = 18
 #: Sets of fewer words match equal ones only, at a similarity of 0.8.
 LEAST = 4
+#: Longs of the wide parity.
+WIDE = 4
+_WIDE = [f"wide{k}" for k in range(WIDE)]
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
@@ -52,7 +54,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
             yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["bucket", "n"])
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "bucket int, n long")
-    found = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # a row for each bucket at most
+    found = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # a row for each bucket at most
     counts = np.zeros(1 << BUCKET_BITS)
     counts[found.bucket] = found.n
     return np.where(counts > 1, np.minimum(np.floor(6 * np.log2(np.maximum(counts, 1))), 255), 0).astype(np.uint8)
@@ -60,13 +62,17 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
 @dataclass
 class _Lines:
-    """The lines of a piece that have words: row, number, size, key, parity, and where their prefixes lie."""
+    """The lines of a piece that have words: row, number, first and last byte, size, key, parity, and where
+    their prefixes lie."""
 
     row: np.ndarray
     line: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
     size: np.ndarray
     key: np.ndarray
     parity: np.ndarray
+    wide: list
     skip: np.ndarray
     prefix: np.ndarray
     first: np.ndarray
@@ -91,22 +97,29 @@ def _lines(texts: pa.Array, levels: np.ndarray) -> _Lines:
     size = np.diff(begin)
     if not len(size):
         none = np.zeros(0, np.int64)
-        return _Lines(none, none, none, none, none, none, none, np.zeros(1, np.int64))
+        return _Lines(none, none, none, none, none, none, none, [none] * WIDE, none, none.astype(np.int32), np.zeros(1, np.int64))
     top, base = SIMILAR
     length = np.where(size >= LEAST, size - -(-top * size // base) + 1, 0)
     place = np.arange(len(hashes)) - np.repeat(begin[:-1], size)
     posted = (place < np.repeat(length, size)) & (level > 0)
     count = np.add.reduceat(posted, begin[:-1])
     parity = np.bitwise_xor.reduceat(np.uint64(1) << (mix(hashes) >> np.uint64(58)), begin[:-1])
+    place, bit = mix(hashes) >> np.uint64(50), np.uint64(1) << ((mix(hashes) >> np.uint64(44)) & np.uint64(63))
+    wide = [
+        np.bitwise_xor.reduceat(np.where(place % np.uint64(WIDE) == k, bit, np.uint64(0)), begin[:-1]).view(np.int64)
+        for k in range(WIDE)
+    ]
     key = mix(np.add.reduceat(mix(hashes ^ np.uint64(0xA5A5)), begin[:-1]) + size.astype(np.uint64))
     return _Lines(
-        rows[fresh], line[fresh], size, key.view(np.int64), parity.view(np.int64), length - count,
-        hashes[posted].view(np.int64), np.concatenate([[0], np.cumsum(count)]),
+        rows[fresh], line[fresh], found.start[fresh], (found.start + found.length)[np.append(fresh[1:], True)],
+        size, key.view(np.int64), parity.view(np.int64), wide, length - count,
+        hashes[posted].astype(np.uint32).view(np.int32), np.concatenate([[0], np.cumsum(count)]),
     )
 
 
-def all_lines(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """A row for each line of ``docs`` (doc_id, text_key, text) that has words."""
+def all_lines(docs: DataFrame, levels: np.ndarray, narrow: bool = False) -> DataFrame:
+    """A row for each line of ``docs`` (doc_id, text_key, text) that has words; ``narrow`` without what
+    the join needs. Words of the prefix are hashes of 32 bits: a clash costs a comparison, no more."""
 
     def cut(batches):
         for batch in batches:
@@ -114,28 +127,40 @@ def all_lines(docs: DataFrame, levels: np.ndarray) -> DataFrame:
             for piece in pieces(batch.column(2)):
                 x = _lines(piece, levels)
                 at = pa.array(row + x.row)
-                yield pa.record_batch(
-                    [
-                        batch.column(0).take(at), batch.column(1).take(at), pa.array(x.line.astype(np.int32)),
-                        pa.array(x.key), pa.array(x.size.astype(np.int32)), pa.array(x.parity),
-                        pa.array(x.skip.astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(x.first.astype(np.int32)), pa.array(x.prefix)),
-                    ],
-                    names=["doc_id", "text_key", "line", "set_key", "n", "parity", "skip", "prefix"],
-                )
                 row += len(piece)
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
+                columns = {
+                    "doc_id": batch.column(0).take(at),
+                    "text_key": batch.column(1).take(at),
+                    "line": pa.array(x.line.astype(np.int32)),
+                    "set_key": pa.array(x.key),
+                }
+                if not narrow:
+                    columns |= {
+                        "n": pa.array(x.size.astype(np.int32)),
+                        "parity": pa.array(x.parity),
+                        **{f"wide{k}": pa.array(x.wide[k]) for k in range(WIDE)},
+                        "skip": pa.array(x.skip.astype(np.int32)),
+                        "prefix": pa.ListArray.from_arrays(pa.array(x.first.astype(np.int32)), pa.array(x.prefix)),
+                    }
+                yield pa.record_batch(columns)
+
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, line int, set_key long"
+    wide = ", ".join(f"{w} long" for w in _WIDE)
     return docs.mapInArrow(
-        cut,
-        f"doc_id {kind}, text_key long, line int, set_key long, n int, parity long, skip int, prefix array<long>",
+        cut, schema if narrow else f"{schema}, n int, parity long, {wide}, skip int, prefix array<int>"
     )
 
 
+def _overlap(one: str, two: str) -> str:
+    """SQL: how many words similar sets of these sizes share at least."""
+    top, base = SIMILAR
+    return f"CEIL({top} * ({one}.n + {two}.n) / {top + base})"
+
+
 def _may_match(one: str, two: str) -> str:
     """SQL: whether the length, positional and parity filters let a pair of postings pass."""
     top, base = SIMILAR
-    overlap = f"CEIL({top} * ({one}.n + {two}.n) / {top + base})"
+    overlap = _overlap(one, two)
     return (
         f"{top} * {one}.n <= {base} * {two}.n AND {top} * {two}.n <= {base} * {one}.n"
         f" AND LEAST({one}.place, {two}.place) + 1 + LEAST({one}.n - {one}.place, {two}.n - {two}.place) - 1 >= {overlap}"
@@ -143,17 +168,61 @@ def _may_match(one: str, two: str) -> str:
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (set_key, other) whose sets of words are similar, from the texts of their first lines."""
+def _words_of(docs: DataFrame, levels: np.ndarray, marks: np.ndarray) -> DataFrame:
+    """(set_key, w): the distinct words of each set whose key is flagged, from some line that has them."""
+
+    def cut(batches):
+        found = unpacked(marks)
+        for batch in batches:
+            for piece in pieces(batch.column(0)):
+                x, data = _lines(piece, levels), raw(piece)[0]
+                keys, at = np.unique(x.key, return_index=True)
+                hit = may_hold(keys, found)
+                texts = [data[x.start[i] : x.end[i]].tobytes() for i in at[hit]]
+                yield pa.record_batch([pa.array(keys[hit]), pa.array(texts, pa.binary()).cast(pa.string())], names=["set_key", "t"])
+
+    lines = docs.select("text").mapInArrow(cut, "set_key long, t string").groupBy("set_key").agg(F.min("t").alias("t"))
+    return lines.selectExpr("set_key", "ARRAY_DISTINCT(SPLIT(t, r'[ \\t\\x0B\\f\\r]+')) AS w")
+
+
+def _similar(pairs: DataFrame, word_sets: DataFrame) -> DataFrame:
+    """The pairs (later, earlier) whose sets are similar."""
     top, base = SIMILAR
-    asked = pairs.select("set_key").union(pairs.select("other")).distinct()
-    places = asked.join(sets, "set_key").select("set_key", "at.*")
-    lines = places.join(docs, ["doc_id", "text_key"]).selectExpr(
-        "set_key",
-        "ARRAY_DISTINCT(FILTER(SPLIT(ELEMENT_AT(SPLIT(text, '\\n'), line + 1), '[ \\\\t\\\\x0B\\\\f\\\\r]+'), w -> w != '')) AS w",
+    both = pairs.join(word_sets.selectExpr("set_key AS later", "w AS w1"), "later").join(
+        word_sets.selectExpr("set_key AS earlier", "w AS w2"), "earlier"
     )
-    both = pairs.join(lines, "set_key").join(lines.selectExpr("set_key AS other", "w AS v"), "other")
-    return both.where(f"{base} * SIZE(ARRAY_INTERSECT(w, v)) >= {top} * SIZE(ARRAY_UNION(w, v))").select("set_key", "other")
+    return both.where(f"{top + base} * SIZE(ARRAY_INTERSECT(w1, w2)) >= {top} * (SIZE(w1) + SIZE(w2))").select("later", "earlier")
+
+
+def _gone(met: DataFrame, sets: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFrame:
+    """(set_key) of the sets that match an earlier one, of candidate pairs (one, two).
+
+    A parity over more classes rules out what the first let pass among long lines. One match is enough. Each set is held first against the candidate whose parities differ least, which
+    nearly always matches; only sets without match then meet their other candidates.
+    """
+    places = sets.select("set_key", "at", "n", *_WIDE)
+    both = met.join(places.alias("a"), F.col("one") == F.col("a.set_key")).join(
+        places.alias("b"), F.col("two") == F.col("b.set_key")
+    )
+    apart = " + ".join(f"BIT_COUNT(a.{w} ^ b.{w})" for w in _WIDE)
+    pairs = both.selectExpr(
+        "IF(a.at > b.at, one, two) AS later",
+        "IF(a.at > b.at, two, one) AS earlier",
+        f"{apart} AS apart",
+        f"a.n + b.n - 2 * {_overlap('a', 'b')} AS most",
+    )
+    pairs = store(pairs.where("apart <= most").drop("most"))
+    release(docs.sparkSession)
+    asked = pairs.select("later").union(pairs.select("earlier")).toDF("set_key")
+    word_sets = store(_words_of(docs, levels, flags(asked, "set_key")))
+    best = store(pairs.groupBy("later").agg(F.min(F.struct("apart", "earlier")).alias("b")).select("later", "b.earlier"))
+    first = store(_similar(best, word_sets).select("later"))
+    rest = pairs.join(first, "later", "left_anti").join(best, ["later", "earlier"], "left_anti").select("later", "earlier")
+    gone = store(first.union(_similar(rest, word_sets).select("later").distinct()).toDF("set_key"))
+    for used in (pairs, word_sets, best, first):
+        discard(used)
+    release(docs.sparkSession)
+    return gone
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -165,40 +234,38 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def later_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, lines) of each document that loses lines: the numbers, from 0, of those."""
     keyed = _keyed(docs)
-    lines = store(all_lines(keyed, rarity(keyed)))
+    levels = rarity(keyed)
     at = F.struct("doc_id", "text_key", "line").alias("at")
-    leader = F.min(F.struct(at, "n", "parity", "skip", "prefix")).alias("s")
-    sets = store(lines.groupBy("set_key").agg(leader).select("set_key", "s.*"))
-    postings = sets.where("SIZE(prefix) > 0").selectExpr(
-        "set_key", "at", "n", "parity", "skip", "POSEXPLODE(prefix) AS (k, word)"
-    ).selectExpr("word", "at", "set_key", "n", "parity", "skip + k AS place")
-    whole = F.struct("at", "set_key", "n", "parity", "place")
-    leads = postings.groupBy("word").agg(F.min(whole).alias("o"))
-    met = postings.alias("p").join(leads, "word").where(f"p.at > o.at AND {_may_match('p', 'o')}")
-    led = store(met.selectExpr("p.set_key", "o.set_key AS other").distinct())
-    first = store(_verified(led, sets, keyed))
-    left = postings.join(first.select("set_key").distinct(), "set_key", "left_anti")
-    met = left.alias("p").join(postings.alias("o"), "word").where(f"p.at > o.at AND {_may_match('p', 'o')}")
-    rest = met.selectExpr("p.set_key", "o.set_key AS other").distinct().join(led, ["set_key", "other"], "left_anti")
-    rest = store(rest)
-    second = _verified(rest, sets, keyed)
-    gone = store(first.select("set_key").union(second.select("set_key")).distinct().withColumn("gone", F.lit(True)))
-    standing = sets.join(gone, "set_key", "left").select("set_key", F.col("at").alias("stands"), "gone")
+    leader = F.min(F.struct(at, "n", "parity", *_WIDE, "skip", "prefix")).alias("s")
+    sets = store(all_lines(keyed, levels).groupBy("set_key").agg(leader).select("set_key", "s.*"))
+    release(docs.sparkSession)
+    postings = sets.where("SIZE(prefix) > 0").selectExpr("set_key", "n", "parity", "skip", "POSEXPLODE(prefix) AS (k, word)")
+    postings = postings.selectExpr("word", "set_key", "parity", "n", "skip + k AS place")
+    met = postings.alias("p").join(postings.alias("o"), "word").where(f"p.set_key < o.set_key AND {_may_match('p', 'o')}")
+    gone = _gone(met.selectExpr("p.set_key AS one", "o.set_key AS two").distinct(), sets, keyed, levels)
+    standing = sets.join(gone.withColumn("gone", F.lit(True)), "set_key", "left").selectExpr("set_key", "at AS stands", "gone")
+    lines = all_lines(keyed, levels, narrow=True)
     removed = lines.join(standing, "set_key").where("gone OR STRUCT(doc_id, text_key, line) != stands")
     out = store(removed.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines")))
-    for used in (lines, sets, led, first, rest, gone):
+    for used in (sets, gone):
         discard(used)
     return out
 
 
 def drop_later(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``docs`` with the lines left out of the texts; rows and other columns as they were."""
-    key = F.xxhash64(F.col("text").cast("string"))
+    columns = docs.columns
+    keyed = docs.withColumn("__key", F.xxhash64(F.col("text").cast("string")))
+    marks = flags(removed, "text_key")
+    touched = keyed.where(flagged("__key", marks)).drop("__key")
     gone = removed.selectExpr("doc_id AS __doc", "text_key AS __key", "lines AS __lines")
-    joined = docs.join(gone, (F.col("doc_id") == F.col("__doc")) & (key == F.col("__key")), "left")
-    kept = F.expr("ARRAY_JOIN(FILTER(SPLIT(text, '\\n'), (t, i) -> NOT ARRAY_CONTAINS(__lines, i)), '\\n')")
+    same = (F.col("doc_id") == F.col("__doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__key"))
+    joined = touched.join(gone, same, "left")
+    kept = F.expr("ARRAY_JOIN(FILTER(SPLIT(text, '\n'), (t, i) -> NOT ARRAY_CONTAINS(__lines, i)), '\n')")
     text = F.when(F.col("__lines").isNull(), F.col("text")).otherwise(kept)
-    return joined.withColumn("text", text).drop("__doc", "__key", "__lines")
+    changed = joined.withColumn("text", text).select(*(F.col(f"`{c}`") for c in columns))
+    same = keyed.where(~flagged("__key", marks)).select(*(F.col(f"`{c}`") for c in columns))
+    return changed.unionByName(same)
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:

@@ -90,7 +90,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
     names = [f"v{k}" for k in range(DIM)]
     found = docs.select(F.col("text").cast("string")).mapInArrow(gather, "bucket long, " + ", ".join(f"{v} long" for v in names))
-    found = found.groupBy("bucket").agg(*(F.sum(v).alias(v) for v in names)).toPandas()
+    found = found.groupBy("bucket").agg(*(F.sum(v).alias(v) for v in names)).toArrow().to_pandas()
     vectors = np.zeros((BUCKETS, DIM))
     vectors[found.bucket] = found[names]
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
@@ -201,7 +201,7 @@ def train(pools: np.ndarray, truth: np.ndarray, weights: np.ndarray, seed: int =
 
 def fit(pools: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Network:
     """The network of a sample of ``pools`` (doc_id, pool) with labels."""
-    rows = bounded(labelled(pools, labels, label), labels, label, {0: sample, 1: sample}).toPandas()
+    rows = bounded(labelled(pools, labels, label), labels, label, {0: sample, 1: sample}).toArrow().to_pandas()
     truth = rows.label.to_numpy(float)
     counts = dict(labels.where(F.col(label).isNotNull()).groupBy((F.col(label) != 0).cast("int")).count().collect())
     taken = {k: max((truth == k).sum(), 1) for k in (0, 1)}

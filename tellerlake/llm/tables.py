@@ -1,7 +1,11 @@
 """Reading the given tables, and scratch tables in the shared folder."""
 
+import gc
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +39,42 @@ def discard(stored: DataFrame) -> None:
 def held_out(doc_id, modulus: int, remainder: int):
     """Whether crc32 of the id as text leaves the remainder; null ids count as not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now. It does so when the driver's JVM collects
+    the plans that they belong to, which on a large heap can be long after they have filled the disks."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+FLAG_BITS = 20
+
+
+def flags(df: DataFrame, key: str) -> np.ndarray:
+    """Which leading bits occur among 64-bit keys: a table of fixed size, however many keys there are."""
+    leading = df.select(F.shiftrightunsigned(key, 64 - FLAG_BITS).cast("int").alias("bits")).distinct()
+    found = np.zeros(1 << FLAG_BITS, bool)
+    found[leading.toArrow().column("bits").to_numpy()] = True
+    return np.packbits(found)
+
+
+def unpacked(marks: np.ndarray) -> np.ndarray:
+    return np.unpackbits(marks).astype(bool)
+
+
+def may_hold(keys: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Which keys may be among those flagged; never false for one that is."""
+    return found[(keys.view(np.uint64) >> np.uint64(64 - FLAG_BITS)).astype(np.int64)]
+
+
+def flagged(key: str, marks: np.ndarray):
+    """The column of ``may_hold`` over a column of keys; null keys are not held."""
+
+    @F.arrow_udf("boolean")
+    def held(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        found = unpacked(marks)
+        for keys in batches:
+            yield pa.array(may_hold(keys.fill_null(0).to_numpy(zero_copy_only=False), found))
+
+    return F.coalesce(held(key), F.lit(False))

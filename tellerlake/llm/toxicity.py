@@ -27,7 +27,7 @@ from tellerlake.llm.words import ASCII_SPACE, LOW_BYTES, hash_spans, mix, pieces
 BUCKETS = 1 << 18
 DIM = 8
 NGRAMS = (3, 4, 5, 6, 7)
-WINDOW = 16
+WINDOW = 8
 SAMPLE = 3_000
 LONGEST = 1 << 16
 THRESHOLD = 0.3
@@ -264,7 +264,7 @@ def train(texts: list, truth: np.ndarray, rates: tuple[float, float], seed: int
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Model:
     short = docs.select("doc_id", F.col("text").cast("string")).where(F.octet_length("text") <= LONGEST)
-    rows = bounded(labelled(short, labels, label), labels, label, {0: sample, 1: sample}).toPandas()
+    rows = bounded(labelled(short, labels, label), labels, label, {0: sample, 1: sample}).toArrow().to_pandas()
     rows = rows.sort_values(["doc_id", "text", "label"])  # the order of arrival is chance
     counts = dict(labels.where(F.col(label).isNotNull()).groupBy((F.col(label) != 0).cast("int")).count().collect())
     return train(rows.text.to_list(), rows.label.to_numpy(float), (counts.get(0, 0), counts.get(1, 0)))
