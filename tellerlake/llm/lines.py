@@ -6,8 +6,8 @@ and a line goes if any earlier line (by doc_id, then position) matches it.
 Lines with equal sets meet first; what remains are distinct sets, each standing at its first line, so
 copies never multiply. The words of a set are ordered by rarity, and only prefixes are posted: two sets
 that match share a word of both prefixes. Pairs that meet at a word must pass the length filter, the
-positional filter, and a parity filter: of 64 word classes, a set keeps whether it holds an odd number,
-and each class that differs stands for a word that only one set has. Pairs that pass are verified on the
+positional filter, and a parity filter: of 64 word classes (256 for long lines) a set keeps whether it
+holds an odd number, and each class that differs stands for a word that only one set has. Pairs that pass are verified on the
 words themselves.
 
 Rarity comes from counts of all words, added up in a fixed number of buckets. Any order keeps the join
@@ -28,11 +28,16 @@ from tellerlake.llm.words import mix, pieces, raw, words
 
 #: Similarity as a fraction.
 SIMILAR = (4, 5)
-BUCKET_BITS = 18
+#: The table of rarities has a byte for each of so many buckets; with more words than buckets, rare words
+#: look commoner than they are, and more pairs meet.
+BUCKET_BITS = 22
 #: Sets of fewer words match equal ones only, at a similarity of 0.8.
 LEAST = 4
-#: Longs of the wide parity.
+#: Longs of the wide parity, which sets from ``LONG`` words on have; sets up to ``SHORT`` have the narrow one.
+#: Of two sets of similar size both have one of them.
 WIDE = 4
+LONG = 64
+SHORT = 80
 _WIDE = [f"wide{k}" for k in range(WIDE)]
 
 
@@ -47,17 +52,18 @@ def rarity(docs: DataFrame) -> np.ndarray:
         total = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
             for piece in pieces(batch.column(0)):
-                total += np.bincount(_buckets(words(piece).hashes()), minlength=1 << BUCKET_BITS)
+                np.add.at(total, _buckets(words(piece).hashes()), 1)
         used = np.flatnonzero(total)
         for at in range(0, len(used), 100_000):
             some = used[at : at + 100_000]
             yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["bucket", "n"])
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "bucket int, n long")
-    found = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # a row for each bucket at most
-    counts = np.zeros(1 << BUCKET_BITS)
-    counts[found.bucket] = found.n
-    return np.where(counts > 1, np.minimum(np.floor(6 * np.log2(np.maximum(counts, 1))), 255), 0).astype(np.uint8)
+    level = F.least(F.floor(6 * F.log2("n")), F.lit(255)).cast("short").alias("level")
+    found = counted.groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 1").select("bucket", level).toArrow()
+    levels = np.zeros(1 << BUCKET_BITS, np.uint8)  # what came is a row for each bucket at most
+    levels[found.column("bucket").to_numpy()] = found.column("level").to_numpy()
+    return levels
 
 
 @dataclass
@@ -109,6 +115,9 @@ def _lines(texts: pa.Array, levels: np.ndarray) -> _Lines:
         np.bitwise_xor.reduceat(np.where(place % np.uint64(WIDE) == k, bit, np.uint64(0)), begin[:-1]).view(np.int64)
         for k in range(WIDE)
     ]
+    parity[size > SHORT] = 0
+    for part in wide:
+        part[size < LONG] = 0
     key = mix(np.add.reduceat(mix(hashes ^ np.uint64(0xA5A5)), begin[:-1]) + size.astype(np.uint64))
     return _Lines(
         rows[fresh], line[fresh], found.start[fresh], (found.start + found.length)[np.append(fresh[1:], True)],
@@ -161,13 +170,19 @@ def _may_match(one: str, two: str) -> str:
     """SQL: whether the length, positional and parity filters let a pair of postings pass."""
     top, base = SIMILAR
     overlap = _overlap(one, two)
+    most = f"{one}.n + {two}.n - 2 * {overlap}"
     return (
         f"{top} * {one}.n <= {base} * {two}.n AND {top} * {two}.n <= {base} * {one}.n"
-        f" AND LEAST({one}.place, {two}.place) + 1 + LEAST({one}.n - {one}.place, {two}.n - {two}.place) - 1 >= {overlap}"
-        f" AND BIT_COUNT({one}.parity ^ {two}.parity) <= {one}.n + {two}.n - 2 * {overlap}"
+        f" AND LEAST({one}.place, {two}.place) + LEAST({one}.n - {one}.place, {two}.n - {two}.place) >= {overlap}"
+        f" AND ({one}.n > {SHORT} OR {two}.n > {SHORT} OR BIT_COUNT({one}.parity ^ {two}.parity) <= {most})"
+        f" AND ({one}.n < {LONG} OR {two}.n < {LONG} OR {_wide_apart(one, two)} <= {most})"
     )
 
 
+def _wide_apart(one: str, two: str) -> str:
+    return " + ".join(f"BIT_COUNT({one}.{w} ^ {two}.{w})" for w in _WIDE)
+
+
 def _words_of(docs: DataFrame, levels: np.ndarray, marks: np.ndarray) -> DataFrame:
     """(set_key, w): the distinct words of each set whose key is flagged, from some line that has them."""
 
@@ -195,23 +210,14 @@ def _similar(pairs: DataFrame, word_sets: DataFrame) -> DataFrame:
 
 
 def _gone(met: DataFrame, sets: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(set_key) of the sets that match an earlier one, of candidate pairs (one, two).
+    """(set_key) of the sets that match an earlier one, of candidate pairs (one, two, apart).
 
-    A parity over more classes rules out what the first let pass among long lines. One match is enough. Each set is held first against the candidate whose parities differ least, which
+    One match is enough. Each set is held first against the candidate whose parities differ least, which
     nearly always matches; only sets without match then meet their other candidates.
     """
-    places = sets.select("set_key", "at", "n", *_WIDE)
-    both = met.join(places.alias("a"), F.col("one") == F.col("a.set_key")).join(
-        places.alias("b"), F.col("two") == F.col("b.set_key")
-    )
-    apart = " + ".join(f"BIT_COUNT(a.{w} ^ b.{w})" for w in _WIDE)
-    pairs = both.selectExpr(
-        "IF(a.at > b.at, one, two) AS later",
-        "IF(a.at > b.at, two, one) AS earlier",
-        f"{apart} AS apart",
-        f"a.n + b.n - 2 * {_overlap('a', 'b')} AS most",
-    )
-    pairs = store(pairs.where("apart <= most").drop("most"))
+    places = sets.select("set_key", "at")
+    pairs = met.join(places.toDF("one", "at1"), "one").join(places.toDF("two", "at2"), "two")
+    pairs = store(pairs.selectExpr("IF(at1 > at2, one, two) AS later", "IF(at1 > at2, two, one) AS earlier", "apart"))
     release(docs.sparkSession)
     asked = pairs.select("later").union(pairs.select("earlier")).toDF("set_key")
     word_sets = store(_words_of(docs, levels, flags(asked, "set_key")))
@@ -239,10 +245,12 @@ def later_matches(docs: DataFrame) -> DataFrame:
     leader = F.min(F.struct(at, "n", "parity", *_WIDE, "skip", "prefix")).alias("s")
     sets = store(all_lines(keyed, levels).groupBy("set_key").agg(leader).select("set_key", "s.*"))
     release(docs.sparkSession)
-    postings = sets.where("SIZE(prefix) > 0").selectExpr("set_key", "n", "parity", "skip", "POSEXPLODE(prefix) AS (k, word)")
-    postings = postings.selectExpr("word", "set_key", "parity", "n", "skip + k AS place")
+    posted = ["set_key", "n", "parity", *_WIDE]
+    postings = sets.where("SIZE(prefix) > 0").selectExpr(*posted, "skip", "POSEXPLODE(prefix) AS (k, word)")
+    postings = postings.selectExpr("word", *posted, "skip + k AS place")
     met = postings.alias("p").join(postings.alias("o"), "word").where(f"p.set_key < o.set_key AND {_may_match('p', 'o')}")
-    gone = _gone(met.selectExpr("p.set_key AS one", "o.set_key AS two").distinct(), sets, keyed, levels)
+    apart = f"BIT_COUNT(p.parity ^ o.parity) + {_wide_apart('p', 'o')} AS apart"
+    gone = _gone(met.selectExpr("p.set_key AS one", "o.set_key AS two", apart).distinct(), sets, keyed, levels)
     standing = sets.join(gone.withColumn("gone", F.lit(True)), "set_key", "left").selectExpr("set_key", "at AS stands", "gone")
     lines = all_lines(keyed, levels, narrow=True)
     removed = lines.join(standing, "set_key").where("gone OR STRUCT(doc_id, text_key, line) != stands")
