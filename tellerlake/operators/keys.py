@@ -38,14 +38,16 @@ def number_rows(rows: DataFrame, natural_key: str, key_column: str, start: Colum
     return numbered if start is None else numbered.withColumn(key_column, F.col(key_column) + start)
 
 
-def assign_keys(rows: DataFrame, natural_key: str, key_column: str) -> DataFrame:
+def assign_keys(rows: DataFrame, natural_key: str, key_column: str, taken: int = 0) -> DataFrame:
     """Number the rows whose key is still null, above the highest key; keyed rows pass unchanged.
 
-    ``rows`` is read several times, so callers pass a stored frame.
+    ``taken`` is the highest key ever given out, which rows that are not among these may hold. ``rows``
+    is read several times, so callers pass a stored frame.
     """
     keyed = rows.filter(f"{key_column} IS NOT NULL")
     fresh = rows.filter(f"{key_column} IS NULL")
-    numbered = number_rows(fresh, natural_key, key_column, highest(rows, key_column))
+    start = F.greatest(highest(rows, key_column), F.lit(taken))
+    numbered = number_rows(fresh, natural_key, key_column, start)
     return keyed.unionByName(numbered.select(*rows.columns))
 
 

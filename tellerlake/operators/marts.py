@@ -9,7 +9,6 @@ from tellerlake.functions import bands
 from tellerlake.operators.scd import current_rows
 from tellerlake.schemas import day_literal
 
-CUSTOMER_REPORT_ROWS = 5000
 SUMMARY_REPORT_DAYS = 30
 
 
@@ -110,8 +109,9 @@ def daily_transaction_summary(fact: DataFrame, dim_types: DataFrame) -> DataFram
     )
 
 
-def customer_report(mart: DataFrame, rows: int = CUSTOMER_REPORT_ROWS) -> DataFrame:
-    return mart.orderBy("customer_key").limit(rows)
+def customer_report(mart: DataFrame, rows: int | None = None) -> DataFrame:
+    """All customers, or the ``rows`` first by key."""
+    return mart if rows is None else mart.orderBy("customer_key").limit(rows)
 
 
 def fraud_report(mart: DataFrame) -> DataFrame:

@@ -402,6 +402,12 @@ def report_customer_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.customer_report(mart_customer_360(spark, sf_dir))
 
 
+@query
+def report_customer_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's option of a first page."""
+    return marts.customer_report(mart_customer_360(spark, sf_dir), rows=100)
+
+
 @query
 def report_fraud_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.fraud_report(mart_fraud_signals(spark, sf_dir))

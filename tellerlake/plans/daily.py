@@ -58,12 +58,12 @@ def now() -> datetime.datetime:
 class DailyRun:
     """A run over one batch. Each step can be repeated alone as long as earlier outputs exist.
 
-    ``late`` chooses what happens to transactions dated up to the fact table's watermark: "drop"
-    loses them, "anti_join" loads whatever id is missing.
+    ``late`` chooses what happens to transactions dated up to the fact table's watermark: "anti_join"
+    loads whatever id is missing, "drop" leaves them out and logs how many there are.
     """
 
     def __init__(
-        self, spark: SparkSession, paths: Paths, as_of: datetime.date, batch_id: str | None = None, late: str = "drop"
+        self, spark: SparkSession, paths: Paths, as_of: datetime.date, batch_id: str | None = None, late: str = "anti_join"
     ):
         self.spark = spark
         self.paths = paths
@@ -76,20 +76,25 @@ class DailyRun:
             "bronze": self._logged("bronze_ingest", "bronze", self.bronze),
             "silver": self._logged("silver_transform", "silver", self.silver),
             "gold": self._logged("gold_load", "gold", self.gold),
-            "quality": self._logged("quality_checks", "gold", self.quality),
+            "quality": self._logged("quality_checks", "gold", self.quality, counts_failures=True),
             "marts": self._logged("mart_build", "gold", self.marts),
             "reports": self._logged("report_export", "gold", self.reports),
         }
 
-    def _logged(self, name: str, layer: str, step: Callable[[], dict]) -> dict:
-        """Run a step and add a row to the run log, whether it succeeds or fails."""
+    def _logged(self, name: str, layer: str, step: Callable[[], dict], counts_failures: bool = False) -> dict:
+        """Run a step and add a row to the run log, whether it succeeds or fails.
+
+        Of a step that ``counts_failures`` the numbers are failed rows. A step some of whose outputs
+        failed is logged as failed, with their errors, and the run goes on.
+        """
         started = now()
 
         def write(status: str, error: str | None, counts: dict) -> None:
-            numbers = [v for v in counts.values() if isinstance(v, int)]
-            failed = sum(isinstance(v, Exception) for v in counts.values())
+            total = sum(v for v in counts.values() if isinstance(v, int))
+            failed = sum(isinstance(v, Exception) for v in counts.values()) + (total if counts_failures else 0)
+            processed = 0 if counts_failures else total
             row = audit.run_row(
-                self.spark, name, layer, status, started, now(), self.load.batch_id, sum(numbers), failed, error, **counts
+                self.spark, name, layer, status, started, now(), self.load.batch_id, processed, failed, error, **counts
             )
             row.coalesce(1).write.mode("append").parquet(f"{self.paths.audit}/pipeline_runs")
 
@@ -98,7 +103,8 @@ class DailyRun:
         except Exception as error:
             write("failed", str(error), {})
             raise
-        write("success", None, counts)
+        errors = [f"{k}: {v}" for k, v in counts.items() if isinstance(v, Exception)]
+        write("failed" if errors else "success", "; ".join(errors) or None, counts)
         return counts
 
     def bronze(self) -> dict[str, int]:
@@ -223,4 +229,4 @@ class DailyRun:
             "fraud_signals": lambda: marts.fraud_report(mart("fraud_signals")),
             "daily_summary": lambda: marts.summary_report(mart("daily_summary"), self.load.as_of),
         }
-        return reports.export_all(wanted, self.paths.exports, self.load.as_of, bounded={"customer_360"})
+        return reports.export_all(wanted, self.paths.exports, self.load.as_of)

@@ -7,6 +7,7 @@ with the same batch id and continues where it stopped.
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tellerlake import schemas
@@ -88,7 +89,7 @@ def register_views(spark: SparkSession, root: str) -> None:
 def _next(spark: SparkSession, root: str, table: str, load: Load) -> tuple[object, int] | None:
     """Last commit and number of the next version, or None when the batch is already in."""
     last = tables.last_commit(spark, root, table)
-    if last is not None and last.batch_id == load.batch_id:
+    if last is not None and tables.holds_batch(spark, root, table, load.batch_id):
         log.info("%s already holds batch %s", table, load.batch_id)
         return None
     return last, 1 if last is None else last.version + 1
@@ -107,6 +108,9 @@ def load_seeds(spark: SparkSession, root: str, load: Load) -> None:
 def load_dimension(spark: SparkSession, root: str, dimension: Dimension, incoming: DataFrame, load: Load) -> dict:
     """Merge silver rows into a dimension; returns how many rows were added and changed.
 
+    Natural keys that come twice are refused before anything is written. New keys are numbered above the
+    highest one ever committed: closed versions keep theirs, though the merge does not read them.
+
     The merge result is staged once and then read for the keys and the two writes. Closed versions
     are only appended: a load rewrites the current rows and leaves all earlier history alone.
     """
@@ -114,6 +118,10 @@ def load_dimension(spark: SparkSession, root: str, dimension: Dimension, incomin
     if following is None:
         return {"n_rows": 0, "inserted": 0, "updated": 0}
     last, version = following
+    twice = incoming.groupBy(dimension.natural).agg(F.expr("COUNT(*) AS n")).filter("n > 1").first()
+    if twice is not None:
+        raise ValueError(f"{dimension.name}: {dimension.natural} {twice[0]!r} comes {twice.n} times in {load.batch_id}")
+    highest = last.max_key or 0 if last else 0
     versioned = bool(dimension.tracked)
     if last is None:
         rows = scd.first_rows(incoming, dimension, load).drop(dimension.surrogate)
@@ -127,7 +135,7 @@ def load_dimension(spark: SparkSession, root: str, dimension: Dimension, incomin
             closed = merged.filter(f"_action = '{scd.EXPIRE}'").drop("_action")
             tables.overwrite(closed, f"{root}/{dimension.name}/closed/version={version}")
             merged = merged.filter(f"_action <> '{scd.EXPIRE}'")
-        keyed = keys.assign_keys(merged, dimension.natural, dimension.surrogate)
+        keyed = keys.assign_keys(merged, dimension.natural, dimension.surrogate, highest)
     folder = f"{dimension.name}/current" if versioned else dimension.name
     taken = tables.overwrite(
         keyed,
@@ -137,7 +145,8 @@ def load_dimension(spark: SparkSession, root: str, dimension: Dimension, incomin
         f"COUNT_IF(_action = '{scd.UPDATE}') AS updated",
         hidden=("_action",),
     )
-    tables.commit(spark, root, dimension.name, version, load.batch_id, taken["n_rows"], taken["max_key"])
+    highest = max(highest, taken["max_key"] or 0)
+    tables.commit(spark, root, dimension.name, version, load.batch_id, taken["n_rows"], highest)
     return taken
 
 
@@ -146,13 +155,15 @@ def load_facts(
     root: str,
     transactions: DataFrame,
     load: Load,
-    late: str = "drop",
+    late: str = "anti_join",
     versions: str = "current",
 ) -> dict:
     """Append the transactions the fact table does not hold yet, with their keys.
 
-    The watermark and the highest key come from the last commit, so neither needs a scan. An empty
-    batch writes no version.
+    The watermark and the highest key come from the last commit, so neither needs a scan. The watermark
+    never passes the day of the load, so a row dated in the future does not shut later ones out. An empty
+    batch writes no version. What is left out is counted: ``undated`` rows, and with ``late="drop"`` the
+    ``late`` ones, which are those up to the watermark, loaded before or not.
     """
     following = _next(spark, root, FACT, load)
     if following is None:
@@ -160,6 +171,13 @@ def load_facts(
     last, version = following
     day = last.watermark if last else facts.BEGINNING
     fresh = facts.not_yet_loaded(transactions, read_fact(spark, root), late, day)
+    left_out = transactions.agg(
+        F.expr("COUNT_IF(transaction_date IS NULL) AS undated"),
+        F.expr(f"COUNT_IF(transaction_date <= {schemas.day_literal(day)}) AS late"),
+    ).first()
+    skipped = {"undated": left_out.undated} | ({"late": left_out.late} if late == "drop" else {})
+    if any(skipped.values()):
+        log.warning("batch %s: not loaded: %s", load.batch_id, skipped)
     resolved = facts.resolve_keys(
         fresh,
         read_type2(spark, root, scd.ACCOUNTS, current_only=versions == "current"),
@@ -185,11 +203,11 @@ def load_facts(
         partitions=FACT_PARTITIONS,
     )
     if taken["n_rows"]:
-        reached = max(taken["watermark"] or day, day)
+        reached = max(min(taken["watermark"] or day, load.as_of), day)
         tables.commit(spark, root, FACT, version, load.batch_id, taken["n_rows"], taken["max_key"], reached)
     else:
         log.info("no new transactions in batch %s", load.batch_id)
-    return taken
+    return taken | skipped
 
 
 def load_snapshots(spark: SparkSession, root: str, days: DataFrame, load: Load) -> dict:

@@ -361,7 +361,8 @@ LEFT JOIN d2_accounts a ON d.account_id = a.account_id AND a.scd_is_current""",
     "mart_customer_360": "SELECT * FROM m_customer_360",
     "mart_fraud_signals": "SELECT * FROM m_fraud_signals",
     "mart_daily_summary": "SELECT * FROM m_daily_summary",
-    "report_customer_360": "SELECT * FROM m_customer_360 ORDER BY customer_key LIMIT 5000",
+    "report_customer_360": "SELECT * FROM m_customer_360",
+    "report_customer_top": "SELECT * FROM m_customer_360 ORDER BY customer_key LIMIT 100",
     "report_fraud_signals": "SELECT * FROM m_fraud_signals WHERE alert_level IN ('CRITICAL', 'HIGH')",
     "report_daily_summary": "SELECT * FROM m_daily_summary WHERE transaction_date >= DATE '2024-01-15' - 5",
     "append_new_ids": """

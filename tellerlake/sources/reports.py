@@ -24,7 +24,7 @@ def write_csv(report: DataFrame, folder: str, name: str, day: datetime.date, sin
 
 
 def export_all(
-    reports: dict[str, Callable[[], DataFrame]], folder: str, day: datetime.date, bounded: set[str]
+    reports: dict[str, Callable[[], DataFrame]], folder: str, day: datetime.date, bounded: set[str] = frozenset()
 ) -> dict[str, int | Exception]:
     """Write every report; one that fails is recorded and does not stop the others."""
     outcome: dict[str, int | Exception] = {}

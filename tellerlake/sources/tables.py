@@ -112,6 +112,12 @@ def last_commit(spark: SparkSession, root: str, table: str) -> Row | None:
     return mine.orderBy(F.desc("version")).first()
 
 
+def holds_batch(spark: SparkSession, root: str, table: str, batch_id: str) -> bool:
+    """Whether any commit of the table, not only the last, is of the batch."""
+    mine = commits(spark, root).filter(f"table_name = '{table}' AND batch_id = {schemas.text_literal(batch_id)}")
+    return not mine.isEmpty()
+
+
 def commit(
     spark: SparkSession,
     root: str,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tellerlake.operators import keys, quality, scd
 from tellerlake.operators.scd import Load
+from tellerlake.plans import gold
 from tellerlake.session import materialise
 
 DAYS = [datetime.date(2024, 1, d) for d in (1, 2, 3)]
@@ -132,3 +133,26 @@ def test_merge_reads_each_side_once(spark):
     dim = scd.first_rows(one, scd.ACCOUNTS, LOADS[0]).withColumn("account_key", F.lit(1).cast("long"))
     plan = scd.scd2_merge(dim, one, scd.ACCOUNTS, LOADS[1])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Join") == 1
+
+
+def test_stored_load_never_gives_a_key_twice(spark, tmp_path):
+    """The row with the highest key is closed on day two while new ids come on days two and three."""
+    root = str(tmp_path)
+    names = [f"A{i}" for i in range(1, 6)]
+    before = gold.load_dimension(spark, root, scd.ACCOUNTS, accounts(spark, *({"account_id": n} for n in names)), LOADS[0])
+    assert before["max_key"] == 5
+    highest = gold.read_type2(spark, root, scd.ACCOUNTS).filter("account_key = 5").first().account_id
+    changed = [{"account_id": n, "status": "Closed" if n == highest else "Active"} for n in names]
+    gold.load_dimension(spark, root, scd.ACCOUNTS, accounts(spark, *changed, {"account_id": "A8"}), LOADS[1])
+    third = accounts(spark, *changed[:2], {"account_id": "A9"}, {"account_id": "A8", "status": "Closed"})
+    gold.load_dimension(spark, root, scd.ACCOUNTS, third, LOADS[2])
+    stored = gold.read_type2(spark, root, scd.ACCOUNTS)
+    assert stored.count() == stored.select("account_key").distinct().count() == 9
+    assert stored.filter("scd_is_current").count() == 7
+    # an older batch again, after newer ones, changes nothing
+    assert gold.load_dimension(spark, root, scd.ACCOUNTS, accounts(spark, {"account_id": "A1"}), LOADS[0])["n_rows"] == 0
+
+
+def test_stored_load_refuses_a_key_that_comes_twice(spark, tmp_path):
+    with pytest.raises(ValueError, match="comes 2 times"):
+        gold.load_dimension(spark, str(tmp_path), scd.ACCOUNTS, accounts(spark, *[{"account_id": "A1"}] * 2), LOADS[0])
