@@ -7,8 +7,12 @@ Lines with equal sets meet first; what remains are distinct sets, each standing
 copies never multiply. The words of a set are ordered by rarity, and only prefixes are posted: two sets
 that match share a word of both prefixes. Pairs that meet at a word must pass the length filter, the
 positional filter, and a parity filter: of 64 word classes (256 for long lines) a set keeps whether it
-holds an odd number, and each class that differs stands for a word that only one set has. Pairs that pass are verified on the
-words themselves.
+holds an odd number, and each class that differs stands for a word that only one set has. Pairs that
+pass are verified on the words themselves.
+
+One match is enough for a line to go, so a group of thousands of similar lines needs no pair of each two.
+At every common word each set first meets a few leaders, the earliest sets there; what matches one goes.
+The join then leaves out pairs of which both are gone, which is all but a few of such a group's.
 
 Rarity comes from counts of all words, added up in a fixed number of buckets. Any order keeps the join
 exact; a bucket counted once proves that its word occurs nowhere else, and needs no posting. Texts move
@@ -36,9 +40,13 @@ LEAST = 4
 #: Longs of the wide parity, which sets from ``LONG`` words on have; sets up to ``SHORT`` have the narrow one.
 #: Of two sets of similar size both have one of them.
 WIDE = 4
-LONG = 64
-SHORT = 80
+LONG = 96
+SHORT = 120
 _WIDE = [f"wide{k}" for k in range(WIDE)]
+#: Six levels a doubling: words that occur 32 times or more have leaders, ``LEADERS`` each.
+LEVELS = 6
+COMMON_LEVEL = LEVELS * 5
+LEADERS = 8
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
@@ -59,8 +67,9 @@ def rarity(docs: DataFrame) -> np.ndarray:
             yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["bucket", "n"])
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "bucket int, n long")
-    level = F.least(F.floor(6 * F.log2("n")), F.lit(255)).cast("short").alias("level")
-    found = counted.groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 1").select("bucket", level).toArrow()
+    found = counted.groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 1")
+    level = F.least(F.floor(LEVELS * F.log2("n")), F.lit(255)).cast("short").alias("level")
+    found = found.select("bucket", level).toArrow()
     levels = np.zeros(1 << BUCKET_BITS, np.uint8)  # what came is a row for each bucket at most
     levels[found.column("bucket").to_numpy()] = found.column("level").to_numpy()
     return levels
@@ -68,8 +77,8 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
 @dataclass
 class _Lines:
-    """The lines of a piece that have words: row, number, first and last byte, size, key, parity, and where
-    their prefixes lie."""
+    """The lines of a piece that have words: row, number, first and last byte, size, key, parity, where
+    their prefixes lie, and how many common words end each."""
 
     row: np.ndarray
     line: np.ndarray
@@ -82,9 +91,21 @@ class _Lines:
     skip: np.ndarray
     prefix: np.ndarray
     first: np.ndarray
+    common: np.ndarray
+
+
+def _in_order(hashes: np.ndarray, level: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """The order by group, level and hash, from one sort of all three packed where they fit."""
+    if group[-1] < 1 << 24:
+        packed = group.astype(np.uint64) << np.uint64(40) | level.astype(np.uint64) << np.uint64(32) | hashes >> np.uint64(32)
+        order = np.argsort(packed)
+        packed, sorted_ = packed[order], hashes[order]
+        if not ((packed[1:] == packed[:-1]) & (sorted_[1:] != sorted_[:-1])).any():
+            return order
+    return np.lexsort((hashes, level, group))
 
 
-def _lines(texts: pa.Array, levels: np.ndarray) -> _Lines:
+def _lines(texts: pa.Array, levels: np.ndarray, narrow: bool = False) -> _Lines:
     found = words(texts)
     hashes, rows = found.hashes(), found.rows()
     breaks = np.concatenate([[0], np.cumsum(found.data == 10)])
@@ -94,7 +115,7 @@ def _lines(texts: pa.Array, levels: np.ndarray) -> _Lines:
     fresh[1:] = (rows[1:] != rows[:-1]) | (line[1:] != line[:-1])
     group = np.cumsum(fresh) - 1
     level = levels[_buckets(hashes)]
-    order = np.lexsort((hashes, level, group))
+    order = _in_order(hashes, level, group) if len(group) else np.zeros(0, np.int64)
     hashes, level, group = hashes[order], level[order], group[order]
     once = np.ones(len(hashes), bool)
     once[1:] = (group[1:] != group[:-1]) | (hashes[1:] != hashes[:-1])
@@ -103,14 +124,20 @@ def _lines(texts: pa.Array, levels: np.ndarray) -> _Lines:
     size = np.diff(begin)
     if not len(size):
         none = np.zeros(0, np.int64)
-        return _Lines(none, none, none, none, none, none, none, [none] * WIDE, none, none.astype(np.int32), np.zeros(1, np.int64))
+        return _Lines(*[none] * 7, [none] * WIDE, none, none.astype(np.int32), np.zeros(1, np.int64), none)
+    key = mix(np.add.reduceat(mix(hashes ^ np.uint64(0xA5A5)), begin[:-1]) + size.astype(np.uint64)).view(np.int64)
+    end = (found.start + found.length)[np.append(fresh[1:], True)]
+    if narrow:
+        return _Lines(rows[fresh], line[fresh], found.start[fresh], end, size, key, *[None] * 6)
     top, base = SIMILAR
     length = np.where(size >= LEAST, size - -(-top * size // base) + 1, 0)
     place = np.arange(len(hashes)) - np.repeat(begin[:-1], size)
     posted = (place < np.repeat(length, size)) & (level > 0)
     count = np.add.reduceat(posted, begin[:-1])
-    parity = np.bitwise_xor.reduceat(np.uint64(1) << (mix(hashes) >> np.uint64(58)), begin[:-1])
-    place, bit = mix(hashes) >> np.uint64(50), np.uint64(1) << ((mix(hashes) >> np.uint64(44)) & np.uint64(63))
+    common = np.add.reduceat(posted & (level >= COMMON_LEVEL), begin[:-1])
+    mixed = mix(hashes)
+    parity = np.bitwise_xor.reduceat(np.uint64(1) << (mixed >> np.uint64(58)), begin[:-1])
+    place, bit = mixed >> np.uint64(50), np.uint64(1) << ((mixed >> np.uint64(44)) & np.uint64(63))
     wide = [
         np.bitwise_xor.reduceat(np.where(place % np.uint64(WIDE) == k, bit, np.uint64(0)), begin[:-1]).view(np.int64)
         for k in range(WIDE)
@@ -118,11 +145,9 @@ def _lines(texts: pa.Array, levels: np.ndarray) -> _Lines:
     parity[size > SHORT] = 0
     for part in wide:
         part[size < LONG] = 0
-    key = mix(np.add.reduceat(mix(hashes ^ np.uint64(0xA5A5)), begin[:-1]) + size.astype(np.uint64))
     return _Lines(
-        rows[fresh], line[fresh], found.start[fresh], (found.start + found.length)[np.append(fresh[1:], True)],
-        size, key.view(np.int64), parity.view(np.int64), wide, length - count,
-        hashes[posted].astype(np.uint32).view(np.int32), np.concatenate([[0], np.cumsum(count)]),
+        rows[fresh], line[fresh], found.start[fresh], end, size, key, parity.view(np.int64), wide, length - count,
+        hashes[posted].astype(np.uint32).view(np.int32), np.concatenate([[0], np.cumsum(count)]), common,
     )
 
 
@@ -134,7 +159,7 @@ def all_lines(docs: DataFrame, levels: np.ndarray, narrow: bool = False) -> Data
         for batch in batches:
             row = 0
             for piece in pieces(batch.column(2)):
-                x = _lines(piece, levels)
+                x = _lines(piece, levels, narrow)
                 at = pa.array(row + x.row)
                 row += len(piece)
                 columns = {
@@ -150,13 +175,14 @@ def all_lines(docs: DataFrame, levels: np.ndarray, narrow: bool = False) -> Data
                         **{f"wide{k}": pa.array(x.wide[k]) for k in range(WIDE)},
                         "skip": pa.array(x.skip.astype(np.int32)),
                         "prefix": pa.ListArray.from_arrays(pa.array(x.first.astype(np.int32)), pa.array(x.prefix)),
+                        "common": pa.array(x.common.astype(np.int32)),
                     }
                 yield pa.record_batch(columns)
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, line int, set_key long"
     wide = ", ".join(f"{w} long" for w in _WIDE)
     return docs.mapInArrow(
-        cut, schema if narrow else f"{schema}, n int, parity long, {wide}, skip int, prefix array<int>"
+        cut, schema if narrow else f"{schema}, n int, parity long, {wide}, skip int, prefix array<int>, common int"
     )
 
 
@@ -190,7 +216,7 @@ def _words_of(docs: DataFrame, levels: np.ndarray, marks: np.ndarray) -> DataFra
         found = unpacked(marks)
         for batch in batches:
             for piece in pieces(batch.column(0)):
-                x, data = _lines(piece, levels), raw(piece)[0]
+                x, data = _lines(piece, levels, narrow=True), raw(piece)[0]
                 keys, at = np.unique(x.key, return_index=True)
                 hit = may_hold(keys, found)
                 texts = [data[x.start[i] : x.end[i]].tobytes() for i in at[hit]]
@@ -209,23 +235,58 @@ def _similar(pairs: DataFrame, word_sets: DataFrame) -> DataFrame:
     return both.where(f"{top + base} * SIZE(ARRAY_INTERSECT(w1, w2)) >= {top} * (SIZE(w1) + SIZE(w2))").select("later", "earlier")
 
 
-def _gone(met: DataFrame, sets: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(set_key) of the sets that match an earlier one, of candidate pairs (one, two, apart).
-
-    One match is enough. Each set is held first against the candidate whose parities differ least, which
-    nearly always matches; only sets without match then meet their other candidates.
-    """
+def _placed(met: DataFrame, sets: DataFrame) -> DataFrame:
+    """Candidate pairs (one, two, apart) as stored pairs (later, earlier, apart)."""
     places = sets.select("set_key", "at")
     pairs = met.join(places.toDF("one", "at1"), "one").join(places.toDF("two", "at2"), "two")
-    pairs = store(pairs.selectExpr("IF(at1 > at2, one, two) AS later", "IF(at1 > at2, two, one) AS earlier", "apart"))
-    release(docs.sparkSession)
+    return store(pairs.selectExpr("IF(at1 > at2, one, two) AS later", "IF(at1 > at2, two, one) AS earlier", "apart"))
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """Each later set with the candidate whose parities differ least, which nearly always matches."""
+    return pairs.groupBy("later").agg(F.min(F.struct("apart", "earlier")).alias("b")).select("later", "b.earlier")
+
+
+def _word_sets(pairs: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFrame:
     asked = pairs.select("later").union(pairs.select("earlier")).toDF("set_key")
-    word_sets = store(_words_of(docs, levels, flags(asked, "set_key")))
-    best = store(pairs.groupBy("later").agg(F.min(F.struct("apart", "earlier")).alias("b")).select("later", "b.earlier"))
+    return store(_words_of(docs, levels, flags(asked, "set_key")))
+
+
+def _led(sets: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFrame:
+    """(set_key) of sets that match a leader at one of their common words; each is held against one."""
+    posted = ["set_key", "at", "n", "parity", *_WIDE]
+    tail = "POSEXPLODE(SLICE(prefix, SIZE(prefix) - common + 1, common)) AS (k, word)"
+    postings = sets.where("common > 0").selectExpr(*posted, "skip + SIZE(prefix) - common AS before", tail)
+    postings = postings.selectExpr("word", *posted, "before + k AS place")
+    slot = F.pmod(F.xxhash64("set_key"), F.lit(LEADERS))
+    first = F.min(F.struct("at", *(c for c in posted if c != "at"), "place")).alias("s")
+    leaders = postings.groupBy("word", slot.alias("slot")).agg(first).select("word", "s.*")
+    met = postings.alias("p").join(leaders.alias("o"), "word").where(f"o.at < p.at AND {_may_match('p', 'o')}")
+    apart = f"BIT_COUNT(p.parity ^ o.parity) + {_wide_apart('p', 'o')} AS apart"
+    best = store(_best(met.selectExpr("p.set_key AS later", "o.set_key AS earlier", apart)))
+    release(docs.sparkSession)
+    word_sets = _word_sets(best, docs, levels)
+    led = store(_similar(best, word_sets).select(F.col("later").alias("set_key")))
+    for used in (best, word_sets):
+        discard(used)
+    release(docs.sparkSession)
+    return led
+
+
+def _gone(met: DataFrame, led: DataFrame, sets: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFrame:
+    """(set_key) of the sets that match an earlier one: those led, and of candidate pairs (one, two, apart)
+    all others. Only sets whose best candidate does not match meet their other candidates."""
+    known = led.select(F.col("set_key").alias("later"))
+    all_pairs = _placed(met, sets)
+    pairs = store(all_pairs.join(known, "later", "left_anti"))
+    release(docs.sparkSession)
+    word_sets = _word_sets(pairs, docs, levels)
+    best = store(_best(pairs))
     first = store(_similar(best, word_sets).select("later"))
     rest = pairs.join(first, "later", "left_anti").join(best, ["later", "earlier"], "left_anti").select("later", "earlier")
-    gone = store(first.union(_similar(rest, word_sets).select("later").distinct()).toDF("set_key"))
-    for used in (pairs, word_sets, best, first):
+    found = first.union(_similar(rest, word_sets).select("later").distinct()).union(known)
+    gone = store(found.toDF("set_key"))
+    for used in (all_pairs, pairs, word_sets, best, first):
         discard(used)
     release(docs.sparkSession)
     return gone
@@ -242,20 +303,23 @@ def later_matches(docs: DataFrame) -> DataFrame:
     keyed = _keyed(docs)
     levels = rarity(keyed)
     at = F.struct("doc_id", "text_key", "line").alias("at")
-    leader = F.min(F.struct(at, "n", "parity", *_WIDE, "skip", "prefix")).alias("s")
+    leader = F.min(F.struct(at, "n", "parity", *_WIDE, "skip", "prefix", "common")).alias("s")
     sets = store(all_lines(keyed, levels).groupBy("set_key").agg(leader).select("set_key", "s.*"))
     release(docs.sparkSession)
-    posted = ["set_key", "n", "parity", *_WIDE]
-    postings = sets.where("SIZE(prefix) > 0").selectExpr(*posted, "skip", "POSEXPLODE(prefix) AS (k, word)")
+    led = _led(sets, keyed, levels)
+    posted = ["set_key", "n", "parity", *_WIDE, "led"]
+    posting = sets.where("SIZE(prefix) > 0").join(led.withColumn("led", F.lit(True)), "set_key", "left")
+    postings = posting.selectExpr(*posted, "skip", "POSEXPLODE(prefix) AS (k, word)")
     postings = postings.selectExpr("word", *posted, "skip + k AS place")
-    met = postings.alias("p").join(postings.alias("o"), "word").where(f"p.set_key < o.set_key AND {_may_match('p', 'o')}")
+    fresh = "p.set_key < o.set_key AND (p.led IS NULL OR o.led IS NULL)"
+    met = postings.alias("p").join(postings.alias("o"), "word").where(f"{fresh} AND {_may_match('p', 'o')}")
     apart = f"BIT_COUNT(p.parity ^ o.parity) + {_wide_apart('p', 'o')} AS apart"
-    gone = _gone(met.selectExpr("p.set_key AS one", "o.set_key AS two", apart).distinct(), sets, keyed, levels)
+    gone = _gone(met.selectExpr("p.set_key AS one", "o.set_key AS two", apart).distinct(), led, sets, keyed, levels)
     standing = sets.join(gone.withColumn("gone", F.lit(True)), "set_key", "left").selectExpr("set_key", "at AS stands", "gone")
     lines = all_lines(keyed, levels, narrow=True)
     removed = lines.join(standing, "set_key").where("gone OR STRUCT(doc_id, text_key, line) != stands")
     out = store(removed.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines")))
-    for used in (sets, gone):
+    for used in (sets, led, gone):
         discard(used)
     return out
 

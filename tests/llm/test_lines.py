@@ -70,3 +70,15 @@ def test_edges(docs):
 def test_one_id_with_two_texts(docs):
     found = lines.dedup_lines(docs([(1, "first line here"), (2, "x"), (3, "first line here\nown"), (3, "other\nfirst line here")]))
     assert sorted((r.doc_id, r.text) for r in found.collect()) == [(1, "first line here"), (2, "x"), (3, "other"), (3, "own")]
+
+
+def test_many_similar_lines_meet_their_leaders(docs):
+    draw = random.Random(5)
+    base = [f"b{i}" for i in range(20)]
+    rows = []
+    for doc in range(60):
+        line = list(base)
+        for _ in range(draw.randint(0, 4)):
+            line[draw.randrange(20)] = f"n{draw.randrange(9)}"
+        rows.append((doc * 7 % 60, " ".join(line)))
+    assert {r.doc_id: r.text for r in lines.dedup_lines(docs(rows)).collect()} == plain(rows)
