@@ -11,7 +11,7 @@ holds an odd number, and each class that differs stands for a word that only one
 pass are verified on the words themselves.
 
 One match is enough for a line to go, so a group of thousands of similar lines needs no pair of each two.
-At every common word each set first meets a few leaders, the earliest sets there; what matches one goes.
+At its rarest common words each set first meets a few leaders, the earliest sets there; what matches one goes.
 The join then leaves out pairs of which both are gone, which is all but a few of such a group's.
 
 Rarity comes from counts of all words, added up in a fixed number of buckets. Any order keeps the join
@@ -43,10 +43,12 @@ WIDE = 4
 LONG = 96
 SHORT = 120
 _WIDE = [f"wide{k}" for k in range(WIDE)]
-#: Six levels a doubling: words that occur 32 times or more have leaders, ``LEADERS`` each.
+#: Six levels a doubling: words that occur 512 times or more have leaders, ``LEADERS`` each. A set meets
+#: those of ``LED_BY`` such words; which of them only decides how many pairs the join still has to make.
 LEVELS = 6
-COMMON_LEVEL = LEVELS * 5
+COMMON_LEVEL = LEVELS * 9
 LEADERS = 8
+LED_BY = 2
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
@@ -255,7 +257,7 @@ def _word_sets(pairs: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFra
 def _led(sets: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFrame:
     """(set_key) of sets that match a leader at one of their common words; each is held against one."""
     posted = ["set_key", "at", "n", "parity", *_WIDE]
-    tail = "POSEXPLODE(SLICE(prefix, SIZE(prefix) - common + 1, common)) AS (k, word)"
+    tail = f"POSEXPLODE(SLICE(prefix, SIZE(prefix) - common + 1, LEAST(common, {LED_BY}))) AS (k, word)"
     postings = sets.where("common > 0").selectExpr(*posted, "skip + SIZE(prefix) - common AS before", tail)
     postings = postings.selectExpr("word", *posted, "before + k AS place")
     slot = F.pmod(F.xxhash64("set_key"), F.lit(LEADERS))

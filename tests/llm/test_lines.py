@@ -76,9 +76,9 @@ def test_many_similar_lines_meet_their_leaders(docs):
     draw = random.Random(5)
     base = [f"b{i}" for i in range(20)]
     rows = []
-    for doc in range(60):
+    for doc in range(600):
         line = list(base)
         for _ in range(draw.randint(0, 4)):
             line[draw.randrange(20)] = f"n{draw.randrange(9)}"
-        rows.append((doc * 7 % 60, " ".join(line)))
+        rows.append((doc * 7 % 600, " ".join(line)))
     assert {r.doc_id: r.text for r in lines.dedup_lines(docs(rows)).collect()} == plain(rows)
