@@ -66,7 +66,7 @@ APART_WORDS = frozenset((
 #: Where the article is, surest first: by element or role, else by a word of class or id.
 MAIN_WORDS = frozenset(("article", "content", "post", "entry", "story", "main"))
 
-#: What a page's elements are worth to the caller: a site template for sure, or only beside the article.
+#: How sure it is that a subtree is of the site: it recurs on many pages, or on most of them.
 PLAIN, STRICT = 1, 2
 
 
@@ -86,6 +86,7 @@ class Page:
         self.sizes = array("q")  # of the text, without white space
         self.pieces: list[tuple[int, str | None]] = []  # None: a block begins or ends
         self.longest, self.longest_text = 0, ""
+        self._found: list[int] | None = None
         self._stack: list[int] = []
         self._hashes: list = []
         self._block: list[str] = []
@@ -220,71 +221,90 @@ class Page:
         elif tag not in ("html", "body"):
             self._end_open((tag,), ("#root",) if tag in SCOPE else SCOPE)
 
-    def subtrees(self) -> set[int]:
-        """Digests of the elements with text that may be templates, as signed numbers."""
-        found = set()
-        for number, tag in enumerate(self.tags):
-            if self.sizes[number] and tag not in INLINE and tag not in RAW and tag not in ("#root", "html", "head", "body"):
-                found.add(signed(self.digests[number]))
-        return found
-
     def identity(self) -> int:
         """The digest of the longest block: copies of a page share it, whatever surrounds them."""
         return signed(xxhash.xxh64_intdigest(self.longest_text))
 
+    def subtrees(self) -> tuple[set[int], set[int], set[int]]:
+        """Digests, as signed numbers, of the elements with text, by what makes them go from this page.
+
+        Those beside the article are only counted: it is chosen without them. Inside a marked article, and
+        for a piece of prose anywhere, the finding has to be STRICT, for articles share passages; of other
+        elements a PLAIN one is enough.
+        """
+        beside, strict, plain = set(), set(), set()
+        needs = self._needs()
+        for number, tag in enumerate(self.tags):
+            if self.sizes[number] and tag not in INLINE and tag not in RAW and tag not in ("#root", "html", "head", "body"):
+                (beside, plain, strict)[needs[number]].add(signed(self.digests[number]))
+        strict -= plain
+        return beside - plain - strict, strict, plain
+
     def article(self, templates: dict[int, int]) -> str:
-        """The article's text, without what ``templates`` (digest: PLAIN or STRICT) says is of the site.
+        """The article's text, without the elements that ``templates`` (digest: PLAIN or STRICT) says are of the site."""
+        needs = self._needs()
+        count = len(self.tags)
+        out = [False] * count
+        heading = [False] * count
+        for number in range(count):
+            parent = self.parents[number]
+            found = templates.get(signed(self.digests[number]), 0) if templates else 0
+            out[number] = (parent >= 0 and out[parent]) or bool(needs[number]) and found >= needs[number]
+            heading[number] = self.tags[number] in HEADINGS or (parent >= 0 and heading[parent])
+        blocks, block = [], []
+        for number, text in self.pieces:
+            if text is None:
+                if block:
+                    blocks.append(block)
+                    block = []
+            elif self._within[number] and not out[number] and (heading[number] or not self._in_header[number]):
+                block.append(text)
+        blocks.append(block)
+        joined = (" ".join("".join(block).split()) for block in blocks)
+        return "\n\n".join(text for text in joined if text)
 
-        Elements that recur on the site go. Inside the article, and where a piece of prose recurs by itself, only
-        a STRICT finding counts: articles share passages too. What is left is cleared of menus and the like by
-        element, role, class and id; an element around the article never goes.
+    def _needs(self) -> list[int]:
+        """Of each element: the finding that makes it go, 0 for what is not in the article or holds it.
+
+        First goes what element, role, class and id say is no article: menus and the like. An element around the
+        article never does. Then the article is chosen from what is left.
         """
+        if self._found is not None:
+            return self._found
         count = len(self.tags)
         words = [self._words(number) for number in range(count)]
+        main = [self._is_main(number, words[number]) for number in range(count)]
         inside = [False] * count  # of an article or main element
         holds = [False] * count
-        for number in range(count):
+        for number in range(1, count):
             parent = self.parents[number]
-            inside[number] = parent >= 0 and (inside[parent] or self._is_main(parent, words[parent]))
+            inside[number] = inside[parent] or main[parent]
         for number in range(count - 1, 0, -1):
-            if holds[number] or self._is_main(number, words[number]):
+            if holds[number] or main[number]:
                 holds[self.parents[number]] = True
         gone = [False] * count
-        in_header = [False] * count
+        self._in_header = [False] * count
         for number in range(1, count):
-            parent, tag = self.parents[number], self.tags[number]
-            in_header[number] = in_header[parent]
-            if gone[parent]:
-                gone[number] = True
-                continue
-            found = templates.get(signed(self.digests[number]), 0) if tag not in INLINE else 0
-            if found == STRICT or (found and not inside[number] and not holds[number] and tag not in PROSE):
-                gone[number] = not self._is_main(number, words[number]) or found == STRICT
-            if tag in APART:
+            parent = self.parents[number]
+            self._in_header[number] = self._in_header[parent]
+            if gone[parent] or self.tags[number] in APART:
                 gone[number] = True
-            elif not gone[number] and self._apart(number, words[number], holds, inside):
+            elif self._apart(number, words[number], main[number], holds, inside):
+                # Of an article's own header the headings stay.
                 if inside[number] and self._is_header(number, words[number]):
-                    in_header[number] = True
+                    self._in_header[number] = True
                 else:
                     gone[number] = True
-        kept = self._containers(words, gone)
-        within = [False] * count
-        heading = [False] * count
+        marked, chosen = self._containers(words, main, gone)
+        self._within = [False] * count
+        self._found = [0] * count
         for number in range(count):
             parent = self.parents[number]
-            within[number] = number in kept or (parent >= 0 and within[parent])
-            heading[number] = self.tags[number] in HEADINGS or (parent >= 0 and heading[parent])
-        blocks, block = [], []
-        for number, text in self.pieces:
-            if text is None:
-                if block:
-                    blocks.append(block)
-                    block = []
-            elif within[number] and not gone[number] and (heading[number] or not in_header[number]):
-                block.append(text)
-        blocks.append(block)
-        joined = (" ".join("".join(block).split()) for block in blocks)
-        return "\n\n".join(text for text in joined if text)
+            below = parent >= 0 and self._within[parent]
+            self._within[number] = not gone[number] and (below or number in chosen)
+            if below and not gone[number] and number not in chosen:
+                self._found[number] = STRICT if marked or self.tags[number] in PROSE else PLAIN
+        return self._found
 
     def _words(self, number: int) -> tuple[frozenset[str], str, bool]:
         """Words of class and id, the role, and whether the element is hidden."""
@@ -315,34 +335,30 @@ class Page:
     def _is_header(self, number: int, words) -> bool:
         return self.tags[number] == "header" or "header" in words[0]
 
-    def _apart(self, number: int, words, holds, inside) -> bool:
+    def _apart(self, number: int, words, main: bool, holds, inside) -> bool:
         names, role, hidden = words
         tag = self.tags[number]
-        if holds[number] or tag in ("html", "body") or self._is_main(number, words):
+        if holds[number] or main or tag in ("html", "body"):
             return False
-        if hidden or role in APART_ROLES or tag in ("header", "form"):
-            named = True
-        else:
-            named = bool(names & APART_WORDS)
+        named = hidden or role in APART_ROLES or tag in ("header", "form") or bool(names & APART_WORDS)
         # A form or a "with-sidebar" wrapper may go around a whole page that marks no article.
         return named and (inside[number] or holds[0] or self.sizes[number] * 2 <= self.sizes[0])
 
-    def _containers(self, words, gone) -> set[int]:
-        """The elements that hold the article: the largest, with the others of its kind beside it."""
+    def _containers(self, words, main, gone) -> tuple[bool, set[int]]:
+        """Whether the page marks its article, and the elements that hold it: the largest and its like beside it."""
         live = [number for number in range(1, len(self.tags)) if not gone[number] and self.sizes[number]]
-        for kind in (
-            lambda n: self.tags[n] == "article",
-            lambda n: self._is_main(n, words[n]),
-            lambda n: self.tags[n] not in INLINE
-            and self.tags[n] not in ("html", "body")
-            and bool(words[n][0] & MAIN_WORDS)
-            and self.sizes[n] * 2 > self.sizes[0],
-        ):
+        kinds = (
+            (True, lambda n: self.tags[n] == "article"),
+            (True, lambda n: main[n]),
+            (False, lambda n: self.tags[n] not in INLINE and self.tags[n] not in ("html", "body")
+             and bool(words[n][0] & MAIN_WORDS) and self.sizes[n] * 2 > self.sizes[0]),
+        )
+        for marked, kind in kinds:
             found = [n for n in live if kind(n)]
             if found:
                 largest = max(found, key=lambda n: (self.sizes[n], -n))
-                return {n for n in found if self.parents[n] == self.parents[largest]}
-        return {0}
+                return marked, {n for n in found if self.parents[n] == self.parents[largest]}
+        return False, {0}
 
 
 def signed(number: int) -> int:
