@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 
 from tellerlake.functions import bands, casts
 from tellerlake.operators.dedup import RECENCY, latest_by_key
-from tellerlake.operators.velocity import HOT_ROWS, with_daily_velocity
+from tellerlake.operators.velocity import with_daily_velocity
 from tellerlake.schemas import day_literal
+from tellerlake.session import materialise
 
 _READ = {"int": casts.to_integer, "double": casts.to_double, "boolean": casts.to_boolean, "date": casts.to_day}
 
@@ -77,24 +78,10 @@ def typed_transactions(bronze: DataFrame) -> DataFrame:
     return _without_position(latest_by_key(rows, "transaction_id"))
 
 
-def with_velocity(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Completion flag and daily velocity of deduplicated transactions."""
-    return with_daily_velocity(
-        transactions.selectExpr("*", f"{bands.is_completed('status')} AS is_completed"), hot_rows
-    )
-
-
-def transactions(bronze: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Typed, enriched transactions with a positive amount.
-
-    Copies are removed before velocity is counted, so a re-ingested day is not counted twice.
-    Completed rows without a positive amount still count towards velocity and are dropped last.
-    Bands and time flags are added after the shuffles, which then carry fewer columns.
-    """
-    typed = typed_transactions(bronze)
-    counted = with_velocity(typed, hot_rows).filter("amount > 0")
+def flagged(typed: DataFrame) -> DataFrame:
+    """Typed transactions with all that follows from a row by itself."""
     hour = casts.hour_of("transaction_time")
-    return counted.selectExpr(
+    return typed.selectExpr(
         *typed.columns,
         f"{hour} AS transaction_hour",
         # 1 = Sunday here; the calendar dimension counts from Monday.
@@ -106,7 +93,28 @@ def transactions(bronze: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         f"{bands.amount_band('amount')} AS amount_band",
         f"{bands.fraud_risk_band('fraud_score')} AS fraud_risk_band",
         f"{bands.is_declined('status')} AS is_declined",
-        "is_completed",
-        "daily_txn_count",
-        "daily_spend_total",
+        f"{bands.is_completed('status')} AS is_completed",
     )
+
+
+def valid_transactions(bronze: DataFrame) -> DataFrame:
+    """Silver transactions without their velocity, for what doesn't need it: one deduplication and no join."""
+    return flagged(typed_transactions(bronze)).filter("amount > 0")
+
+
+def transactions(bronze: DataFrame) -> DataFrame:
+    """Typed, enriched transactions with a positive amount.
+
+    Copies are removed before velocity is counted, so a re-ingested day is not counted twice. Completed rows without
+    a positive amount still count towards velocity and are dropped last. The deduplicated rows are stored, for the
+    day totals and the rows that they go back to are both read from them; the flags are added after the join.
+    """
+    typed = materialise(typed_transactions(bronze))
+    completed = typed.selectExpr("*", f"{bands.is_completed('status')} AS is_completed")
+    counted = with_daily_velocity(completed).filter("amount > 0").drop("is_completed")
+    return flagged(counted).select(*silver_columns(typed))
+
+
+def silver_columns(typed: DataFrame) -> list[str]:
+    """The columns of the silver table, velocity last."""
+    return [*flagged(typed).columns, "daily_txn_count", "daily_spend_total"]

@@ -3,34 +3,41 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A day of one account with more rows than this is split. Such days number at most
-# rows / HOT_ROWS, which bounds the table broadcast below.
-HOT_ROWS = 1_000_000
+from tellerlake.schemas import MONEY
 
-_COUNT = "COUNT_IF(is_completed)"
-_SPEND = "SUM(CASE WHEN is_completed THEN IF(is_debit, amount, 0D) END)"
+_MONEY = MONEY.simpleString()
+_SAME_DAY = "account_id <=> _day_account AND transaction_date <=> _day"
 
 
-def with_daily_velocity(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``daily_txn_count`` and ``daily_spend_total``; rows that are not completed get 0.
+def day_totals(transactions: DataFrame) -> DataFrame:
+    """One row per account and day, null ones included: how many rows completed, and what they spent.
 
-    Ordinary days are computed by one window. A day of one account that may hold a large share of
-    all rows cannot go to a single task: its totals come from a partially aggregated group-by and
-    are broadcast, and its rows are spread over chunks of about ``hot_rows`` rows. The hash in the
-    window only speeds up its sort.
+    Spend is summed as exact decimals, so no order of adding changes it. Rows are aggregated before the shuffle: a
+    day of one account with a third of all rows sends one row a task.
     """
-    hot = (
-        transactions.groupBy(F.expr("account_id AS _hot_account"), F.expr("transaction_date AS _hot_day"))
-        .agg(F.expr("COUNT(*) AS _hot_rows"), F.expr(f"{_COUNT} AS _hot_count"), F.expr(f"{_SPEND} AS _hot_spend"))
-        .filter(f"_hot_rows > {hot_rows}")
+    spent = f"SUM(IF(is_completed AND is_debit, TRY_CAST(amount AS {_MONEY}), NULL))"
+    return transactions.groupBy(F.expr("account_id AS _day_account"), F.expr("transaction_date AS _day")).agg(
+        F.expr("COUNT_IF(is_completed) AS _day_count"), F.expr(f"TRY_CAST(COALESCE({spent}, 0) AS {_MONEY}) AS _day_spend")
     )
-    same_day = F.expr("account_id <=> _hot_account AND transaction_date <=> _hot_day")
-    chunk = f"COALESCE(PMOD(XXHASH64(transaction_id), CEIL(_hot_rows / {hot_rows})), 0) AS _chunk"
-    spread = transactions.join(F.broadcast(hot), same_day, "left").selectExpr("*", chunk)
-    day = "account_id, transaction_date, _chunk"
-    window = f"OVER (PARTITION BY XXHASH64({day}), {day})"
-    return spread.selectExpr(
-        *transactions.columns,
-        f"IF(is_completed, COALESCE(_hot_count, {_COUNT} {window}), 0L) AS daily_txn_count",
-        f"IF(is_completed, COALESCE(_hot_spend, {_SPEND} {window}, 0D), 0D) AS daily_spend_total",
+
+
+def with_totals(transactions: DataFrame, totals: DataFrame) -> DataFrame:
+    """Add ``daily_txn_count`` and ``daily_spend_total`` from day totals; rows that are not completed get 0.
+
+    Rows that have both columns keep them where ``totals`` lacks their day. A spend that its type can't hold is null.
+    Both sides of the join are plain, so adaptive execution broadcasts small totals and splits the rows of a hot day.
+    """
+    held = "daily_txn_count" in transactions.columns
+    count = "COALESCE(_day_count, daily_txn_count)" if held else "_day_count"
+    spend = "IF(_day_count IS NULL, daily_spend_total, _day_spend)" if held else "_day_spend"
+    columns = [name for name in transactions.columns if name not in ("daily_txn_count", "daily_spend_total")]
+    return transactions.join(totals, F.expr(_SAME_DAY), "left").selectExpr(
+        *columns,
+        f"IF(is_completed, {count}, 0L) AS daily_txn_count",
+        f"IF(is_completed, {spend}, CAST(0 AS {_MONEY})) AS daily_spend_total",
     )
+
+
+def with_daily_velocity(transactions: DataFrame) -> DataFrame:
+    """Velocity of all rows of a frame, which is read twice: pass a stored one."""
+    return with_totals(transactions, day_totals(transactions))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tellerlake import schemas
 from tellerlake.functions import bands, calendar, ids
 from tellerlake.operators import dedup, dims, facts, keys, marts, quality, scd, silver, snapshots
+from tellerlake.operators.velocity import with_daily_velocity
 from tellerlake.plans.standins import view
 from tellerlake.session import materialise, path_exists, shared_dir
 from tellerlake.sources import raw
@@ -19,7 +20,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DAY_ONE = scd.Load("b1", datetime.date(2024, 1, 31), datetime.datetime(2024, 1, 31))
 DAY_TWO = scd.Load("b2", datetime.date(2024, 2, 1), datetime.datetime(2024, 2, 1))
-MONEY = "decimal(15,2)"
 
 QUERIES: dict[str, Query] = {}
 
@@ -35,17 +35,17 @@ def _all(parts: dict[str, DataFrame], label: str) -> DataFrame:
     return reduce(DataFrame.union, labelled)
 
 
-def _exact_spend(transactions: DataFrame) -> DataFrame:
-    """Sums of doubles depend on their order in the last digit; cents do not."""
-    return transactions.withColumn("daily_spend_total", transactions.daily_spend_total.cast(MONEY))
-
-
 def _silver_accounts(spark: SparkSession, sf_dir: str, name: str = "accounts_in") -> DataFrame:
     return silver.accounts(view(spark, sf_dir, name), DAY_TWO.as_of)
 
 
-def _silver_transactions(spark: SparkSession, sf_dir: str, name: str = "transactions_in") -> DataFrame:
-    return silver.transactions(view(spark, sf_dir, name))
+def _silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.transactions(view(spark, sf_dir, "transactions_in"))
+
+
+def _valid_transactions(spark: SparkSession, sf_dir: str, name: str = "transactions_in") -> DataFrame:
+    """Silver transactions where velocity is not needed."""
+    return silver.valid_transactions(view(spark, sf_dir, name))
 
 
 # The gold dimensions after two days of loads
@@ -156,15 +156,15 @@ def silver_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _exact_spend(_silver_transactions(spark, sf_dir))
+    return _silver_transactions(spark, sf_dir)
 
 
 @query
 def txn_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Velocity of every transaction, those without a positive amount included."""
-    rows = silver.with_velocity(silver.typed_transactions(view(spark, sf_dir, "transactions_in")))
-    columns = ("transaction_id", "account_id", "transaction_date", "daily_txn_count", "daily_spend_total")
-    return _exact_spend(rows).select(*columns)
+    typed = materialise(silver.typed_transactions(view(spark, sf_dir, "transactions_in")))
+    rows = with_daily_velocity(typed.selectExpr("*", f"{bands.is_completed('status')} AS is_completed"))
+    return rows.select("transaction_id", "account_id", "transaction_date", "daily_txn_count", "daily_spend_total")
 
 
 @query
@@ -183,7 +183,7 @@ def orphan_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def orphan_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    transactions = _silver_transactions(spark, sf_dir).select("transaction_id", "account_id")
+    transactions = _valid_transactions(spark, sf_dir).select("transaction_id", "account_id")
     return quality.orphans(transactions, _silver_accounts(spark, sf_dir), "account_id").select(
         "transaction_id", "account_id"
     )
@@ -200,7 +200,7 @@ def orphan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     accounts = _silver_accounts(spark, sf_dir)
     customers = silver.customers(view(spark, sf_dir, "customers_in"))
     branches = silver.branches(view(spark, sf_dir, "branches_in"))
-    transactions = _silver_transactions(spark, sf_dir)
+    transactions = _valid_transactions(spark, sf_dir)
     checks = {
         "accounts_without_customer": quality.orphan_count(accounts, customers, "customer_id"),
         "transactions_without_account": quality.orphan_count(transactions, accounts, "account_id"),
@@ -211,7 +211,7 @@ def orphan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def decline_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = quality.decline_rate(_silver_transactions(spark, sf_dir))
+    rates = quality.decline_rate(_valid_transactions(spark, sf_dir))
     return rates.withColumn("decline_rate_pct", rates.decline_rate_pct.cast("decimal(7,4)"))
 
 
@@ -223,7 +223,7 @@ def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "merchants": silver.merchants(view(spark, sf_dir, "merchants_in")),
         "customers": silver.customers(view(spark, sf_dir, "customers_in")),
         "accounts": _silver_accounts(spark, sf_dir),
-        "transactions": _silver_transactions(spark, sf_dir),
+        "transactions": _valid_transactions(spark, sf_dir),
     }
     return _all({name: table.selectExpr("COUNT(*) AS n_rows") for name, table in tables.items()}, "table_name")
 
@@ -266,7 +266,7 @@ def branch_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calendar with the transactions of each day."""
     per_day = (
-        _silver_transactions(spark, sf_dir)
+        _valid_transactions(spark, sf_dir)
         .selectExpr(f"{calendar.date_key('transaction_date')} AS date_key")
         .groupBy("date_key")
         .count()
@@ -282,7 +282,7 @@ def dim_transaction_type(spark: SparkSession, sf_dir: str) -> DataFrame:
         """SELECT transaction_type AS txn_type_name, COUNT(*) AS n,
                   CAST(SUM(CAST(amount AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS total
            FROM {rows} GROUP BY transaction_type""",
-        rows=_silver_transactions(spark, sf_dir),
+        rows=_valid_transactions(spark, sf_dir),
     )
     types = dims.dim_transaction_type(spark)
     counted = types.join(per_type, "txn_type_name", "left")
@@ -329,22 +329,22 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.watermark(_silver_transactions(spark, sf_dir, "transactions_loaded"))
+    return facts.watermark(_valid_transactions(spark, sf_dir, "transactions_loaded"))
 
 
 @query
 def fact_incremental_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a load takes after everything up to the watermark was loaded; late rows are lost."""
-    incoming = _silver_transactions(spark, sf_dir)
-    loaded = _silver_transactions(spark, sf_dir, "transactions_loaded")
+    incoming = _valid_transactions(spark, sf_dir)
+    loaded = _valid_transactions(spark, sf_dir, "transactions_loaded")
     return facts.not_yet_loaded(incoming, loaded, late="drop").select("transaction_id", "transaction_date")
 
 
 @query
 def fact_incremental_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same load keeping late rows."""
-    incoming = _silver_transactions(spark, sf_dir)
-    loaded = _silver_transactions(spark, sf_dir, "transactions_loaded")
+    incoming = _valid_transactions(spark, sf_dir)
+    loaded = _valid_transactions(spark, sf_dir, "transactions_loaded")
     return facts.not_yet_loaded(incoming, loaded, late="anti_join").select("transaction_id", "transaction_date")
 
 
@@ -367,7 +367,7 @@ def fact_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def account_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     accounts = stored_dimensions(spark, sf_dir).accounts
-    days = snapshots.account_snapshots(_silver_transactions(spark, sf_dir), accounts, DAY_TWO)
+    days = snapshots.account_snapshots(_valid_transactions(spark, sf_dir), accounts, DAY_TWO)
     return days.drop("snapshot_key", "dw_loaded_at")
 
 
@@ -376,7 +376,7 @@ def account_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _facts_of(spark: SparkSession, sf_dir: str) -> tuple[_Star, DataFrame]:
     star = stored_dimensions(spark, sf_dir)
-    return star, star.resolve(_silver_transactions(spark, sf_dir))
+    return star, star.resolve(_valid_transactions(spark, sf_dir))
 
 
 @query

@@ -1,5 +1,6 @@
 import datetime
 import random
+from decimal import Decimal
 
 import pytest
 from conftest import as_set, final_plan
@@ -102,42 +103,61 @@ def test_null_account_and_day_form_a_group(spark):
     assert got == {("1", 2, 20.0), ("2", 2, 20.0), ("3", 2, 20.0), ("4", 2, 20.0)}
 
 
+HOT_SCHEMA = (
+    "transaction_id string, account_id string, transaction_date date, amount double, is_debit boolean, is_completed boolean"
+)
+
+
 @pytest.mark.parametrize("seed", range(3))
-def test_splitting_hot_days_changes_nothing(spark, seed):
+def test_velocity_equals_plain_sums(spark, seed):
     """A third of all rows on one account and day, against sums made in plain Python."""
     pick = random.Random(seed)
     rows = []
     for i in range(600):
-        account, day = ("hot", 1) if i % 3 == 0 else (pick.choice(["a", "b", None]), pick.randint(1, 3))
-        rows.append((str(i), account, datetime.date(2024, 1, day), float(pick.randint(1, 99)), pick.random() < 0.7, pick.random() < 0.8))
-    df = spark.createDataFrame(
-        rows, "transaction_id string, account_id string, transaction_date date, amount double, is_debit boolean, is_completed boolean"
-    )
+        account, day = ("hot", 1) if i % 3 == 0 else (pick.choice(["a", "b", None]), pick.choice([1, 2, 3, None]))
+        amount = Decimal(pick.randint(1, 9999)) / 100
+        day = day and datetime.date(2024, 1, day)
+        rows.append((str(i), account, day, float(amount), pick.random() < 0.7, pick.random() < 0.8))
     expected = set()
     for row in rows:
         same = [r for r in rows if r[1:3] == row[1:3] and r[5]]
-        done = (len(same), sum(r[3] for r in same if r[4])) if row[5] else (0, 0.0)
-        expected.add((*row, *done))
-    for hot_rows in (1, 7, 50, 10_000):
-        assert as_set(with_daily_velocity(df, hot_rows)) == expected
-
-
-def test_hot_days_are_spread_over_partitions(spark):
-    """The rows of one account's day must not meet in a single window group."""
-    df = spark.range(2000).selectExpr(
-        "CAST(id AS STRING) AS transaction_id", "'a' AS account_id", "DATE '2024-01-01' AS transaction_date",
-        "1D AS amount", "TRUE AS is_debit", "TRUE AS is_completed",
-    )
-    counted = with_daily_velocity(df, hot_rows=100)
-    assert as_set(counted.select("daily_txn_count", "daily_spend_total").distinct()) == {(2000, 2000.0)}
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spent = sum((Decimal(str(r[3])) for r in same if r[4]), Decimal(0))
+        expected.add((*row, *((len(same), spent) if row[5] else (0, Decimal(0)))))
+    assert as_set(with_daily_velocity(spark.createDataFrame(rows, HOT_SCHEMA))) == expected
+
+
+def test_a_hot_day_is_split(spark, tmp_path):
+    """The rows of one account's day are dealt over several tasks by adaptive execution."""
+    path = str(tmp_path / "rows")
+    spark.range(400_000).selectExpr(
+        "CAST(id AS STRING) AS transaction_id", "IF(id % 3 > 0, 'a', CAST(id % 5000 AS STRING)) AS account_id",
+        "DATE '2024-01-01' AS transaction_date", "1D AS amount", "TRUE AS is_debit", "TRUE AS is_completed",
+    ).repartition(16).write.parquet(path)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
     try:
-        sizes = counted.selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        counted = with_daily_velocity(spark.read.parquet(path))
+        assert "skew=true" in final_plan(counted)
+        assert counted.filter("account_id = 'a'").select("daily_txn_count").distinct().collect() == [(266_666,)]
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 1500
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def test_velocity_joins_only_the_hot_days(spark, sf_dir):
-    plan = final_plan(silver.transactions(view(spark, sf_dir, "transactions_in")))
-    assert "SortMergeJoin" not in plan.split("== Initial Plan ==")[0]
+def test_one_scan_and_one_deduplication(spark, sf_dir):
+    """The stored rows are all that the query reads; without velocity nothing is stored or joined."""
+    rows = view(spark, sf_dir, "transactions_in")
+    plan = silver.transactions(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "events.parquet" not in plan
+    without = final_plan(silver.valid_transactions(rows)).split("== Initial Plan ==")[0]
+    assert without.count("FileScan") == 1 and without.count("WindowGroupLimit") == 2 and "Join" not in without
