@@ -124,6 +124,38 @@ SELECT merchant_id, merchant_name, CASE WHEN n % 4 = 3 THEN 'Education' ELSE mer
        mcc_code, is_online, '2024-02-01T00:00:00' AS _ingestion_ts, 'b2' AS _batch_id
 FROM (SELECT m.*, cast(substr(merchant_id, 4) AS bigint) AS n FROM {merchants_in} m) x
 WHERE n % 5 <> 4""",
+    # The transactions over four months, as three deliveries: late rows, repeated rows, corrections that move rows.
+    "transactions_spread": """
+SELECT transaction_id, account_id, merchant_id, transaction_type, channel, amount, is_debit, currency, balance_after,
+       '2024-0' || cast(1 + floor((d - 1) / 8) AS int) || '-' || substr(transaction_date, 9, 2) AS transaction_date,
+       transaction_time, reference, description, status, is_fraud_flag, fraud_score, is_weekend, is_holiday_season,
+       _ingestion_ts, _batch_id, n
+FROM (SELECT t.*, cast(substr(transaction_date, 9, 2) AS int) AS d, cast(substr(transaction_id, 4) AS bigint) AS n
+      FROM {transactions_in} t) x""",
+    "feed_day1": """
+SELECT transaction_id, account_id, merchant_id, transaction_type, channel, amount, is_debit, currency, balance_after,
+       transaction_date, transaction_time, reference, description, status, is_fraud_flag, fraud_score, is_weekend,
+       is_holiday_season, '2024-05-01T00:00:00' AS _ingestion_ts, 'f1' AS _batch_id
+FROM {transactions_spread} WHERE _batch_id = 'b1' AND transaction_date <= '2024-03-20' AND n % 13 <> 12""",
+    "feed_day2": """
+SELECT transaction_id, account_id, merchant_id, transaction_type, channel, amount, is_debit, currency, balance_after,
+       transaction_date, transaction_time, reference, description, status, is_fraud_flag, fraud_score, is_weekend,
+       is_holiday_season, '2024-05-02T00:00:00' AS _ingestion_ts, 'f2' AS _batch_id
+FROM {transactions_spread}
+WHERE _batch_id = 'b1' AND ((transaction_date > '2024-03-20' AND transaction_date <= '2024-04-27')
+                            OR (transaction_date > '2024-03-01' AND n % 5 = 0 AND n % 13 <> 12))""",
+    "feed_day3": """
+SELECT transaction_id, CASE WHEN _batch_id = 'b2' AND n % 70 = 0 THEN 'ACC0000001' ELSE account_id END AS account_id,
+       merchant_id, transaction_type, channel, amount, is_debit, currency, balance_after,
+       CASE WHEN _batch_id = 'b2' AND n % 50 = 0 THEN '2024-02-11' WHEN n % 400 = 399 THEN NULL
+            ELSE transaction_date END AS transaction_date,
+       transaction_time, reference, description, status, is_fraud_flag, fraud_score, is_weekend,
+       is_holiday_season, '2024-05-03T00:00:00' AS _ingestion_ts, 'f3' AS _batch_id
+FROM {transactions_spread}
+WHERE (_batch_id = 'b1' AND (transaction_date > '2024-04-27' OR (transaction_date <= '2024-03-20' AND n % 13 = 12))
+       AND n % 10 <> 0) OR _batch_id = 'b2'""",
+    "feed_all": """
+SELECT * FROM {feed_day1} UNION ALL SELECT * FROM {feed_day2} UNION ALL SELECT * FROM {feed_day3}""",
     "transactions_loaded": """
 SELECT * FROM {transactions_in}
 WHERE transaction_date <= '2024-01-15' AND cast(substr(transaction_id, 4) AS bigint) % 13 <> 12""",
