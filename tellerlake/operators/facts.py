@@ -51,6 +51,42 @@ def not_yet_loaded(
     raise ValueError(f"unknown late mode: {late}")
 
 
+# Where an incoming row goes: into the table, or why not.
+LOAD, KNOWN, UNDATED, LATE = "load", "known", "undated", "late"
+
+
+def routed(transactions: DataFrame, known: DataFrame, late: str, day: datetime.date) -> DataFrame:
+    """Every incoming row with its ``route``; ``known`` holds the ids that are loaded.
+
+    Rows without a date are undated. With ``late="drop"`` those up to the watermark ``day`` that are not loaded are
+    late; with ``late="anti_join"`` they load like all others.
+    """
+    if late not in ("drop", "anti_join"):
+        raise ValueError(f"unknown late mode: {late}")
+    too_late = f"transaction_date <= {day_literal(day)}" if late == "drop" else "FALSE"
+    ids = known.selectExpr("transaction_id AS _known")
+    return (
+        transactions.join(ids, F.expr("transaction_id = _known"), "left")
+        .withColumn(
+            "route",
+            F.expr(f"""CASE WHEN _known IS NOT NULL THEN '{KNOWN}' WHEN transaction_date IS NULL THEN '{UNDATED}'
+                WHEN {too_late} THEN '{LATE}' ELSE '{LOAD}' END"""),
+        )
+        .drop("_known")
+    )
+
+
+def rejected(rows: DataFrame, load: Load) -> DataFrame:
+    """Rows that are not loaded, as they were staged, with the reason."""
+    return schemas.conform(
+        rows,
+        schemas.FACT_REJECTS,
+        reason="route",
+        dw_loaded_at=time_literal(load.loaded_at),
+        dw_batch_id=text_literal(load.batch_id),
+    )
+
+
 def staged(transactions: DataFrame) -> DataFrame:
     """The staged columns with the types of the fact table.
 

@@ -9,15 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tellerlake import schemas
 from tellerlake.functions.ids import new_batch_id
-from tellerlake.operators import audit, marts, quality, scd, silver, snapshots
+from tellerlake.operators import audit, marts, quality, scd, silver
 from tellerlake.operators.scd import Load
-from tellerlake.plans import gold
-from tellerlake.sources import raw, reports, tables
+from tellerlake.plans import gold, incremental
+from tellerlake.sources import raw, reports, slices, tables
 
 log = logging.getLogger(__name__)
 
-TRANSACTION_PARTITIONS = ("transaction_year", "transaction_month")
-
 
 @dataclass(frozen=True)
 class Paths:
@@ -120,7 +118,7 @@ class DailyRun:
         return counts
 
     def silver(self) -> dict[str, int]:
-        """Rewrite the silver tables from all bronze batches."""
+        """Rewrite the small silver tables from all bronze batches, and merge the new ones into the transactions."""
         builders: dict[str, Callable[[DataFrame], DataFrame]] = {
             "branches": silver.branches,
             "merchants": silver.merchants,
@@ -132,29 +130,20 @@ class DailyRun:
             bronze = self._bronze(table)
             if bronze is not None:
                 counts[table] = tables.overwrite(build(bronze), f"{self.paths.silver}/{table}")["n_rows"]
-        bronze = self._bronze("transactions")
-        if bronze is not None:
-            rows = tables.balanced(silver.transactions(bronze), *TRANSACTION_PARTITIONS)
-            taken = tables.overwrite(
-                rows,
-                f"{self.paths.silver}/transactions",
-                "COUNT_IF(is_completed) AS completed",
-                "COUNT_IF(is_declined) AS declined",
-                partitions=TRANSACTION_PARTITIONS,
-            )
-            counts |= {"transactions": taken["n_rows"]}
-            rate = taken["declined"] / max(taken["n_rows"], 1) * 100
-            log.info("completed %d, declined %d (%.1f%%)", taken["completed"], taken["declined"], rate)
-        return counts
+        merged = incremental.merge_transactions(self.spark, self.paths.bronze, self.paths.silver, self.load.batch_id)
+        return counts | {f"transactions_{outcome}": n for outcome, n in merged.items()}
 
     def _bronze(self, table: str) -> DataFrame | None:
         return tables.read_if_present(self.spark, f"{self.paths.bronze}/{table}", schemas.bronze_schema(table))
 
     def _silver(self, table: str) -> DataFrame | None:
+        if table == "transactions":
+            found = slices.last_snapshot(self.spark, self.paths.silver)
+            return incremental.read_transactions(self.spark, self.paths.silver) if found else None
         return tables.read_if_present(self.spark, f"{self.paths.silver}/{table}")
 
     def gold(self) -> dict[str, int]:
-        """Dimensions first, customers before accounts, then facts and snapshots."""
+        """Dimensions first, customers before accounts, then facts and snapshots of what silver changed."""
         spark, root, load = self.spark, self.paths.gold, self.load
         counts = {}
         gold.load_seeds(spark, root, load)
@@ -171,12 +160,13 @@ class DailyRun:
             taken = gold.load_dimension(spark, root, dimension, incoming, load)
             counts[f"{dimension.name}_inserted"] = taken["inserted"]
             counts[f"{dimension.name}_updated"] = taken["updated"]
-        transactions = self._silver("transactions")
-        if transactions is not None:
-            counts["fact_transactions"] = gold.load_facts(spark, root, transactions, load, self.late)["n_rows"]
-            accounts = gold.read_type2(spark, root, scd.ACCOUNTS, current_only=True)
-            days = snapshots.account_snapshots(transactions, accounts, load)
-            counts["fact_account_snapshots"] = gold.load_snapshots(spark, root, days, load)["n_rows"]
+        now = slices.last_snapshot(spark, self.paths.silver)
+        if now:
+            last = tables.last_commit(spark, root, gold.FACT)
+            since = last.source or 0 if last else 0
+            changed = incremental.changed_transactions(spark, self.paths.silver, since, now)
+            counts[gold.FACT] = gold.load_facts(spark, root, changed, load, self.late, source=now)["n_rows"]
+            counts[gold.SNAPSHOTS] = gold.load_snapshots(spark, root, self.paths.silver, load)["n_rows"]
         return counts
 
     def quality(self) -> dict[str, int]:

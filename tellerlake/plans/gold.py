@@ -4,17 +4,21 @@ A load whose batch is already committed does nothing, so a run that stopped half
 with the same batch id and continues where it stopped.
 """
 
+import json
 import logging
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tellerlake import schemas
-from tellerlake.operators import dims, facts, keys, scd
+from tellerlake.operators import changes, dims, facts, keys, scd, snapshots
 from tellerlake.operators.scd import Dimension, Load
+from tellerlake.plans import incremental
 from tellerlake.session import materialise
-from tellerlake.sources import tables
+from tellerlake.sources import slices, tables
+from tellerlake.sources.slices import Run
 
 log = logging.getLogger(__name__)
 
@@ -24,6 +28,8 @@ STORED_FACT = StructType(
     [*schemas.FACT_TRANSACTIONS.fields, *(StructField(name, IntegerType()) for name in FACT_PARTITIONS)]
 )
 SNAPSHOTS = "fact_account_snapshots"
+DAYS, BALANCES = "days", "balances"
+FACT_KEYS, REJECTS = "fact_keys", "fact_rejects"
 CALENDAR, TYPES = "dim_date", "dim_transaction_type"
 
 
@@ -67,7 +73,7 @@ def read_fact(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    return read_whole(spark, root, SNAPSHOTS, schemas.FACT_ACCOUNT_SNAPSHOTS)
+    return slices.read(spark, f"{root}/{SNAPSHOTS}", DAYS, schemas.STORED_SNAPSHOT).drop("account_id")
 
 
 def register_views(spark: SparkSession, root: str) -> None:
@@ -80,6 +86,7 @@ def register_views(spark: SparkSession, root: str) -> None:
         scd.CUSTOMERS.name: read_type2(spark, root, scd.CUSTOMERS),
         scd.ACCOUNTS.name: read_type2(spark, root, scd.ACCOUNTS),
         FACT: read_fact(spark, root),
+        REJECTS: read_rejects(spark, root),
         SNAPSHOTS: read_snapshots(spark, root),
     }
     for name, df in views.items():
@@ -157,27 +164,70 @@ def load_facts(
     load: Load,
     late: str = "anti_join",
     versions: str = "current",
+    source: int | None = None,
 ) -> dict:
-    """Append the transactions the fact table does not hold yet, with their keys.
+    """Append the transactions that the fact table does not hold yet, with their keys.
 
-    The watermark and the highest key come from the last commit, so neither needs a scan. The watermark
-    never passes the day of the load, so a row dated in the future does not shut later ones out. An empty
-    batch writes no version. What is left out is counted: ``undated`` rows, and with ``late="drop"`` the
-    ``late`` ones, which are those up to the watermark, loaded before or not.
+    Every incoming row takes one route, in one write: it is loaded, known, undated or, with ``late="drop"``, late.
+    Known rows are in the table; undated and late ones go to ``fact_rejects``. The parts have to add up to what was
+    read before anything is committed. Which ids are known is looked up in the key blocks that the incoming ids fall
+    in, so a load reads neither the fact nor keys that it can't need; the table's watermark and highest key come from
+    the last commit. The watermark never passes the day of the load, so a row dated in the future does not shut later
+    ones out. A batch that brings nothing writes nothing but its commit.
+
+    ``source`` is the silver snapshot that the rows are of.
     """
     following = _next(spark, root, FACT, load)
     if following is None:
         return {"n_rows": 0}
     last, version = following
     day = last.watermark if last else facts.BEGINNING
-    fresh = facts.not_yet_loaded(transactions, read_fact(spark, root), late, day)
-    left_out = transactions.agg(
-        F.expr("COUNT_IF(transaction_date IS NULL) AS undated"),
-        F.expr(f"COUNT_IF(transaction_date <= {schemas.day_literal(day)}) AS late"),
-    ).first()
-    skipped = {"undated": left_out.undated} | ({"late": left_out.late} if late == "drop" else {})
-    if any(skipped.values()):
-        log.warning("batch %s: not loaded: %s", load.batch_id, skipped)
+    path = f"{root}/staging/{FACT}"
+    blocks = transactions.selectExpr(f"{changes.block_of()} AS block").distinct().collect()
+    known = read_fact_keys(spark, root, last.version if last else 0, {row.block for row in blocks})
+    counted = tables.overwrite(
+        facts.routed(transactions, known, late, day), path, *(_count_of(r) for r in ROUTES), partitions=("route",)
+    )
+    if counted["n_rows"] != sum(counted[route] for route in ROUTES):
+        raise RuntimeError(f"{FACT}: routes do not add up: {counted}")
+    staged_schema = StructType([*transactions.schema.fields, StructField("route", StringType())])
+    staged = spark.read.schema(staged_schema).parquet(path)
+    result = {"n_rows": counted[facts.LOAD]} | {route: counted[route] for route in ROUTES if route != facts.LOAD}
+    max_key, reached = (last.max_key, day) if last else (0, day)
+    run = Run(spark, root, load.batch_id, snapshot=version)
+    left_out = (facts.UNDATED, facts.LATE)
+    if sum(counted[route] for route in left_out):
+        rejects = facts.rejected(staged.filter(F.col("route").isin(*left_out)), load)
+        tables.overwrite(rejects, f"{root}/{REJECTS}/version={version}")
+        log.warning("batch %s: not loaded: %s", load.batch_id, {route: counted[route] for route in left_out})
+    if counted[facts.LOAD]:
+        fresh = staged.filter(f"route = '{facts.LOAD}'").drop("route")
+        taken = _append_facts(spark, root, fresh, load, versions, version, max_key)
+        max_key, reached = taken["max_key"], max(min(taken["watermark"], load.as_of), day)
+        result |= {"without_account": taken["without_account"]}
+        ids = fresh.select("transaction_id")
+        touched = {row[0] for row in ids.selectExpr(changes.block_of()).distinct().collect()}
+        held = read_fact_keys(spark, root, last.version if last else 0, touched)
+        run.replace(held.union(ids), FACT_KEYS, changes.block_of(), touched)
+    else:
+        log.info("no new transactions in batch %s", load.batch_id)
+    # The keys become readable with the fact's commit: they are read up to its version only.
+    run.commit()
+    tables.commit(spark, root, FACT, version, load.batch_id, counted[facts.LOAD], max_key, reached, source)
+    return result
+
+
+ROUTES = (facts.LOAD, facts.KNOWN, facts.UNDATED, facts.LATE)
+
+
+def _count_of(route: str) -> str:
+    return f"COUNT_IF(route = '{route}') AS {route}"
+
+
+def _append_facts(
+    spark: SparkSession, root: str, fresh: DataFrame, load: Load, versions: str, version: int, max_key: int
+) -> dict:
+    """Write the rows of one version of the fact table, clustered by account and day within each month."""
     resolved = facts.resolve_keys(
         fresh,
         read_type2(spark, root, scd.ACCOUNTS, current_only=versions == "current"),
@@ -192,31 +242,90 @@ def load_facts(
             "*", "YEAR(transaction_date) AS transaction_year", "MONTH(transaction_date) AS transaction_month"
         ),
         *FACT_PARTITIONS,
-    )
-    keyed = facts.with_written_keys(placed, "transaction_key", last.max_key if last else 0)
-    taken = tables.overwrite(
-        keyed,
+    ).sortWithinPartitions(*FACT_PARTITIONS, "account_key", "transaction_date", "transaction_time")
+    return tables.overwrite(
+        facts.with_written_keys(placed, "transaction_key", max_key),
         f"{root}/{FACT}/version={version}",
         "MAX(transaction_key) AS max_key",
         "MAX(transaction_date) AS watermark",
         "COUNT_IF(account_key IS NULL) AS without_account",
         partitions=FACT_PARTITIONS,
     )
-    if taken["n_rows"]:
-        reached = max(min(taken["watermark"] or day, load.as_of), day)
-        tables.commit(spark, root, FACT, version, load.batch_id, taken["n_rows"], taken["max_key"], reached)
-    else:
-        log.info("no new transactions in batch %s", load.batch_id)
-    return taken | skipped
 
 
-def load_snapshots(spark: SparkSession, root: str, days: DataFrame, load: Load) -> dict:
-    """Replace the account snapshots."""
-    following = _next(spark, root, SNAPSHOTS, load)
-    if following is None:
+def read_fact_keys(spark: SparkSession, root: str, version: int, blocks: set[str] | None = None) -> DataFrame:
+    """Ids that versions up to one loaded, of all blocks or some."""
+    schema = StructType([schemas.FACT_TRANSACTIONS["transaction_id"]])
+    return slices.read(spark, root, FACT_KEYS, schema, blocks, version)
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """What committed loads left out, with the reason."""
+    last = tables.last_commit(spark, root, FACT)
+    if last is None:
+        return spark.createDataFrame([], schemas.FACT_REJECTS)
+    return tables.read_up_to(spark, root, REJECTS, last.version, schemas.FACT_REJECTS)
+
+
+def load_snapshots(spark: SparkSession, root: str, silver: str, load: Load) -> dict:
+    """Bring the account snapshots up to the newest silver snapshot; returns how many days were written anew.
+
+    Only days of accounts that silver changed are computed, from the months that they are in. An account's new days
+    open with its stored last balance; a late or corrected day also reopens the day that follows it, wherever that
+    is, and nothing else. Months without a moved row are not rewritten. Rows that stay keep their keys.
+    """
+    own = f"{root}/{SNAPSHOTS}"
+    if slices.holds(spark, own, load.batch_id):
         return {"n_rows": 0}
-    version = following[1]
-    keyed = facts.with_written_keys(days, "snapshot_key", 0)
-    taken = tables.overwrite(keyed, f"{root}/{SNAPSHOTS}/version={version}", "MAX(snapshot_key) AS max_key")
-    tables.commit(spark, root, SNAPSHOTS, version, load.batch_id, taken["n_rows"], taken["max_key"])
-    return taken
+    state = json.loads(slices.last_mark(spark, own) or '{"source": 0, "max_key": 0}')
+    now = slices.last_snapshot(spark, silver)
+    found = [incremental.read_changes(spark, silver, n) for n in range(state["source"] + 1, now + 1)]
+    run = Run(spark, own, load.batch_id)
+    moved = 0
+    if found:
+        touched = changes.touched_days(reduce(DataFrame.union, found)).filter("transaction_date IS NOT NULL")
+        touched = materialise(touched, f"{own}/staging/touched")
+        moved, state["max_key"] = _rechain(spark, root, silver, load, run, touched, now, state["max_key"])
+    run.commit(mark=json.dumps({"source": now, "max_key": state["max_key"]}))
+    return {"n_rows": moved}
+
+
+def _rechain(
+    spark: SparkSession, root: str, silver: str, load: Load, run: Run, touched: DataFrame, now: int, max_key: int
+) -> tuple[int, int]:
+    own = run.root
+    months = {row[0] for row in touched.selectExpr(changes.month_of()).distinct().collect()}
+    if not months:
+        return 0, max_key
+    later = {name for name in slices.current(spark, own, DAYS) if name >= min(months)}
+    stored = slices.read(spark, own, DAYS, schemas.STORED_SNAPSHOT, later)
+    blocks = {row[0] for row in touched.selectExpr(changes.block_of("account_id")).distinct().collect()}
+    balance = StructType([schemas.STORED_SNAPSHOT["account_id"], schemas.STORED_SNAPSHOT["closing_balance"]])
+    last = slices.read(spark, own, BALANCES, balance, blocks)
+
+    days, on_same_day = changes.same_day(touched)
+    rows = incremental.read_transactions(spark, silver, sorted(months), now).join(days, on_same_day, "left_semi")
+    accounts = read_type2(spark, root, scd.ACCOUNTS, current_only=True)
+    fresh = snapshots.new_days(snapshots.account_days(rows), accounts, load)
+    base = materialise(snapshots.bases(stored, touched, last), f"{own}/staging/base")
+    chain = materialise(snapshots.chained(stored, touched, fresh, base), f"{own}/staging/chain")
+
+    # Days that are new to the table are numbered above all keys given out so far.
+    day_id = "CONCAT_WS('|', CAST(snapshot_date AS STRING), account_id) AS _day_id"
+    unnumbered = chain.filter("snapshot_key IS NULL").selectExpr("*", day_id)
+    numbered = keys.number_rows(unnumbered, "_day_id", "snapshot_key", F.lit(max_key)).drop("_day_id")
+    taken = unnumbered.count()
+    whole = materialise(
+        chain.filter("snapshot_key IS NOT NULL").unionByName(numbered.select(*chain.columns)), f"{own}/staging/whole"
+    )
+    month = changes.month_of("snapshot_date")
+    rewritten = {row[0] for row in whole.filter("_moved").selectExpr(month).distinct().collect()} | (months & later)
+    others = slices.read(spark, own, DAYS, schemas.STORED_SNAPSHOT, rewritten).join(
+        base, F.expr("account_id <=> _account"), "left_anti"
+    )
+    mine = whole.filter(F.expr(month).isin(sorted(rewritten))).drop("_moved")
+    run.replace(others.unionByName(mine), DAYS, month, rewritten)
+    ends = snapshots.closing_balances(chain, base)
+    kept = last.join(base, F.expr("account_id <=> _account"), "left_anti")
+    run.replace(kept.unionByName(ends), BALANCES, changes.block_of("account_id"), blocks)
+    return whole.filter("_moved").count(), max_key + taken

@@ -5,13 +5,14 @@ they change. Nothing else is read or written, so a day costs what arrived on it,
 """
 
 import logging
-from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tellerlake import schemas
+from tellerlake.functions import bands
 from tellerlake.operators import changes, silver
 from tellerlake.session import materialise
 from tellerlake.sources import slices, tables
@@ -47,6 +48,16 @@ def read_changes(spark: SparkSession, root: str, snapshot: int) -> DataFrame:
     return slices.read(spark, root, CHANGES, schema, [str(snapshot)], snapshot)
 
 
+def changed_transactions(spark: SparkSession, root: str, since: int, now: int) -> DataFrame:
+    """Silver transactions, as of snapshot ``now``, that snapshots after ``since`` added or changed."""
+    found = [read_changes(spark, root, number) for number in range(since + 1, now + 1)]
+    if not found:
+        return read_transactions(spark, root, only=[])
+    changed = reduce(DataFrame.union, found)
+    rows = read_transactions(spark, root, _values(changed, "month"), now)
+    return rows.join(changed.select("transaction_id").distinct(), "transaction_id", "left_semi")
+
+
 def _values(df: DataFrame, *columns: str) -> list[str]:
     """Distinct values of slice columns: as many as there are slices."""
     return sorted({row[0] for c in columns for row in df.select(c).distinct().collect() if row[0] is not None})
@@ -57,13 +68,11 @@ def merge_transactions(
     bronze: str,
     root: str,
     batch_id: str,
-    then: Callable[[Run, DataFrame], None] | None = None,
 ) -> dict[str, int]:
     """Merge the bronze batches that are not in yet into the silver table; returns rows added and changed.
 
     The result has the rows of a full rebuild. Copies that say what the held row says leave it alone, lineage
     included. Batches must come in order of ingestion: one older than what is merged makes the table be rebuilt.
-    ``then`` adds tables that follow from the changes to the same commit.
     """
     if slices.holds(spark, root, batch_id):
         log.info("batch %s is already merged", batch_id)
@@ -89,7 +98,12 @@ def merge_transactions(
     only = [] if rebuild else blocks
     held = slices.read(spark, root, KEYS, key_schema, only)
     changed = materialise(changes.changes(incoming, held), f"{staged}/changed")
-    counted = {row.outcome: row["count"] for row in changed.groupBy("outcome").count().collect()}
+    declined = F.expr(f"COUNT_IF({bands.is_declined('status')}) AS declined")
+    counts = changed.groupBy("outcome").agg(F.expr("COUNT(*) AS n_rows"), declined).collect()
+    counted = {row.outcome: row.n_rows for row in counts}
+    if counted:
+        rate = sum(row.declined for row in counts) / sum(counted.values()) * 100
+        log.info("%s: %s, declined %.1f%%", batch_id, counted, rate)
 
     typed_columns = _typed(spark).columns
     if counted or rebuild:
@@ -105,7 +119,5 @@ def merge_transactions(
         run.replace(keys, KEYS, changes.block_of(), touched)
         columns = [part.split()[0] for part in changes.CHANGE_COLUMNS.split(", ")]
         run.replace(changed.select(*columns), CHANGES, f"'{run.snapshot}'", [])
-    if then is not None:
-        then(run, changed)
     run.commit(mark=max(filter(None, (span.high, mark)), default=None), taken=names)
     return {"inserted": counted.get(changes.NEW, 0), "updated": counted.get(changes.CHANGED, 0)}

@@ -225,6 +225,16 @@ FACT_TRANSACTIONS = _struct(
     dw_batch_id=StringType(),
 )
 
+# What the fact load leaves out, and why.
+FACT_REJECTS = StructType(
+    [
+        *STAGED_TRANSACTION.fields,
+        StructField("reason", StringType()),
+        StructField("dw_loaded_at", TimestampType()),
+        StructField("dw_batch_id", StringType()),
+    ]
+)
+
 FACT_ACCOUNT_SNAPSHOTS = _struct(
     snapshot_key=LongType(),
     snapshot_date=DateType(),
@@ -241,6 +251,9 @@ FACT_ACCOUNT_SNAPSHOTS = _struct(
     dw_batch_id=StringType(),
 )
 
+# Snapshots as they are stored: with the account that they are of, to chain its days.
+STORED_SNAPSHOT = StructType([StructField("account_id", StringType()), *FACT_ACCOUNT_SNAPSHOTS.fields])
+
 AUDIT_PIPELINE_RUNS = _struct(
     pipeline_name=StringType(),
     layer=StringType(),

@@ -37,6 +37,11 @@ def batches(spark: SparkSession, root: str) -> tuple[set[str], str | None]:
     return {row.batch_id for row in rows}, max((row.mark for row in rows if row.mark is not None), default=None)
 
 
+def last_mark(spark: SparkSession, root: str) -> str | None:
+    """The mark of the newest commit."""
+    return _log(spark, root).filter(f"table_name = '{BATCH}'").agg(F.expr("MAX_BY(mark, snapshot)")).first()[0]
+
+
 def holds(spark: SparkSession, root: str, batch_id: str) -> bool:
     taken = f"table_name = '{BATCH}' AND batch_id = {schemas.text_literal(batch_id)}"
     return not _log(spark, root).filter(taken).isEmpty()
@@ -76,7 +81,7 @@ def read(
 
 @dataclass
 class Run:
-    """What a run has written so far; ``commit`` makes it visible."""
+    """What a run has written so far; ``commit`` makes it visible. The snapshot is the next, unless it is given."""
 
     spark: SparkSession
     root: str
@@ -85,7 +90,7 @@ class Run:
     written: list[tuple] = field(default_factory=list)
 
     def __post_init__(self):
-        self.snapshot = last_snapshot(self.spark, self.root) + 1
+        self.snapshot = self.snapshot or last_snapshot(self.spark, self.root) + 1
 
     def replace(self, rows: DataFrame, table: str, slice_of: str, touched: Iterable[str]) -> dict[str, int]:
         """Write the new content of slices; those ``touched`` that get no rows end up empty. Returns rows by slice.

@@ -19,7 +19,7 @@ from tellerlake.session import path_exists
 
 log = logging.getLogger(__name__)
 
-COMMITS = "table_name string, version long, batch_id string, n_rows long, max_key long, watermark date"
+COMMITS = "table_name string, version long, batch_id string, n_rows long, max_key long, watermark date, source long"
 
 
 def read_if_present(
@@ -127,8 +127,10 @@ def commit(
     n_rows: int = 0,
     max_key: int | None = None,
     watermark: datetime.date | None = None,
+    source: int | None = None,
 ) -> None:
-    row = [(table, version, batch_id, n_rows, max_key, watermark)]
+    """Make a version visible; ``source`` is the snapshot of the layer below that it was made from."""
+    row = [(table, version, batch_id, n_rows, max_key, watermark, source)]
     spark.createDataFrame(row, COMMITS).coalesce(1).write.mode("append").parquet(f"{root}/commits")
 
 
