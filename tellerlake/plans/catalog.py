@@ -12,9 +12,10 @@ from tellerlake import schemas
 from tellerlake.functions import bands, calendar, ids
 from tellerlake.operators import dedup, dims, facts, keys, marts, quality, scd, silver, snapshots
 from tellerlake.operators.velocity import with_daily_velocity
+from tellerlake.plans import gold, incremental
 from tellerlake.plans.standins import view
 from tellerlake.session import materialise, path_exists, shared_dir
-from tellerlake.sources import raw
+from tellerlake.sources import raw, slices, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -467,6 +468,100 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.all_results(parts, DAY_TWO.loaded_at).drop("checked_at")
 
 
+# Three days through the stored layers
+
+
+FEED_DAYS = tuple(
+    scd.Load(f"f{n}", datetime.date(2024, 5, n), datetime.datetime(2024, 5, n, 12)) for n in (1, 2, 3)
+)
+_LOADED: dict[tuple[str, str], str] = {}
+
+
+def _load_day(spark: SparkSession, sf_dir: str, root: str, number: int, load: scd.Load) -> None:
+    """One day's delivery through bronze, silver and gold; dimensions get their second delivery on the second day."""
+    feed = view(spark, sf_dir, f"feed_day{number}").drop("_ingestion_ts", "_batch_id")
+    placed = feed.selectExpr("*", "'transactions.csv' AS _source_file", "CAST(NULL AS BIGINT) AS _source_row_number")
+    batch = raw.with_lineage(placed, load.batch_id, load.loaded_at)
+    tables.append_bronze(batch, f"{root}/bronze", "transactions", load.batch_id)
+    incremental.merge_transactions(spark, f"{root}/bronze", f"{root}/silver", load.batch_id)
+
+    warehouse, delivery = f"{root}/gold", min(number, 2)
+    gold.load_seeds(spark, warehouse, load)
+    for dimension, clean in ((scd.BRANCHES, silver.branches), (scd.MERCHANTS, silver.merchants), (scd.CUSTOMERS, silver.customers)):
+        table = dimension.name.removeprefix("dim_")
+        gold.load_dimension(spark, warehouse, dimension, clean(view(spark, sf_dir, f"{table}_day{delivery}")), load)
+    accounts = scd.resolve_account_keys(
+        _silver_accounts(spark, sf_dir, f"accounts_day{delivery}"),
+        gold.read_type1(spark, warehouse, scd.BRANCHES),
+        gold.read_type2(spark, warehouse, scd.CUSTOMERS, current_only=True),
+    )
+    gold.load_dimension(spark, warehouse, scd.ACCOUNTS, accounts, load)
+    now = slices.last_snapshot(spark, f"{root}/silver")
+    last = tables.last_commit(spark, warehouse, gold.FACT)
+    changed = incremental.changed_transactions(spark, f"{root}/silver", last.source if last else 0, now)
+    gold.load_facts(spark, warehouse, changed, load, source=now)
+    gold.load_snapshots(spark, warehouse, f"{root}/silver", load)
+
+
+def three_days(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a warehouse that took three deliveries, filled on first use in a session."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    root = _LOADED.get(at)
+    if root is None or not path_exists(spark, root):
+        root = f"{shared_dir(spark)}/tellerlake/days-{uuid.uuid4()}"
+        for number, load in enumerate(FEED_DAYS, 1):
+            _load_day(spark, sf_dir, root, number, load)
+        _LOADED[at] = root
+    return root
+
+
+@query
+def silver_three_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver transactions merged delivery by delivery: what a rebuild from all of them gives."""
+    rows = incremental.read_transactions(spark, f"{three_days(spark, sf_dir)}/silver")
+    return rows.drop("_ingestion_ts", "_batch_id")
+
+
+@query
+def gold_customers_three_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored customer dimension, every version; the third load brings what the second did."""
+    return gold.read_type2(spark, f"{three_days(spark, sf_dir)}/gold", scd.CUSTOMERS).drop("dw_created_at")
+
+
+@query
+def gold_accounts_three_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.read_type2(spark, f"{three_days(spark, sf_dir)}/gold", scd.ACCOUNTS).drop("dw_created_at")
+
+
+@query
+def daily_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored facts: late rows included, each as it was and with the keys that were current when it was loaded."""
+    fact = gold.read_fact(spark, f"{three_days(spark, sf_dir)}/gold")
+    return fact.drop("transaction_key", "dw_loaded_at")
+
+
+@query
+def fact_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the loads left out, and why."""
+    rows = gold.read_rejects(spark, f"{three_days(spark, sf_dir)}/gold")
+    return rows.select("transaction_id", "account_id", "amount", "status", "reason", "dw_batch_id")
+
+
+@query
+def daily_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and watermark of every committed fact load."""
+    commits = tables.commits(spark, f"{three_days(spark, sf_dir)}/gold")
+    return commits.filter(f"table_name = '{gold.FACT}'").select("batch_id", "n_rows", "watermark")
+
+
+@query
+def snapshots_three_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances carried from day to day, late and corrected days included: what a build from all rows gives."""
+    root = f"{three_days(spark, sf_dir)}/gold/{gold.SNAPSHOTS}"
+    rows = slices.read(spark, root, gold.DAYS, schemas.STORED_SNAPSHOT)
+    return rows.drop("snapshot_key", "account_key", "customer_key", "dw_loaded_at", "dw_batch_id")
+
+
 # Bronze
 
 

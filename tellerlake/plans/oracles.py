@@ -99,8 +99,10 @@ FROM {source} WHERE amount > 0"""
 for _name, _build in (("branches", _branches), ("merchants", _merchants), ("customers", _customers), ("accounts", _accounts)):
     for _suffix in ("in", "day1", "day2"):
         STEPS[f"s_{_name}_{_suffix}"] = _build(f"{_name}_{_suffix}")
-for _suffix in ("in", "loaded"):
-    STEPS[f"t_transactions_{_suffix}"] = _typed_transactions(f"transactions_{_suffix}")
+for _source, _suffix in (
+    ("transactions_in", "in"), ("transactions_loaded", "loaded"), ("feed_day1", "feed1"), ("feed_upto2", "feed2"), ("feed_all", "feed3"),
+):
+    STEPS[f"t_transactions_{_suffix}"] = _typed_transactions(_source)
     STEPS[f"v_transactions_{_suffix}"] = _velocity(f"t_transactions_{_suffix}")
     STEPS[f"s_transactions_{_suffix}"] = _transactions(f"v_transactions_{_suffix}")
 
@@ -219,8 +221,9 @@ FROM (SELECT CAST(unnest(generate_series(DATE '2020-01-01', DATE '2027-12-31', I
 # Facts
 
 
-def _fact(source: str, match: str) -> str:
-    return f"""
+def _fact(source: str, match: str, day: int = 2) -> str:
+    """Facts with the dimensions as they were after that day's delivery."""
+    text = f"""
 SELECT CAST(strftime(s.transaction_date, '%Y%m%d') AS INTEGER) AS date_key, a.account_key, a.customer_key, m.merchant_key,
        b.branch_key, t.txn_type_key, s.transaction_id, s.transaction_date, s.transaction_time,
        CAST(s.transaction_hour AS SMALLINT) AS transaction_hour, CAST(s.amount AS DECIMAL(15,2)) AS amount, s.is_debit,
@@ -233,6 +236,7 @@ LEFT JOIN d2_accounts a ON s.account_id = a.account_id AND {match}
 LEFT JOIN d2_merchants m ON s.merchant_id = m.merchant_id
 LEFT JOIN types t ON s.transaction_type = t.txn_type_name
 LEFT JOIN d2_branches b ON a.branch_key = b.branch_key"""
+    return text.replace("d2_", f"d{day}_")
 
 
 STEPS["fact"] = _fact("s_transactions_in", "a.scd_is_current")
@@ -242,6 +246,42 @@ STEPS["fact_as_of"] = _fact(
     "s.transaction_date >= a.scd_start_date AND (a.scd_end_date IS NULL OR s.transaction_date < a.scd_end_date)",
 )
 
+# Three deliveries: a fact is as its id's first dated delivery made it. ``seen_n`` is the table after day n.
+STEPS["seen_1"] = f"""
+SELECT * REPLACE ('f1' AS dw_batch_id) FROM ({_fact("s_transactions_feed1", "true", 1)}) x WHERE transaction_date IS NOT NULL"""
+for _n in (2, 3):
+    STEPS[f"seen_{_n}"] = f"""
+SELECT * FROM seen_{_n - 1}
+UNION ALL
+SELECT * REPLACE ('f{_n}' AS dw_batch_id) FROM ({_fact(f"s_transactions_feed{_n}", "a.scd_is_current")}) x
+WHERE transaction_date IS NOT NULL AND transaction_id NOT IN (SELECT transaction_id FROM seen_{_n - 1})"""
+
+
+def _redated(name: str) -> str:
+    """A dimension after two loads, moved to the days and batches of the deliveries."""
+    day = "CASE {0} WHEN DATE '2024-01-31' THEN DATE '2024-05-01' WHEN DATE '2024-02-01' THEN DATE '2024-05-02' END AS {0}"
+    return f"""
+SELECT * EXCLUDE (_action) REPLACE ({day.format("scd_start_date")}, {day.format("scd_end_date")},
+                                    CASE dw_batch_id WHEN 'b1' THEN 'f1' ELSE 'f2' END AS dw_batch_id)
+FROM d2_{name}"""
+
+
+SQL["silver_three_days"] = "SELECT * EXCLUDE (_ingestion_ts, _batch_id) FROM s_transactions_feed3"
+SQL["gold_customers_three_days"] = _redated("customers")
+SQL["gold_accounts_three_days"] = _redated("accounts")
+SQL["daily_fact"] = """
+SELECT *, CAST(year(transaction_date) AS INTEGER) AS transaction_year, CAST(month(transaction_date) AS INTEGER) AS transaction_month
+FROM seen_3"""
+SQL["fact_rejects"] = """
+SELECT transaction_id, account_id, CAST(amount AS DECIMAL(15,2)) AS amount, status, 'undated' AS reason, 'f3' AS dw_batch_id
+FROM s_transactions_feed3 WHERE transaction_date IS NULL AND transaction_id NOT IN (SELECT transaction_id FROM seen_2)"""
+SQL["daily_audit"] = "\nUNION ALL".join(
+    f"""
+SELECT 'f{n}' AS batch_id, count(*) FILTER (WHERE dw_batch_id = 'f{n}') AS n_rows, max(transaction_date) AS watermark
+FROM seen_{n}"""
+    for n in (1, 2, 3)
+)
+
 # Marts
 
 STEPS["m_customer_360"] = """
@@ -271,6 +311,24 @@ SELECT transaction_date, txn_type_name AS transaction_type, channel, count(*) AS
 FROM fact LEFT JOIN types USING (txn_type_key) GROUP BY ALL"""
 
 
+def _days(source: str) -> str:
+    """Account days with their balances."""
+    return f"""
+SELECT d.account_id, d.transaction_date AS snapshot_date, CAST(strftime(d.transaction_date, '%Y%m%d') AS INTEGER) AS date_key,
+       d.closing_balance,
+       lag(d.closing_balance) OVER (PARTITION BY d.account_id ORDER BY d.transaction_date) AS opening_balance,
+       d.daily_credits, d.daily_debits, d.txn_count, d.closing_balance < 0 AS is_overdrawn
+FROM (SELECT account_id, transaction_date,
+             CAST(max(balance_after) FILTER (WHERE place = 1) AS DECIMAL(15,2)) AS closing_balance,
+             CAST(sum(CASE WHEN is_debit THEN 0 ELSE CAST(amount AS DECIMAL(15,2)) END) AS DECIMAL(15,2)) AS daily_credits,
+             CAST(sum(CASE WHEN is_debit THEN CAST(amount AS DECIMAL(15,2)) ELSE 0 END) AS DECIMAL(15,2)) AS daily_debits,
+             CAST(count(*) AS INTEGER) AS txn_count
+      FROM (SELECT *, row_number() OVER (PARTITION BY account_id, transaction_date
+                                         ORDER BY transaction_time DESC, transaction_id DESC) AS place
+            FROM {source} WHERE status = 'Completed' AND transaction_date IS NOT NULL) x
+      GROUP BY 1, 2) d"""
+
+
 SQL |= {
     "silver_branches": "SELECT * FROM s_branches_in",
     "silver_merchants": "SELECT * FROM s_merchants_in",
@@ -343,21 +401,10 @@ SELECT transaction_id, transaction_date FROM s_transactions_in t
 WHERE NOT EXISTS (SELECT 1 FROM s_transactions_loaded l WHERE l.transaction_id = t.transaction_id)""",
     "fact_resolve": "SELECT * FROM fact",
     "fact_as_of": "SELECT transaction_id, transaction_date, account_key, customer_key, branch_key FROM fact_as_of",
-    "account_snapshot": """
-SELECT d.transaction_date AS snapshot_date, CAST(strftime(d.transaction_date, '%Y%m%d') AS INTEGER) AS date_key,
-       a.account_key, a.customer_key, d.closing_balance,
-       lag(d.closing_balance) OVER (PARTITION BY d.account_id ORDER BY d.transaction_date) AS opening_balance,
-       d.daily_credits, d.daily_debits, d.txn_count, d.closing_balance < 0 AS is_overdrawn, 'b2' AS dw_batch_id
-FROM (SELECT account_id, transaction_date,
-             CAST(max(balance_after) FILTER (WHERE place = 1) AS DECIMAL(15,2)) AS closing_balance,
-             CAST(sum(CASE WHEN is_debit THEN 0 ELSE CAST(amount AS DECIMAL(15,2)) END) AS DECIMAL(15,2)) AS daily_credits,
-             CAST(sum(CASE WHEN is_debit THEN CAST(amount AS DECIMAL(15,2)) ELSE 0 END) AS DECIMAL(15,2)) AS daily_debits,
-             CAST(count(*) AS INTEGER) AS txn_count
-      FROM (SELECT *, row_number() OVER (PARTITION BY account_id, transaction_date
-                                         ORDER BY transaction_time DESC, transaction_id DESC) AS place
-            FROM s_transactions_in WHERE status = 'Completed') x
-      GROUP BY 1, 2) d
-LEFT JOIN d2_accounts a ON d.account_id = a.account_id AND a.scd_is_current""",
+    "account_snapshot": f"""
+SELECT d.* EXCLUDE (account_id), a.account_key, a.customer_key, 'b2' AS dw_batch_id
+FROM ({_days("s_transactions_in")}) d LEFT JOIN d2_accounts a ON d.account_id = a.account_id AND a.scd_is_current""",
+    "snapshots_three_days": _days("s_transactions_feed3"),
     "mart_customer_360": "SELECT * FROM m_customer_360",
     "mart_fraud_signals": "SELECT * FROM m_fraud_signals",
     "mart_daily_summary": "SELECT * FROM m_daily_summary",

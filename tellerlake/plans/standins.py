@@ -154,6 +154,8 @@ SELECT transaction_id, CASE WHEN _batch_id = 'b2' AND n % 70 = 0 THEN 'ACC000000
 FROM {transactions_spread}
 WHERE (_batch_id = 'b1' AND (transaction_date > '2024-04-27' OR (transaction_date <= '2024-03-20' AND n % 13 = 12))
        AND n % 10 <> 0) OR _batch_id = 'b2'""",
+    "feed_upto2": """
+SELECT * FROM {feed_day1} UNION ALL SELECT * FROM {feed_day2}""",
     "feed_all": """
 SELECT * FROM {feed_day1} UNION ALL SELECT * FROM {feed_day2} UNION ALL SELECT * FROM {feed_day3}""",
     "transactions_loaded": """
