@@ -16,7 +16,7 @@ from tellerlake import schemas
 from tellerlake.operators import changes, dims, facts, keys, scd, snapshots
 from tellerlake.operators.scd import Dimension, Load
 from tellerlake.plans import incremental
-from tellerlake.session import materialise
+from tellerlake.session import empty_frame, materialise
 from tellerlake.sources import slices, tables
 from tellerlake.sources.slices import Run
 
@@ -37,7 +37,7 @@ def read_whole(spark: SparkSession, root: str, table: str, schema: StructType) -
     """The committed rows of a table that each load replaces."""
     last = tables.last_commit(spark, root, table)
     if last is None:
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     return tables.read_version(spark, root, table, last.version, schema)
 
 
@@ -57,7 +57,7 @@ def read_type2(spark: SparkSession, root: str, dimension: Dimension, current_onl
     """The committed rows of a versioned dimension, closed versions included unless unwanted."""
     last = tables.last_commit(spark, root, dimension.name)
     if last is None:
-        return spark.createDataFrame([], dimension.schema)
+        return empty_frame(spark, dimension.schema)
     current = tables.read_version(spark, root, f"{dimension.name}/current", last.version, dimension.schema)
     if current_only:
         return current
@@ -68,7 +68,7 @@ def read_type2(spark: SparkSession, root: str, dimension: Dimension, current_onl
 def read_fact(spark: SparkSession, root: str) -> DataFrame:
     last = tables.last_commit(spark, root, FACT)
     if last is None:
-        return spark.createDataFrame([], STORED_FACT)
+        return empty_frame(spark, STORED_FACT)
     return tables.read_up_to(spark, root, FACT, last.version, STORED_FACT)
 
 
@@ -263,7 +263,7 @@ def read_rejects(spark: SparkSession, root: str) -> DataFrame:
     """What committed loads left out, with the reason."""
     last = tables.last_commit(spark, root, FACT)
     if last is None:
-        return spark.createDataFrame([], schemas.FACT_REJECTS)
+        return empty_frame(spark, schemas.FACT_REJECTS)
     return tables.read_up_to(spark, root, REJECTS, last.version, schemas.FACT_REJECTS)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from tellerlake import schemas
 from tellerlake.functions import bands
 from tellerlake.operators import changes, silver
-from tellerlake.session import materialise
+from tellerlake.session import empty_frame, materialise
 from tellerlake.sources import slices, tables
 from tellerlake.sources.slices import Run
 
@@ -25,7 +25,7 @@ TRANSACTIONS, KEYS, CHANGES = "transactions", "transaction_keys", "transaction_c
 
 def _typed(spark: SparkSession) -> DataFrame:
     """Typed transactions of an empty bronze table, for their schema."""
-    return silver.typed_transactions(spark.createDataFrame([], schemas.bronze_schema("transactions")))
+    return silver.typed_transactions(empty_frame(spark, schemas.bronze_schema("transactions")))
 
 
 def stored_schema(spark: SparkSession) -> StructType:
@@ -44,7 +44,7 @@ def read_transactions(
 
 def read_changes(spark: SparkSession, root: str, snapshot: int) -> DataFrame:
     """What the run of that snapshot changed."""
-    schema = spark.createDataFrame([], changes.CHANGE_COLUMNS).schema
+    schema = empty_frame(spark, changes.CHANGE_COLUMNS).schema
     return slices.read(spark, root, CHANGES, schema, [str(snapshot)], snapshot)
 
 
@@ -94,7 +94,7 @@ def merge_transactions(
     staged = f"{root}/staging"
     incoming = materialise(changes.with_digest(silver.typed_transactions(pending)), f"{staged}/incoming")
     blocks = _values(incoming.selectExpr(f"{changes.block_of()} AS block"), "block")
-    key_schema = spark.createDataFrame([], changes.KEY_COLUMNS).schema
+    key_schema = empty_frame(spark, changes.KEY_COLUMNS).schema
     only = [] if rebuild else blocks
     held = slices.read(spark, root, KEYS, key_schema, only)
     changed = materialise(changes.changes(incoming, held), f"{staged}/changed")

@@ -4,6 +4,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 # Shuffled bytes one task should start with, before adaptive execution merges small partitions.
@@ -63,6 +65,26 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def empty_frame(spark: SparkSession, schema: StructType | str) -> DataFrame:
+    """No rows, as a plan that the optimiser knows to be empty: joins with it cost nothing."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
+# More rows than this are handed over as data instead of as literals of the plan.
+LITERAL_ROWS = 200
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows made by the driver, such as those of a commit, in one partition and without a Python worker."""
+    if not rows or len(rows) > LITERAL_ROWS:
+        return spark.createDataFrame(rows, schema).coalesce(1)
+    fields = StructType.fromDDL(schema).fields
+    structs = [F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields))) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path or pattern matches anything, on any file system Spark is set up for."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

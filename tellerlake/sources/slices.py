@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tellerlake import schemas
+from tellerlake.session import empty_frame, small_frame
 from tellerlake.sources import tables
 
 LOG = "snapshot long, batch_id string, table_name string, slice string, n_rows long, mark string"
@@ -23,7 +24,7 @@ BATCH = ""
 
 def _log(spark: SparkSession, root: str) -> DataFrame:
     found = tables.read_if_present(spark, f"{root}/snapshots", LOG, warn=False)
-    return spark.createDataFrame([], LOG) if found is None else found
+    return empty_frame(spark, LOG) if found is None else found
 
 
 def last_snapshot(spark: SparkSession, root: str) -> int:
@@ -74,7 +75,7 @@ def read(
     """The rows of a table, or of some of its slices: other files are not even listed."""
     found = current(spark, root, table, only, snapshot)
     if not found:
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     paths = [f"{root}/{table}/snapshot={number}/slice={name}" for name, number in sorted(found.items())]
     return spark.read.schema(schema).parquet(*paths)
 
@@ -112,5 +113,4 @@ class Run:
         """One appended file names everything that the run wrote, and the batches it took."""
         rows = [(self.snapshot, self.batch_id, table, name, n, None) for table, name, n in self.written]
         rows += [(self.snapshot, batch, BATCH, "", 0, mark) for batch in {self.batch_id, *taken}]
-        frame = self.spark.createDataFrame(rows, LOG).coalesce(1)
-        frame.write.mode("append").parquet(f"{self.root}/snapshots")
+        small_frame(self.spark, rows, LOG).write.mode("append").parquet(f"{self.root}/snapshots")

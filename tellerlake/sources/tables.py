@@ -15,7 +15,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tellerlake import schemas
 from tellerlake.operators.dedup import absent_from
-from tellerlake.session import path_exists
+from tellerlake.session import empty_frame, path_exists, small_frame
 
 log = logging.getLogger(__name__)
 
@@ -103,7 +103,7 @@ def balanced(df: DataFrame, *partitions: str) -> DataFrame:
 
 def commits(spark: SparkSession, root: str) -> DataFrame:
     found = read_if_present(spark, f"{root}/commits", COMMITS, warn=False)
-    return spark.createDataFrame([], COMMITS) if found is None else found
+    return empty_frame(spark, COMMITS) if found is None else found
 
 
 def last_commit(spark: SparkSession, root: str, table: str) -> Row | None:
@@ -131,7 +131,7 @@ def commit(
 ) -> None:
     """Make a version visible; ``source`` is the snapshot of the layer below that it was made from."""
     row = [(table, version, batch_id, n_rows, max_key, watermark, source)]
-    spark.createDataFrame(row, COMMITS).coalesce(1).write.mode("append").parquet(f"{root}/commits")
+    small_frame(spark, row, COMMITS).write.mode("append").parquet(f"{root}/commits")
 
 
 def read_version(spark: SparkSession, root: str, table: str, version: int, schema: StructType) -> DataFrame:
@@ -144,5 +144,5 @@ def read_up_to(spark: SparkSession, root: str, table: str, version: int, schema:
     stored = StructType([*schema.fields, StructField("version", LongType())])
     found = read_if_present(spark, f"{root}/{table}", stored, warn=False)
     if found is None:
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     return found.filter(f"version <= {version}").select(*schema.names)
