@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tellerlake import schemas
 from tellerlake.schemas import time_literal
+from tellerlake.session import small_frame
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -116,6 +117,59 @@ def foreign_key_check(
     )
 
 
+@dataclass(frozen=True)
+class ForeignKey:
+    """A column that names a row of another table."""
+
+    column: str
+    parent: DataFrame
+    parent_key: str
+
+
+def constraint_checks(
+    table: str, df: DataFrame, example: str, required: list[str], foreign: list[ForeignKey], wanted: tuple[str, ...] = ()
+) -> DataFrame:
+    """Not-null and foreign-key checks of a table, all from one pass over it.
+
+    Every row is unpivoted into one pair per constraint, (column, key), and pairs are counted in each map task before
+    the shuffle: what leaves it are the keys in use, of which there are as many as the parents have, not the rows. A
+    required column only has the keys null and not null. Parents are joined to the counted pairs, once for all. A
+    null foreign key passes; the example of a missing parent is its smallest key, of a null the smallest ``example``.
+    Nulls of ``wanted`` columns are worth a warning only.
+    """
+    pairs = [f"STRUCT('{c}' AS c, FALSE AS fk, IF({c} IS NULL, NULL, '') AS k)" for c in (*required, *wanted)]
+    pairs += [f"STRUCT('{f.column}' AS c, TRUE AS fk, CAST({f.column} AS STRING) AS k)" for f in foreign]
+    counted = (
+        df.selectExpr(f"CAST({example} AS STRING) AS _id", f"INLINE(ARRAY({', '.join(pairs)}))")
+        .groupBy("c", "fk", "k")
+        .agg(F.expr("COUNT(*) AS n"), F.expr("MIN(IF(k IS NULL, _id, NULL)) AS id"))
+    )
+    known = [f.parent.selectExpr(f"'{f.column}' AS _c", f"CAST({f.parent_key} AS STRING) AS _k").distinct() for f in foreign]
+    if known:
+        counted = counted.join(reduce(DataFrame.union, known), F.expr("fk AND c = _c AND k = _k"), "left")
+        bad = "IF(fk, k IS NOT NULL AND _k IS NULL, k IS NULL)"
+    else:
+        bad = "k IS NULL"
+    totals = counted.groupBy("c", "fk").agg(
+        F.expr("SUM(n) AS _rows"),
+        F.expr(f"SUM(IF({bad}, n, 0L)) AS _failed"),
+        F.expr(f"MIN(IF({bad}, COALESCE(k, id), NULL)) AS _example"),
+    )
+    checks = [not_null(column) for column in required] + [not_null(column, "warning") for column in wanted]
+    checks += [RowCheck(f"{f.column}_foreign_key", "foreign_key", "") for f in foreign]
+    # A list of the checks on the left: an empty table passes them all.
+    names = [(check.name, check.kind, check.severity, check.name.removesuffix(f"_{check.kind}")) for check in checks]
+    listed = small_frame(df.sparkSession, names, "check_name string, check_type string, severity string, _column string")
+    found = listed.join(totals, F.expr("_column = c AND fk = (check_type = 'foreign_key')"), "left").selectExpr(
+        "*", "COALESCE(_rows, 0L) AS rows_checked", "COALESCE(_failed, 0L) AS rows_failed"
+    )
+    percent = f"CAST(rows_failed / GREATEST(rows_checked, 1) * 100 AS {schemas.RATE.simpleString()})"
+    return found.selectExpr(
+        f"'{table}' AS table_name", "check_name", "check_type", "rows_failed = 0 AS passed", "rows_checked", "rows_failed",
+        f"{percent} AS failure_pct", "severity", "TO_JSON(NAMED_STRUCT('example', _example)) AS details",
+    )
+
+
 def version_chain_check(table: str, dim: DataFrame, key: str) -> DataFrame:
     """Versions count 1..n without gaps and each closes on the day the next one starts."""
     window = f"OVER (PARTITION BY {key} ORDER BY scd_version)"
@@ -132,7 +186,7 @@ def silver_results(
     row_level += [fits_width(column, width) for column, width in schemas.STAGED_WIDTHS.items()]
     row_level += [
         fits_type(column, schemas.STAGED_TRANSACTION[column].dataType.simpleString())
-        for column in ("amount", "fraud_score")
+        for column in ("amount", "fraud_score", "balance_after", "daily_spend_total")
     ]
     return [
         row_checks("transactions", transactions, "transaction_id", row_level),
@@ -144,19 +198,50 @@ def silver_results(
 
 
 def gold_results(
-    fact: DataFrame, dim_accounts: DataFrame, dim_customers: DataFrame, dim_date: DataFrame
+    fact: DataFrame,
+    snapshots: DataFrame,
+    dim_accounts: DataFrame,
+    dim_customers: DataFrame,
+    dim_merchants: DataFrame,
+    dim_branches: DataFrame,
+    dim_types: DataFrame,
+    dim_date: DataFrame,
 ) -> list[DataFrame]:
-    """Checks of the star schema: current versions, version chains and resolved keys."""
+    """Checks of the star schema: keys of the dimensions, versions, and all constraints of facts and snapshots."""
+    day = ForeignKey("date_key", dim_date, "date_key")
+    account = ForeignKey("account_key", dim_accounts, "account_key")
+    customer = ForeignKey("customer_key", dim_customers, "customer_key")
+    fact_keys = [
+        day, account, customer,
+        ForeignKey("merchant_key", dim_merchants, "merchant_key"),
+        ForeignKey("branch_key", dim_branches, "branch_key"),
+        ForeignKey("txn_type_key", dim_types, "txn_type_key"),
+    ]
+    keyed = [
+        ("dim_customers", dim_customers, "customer_key", "customer_id", False),
+        ("dim_accounts", dim_accounts, "account_key", "account_id", False),
+        ("dim_merchants", dim_merchants, "merchant_key", "merchant_id", True),
+        ("dim_branches", dim_branches, "branch_key", "branch_id", True),
+        ("dim_transaction_type", dim_types, "txn_type_key", "txn_type_name", True),
+        ("dim_date", dim_date, "date_key", "full_date", True),
+    ]
+    results = []
+    for table, dim, surrogate, natural, once in keyed:
+        foreign = [customer] if table == "dim_accounts" else []
+        results.append(constraint_checks(table, dim, surrogate, [surrogate, natural], foreign))
+        results.append(unique_check(table, dim, surrogate))
+        if once:
+            results.append(unique_check(table, dim, natural))
+    required = ["transaction_id", "transaction_date", "amount"]
     return [
+        *results,
         one_current_check("dim_customers", dim_customers, "customer_id"),
         one_current_check("dim_accounts", dim_accounts, "account_id"),
         version_chain_check("dim_customers", dim_customers, "customer_id"),
         version_chain_check("dim_accounts", dim_accounts, "account_id"),
-        row_checks("fact_transactions", fact, "transaction_id", [not_null("account_key", "warning")]),
-        foreign_key_check("fact_transactions", fact, "account_key", dim_accounts),
-        foreign_key_check("fact_transactions", fact, "customer_key", dim_customers),
-        foreign_key_check("fact_transactions", fact, "date_key", dim_date),
-        foreign_key_check("dim_accounts", dim_accounts, "customer_key", dim_customers),
+        # A transaction without an account is kept: its key is missing, not wrong.
+        constraint_checks("fact_transactions", fact, "transaction_id", required, fact_keys, wanted=("account_key",)),
+        constraint_checks("fact_account_snapshots", snapshots, "snapshot_date", ["snapshot_date"], [day, account, customer]),
     ]
 
 

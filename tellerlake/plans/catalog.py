@@ -377,7 +377,7 @@ def account_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _facts_of(spark: SparkSession, sf_dir: str) -> tuple[_Star, DataFrame]:
     star = stored_dimensions(spark, sf_dir)
-    return star, star.resolve(_valid_transactions(spark, sf_dir))
+    return star, star.resolve(_silver_transactions(spark, sf_dir))
 
 
 @query
@@ -457,13 +457,16 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The data-quality log over silver, the dimensions and the facts."""
     star = stored_dimensions(spark, sf_dir)
     transactions = materialise(_silver_transactions(spark, sf_dir))
-    fact = materialise(star.resolve(transactions))
+    fact = star.resolve(transactions)
+    days = snapshots.account_snapshots(transactions, star.accounts, DAY_TWO)
     accounts = materialise(_silver_accounts(spark, sf_dir))
     customers = silver.customers(view(spark, sf_dir, "customers_in"))
     branches = silver.branches(view(spark, sf_dir, "branches_in"))
     parts = [
         *quality.silver_results(transactions, accounts, customers, branches),
-        *quality.gold_results(fact, star.accounts, star.customers, dims.dim_date(spark)),
+        *quality.gold_results(
+            fact, days, star.accounts, star.customers, star.merchants, star.branches, star.types, dims.dim_date(spark)
+        ),
     ]
     return quality.all_results(parts, DAY_TWO.loaded_at).drop("checked_at")
 

@@ -177,8 +177,12 @@ class DailyRun:
         parts += [
             *quality.gold_results(
                 gold.read_fact(spark, root),
+                gold.read_snapshots(spark, root),
                 gold.read_type2(spark, root, scd.ACCOUNTS),
                 gold.read_type2(spark, root, scd.CUSTOMERS),
+                gold.read_type1(spark, root, scd.MERCHANTS),
+                gold.read_type1(spark, root, scd.BRANCHES),
+                gold.read_types(spark, root),
                 gold.read_calendar(spark, root),
             ),
         ]

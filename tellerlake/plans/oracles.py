@@ -329,6 +329,10 @@ FROM (SELECT account_id, transaction_date,
       GROUP BY 1, 2) d"""
 
 
+STEPS["day_facts"] = f"""
+SELECT d.* EXCLUDE (account_id), a.account_key, a.customer_key, 'b2' AS dw_batch_id
+FROM ({_days("s_transactions_in")}) d LEFT JOIN d2_accounts a ON d.account_id = a.account_id AND a.scd_is_current"""
+
 SQL |= {
     "silver_branches": "SELECT * FROM s_branches_in",
     "silver_merchants": "SELECT * FROM s_merchants_in",
@@ -401,9 +405,7 @@ SELECT transaction_id, transaction_date FROM s_transactions_in t
 WHERE NOT EXISTS (SELECT 1 FROM s_transactions_loaded l WHERE l.transaction_id = t.transaction_id)""",
     "fact_resolve": "SELECT * FROM fact",
     "fact_as_of": "SELECT transaction_id, transaction_date, account_key, customer_key, branch_key FROM fact_as_of",
-    "account_snapshot": f"""
-SELECT d.* EXCLUDE (account_id), a.account_key, a.customer_key, 'b2' AS dw_batch_id
-FROM ({_days("s_transactions_in")}) d LEFT JOIN d2_accounts a ON d.account_id = a.account_id AND a.scd_is_current""",
+    "account_snapshot": "SELECT * FROM day_facts",
     "snapshots_three_days": _days("s_transactions_feed3"),
     "mart_customer_360": "SELECT * FROM m_customer_360",
     "mart_fraud_signals": "SELECT * FROM m_fraud_signals",
@@ -494,6 +496,21 @@ SQL["derived_flags_agree"] = "\nUNION ALL".join([
     _agrees("is_holiday_season", "month(transaction_date) = 12"),
     _agrees("is_debit", "transaction_type NOT IN ('Salary Credit', 'EFT Transfer In', 'Reversal')"),
 ])
+_PARENTS = {
+    "date_key": "calendar", "account_key": "d2_accounts", "customer_key": "d2_customers", "merchant_key": "d2_merchants",
+    "branch_key": "d2_branches", "txn_type_key": "types",
+}
+# Table, its rows here, the column of its examples, and what may not be null: for a dimension its two keys.
+_REQUIRED = (
+    ("dim_customers", "d2_customers", "customer_key", "customer_key customer_id"),
+    ("dim_accounts", "d2_accounts", "account_key", "account_key account_id"),
+    ("dim_merchants", "d2_merchants", "merchant_key", "merchant_key merchant_id"),
+    ("dim_branches", "d2_branches", "branch_key", "branch_key branch_id"),
+    ("dim_transaction_type", "types", "txn_type_key", "txn_type_key txn_type_name"),
+    ("dim_date", "calendar", "date_key", "date_key full_date"),
+    ("fact_transactions", "fact", "transaction_id", "transaction_id transaction_date amount"),
+    ("fact_account_snapshots", "day_facts", "snapshot_date", "snapshot_date"),
+)
 SQL["dq_results"] = "\nUNION ALL".join(
     [
         _row_check("transactions", f"{c}_not_null", "not_null", "critical", _TXN[1], _TXN[2], f"{c} IS NULL")
@@ -506,7 +523,8 @@ SQL["dq_results"] = "\nUNION ALL".join(
     + [
         _row_check("transactions", f"{c}_precision", "precision", "warning", _TXN[1], _TXN[2],
                    f"{c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL")
-        for c, t in (("amount", "DECIMAL(15,2)"), ("fraud_score", "DECIMAL(4,3)"))
+        for c, t in (("amount", "DECIMAL(15,2)"), ("fraud_score", "DECIMAL(4,3)"), ("balance_after", "DECIMAL(15,2)"),
+                     ("daily_spend_total", "DECIMAL(15,2)"))
     ]
     + [
         _unique("transactions", "transaction_id_unique", "s_transactions_in", "transaction_id"),
@@ -518,11 +536,22 @@ SQL["dq_results"] = "\nUNION ALL".join(
         _chain("dim_customers", "customer_id"),
         _chain("dim_accounts", "account_id"),
         _row_check("fact_transactions", "account_key_not_null", "not_null", "warning", "fact", "transaction_id", "account_key IS NULL"),
-        _known("fact_transactions", "account_key", "fact", "d2_accounts", False),
-        _known("fact_transactions", "customer_key", "fact", "d2_customers", False),
-        _known("fact_transactions", "date_key", "fact", "calendar", False),
+        *(_known("fact_transactions", key, "fact", parent, False) for key, parent in _PARENTS.items()),
+        *(_known("fact_account_snapshots", key, "day_facts", _PARENTS[key], False)
+          for key in ("date_key", "account_key", "customer_key")),
         _known("dim_accounts", "customer_key", "d2_accounts", "d2_customers", False),
     ]
+    + [
+        _row_check(table, f"{c}_not_null", "not_null", "critical", source, example, f"{c} IS NULL")
+        for table, source, example, columns in _REQUIRED
+        for c in columns.split()
+    ]
+    + [
+        _unique(table, f"{c}_unique", source, c)
+        for table, source, _, columns in _REQUIRED
+        if table.startswith("dim_")
+        for c in (columns.split()[:1] if table in ("dim_customers", "dim_accounts") else columns.split())
+    ]
 )
 
 

@@ -55,3 +55,29 @@ def test_empty_tables(spark):
 def test_decline_rate(spark):
     df = spark.createDataFrame([(True, False), (False, True), (None, None), (False, False)], "is_completed boolean, is_declined boolean")
     assert as_set(quality.decline_rate(df)) == {(4, 1, 1, 25.0)}
+
+
+def test_constraints_in_one_pass(spark):
+    rows = [("1", 1, 7), ("2", None, 8), (None, 3, None), ("0", 4, 8), ("9", 4, 7)]
+    df = spark.createDataFrame(rows, "id string, a long, b int")
+    parents = spark.createDataFrame([(1,), (3,), (3,)], "p long"), spark.createDataFrame([(7,)], "b int")
+    foreign = [quality.ForeignKey("a", parents[0], "p"), quality.ForeignKey("b", parents[1], "b")]
+    checks = quality.constraint_checks("t", df, "id", ["id", "a"], foreign)
+    assert results(checks) == {
+        "id_not_null": (5, 1, False, "{}"),
+        "a_not_null": (5, 1, False, '{"example":"2"}'),
+        "a_foreign_key": (5, 2, False, '{"example":"4"}'),
+        "b_foreign_key": (5, 2, False, '{"example":"8"}'),
+    }
+    none = quality.constraint_checks("t", df.limit(0), "id", ["id"], foreign[:1])
+    assert results(none) == {"id_not_null": (0, 0, True, "{}"), "a_foreign_key": (0, 0, True, "{}")}
+
+
+def test_constraints_read_the_table_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id AS a", "id % 7 AS b", "CAST(id AS STRING) AS id").write.parquet(path)
+    parent = spark.range(5)
+    foreign = [quality.ForeignKey(c, parent, "id") for c in ("a", "b")]
+    checks = quality.constraint_checks("t", spark.read.parquet(path), "id", ["a", "b"], foreign)
+    assert checks._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert results(checks)["a_foreign_key"][:2] == (1000, 995)
