@@ -28,7 +28,7 @@ WINDOW = 2
 HIDDEN = 32
 SAMPLE = 10_000
 THRESHOLD = 0.3
-EPOCHS = 20
+EPOCHS = 40
 
 #: Kinds of bytes: white space, letters (all beyond ASCII count as such), digits, signs.
 _KIND = np.full(256, 3, np.uint8)
@@ -202,6 +202,8 @@ def train(pools: np.ndarray, truth: np.ndarray, weights: np.ndarray, seed: int =
 def fit(pools: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Network:
     """The network of a sample of ``pools`` (doc_id, pool) with labels."""
     rows = bounded(labelled(pools, labels, label), labels, label, {0: sample, 1: sample}).toArrow().to_pandas()
+    rows["order"] = [tuple(pool) for pool in rows.pool]
+    rows = rows.sort_values(["doc_id", "order", "label"])  # the order of arrival is chance
     truth = rows.label.to_numpy(float)
     counts = dict(labels.where(F.col(label).isNotNull()).groupBy((F.col(label) != 0).cast("int")).count().collect())
     taken = {k: max((truth == k).sum(), 1) for k in (0, 1)}

@@ -27,7 +27,8 @@ from tellerlake.llm.words import ASCII_SPACE, LOW_BYTES, hash_spans, mix, pieces
 BUCKETS = 1 << 18
 DIM = 8
 NGRAMS = (3, 4, 5, 6, 7)
-WINDOW = 8
+#: Words of the windows: one word may be the insult by itself, or a phrase of harmless ones.
+WIDTHS = (1, 2, 4, 8)
 SAMPLE = 3_000
 LONGEST = 1 << 16
 THRESHOLD = 0.3
@@ -97,28 +98,30 @@ def _word_logits(words, logit: np.ndarray) -> np.ndarray:
     return total / np.maximum(count, 1)
 
 
-def _windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of the windows at every word of each text (one for a short text), and the rows' bounds."""
     length = np.diff(first)
-    count = np.where(length > 0, np.maximum(length - WINDOW + 1, 1), 0)
+    count = np.where(length > 0, np.maximum(length - width + 1, 1), 0)
     bounds = np.concatenate([[0], np.cumsum(count)])
     begin = np.arange(bounds[-1]) - np.repeat(bounds[:-1], count) + np.repeat(first[:-1], count)
-    return begin, np.minimum(begin + WINDOW, np.repeat(first[1:], count)), bounds
+    return begin, np.minimum(begin + width, np.repeat(first[1:], count)), bounds
 
 
-def _window_logits(words, logit: np.ndarray):
-    begin, end, bounds = _windows(words.first)
+def _window_logits(words, logit: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(begin, end, logit, rows' bounds) of the windows of each width."""
     run = np.concatenate([[0.0], np.cumsum(_word_logits(words, logit))])
-    return begin, (run[end] - run[begin]) / np.maximum(end - begin, 1), bounds
+    for width in WIDTHS:
+        begin, end, bounds = _windows(words.first, width)
+        yield begin, end, (run[end] - run[begin]) / np.maximum(end - begin, 1), bounds
 
 
 def _text_logits(texts: pa.Array, logit: np.ndarray) -> np.ndarray:
     """The logit of each text's most toxic window; the mildest possible for a text without words."""
-    _, found, bounds = _window_logits(_words(texts), logit)
     out = np.full(len(texts), -np.inf)
-    full = np.flatnonzero(np.diff(bounds))
-    if full.size:
-        out[full] = np.maximum.reduceat(found, bounds[full])
+    for _, _, found, bounds in _window_logits(_words(texts), logit):
+        full = np.flatnonzero(np.diff(bounds))
+        if full.size:
+            out[full] = np.maximum(out[full], np.maximum.reduceat(found, bounds[full]))
     return out
 
 
@@ -127,19 +130,29 @@ def _worst(texts: pa.Array, logit: np.ndarray, random) -> tuple[list, np.ndarray
     worst, logits, others = [], [], []
     for piece in pieces(texts):
         words = _words(piece)
-        begin, found, bounds = _window_logits(words, logit)
+        widths = list(_window_logits(words, logit))
         whole = words.data.tobytes()
 
-        def window(at):
-            last = min(begin[at] + WINDOW, words.first[np.searchsorted(words.first, begin[at], "right")]) - 1
-            return whole[words.start[begin[at]] : words.start[last] + words.length[last]].decode("utf-8", "replace")
-
-        for low, high in zip(bounds[:-1], bounds[1:]):
-            if low < high:
-                at = low + int(found[low:high].argmax())
-                worst.append(window(at))
-                logits.append(found[at])
-                others.append([window(k) for k in random.integers(low, high, 2)])
+        def window(begin, end):
+            return whole[words.start[begin] : words.start[end - 1] + words.length[end - 1]].decode("utf-8", "replace")
+
+        for row in range(len(piece)):
+            best = None
+            for begin, end, found, bounds in widths:
+                low, high = bounds[row], bounds[row + 1]
+                if low < high:
+                    at = low + int(found[low:high].argmax())
+                    if best is None or found[at] > best[0]:
+                        best = found[at], begin[at], end[at]
+            if best is not None:
+                worst.append(window(*best[1:]))
+                logits.append(best[0])
+                pair = []
+                for _ in range(2):
+                    begin, end, _, bounds = widths[random.integers(len(widths))]
+                    at = random.integers(bounds[row], bounds[row + 1])
+                    pair.append(window(begin[at], end[at]))
+                others.append(pair)
     return worst, np.array(logits), others
 
 

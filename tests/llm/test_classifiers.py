@@ -24,6 +24,16 @@ def test_quality_of_given_documents(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
 
 
+def test_quality_is_the_same_however_rows_are_dealt(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    from pyspark.sql import functions as F
+
+    one, other = (
+        {r.doc_id: r.score for r in quality.classify(docs.repartition(n), labels, F.lit(True)).collect()} for n in (2, 7)
+    )
+    assert one.keys() == other.keys() and max(abs(one[i] - other[i]) for i in one) < 1e-6
+
+
 @pytest.fixture
 def toxic_rows():
     draw = random.Random(2)
