@@ -43,10 +43,11 @@ WIDE = 4
 LONG = 96
 SHORT = 120
 _WIDE = [f"wide{k}" for k in range(WIDE)]
-#: Six levels a doubling: words that occur 512 times or more have leaders, ``LEADERS`` each. A set meets
-#: those of ``LED_BY`` such words; which of them only decides how many pairs the join still has to make.
+#: Six levels a doubling. Words that occur 8 times or more have leaders, ``LEADERS`` each, so at any size of table
+#: nearly every set with a word that others share has. A set meets those of the rarest ``LED_BY`` of its prefix;
+#: which of them only decides how many pairs the join still has to make.
 LEVELS = 6
-COMMON_LEVEL = LEVELS * 9
+COMMON_LEVEL = LEVELS * 3
 LEADERS = 8
 LED_BY = 2
 
@@ -194,7 +195,7 @@ def _overlap(one: str, two: str) -> str:
     return f"CEIL({top} * ({one}.n + {two}.n) / {top + base})"
 
 
-def _may_match(one: str, two: str) -> str:
+def _may_match(one: str, two: str, wide: bool) -> str:
     """SQL: whether the length, positional and parity filters let a pair of postings pass."""
     top, base = SIMILAR
     overlap = _overlap(one, two)
@@ -202,13 +203,23 @@ def _may_match(one: str, two: str) -> str:
     return (
         f"{top} * {one}.n <= {base} * {two}.n AND {top} * {two}.n <= {base} * {one}.n"
         f" AND LEAST({one}.place, {two}.place) + LEAST({one}.n - {one}.place, {two}.n - {two}.place) >= {overlap}"
-        f" AND ({one}.n > {SHORT} OR {two}.n > {SHORT} OR BIT_COUNT({one}.parity ^ {two}.parity) <= {most})"
-        f" AND ({one}.n < {LONG} OR {two}.n < {LONG} OR {_wide_apart(one, two)} <= {most})"
+        f" AND {_apart(one, two, wide)} <= {most}"
     )
 
 
-def _wide_apart(one: str, two: str) -> str:
-    return " + ".join(f"BIT_COUNT({one}.{w} ^ {two}.{w})" for w in _WIDE)
+def _apart(one: str, two: str, wide: bool) -> str:
+    """SQL: how many word classes tell two sets apart."""
+    return " + ".join(f"BIT_COUNT({one}.{w} ^ {two}.{w})" for w in (_WIDE if wide else ["parity"]))
+
+
+#: Postings of shorter and longer sets, with the parity that each kind has. Of two similar sets both are short, or
+#: both are long: each pair that may match meets in one of the two joins, and short postings carry no wide parity.
+_KINDS = ((False, f"n <= {SHORT}", ["parity"]), (True, f"n >= {LONG}", _WIDE))
+
+
+def _once(one: str, two: str, wide: bool) -> str:
+    """SQL: whether a pair of long postings is not one of short ones too."""
+    return f"({one}.n > {SHORT} OR {two}.n > {SHORT})" if wide else "TRUE"
 
 
 def _words_of(docs: DataFrame, levels: np.ndarray, marks: np.ndarray) -> DataFrame:
@@ -256,16 +267,20 @@ def _word_sets(pairs: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFra
 
 def _led(sets: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFrame:
     """(set_key) of sets that match a leader at one of their common words; each is held against one."""
-    posted = ["set_key", "at", "n", "parity", *_WIDE]
     tail = f"POSEXPLODE(SLICE(prefix, SIZE(prefix) - common + 1, LEAST(common, {LED_BY}))) AS (k, word)"
-    postings = sets.where("common > 0").selectExpr(*posted, "skip + SIZE(prefix) - common AS before", tail)
-    postings = postings.selectExpr("word", *posted, "before + k AS place")
     slot = F.pmod(F.xxhash64("set_key"), F.lit(LEADERS))
-    first = F.min(F.struct("at", *(c for c in posted if c != "at"), "place")).alias("s")
-    leaders = postings.groupBy("word", slot.alias("slot")).agg(first).select("word", "s.*")
-    met = postings.alias("p").join(leaders.alias("o"), "word").where(f"o.at < p.at AND {_may_match('p', 'o')}")
-    apart = f"BIT_COUNT(p.parity ^ o.parity) + {_wide_apart('p', 'o')} AS apart"
-    best = store(_best(met.selectExpr("p.set_key AS later", "o.set_key AS earlier", apart)))
+    found = []
+    for wide, kind, parity in _KINDS:
+        posted = ["set_key", "at", "n", *parity]
+        postings = sets.where(f"common > 0 AND {kind}")
+        postings = postings.selectExpr(*posted, "skip + SIZE(prefix) - common AS before", tail)
+        postings = postings.selectExpr("word", *posted, "before + k AS place")
+        first = F.min(F.struct("at", *(c for c in posted if c != "at"), "place")).alias("s")
+        leaders = postings.groupBy("word", slot.alias("slot")).agg(first).select("word", "s.*")
+        pair = f"o.at < p.at AND {_once('p', 'o', wide)} AND {_may_match('p', 'o', wide)}"
+        met = postings.alias("p").join(leaders.alias("o"), "word").where(pair)
+        found.append(met.selectExpr("p.set_key AS later", "o.set_key AS earlier", f"{_apart('p', 'o', wide)} AS apart"))
+    best = store(_best(found[0].union(found[1])))
     release(docs.sparkSession)
     word_sets = _word_sets(best, docs, levels)
     led = store(_similar(best, word_sets).select(F.col("later").alias("set_key")))
@@ -309,14 +324,16 @@ def later_matches(docs: DataFrame) -> DataFrame:
     sets = store(all_lines(keyed, levels).groupBy("set_key").agg(leader).select("set_key", "s.*"))
     release(docs.sparkSession)
     led = _led(sets, keyed, levels)
-    posted = ["set_key", "n", "parity", *_WIDE, "led"]
     posting = sets.where("SIZE(prefix) > 0").join(led.withColumn("led", F.lit(True)), "set_key", "left")
-    postings = posting.selectExpr(*posted, "skip", "POSEXPLODE(prefix) AS (k, word)")
-    postings = postings.selectExpr("word", *posted, "skip + k AS place")
-    fresh = "p.set_key < o.set_key AND (p.led IS NULL OR o.led IS NULL)"
-    met = postings.alias("p").join(postings.alias("o"), "word").where(f"{fresh} AND {_may_match('p', 'o')}")
-    apart = f"BIT_COUNT(p.parity ^ o.parity) + {_wide_apart('p', 'o')} AS apart"
-    gone = _gone(met.selectExpr("p.set_key AS one", "o.set_key AS two", apart).distinct(), led, sets, keyed, levels)
+    found = []
+    for wide, kind, parity in _KINDS:
+        posted = ["set_key", "n", *parity, "led"]
+        postings = posting.where(kind).selectExpr(*posted, "skip", "POSEXPLODE(prefix) AS (k, word)")
+        postings = postings.selectExpr("word", *posted, "skip + k AS place")
+        fresh = f"p.set_key < o.set_key AND (p.led IS NULL OR o.led IS NULL) AND {_once('p', 'o', wide)}"
+        met = postings.alias("p").join(postings.alias("o"), "word").where(f"{fresh} AND {_may_match('p', 'o', wide)}")
+        found.append(met.selectExpr("p.set_key AS one", "o.set_key AS two", f"{_apart('p', 'o', wide)} AS apart"))
+    gone = _gone(found[0].union(found[1]).distinct(), led, sets, keyed, levels)
     standing = sets.join(gone.withColumn("gone", F.lit(True)), "set_key", "left").selectExpr("set_key", "at AS stands", "gone")
     lines = all_lines(keyed, levels, narrow=True)
     removed = lines.join(standing, "set_key").where("gone OR STRUCT(doc_id, text_key, line) != stands")
