@@ -240,13 +240,29 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, int
 
 
 def learned(docs: DataFrame) -> Model:
-    """The model of the rows of documents that are not held out."""
-    return fit(docs.where(~held_out(F.col("doc_id"), 5, 0)).select("text", "lang"))
+    """The model of the rows of documents that are not held out. Without doc_id a row's remainder is unknown, so
+    that it may be held out: nothing is learned from it."""
+    return fit(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 5, 0)).select("text", "lang"))
 
 
-def drop_unidentified(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text has no letter to tell a language by; columns unchanged."""
-    return identify(docs, learned(docs)).where("__language.lang_pred != 'und'").drop("__language")
+def with_language(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose text has no letter, ``lang`` filled in where it is null.
+
+    A text that is null, empty or without a letter has no language and goes, whatever was learned. Where ``lang`` is
+    null, the language that holds most of the text takes its place; if nothing was learned it stays null. Stated
+    languages stay as they are, repeated rows stay repeated, an empty table stays empty, texts of any length are read
+    whole, and all columns stay, whatever their names.
+    """
+    found = _free_name(docs, "__language")
+    rows = identify(docs.where(F.col("text").cast("string").rlike(r"\p{L}")), learned(docs), into=found)
+    told = F.nullif(F.col(f"{found}.lang_pred"), F.lit("und")).cast(docs.schema["lang"].dataType)
+    return rows.withColumn("lang", F.coalesce(F.col("lang"), told)).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def _free_name(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,4 +71,4 @@ def test_held_out_rows_of_given_documents(spark, sf_dir):
 
 def test_stage_drops_only_texts_without_letters(spark, docs):
     rows = docs([(i, "the cat") for i in range(9)] + [(20, "12"), (21, None)]).withColumn("lang", F.lit("en"))
-    assert {r.doc_id for r in language.drop_unidentified(rows).collect()} == set(range(9))
+    assert {r.doc_id for r in language.with_language(rows).collect()} == set(range(9))
