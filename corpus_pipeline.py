@@ -8,8 +8,8 @@ from tellerlake.llm.tables import store, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter to tell a language by go."""
-    return language.drop_unidentified(docs)
+    """Documents without a letter to tell a language by go; those that state no language get the one they are in."""
+    return language.with_language(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
