@@ -43,11 +43,12 @@ WIDE = 4
 LONG = 96
 SHORT = 120
 _WIDE = [f"wide{k}" for k in range(WIDE)]
-#: Six levels a doubling. Words that occur 8 times or more have leaders, ``LEADERS`` each, so at any size of table
-#: nearly every set with a word that others share has. A set meets those of the rarest ``LED_BY`` of its prefix;
-#: which of them only decides how many pairs the join still has to make.
+#: Six levels a doubling. Words that occur 64 times or more have leaders, ``LEADERS`` each. A set meets those of
+#: ``LED_BY`` words: the rarest of those that occur 512 times or more, which tell large groups apart, or else the
+#: commonest of the others. Which of them only decides how many pairs the join still has to make.
 LEVELS = 6
-COMMON_LEVEL = LEVELS * 3
+COMMON_LEVEL = LEVELS * 9
+SHARED_LEVEL = LEVELS * 6
 LEADERS = 8
 LED_BY = 2
 
@@ -81,7 +82,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
 @dataclass
 class _Lines:
     """The lines of a piece that have words: row, number, first and last byte, size, key, parity, where
-    their prefixes lie, and how many common words end each."""
+    their prefixes lie, and how many common and shared words end each."""
 
     row: np.ndarray
     line: np.ndarray
@@ -95,6 +96,7 @@ class _Lines:
     prefix: np.ndarray
     first: np.ndarray
     common: np.ndarray
+    shared: np.ndarray
 
 
 def _in_order(hashes: np.ndarray, level: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -127,17 +129,18 @@ def _lines(texts: pa.Array, levels: np.ndarray, narrow: bool = False) -> _Lines:
     size = np.diff(begin)
     if not len(size):
         none = np.zeros(0, np.int64)
-        return _Lines(*[none] * 7, [none] * WIDE, none, none.astype(np.int32), np.zeros(1, np.int64), none)
+        return _Lines(*[none] * 7, [none] * WIDE, none, none.astype(np.int32), np.zeros(1, np.int64), none, none)
     key = mix(np.add.reduceat(mix(hashes ^ np.uint64(0xA5A5)), begin[:-1]) + size.astype(np.uint64)).view(np.int64)
     end = (found.start + found.length)[np.append(fresh[1:], True)]
     if narrow:
-        return _Lines(rows[fresh], line[fresh], found.start[fresh], end, size, key, *[None] * 6)
+        return _Lines(rows[fresh], line[fresh], found.start[fresh], end, size, key, *[None] * 7)
     top, base = SIMILAR
     length = np.where(size >= LEAST, size - -(-top * size // base) + 1, 0)
     place = np.arange(len(hashes)) - np.repeat(begin[:-1], size)
     posted = (place < np.repeat(length, size)) & (level > 0)
     count = np.add.reduceat(posted, begin[:-1])
     common = np.add.reduceat(posted & (level >= COMMON_LEVEL), begin[:-1])
+    shared = np.add.reduceat(posted & (level >= SHARED_LEVEL), begin[:-1])
     mixed = mix(hashes)
     parity = np.bitwise_xor.reduceat(np.uint64(1) << (mixed >> np.uint64(58)), begin[:-1])
     place, bit = mixed >> np.uint64(50), np.uint64(1) << ((mixed >> np.uint64(44)) & np.uint64(63))
@@ -150,7 +153,7 @@ def _lines(texts: pa.Array, levels: np.ndarray, narrow: bool = False) -> _Lines:
         part[size < LONG] = 0
     return _Lines(
         rows[fresh], line[fresh], found.start[fresh], end, size, key, parity.view(np.int64), wide, length - count,
-        hashes[posted].astype(np.uint32).view(np.int32), np.concatenate([[0], np.cumsum(count)]), common,
+        hashes[posted].astype(np.uint32).view(np.int32), np.concatenate([[0], np.cumsum(count)]), common, shared,
     )
 
 
@@ -179,13 +182,14 @@ def all_lines(docs: DataFrame, levels: np.ndarray, narrow: bool = False) -> Data
                         "skip": pa.array(x.skip.astype(np.int32)),
                         "prefix": pa.ListArray.from_arrays(pa.array(x.first.astype(np.int32)), pa.array(x.prefix)),
                         "common": pa.array(x.common.astype(np.int32)),
+                        "shared": pa.array(x.shared.astype(np.int32)),
                     }
                 yield pa.record_batch(columns)
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, line int, set_key long"
     wide = ", ".join(f"{w} long" for w in _WIDE)
     return docs.mapInArrow(
-        cut, schema if narrow else f"{schema}, n int, parity long, {wide}, skip int, prefix array<int>, common int"
+        cut, schema if narrow else f"{schema}, n int, parity long, {wide}, skip int, prefix array<int>, common int, shared int"
     )
 
 
@@ -266,14 +270,15 @@ def _word_sets(pairs: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFra
 
 
 def _led(sets: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(set_key) of sets that match a leader at one of their common words; each is held against one."""
-    tail = f"POSEXPLODE(SLICE(prefix, SIZE(prefix) - common + 1, LEAST(common, {LED_BY}))) AS (k, word)"
+    """(set_key) of sets that match a leader at one of their common or shared words; each is held against one."""
+    last = f"IF(common > 0, common, LEAST(shared, {LED_BY}))"
+    tail = f"POSEXPLODE(SLICE(prefix, SIZE(prefix) - {last} + 1, LEAST({last}, {LED_BY}))) AS (k, word)"
     slot = F.pmod(F.xxhash64("set_key"), F.lit(LEADERS))
     found = []
     for wide, kind, parity in _KINDS:
         posted = ["set_key", "at", "n", *parity]
-        postings = sets.where(f"common > 0 AND {kind}")
-        postings = postings.selectExpr(*posted, "skip + SIZE(prefix) - common AS before", tail)
+        postings = sets.where(f"shared > 0 AND {kind}")
+        postings = postings.selectExpr(*posted, f"skip + SIZE(prefix) - {last} AS before", tail)
         postings = postings.selectExpr("word", *posted, "before + k AS place")
         first = F.min(F.struct("at", *(c for c in posted if c != "at"), "place")).alias("s")
         leaders = postings.groupBy("word", slot.alias("slot")).agg(first).select("word", "s.*")
@@ -320,7 +325,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
     keyed = _keyed(docs)
     levels = rarity(keyed)
     at = F.struct("doc_id", "text_key", "line").alias("at")
-    leader = F.min(F.struct(at, "n", "parity", *_WIDE, "skip", "prefix", "common")).alias("s")
+    leader = F.min(F.struct(at, "n", "parity", *_WIDE, "skip", "prefix", "common", "shared")).alias("s")
     sets = store(all_lines(keyed, levels).groupBy("set_key").agg(leader).select("set_key", "s.*"))
     release(docs.sparkSession)
     led = _led(sets, keyed, levels)
