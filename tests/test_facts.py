@@ -4,9 +4,12 @@ import pytest
 from conftest import as_set, final_plan
 from pyspark.sql import functions as F
 
-from tellerlake.operators import dims, facts, scd, snapshots
+from tellerlake.operators import changes, dims, facts, scd, snapshots
 from tellerlake.operators.scd import Load
+from tellerlake.plans import gold
 from tellerlake.schemas import DIM_ACCOUNTS, DIM_BRANCHES, DIM_MERCHANTS
+from tellerlake.sources import tables
+from tellerlake.sources.slices import Run
 
 D = datetime.date
 LOAD = Load("b", D(2024, 2, 1), datetime.datetime(2024, 2, 1))
@@ -95,6 +98,47 @@ def test_drop_and_anti_join(spark):
     assert ids(facts.not_yet_loaded(incoming, loaded.limit(0), "drop")) == ids(incoming) - {"undated"}
 
 
+def test_every_row_takes_one_route(spark):
+    rows = txns(spark, {"transaction_id": "1"}, {"transaction_id": "2", "transaction_date": None}, {"transaction_id": "3"},
+                {"transaction_id": "4", "transaction_date": D(2024, 3, 1)}, {"transaction_id": "5", "transaction_date": None})
+    known = spark.createDataFrame([("3",), ("5",), ("9",)], "transaction_id string")
+    routes = lambda late: {r.transaction_id: r.route for r in facts.routed(rows, known, late, D(2024, 1, 10)).collect()}
+    assert routes("anti_join") == {"1": "load", "2": "undated", "3": "known", "4": "load", "5": "known"}
+    assert routes("drop") == {"1": "late", "2": "undated", "3": "known", "4": "load", "5": "known"}
+    with pytest.raises(ValueError):
+        facts.routed(rows, known, "x", D(2024, 1, 10))
+
+
+def test_loads_route_reject_and_look_up_touched_blocks_only(spark, tmp_path):
+    """Two loads with drop; rejects are kept, and a load that died before its commit leaves nothing behind."""
+    root = str(tmp_path)
+    far = str(1 << 21)  # another block of ids
+
+    def load(batch, day, *rows):
+        return gold.load_facts(spark, root, txns(spark, *rows), Load(batch, day, datetime.datetime(2024, 5, 1)), "drop")
+
+    first = load("b1", D(2024, 1, 31), {"transaction_id": "1"}, {"transaction_id": "2", "transaction_date": None})
+    assert (first["n_rows"], first["undated"], first["late"], first["known"]) == (1, 1, 0, 0)
+    # A load that dies between the keys' commit and the fact's.
+    dead = Run(spark, root, "dead", snapshot=2)
+    dead.replace(spark.createDataFrame([("7",)], "transaction_id string"), gold.FACT_KEYS, changes.block_of(), ["0"])
+    dead.commit()
+    assert {r[0] for r in gold.read_fact_keys(spark, root, 1).collect()} == {"1"}
+    second = load("b2", D(2024, 2, 28), {"transaction_id": "1"}, {"transaction_id": "4"}, {"transaction_id": far, "transaction_date": D(2024, 2, 5)},
+                  {"transaction_id": "7", "transaction_date": D(2024, 2, 5)})
+    assert (second["n_rows"], second["undated"], second["late"], second["known"]) == (2, 0, 1, 1)
+    assert as_set(gold.read_fact(spark, root).select("transaction_id")) == {("1",), ("7",), (far,)}
+    assert as_set(gold.read_rejects(spark, root).select("transaction_id", "reason", "dw_batch_id")) == {
+        ("2", "undated", "b1"), ("4", "late", "b2"),
+    }
+    assert {r[0] for r in gold.read_fact_keys(spark, root, 2, {"2"}).collect()} == {far}
+    assert load("b2", D(2024, 2, 28), {"transaction_id": "8"}) == {"n_rows": 0}
+    nothing = load("b3", D(2024, 3, 1), {"transaction_id": "7", "transaction_date": D(2024, 2, 5)})
+    assert nothing["n_rows"] == 0 and nothing["known"] == 1
+    assert tables.last_commit(spark, root, gold.FACT).watermark == D(2024, 2, 5)
+    assert not (tmp_path / gold.FACT / "version=3").exists()
+
+
 def test_watermark_reaches_the_scan(spark, tmp_path):
     rows = txns(spark, *({"transaction_id": str(m), "transaction_date": D(2024, m, 5)} for m in range(1, 7)))
     path = str(tmp_path / "silver")
