@@ -597,3 +597,32 @@ def bronze_row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = raw.read_raw(spark, entity, _csv_of(spark, sf_dir, entity))
         checked[entity] = spark.sql(text, rows=rows)
     return _all(checked, "table_name")
+
+
+@query
+def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merchants as raw CSV with names over two lines, short and long records: what is read, and what is kept apart.
+
+    Names over several lines are records like others; each has its number in the file.
+    """
+    path = f"{shared_dir(spark)}/tellerlake/raw-{uuid.uuid4()}"
+    columns = schemas.RAW_COLUMNS["merchants"]
+    lines = spark.sql(
+        f"""SELECT n DIV 500 AS file, n, CASE WHEN n % 10 = 5 THEN CONCAT_WS(',', merchant_id, merchant_name)
+                WHEN n % 10 = 7 THEN CONCAT(line, ',extra') ELSE line END AS line
+            FROM (SELECT n, merchant_id, merchant_name, CONCAT_WS(',', merchant_id,
+                         CASE WHEN n % 10 = 3 THEN CONCAT('"', merchant_name, '\n', 'and, sons"') ELSE merchant_name END,
+                         merchant_category, mcc_code, is_online) AS line
+                  FROM (SELECT *, CAST(SUBSTR(merchant_id, 4) AS BIGINT) AS n FROM {{merchants}}) m) l
+            UNION ALL SELECT DISTINCT CAST(SUBSTR(merchant_id, 4) AS BIGINT) DIV 500, -1, '{",".join(columns)}' FROM {{merchants}}""",
+        merchants=view(spark, sf_dir, "merchants_in"),
+    )
+    files = lines.repartition("file").sortWithinPartitions("file", "n")
+    files.select("file", "line").write.partitionBy("file").text(path)
+    read = raw.read_raw(spark, "merchants", f"{path}/*").selectExpr(
+        "merchant_id", "merchant_name", "_source_row_number AS source_row_number", "'loaded' AS reason", "NULL AS record"
+    )
+    rejects = raw.read_rejects(spark, "merchants", f"{path}/*").selectExpr(
+        "NULL AS merchant_id", "NULL AS merchant_name", "source_row_number", "reason", "record"
+    )
+    return read.unionByName(rejects)

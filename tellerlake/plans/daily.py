@@ -106,15 +106,13 @@ class DailyRun:
         return counts
 
     def bronze(self) -> dict[str, int]:
-        """Append every raw file that exists as one batch."""
+        """Append every raw file that exists as one batch; malformed records go beside them."""
         counts = {}
         for table, file in raw.SOURCE_FILES.items():
-            rows = raw.read_raw(self.spark, table, f"{self.paths.raw}/{file}")
-            if rows is None:
-                counts[table] = 0
-                continue
-            batch = raw.with_lineage(rows, self.load.batch_id, self.load.loaded_at)
-            counts[table] = tables.append_bronze(batch, self.paths.bronze, table, self.load.batch_id)
+            path = f"{self.paths.raw}/{file}"
+            counts[table] = raw.ingest(
+                self.spark, table, path, self.paths.bronze, self.load.batch_id, self.load.loaded_at
+            )
         return counts
 
     def silver(self) -> dict[str, int]:

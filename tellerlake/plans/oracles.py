@@ -437,6 +437,15 @@ UNION ALL SELECT 'merchants', count(*), true FROM merchants_in
 UNION ALL SELECT 'customers', count(*), true FROM customers_in
 UNION ALL SELECT 'accounts', count(*), true FROM accounts_in
 UNION ALL SELECT 'transactions', count(*), true FROM transactions_in""",
+    "bronze_rejects": """
+SELECT CASE WHEN good THEN merchant_id END AS merchant_id,
+       CASE WHEN good THEN merchant_name || CASE WHEN n % 10 = 3 THEN chr(10) || 'and, sons' ELSE '' END END AS merchant_name,
+       row_number() OVER (PARTITION BY n // 500 ORDER BY n) AS source_row_number,
+       CASE WHEN good THEN 'loaded' WHEN n % 10 = 5 THEN 'few fields' ELSE 'many fields' END AS reason,
+       CASE n % 10 WHEN 5 THEN concat_ws(',', merchant_id, merchant_name)
+            WHEN 7 THEN concat_ws(',', merchant_id, merchant_name, merchant_category, mcc_code, is_online, 'extra') END AS record
+FROM (SELECT *, n % 10 NOT IN (5, 7) AS good
+      FROM (SELECT *, CAST(substr(merchant_id, 4) AS BIGINT) AS n FROM merchants_in) x) m""",
 }
 
 

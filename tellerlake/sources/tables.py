@@ -19,6 +19,8 @@ from tellerlake.session import empty_frame, path_exists, small_frame
 
 log = logging.getLogger(__name__)
 
+BRONZE_REJECTS = "rejects"
+
 COMMITS = "table_name string, version long, batch_id string, n_rows long, max_key long, watermark date, source long"
 
 
@@ -39,23 +41,30 @@ def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(schemas.bronze_schema(table)).parquet(f"{root}/{table}")
 
 
-def append_bronze(rows: DataFrame, root: str, table: str, batch_id: str) -> int:
-    """Add one batch in a directory of its own under its ingestion date.
+def append_bronze(rows: DataFrame, root: str, table: str, batch_id: str) -> int | None:
+    """Add one batch in a directory of its own under its ingestion date; returns its rows.
 
-    A batch that is already there is left alone; its directory tells, no data is read for that.
+    A batch that is already there is left alone and gives None; its directory tells, no data is read for that.
     """
     path = f"{root}/{table}"
     batch = schemas.text_literal(batch_id)
     existing = read_if_present(rows.sparkSession, path, schemas.bronze_schema(table), warn=False)
     if existing is not None and not existing.filter(f"batch = {batch}").isEmpty():
         log.warning("batch %s of %s is already loaded", batch_id, table)
-        return 0
+        return None
     written = Observation()
     counted = rows.selectExpr("*", f"{batch} AS batch").observe(written, F.expr("COUNT(*) AS n_rows"))
     counted.write.mode("append").partitionBy("date", "batch").parquet(path)
     return written.get["n_rows"]
 
 
+def store_rejects(rejects: DataFrame, root: str, batch_id: str) -> None:
+    """Keep the malformed records of one raw table and batch, replacing those of an earlier attempt."""
+    stamped = rejects.selectExpr("*", f"{schemas.text_literal(batch_id)} AS batch")
+    write = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    write.partitionBy("table_name", "batch").parquet(f"{root}/{BRONZE_REJECTS}")
+
+
 def append_new_ids(incoming: DataFrame, path: str, key: str | None = None, fresh: bool = False) -> int:
     """Add the rows whose key the table lacks; rows already there win. Returns how many were added.
 

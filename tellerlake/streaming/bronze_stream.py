@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tellerlake.sources import raw, tables
+from tellerlake.sources import raw
 
 
 def ingest_new_files(
@@ -14,7 +14,7 @@ def ingest_new_files(
     """Start a query that ingests the files that appeared in ``landing`` since the last one, then stops.
 
     The stream only tracks which files are new (at most ``files_per_batch`` paths at a time, never
-    their content); the rows are read by the batch reader, so lineage and row numbers are the same.
+    their content); the rows are read by the batch reader, so lineage, row numbers and rejects are the same.
     The batch id follows from the query's id, which its checkpoint keeps, and the number of the
     micro-batch; bronze ignores a batch it already holds, so a restarted query adds nothing twice
     and a query with a new checkpoint is not mistaken for an old one.
@@ -27,8 +27,7 @@ def ingest_new_files(
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch_id = f"{query_id}-{number}"
         ingested_at = datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
-        rows = raw.read_raw(spark, table, paths)
-        tables.append_bronze(raw.with_lineage(rows, batch_id, ingested_at), bronze, table, batch_id)
+        raw.ingest(spark, table, paths, bronze, batch_id, ingested_at)
 
     return (
         spark.readStream.format("binaryFile")

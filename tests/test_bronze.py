@@ -49,6 +49,69 @@ def test_row_numbers_follow_the_file_over_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def records_of(spark, path):
+    rows = raw.read_raw(spark, "branches", path).select("_source_row_number", "branch_id", "branch_name", "is_active")
+    bad = raw.read_rejects(spark, "branches", path).select("source_row_number", "reason", "record")
+    return as_set(rows), as_set(bad)
+
+
+def test_records_over_lines_and_malformed_ones(spark, tmp_path):
+    lines = ['1,"a\nb",c,p,r,d,True', "", "2,short", '3,n,c,p,r,d,True,"l,ong"', '4,n,c,p,r,d,"q\n\n1,2,3,4,5,6,7\nz"',
+             '5,"a""b, ",c,p,r,d,False', "   ", '6,"open,c,p,r,d,x', "7,n,c,p,r,d,True"]
+    rows, bad = records_of(spark, write(tmp_path / "b.csv", lines))
+    assert rows == {(1, "1", "a\nb", "True"), (4, "4", "n", "q\n\n1,2,3,4,5,6,7\nz"), (5, "5", 'a"b, ', "False"), (7, "7", "n", "True")}
+    assert bad == {
+        (2, "few fields", "2,short"), (3, "many fields", lines[3]), (6, "open quote", '6,"open,c,p,r,d,x'),
+    }
+
+
+def test_records_that_cross_splits(spark, tmp_path):
+    """Multi-line records all over two files cut into dozens of splits, beside a file of plain lines."""
+    def line(i):
+        name = f'"{"x" * (i % 37)}\n{i},b,c,p,r,d,True\n\n""y"""' if i % 3 == 0 else "x" * (i % 11)
+        return f"{i},{name},c,p,r,2020-01-01,True"
+
+    for name, n in (("one", 9_000), ("two", 4_000)):
+        write(tmp_path / f"{name}.csv", [line(i) for i in range(1, n + 1)])
+    write(tmp_path / "plain.csv", [f"{i},x,c,p,r,d,True" for i in range(1, 3_001)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+    try:
+        rows = raw.read_raw(spark, "branches", str(tmp_path / "*.csv"))
+        assert rows.filter("CAST(branch_id AS BIGINT) <> _source_row_number").count() == 0
+        assert as_set(rows.groupBy("_source_file").count()) == {("one.csv", 9_000), ("two.csv", 4_000), ("plain.csv", 3_000)}
+        assert rows.filter("branch_name LIKE '%\n\n\"y\"'").count() == 3_000 + 1_333
+        assert raw.read_rejects(spark, "branches", str(tmp_path / "*.csv")).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_stray_quote_takes_no_other_record(spark, tmp_path):
+    lines = [f'{i},{chr(34) if i in (5, 2_000) else ""}n,c,p,r,d,True' for i in range(1, 3_001)]
+    rows, bad = records_of(spark, write(tmp_path / "b.csv", lines))
+    assert len(rows) == 2_998 and {number for number, *_ in rows} == set(range(1, 3_001)) - {5, 2_000}
+    assert bad == {(i, "open quote", lines[i - 1]) for i in (5, 2_000)}
+
+
+def test_another_header_is_an_error(spark, tmp_path):
+    write(tmp_path / "a.csv", ["1,a,b,c,d,e,True"])
+    write(tmp_path / "b.csv", ["a,1,b,c,d,e,True"], "branch_name,branch_id,city,province,region,opened_date,is_active")
+    with pytest.raises(Exception, match="another header"):
+        raw.read_raw(spark, "branches", str(tmp_path / "*.csv")).collect()
+
+
+def test_empty_file_and_header_only(spark, tmp_path):
+    assert records_of(spark, write(tmp_path / "b.csv", [])) == (set(), set())
+
+
+def test_ingest_keeps_rejects_once(spark, tmp_path):
+    path, bronze = write(tmp_path / "branches.csv", ["1,a,b,c,d,e,True", "2,short"]), str(tmp_path / "bronze")
+    assert raw.ingest(spark, "branches", path, bronze, "b1", AT) == 1
+    assert raw.ingest(spark, "branches", path, bronze, "b1", AT) == 0
+    assert raw.ingest(spark, "branches", path, bronze, "b2", AT) == 1
+    kept = spark.read.parquet(f"{bronze}/{tables.BRONZE_REJECTS}").select("table_name", "batch", "source_row_number", "record")
+    assert sorted(tuple(r) for r in kept.collect()) == [("branches", "b1", 2, "2,short"), ("branches", "b2", 2, "2,short")]
+
+
 def test_rows_are_not_shuffled_for_numbering(spark, tmp_path):
     rows = raw.read_raw(spark, "branches", write(tmp_path / "b.csv", ["1,a,b,c,d,e,True"]))
     streamed_side = rows._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
@@ -62,7 +125,7 @@ def test_lineage_and_append(spark, tmp_path):
         return tables.append_bronze(raw.with_lineage(raw.read_raw(spark, "branches", path), batch, at), bronze, "branches", batch)
 
     assert ingest("b1", AT) == 2
-    assert ingest("b1", AT) == 0
+    assert ingest("b1", AT) is None
     assert ingest("b2", AT + datetime.timedelta(days=1)) == 2
     stored = tables.read_bronze(spark, bronze, "branches")
     assert stored.schema == bronze_schema("branches")
