@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from tellerlake.llm.tables import table
 
-#: Each known sentence and each pattern contains one of these.
+#: Each known sentence and whatever a pattern matches contains one of these, which have no
+#: spaces, as texts may break the line or put other signs there.
 KEYWORDS = (
-    "licen", "copyright", "rights reserved", "warrant", "redistribut", "permission", "free software", "liab",
-    "public domain", "name of", "unlicense",
+    "licen", "copyright", "reserved", "warrant", "redistribut", "permission", "software", "liab", "bsd", "commons", "cc",
 )
 
 #: Known sentences as they read after normalisation, from the public licence texts.
@@ -133,34 +133,43 @@ def _marks(sentences) -> str:
     return "".join(f"<{s}>" for s in sentences)
 
 
-def _identifiers(text: str) -> str:
-    """SQL: the identifiers of the known sentences in ``text``, pieces of which end with the mark \\u0001."""
-    plain = "TRIM(REGEXP_REPLACE(s, '[^a-z0-9]+', ' '))"
+def _identifier(text: str) -> str:
+    """SQL: the identifier of the known sentence that the lower-case ``text`` is, or null."""
     known = "MAP(" + ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in SENTENCES.items()) + ")"
     cases = " ".join(f"WHEN s RLIKE {_quoted(p)} THEN {_quoted(i)}" for p, i in PATTERNS)
-    holds = " OR ".join(f"CONTAINS(s, {_quoted(k)})" for k in KEYWORDS)
-    pieces = f"TRANSFORM(FILTER(SPLIT({text}, '\\u0001'), s -> {holds}), s -> {plain})"
-    return f"FILTER(TRANSFORM({pieces}, s -> COALESCE(ELEMENT_AT({known}, s), CASE {cases} END)), s -> s IS NOT NULL)"
+    plain = f"ARRAY(TRIM(REGEXP_REPLACE({text}, '[^a-z0-9]+', ' ')))"
+    return f"ELEMENT_AT(TRANSFORM({plain}, s -> COALESCE(ELEMENT_AT({known}, s), CASE {cases} END)), 1)"
+
+
+def _holds(text: str) -> str:
+    return "(" + " OR ".join(f"CONTAINS({text}, {_quoted(k)})" for k in KEYWORDS) + ")"
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, sentences, licences) of every row: identifiers and licences in order, joined by commas.
 
-    A sentence ends with a full stop, question or exclamation mark or colon before white space, or at an
-    empty line; where reading each line break as an end finds more sentences, that reading holds. Each
-    rule names its licence once a text. Null or empty texts, and texts with nothing known, give two empty
-    strings; repeated rows stay; an empty table gives no rows; other columns are ignored.
+    A piece ends with a full stop, question or exclamation mark or colon before white space, or at an
+    empty line. It is one sentence that may run over lines; if that is not known, or if two or more of its
+    lines are known sentences of their own, its lines are read one by one. Each rule names its licence
+    once a text. Null or empty texts, and texts with nothing known, give two empty strings; texts of any
+    length are read to their end; repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
     lower = docs.select("doc_id", F.lower(F.col("text").cast("string")).alias("low"))
-    ends = "REGEXP_REPLACE({}, '([.!?:])\\\\s+', '$1\\u0001')"
-    paragraphs = ends.format("REGEXP_REPLACE(low, '\\n[ \\t\\r]*\\n', '\\u0001')")
-    lines = ends.format("REPLACE(low, '\\n', '\\u0001')")
-    holds = " OR ".join(f"CONTAINS(low, {_quoted(k)})" for k in KEYWORDS)
     none = "CAST(ARRAY() AS ARRAY<STRING>)"
-    found = lower.selectExpr(
-        "doc_id",
-        f"CASE WHEN {holds} THEN STRUCT({_identifiers(paragraphs)} AS whole, {_identifiers(lines)} AS cut) END AS f",
-    ).selectExpr("doc_id", f"COALESCE(CASE WHEN SIZE(f.cut) > SIZE(f.whole) THEN f.cut ELSE f.whole END, {none}) AS ids")
+    ends = "REGEXP_REPLACE(REGEXP_REPLACE(low, '\\n[ \\t\\r]*\\n', '\\u0001'), '([.!?:])\\\\s+', '$1\\u0001')"
+    pieces = f"FILTER(SPLIT({ends}, '\\u0001'), p -> {_holds('p')})"
+    lines = f"TRANSFORM(FILTER(SPLIT(p, '\\n'), l -> {_holds('l')}), l -> {_identifier('l')})"
+    readings = (
+        f"TRANSFORM({pieces}, p -> STRUCT({_identifier('p')} AS whole, CASE WHEN CONTAINS(p, '\\n')"
+        f" THEN FILTER({lines}, i -> i IS NOT NULL) ELSE {none} END AS lines))"
+    )
+    found = (
+        lower.selectExpr("doc_id", f"CASE WHEN {_holds('low')} THEN {readings} END AS f")
+        .selectExpr(
+            "doc_id", "FLATTEN(TRANSFORM(f, r -> CASE WHEN SIZE(r.lines) > 1 OR r.whole IS NULL THEN r.lines ELSE ARRAY(r.whole) END)) AS ids"
+        )
+        .selectExpr("doc_id", f"COALESCE(ids, {none}) AS ids")
+    )
     rules = ", ".join(f"STRUCT({_quoted(name)} AS name, {_quoted(_marks(ids))} AS marks)" for name, ids in RULES)
     matched = (
         f"AGGREGATE(ARRAY({rules}), STRUCT(CONCAT('<', ARRAY_JOIN(ids, '><'), '>') AS left, {none} AS names),"
@@ -183,29 +192,30 @@ def oracle() -> str:
     cases = " ".join(f"WHEN regexp_matches(s, {_duck(p)}) THEN {_duck(i)}" for p, i in PATTERNS)
     names = "CASE " + " ".join(f"WHEN s = {_duck(k)} THEN {_duck(v)}" for k, v in SENTENCES.items()) + f" {cases} END"
     holds = " OR ".join(f"contains(t, {_duck(k)})" for k in KEYWORDS)
-    cut = "regexp_replace({}, '([.!?:])\\s+', '\\1' || chr(1), 'g')"
-    whole = cut.format("regexp_replace(low, '\\n[ \\t\\r]*\\n', chr(1), 'g')")
-    lines = cut.format("replace(low, chr(10), chr(1))")
+    ends = "regexp_replace(regexp_replace(low, '\\n[ \\t\\r]*\\n', chr(1), 'g'), '([.!?:])\\s+', '\\1' || chr(1), 'g')"
     steps = []
     for k, (name, ids) in enumerate(RULES):
         marks = _duck(_marks(ids))
         steps.append(
-            f"r{k} AS (SELECT doc_id, kind, sentences, n, replace(marks, {marks}, '|') AS marks,"
+            f"r{k} AS (SELECT doc_id, sentences, replace(marks, {marks}, '|') AS marks,"
             f" CASE WHEN contains(marks, {marks}) AND NOT list_contains(names, {_duck(name)})"
             f" THEN list_append(names, {_duck(name)}) ELSE names END AS names FROM {f'r{k - 1}' if k else 'seq'})"
         )
     return f"""
 WITH low AS (SELECT doc_id, lower(text) AS low FROM documents),
 likely AS (SELECT doc_id, low FROM low WHERE {holds.replace('contains(t,', 'contains(low,')}),
-cuts AS (SELECT doc_id, 0 AS kind, string_split({whole}, chr(1)) AS parts FROM likely
-  UNION ALL SELECT doc_id, 1 AS kind, string_split({lines}, chr(1)) AS parts FROM likely),
-pieces AS (SELECT doc_id, kind, unnest(parts) AS t, generate_subscripts(parts, 1) AS spot FROM cuts),
-plain AS (SELECT doc_id, kind, spot, trim(regexp_replace(t, '[^a-z0-9]+', ' ', 'g')) AS s FROM pieces WHERE {holds}),
-named AS (SELECT doc_id, kind, spot, {names} AS id FROM plain),
-both_cuts AS (SELECT doc_id, kind, count(*) AS n, string_agg(id, ',' ORDER BY spot) AS sentences,
-  string_agg('<' || id || '>', '' ORDER BY spot) AS marks FROM named WHERE id IS NOT NULL GROUP BY doc_id, kind),
-seq AS (SELECT doc_id, kind, sentences, n, marks, CAST([] AS VARCHAR[]) AS names FROM both_cuts
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, kind) = 1),
+cuts AS (SELECT doc_id, string_split({ends}, chr(1)) AS parts FROM likely),
+pieces AS (SELECT doc_id, unnest(parts) AS t, generate_subscripts(parts, 1) AS spot FROM cuts),
+parted AS (SELECT doc_id, spot, t, string_split(t, chr(10)) AS parts FROM pieces WHERE {holds}),
+read AS (SELECT doc_id, spot, 0 AS line, t FROM parted
+  UNION ALL SELECT doc_id, spot, generate_subscripts(parts, 1) AS line, unnest(parts) AS t FROM parted WHERE len(parts) > 1),
+plain AS (SELECT doc_id, spot, line, trim(regexp_replace(t, '[^a-z0-9]+', ' ', 'g')) AS s FROM read WHERE {holds}),
+named AS (SELECT doc_id, spot, line, {names} AS id FROM plain),
+picked AS (SELECT doc_id, spot, line, id, count(*) FILTER (line > 0) OVER (PARTITION BY doc_id, spot) AS n_lines,
+  count(*) FILTER (line = 0) OVER (PARTITION BY doc_id, spot) AS n_whole FROM named WHERE id IS NOT NULL),
+seq AS (SELECT doc_id, string_agg(id, ',' ORDER BY spot, line) AS sentences,
+  string_agg('<' || id || '>', '' ORDER BY spot, line) AS marks, CAST([] AS VARCHAR[]) AS names
+  FROM picked WHERE (line > 0) = (n_lines > 1 OR n_whole = 0) GROUP BY doc_id),
 {', '.join(steps)}
 SELECT d.doc_id, coalesce(r.sentences, '') AS sentences, coalesce(array_to_string(r.names, ','), '') AS licences
 FROM documents d LEFT JOIN r{len(RULES) - 1} r ON d.doc_id = r.doc_id
