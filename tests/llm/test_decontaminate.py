@@ -31,6 +31,32 @@ def test_shouted_accented_and_long_texts(docs, benchmark):
     assert (2, 1) in found(docs, benchmark, rows) and (3, 1) not in found(docs, benchmark, rows)
 
 
+def test_a_word_more_or_less(docs, benchmark):
+    """Any word between others, and any lower-case word left out; a name cut in two would be two other names."""
+    words = ITEM.split()
+    more = [" ".join([*words[:k], "about", *words[k:]]) for k in range(1, len(words)) if words[k] != "Brown"]
+    less = [" ".join([*words[:k], *words[k + 1 :]]) for k in range(len(words)) if words[k].islower()]
+    rows = list(enumerate(f"Before. {text} After." for text in more + less))
+    assert {d for d, _ in found(docs, benchmark, rows)} == set(range(len(rows)))
+
+
+def test_short_items_are_whole_sentences(docs, spark):
+    items = spark.createDataFrame([(1, "Who wrote Hamlet?"), (2, "Why is 7 prime?"), (3, "Oh no")], "item_id long, text string")
+    rows = [(1, "Quiz. Who wrote Hamlet? Next."), (2, "Who wrote Faust?"), (3, "He asked who wrote Hamlet, then left."),
+            (4, "who wrote Hamlet"), (5, "Why is 7 prime?\nWhy is 8 even?"), (6, "Why is 9 prime?"), (7, "Oh no")]
+    assert found(docs, items, rows) == {(1, 1): True, (4, 1): True, (5, 2): True}
+
+
+def test_tables_of_numbers_meet_by_value(docs, spark):
+    numbers = " ".join(str(k * k % 1009) for k in range(200))
+    items = spark.createDataFrame([(1, numbers), (2, "Add these up as fast as you can: " + numbers)], "item_id long, text string")
+    tables = [(k, " ".join(str(k + 7 * j) for j in range(300))) for k in range(10)]
+    rows = [*tables, (20, f"Given {numbers} then."), (21, "Add these up as fast as you can: " + tables[3][1])]
+    assert found(docs, items, rows) == {(20, 1): True, (21, 2): False}
+    flags = decontaminate._flags(decontaminate.windows(items, ["item_id"]))
+    assert decontaminate.windows(docs(tables).select("doc_id", "text"), ["doc_id"], flags).count() < 10
+
+
 def test_edges(docs, benchmark):
     rows = [(1, None), (2, ""), (None, ITEM), (None, "clean"), (5, ITEM), (5, ITEM), (5, "clean"), (6, "too short")]
     assert found(docs, benchmark, rows) == {(None, 1): True, (5, 1): True}
