@@ -21,6 +21,7 @@ from tellerlake.sources.slices import Run
 log = logging.getLogger(__name__)
 
 TRANSACTIONS, KEYS, CHANGES = "transactions", "transaction_keys", "transaction_changes"
+SORTED_BY = ("account_id", "transaction_date", "transaction_time")
 
 
 def _typed(spark: SparkSession) -> DataFrame:
@@ -113,7 +114,7 @@ def merge_transactions(
             blocks = sorted({*blocks, *slices.current(spark, root, KEYS)})
         stored = slices.read(spark, root, TRANSACTIONS, stored_schema(spark), [] if rebuild else months)
         rows = changes.merged(stored, changed, typed_columns)
-        run.replace(rows, TRANSACTIONS, changes.month_of(), months)
+        run.replace(rows, TRANSACTIONS, changes.month_of(), months, SORTED_BY)
         touched = blocks if rebuild else _values(changed.selectExpr(f"{changes.block_of()} AS block"), "block")
         keys = changes.merged_keys(slices.read(spark, root, KEYS, key_schema, [] if rebuild else touched), changed)
         run.replace(keys, KEYS, changes.block_of(), touched)

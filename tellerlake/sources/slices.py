@@ -93,13 +93,17 @@ class Run:
     def __post_init__(self):
         self.snapshot = self.snapshot or last_snapshot(self.spark, self.root) + 1
 
-    def replace(self, rows: DataFrame, table: str, slice_of: str, touched: Iterable[str]) -> dict[str, int]:
+    def replace(
+        self, rows: DataFrame, table: str, slice_of: str, touched: Iterable[str], order: Iterable[str] = ()
+    ) -> dict[str, int]:
         """Write the new content of slices; those ``touched`` that get no rows end up empty. Returns rows by slice.
 
-        ``slice_of`` is SQL of the slice of a row. Slices get a few files of a good size each.
+        ``slice_of`` is SQL of the slice of a row. Slices get a few files of a good size each, in which rows
+        are sorted by ``order``: a reader that looks for some of its values skips most row groups.
         """
         path = f"{self.root}/{table}/snapshot={self.snapshot}"
         placed = tables.balanced(rows.withColumn("slice", F.expr(slice_of)), "slice")
+        placed = placed.sortWithinPartitions("slice", *order) if order else placed
         placed.write.mode("overwrite").partitionBy("slice").parquet(path)
         counted = {}
         if not self.spark.read.schema("slice string").parquet(path).isEmpty():

@@ -1,5 +1,6 @@
 import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import as_set
 
@@ -71,6 +72,33 @@ def test_a_day_reads_and_writes_only_what_it_touches(spark, tmp_path, feeds):
     assert rewritten and all("slice=2024-04" in p for p in rewritten)
 
 
+def test_files_are_sorted_and_an_account_is_in_few_row_groups(spark, tmp_path, feeds):
+    root = str(tmp_path)
+    put(spark, root, feeds[1], "b1", 1)
+    spark.conf.set("parquet.block.size", "4096")
+    spark.conf.set("parquet.page.size.row.check.min", "10")
+    spark.conf.set("parquet.page.size.row.check.max", "10")
+    try:
+        merge(spark, root, "b1")
+    finally:
+        for name in ("parquet.block.size", "parquet.page.size.row.check.min", "parquet.page.size.row.check.max"):
+            spark.conf.unset(name)
+    files = [p.removeprefix("file:").replace("//", "") for p in incremental.read_transactions(spark, f"{root}/silver").inputFiles()]
+    touched = groups = 0
+    for path in files:
+        file = pq.ParquetFile(path)
+        rows = file.read(columns=list(incremental.SORTED_BY)).to_pylist()
+        keys = [tuple((v is not None, v) for v in row.values()) for row in rows]
+        assert keys == sorted(keys)
+        place = file.schema_arrow.get_field_index("account_id")
+        wanted = rows[len(rows) // 2]["account_id"]
+        for k in range(file.num_row_groups):
+            held = file.metadata.row_group(k).column(place).statistics
+            touched += held is not None and held.min <= wanted <= held.max
+        groups += file.num_row_groups
+    assert len(files) <= touched <= 2 * len(files) < groups
+
+
 @pytest.mark.parametrize("step", ["replace", "commit"])
 def test_a_killed_merge_leaves_the_last_snapshot_and_can_be_repeated(spark, tmp_path, feeds, monkeypatch, step):
     root = str(tmp_path)
