@@ -11,7 +11,8 @@ holds an odd number, and each class that differs stands for a word that only one
 pass are verified on the words themselves.
 
 One match is enough for a line to go, so a group of thousands of similar lines needs no pair of each two.
-At its rarest common words each set first meets a few leaders, the earliest sets there; what matches one goes.
+At its rarest common words, or at the commonest it posts if none is common, each set first meets a few leaders,
+the earliest sets there; what matches one goes.
 The join then leaves out pairs of which both are gone, which is all but a few of such a group's.
 
 Rarity comes from counts of all words, added up in a fixed number of buckets. Any order keeps the join
@@ -43,8 +44,9 @@ WIDE = 4
 LONG = 96
 SHORT = 120
 _WIDE = [f"wide{k}" for k in range(WIDE)]
-#: Six levels a doubling: words that occur 512 times or more have leaders, ``LEADERS`` each. A set meets
-#: those of ``LED_BY`` such words; which of them only decides how many pairs the join still has to make.
+#: Six levels a doubling: words that occur 512 times or more are common. A set meets the leaders, ``LEADERS`` a
+#: word, of ``LED_BY`` common words, or of one other; which of them only decides how many pairs the join still
+#: has to make.
 LEVELS = 6
 COMMON_LEVEL = LEVELS * 9
 LEADERS = 8
@@ -211,8 +213,9 @@ def _wide_apart(one: str, two: str) -> str:
     return " + ".join(f"BIT_COUNT({one}.{w} ^ {two}.{w})" for w in _WIDE)
 
 
-def _words_of(docs: DataFrame, levels: np.ndarray, marks: np.ndarray) -> DataFrame:
-    """(set_key, w): the distinct words of each set whose key is flagged, from some line that has them."""
+def _words_of(docs: DataFrame, levels: np.ndarray, asked: DataFrame) -> DataFrame:
+    """(set_key, w): the distinct words of each set in ``asked`` (set_key), from some line that has them."""
+    marks = flags(asked, "set_key")
 
     def cut(batches):
         found = unpacked(marks)
@@ -224,16 +227,16 @@ def _words_of(docs: DataFrame, levels: np.ndarray, marks: np.ndarray) -> DataFra
                 texts = [data[x.start[i] : x.end[i]].tobytes() for i in at[hit]]
                 yield pa.record_batch([pa.array(keys[hit]), pa.array(texts, pa.binary()).cast(pa.string())], names=["set_key", "t"])
 
-    lines = docs.select("text").mapInArrow(cut, "set_key long, t string").groupBy("set_key").agg(F.min("t").alias("t"))
+    lines = docs.select("text").mapInArrow(cut, "set_key long, t string").join(asked, "set_key", "left_semi")
+    lines = lines.groupBy("set_key").agg(F.min("t").alias("t"))
     return lines.selectExpr("set_key", "ARRAY_DISTINCT(SPLIT(t, r'[ \\t\\x0B\\f\\r]+')) AS w")
 
 
 def _similar(pairs: DataFrame, word_sets: DataFrame) -> DataFrame:
-    """The pairs (later, earlier) whose sets are similar."""
+    """The stored pairs (later, earlier) whose sets are similar. Only words of sets in them move."""
     top, base = SIMILAR
-    both = pairs.join(word_sets.selectExpr("set_key AS later", "w AS w1"), "later").join(
-        word_sets.selectExpr("set_key AS earlier", "w AS w2"), "earlier"
-    )
+    second = word_sets.selectExpr("set_key AS earlier", "w AS w2").join(pairs.select("earlier").distinct(), "earlier", "left_semi")
+    both = pairs.join(word_sets.selectExpr("set_key AS later", "w AS w1"), "later").join(second, "earlier")
     return both.where(f"{top + base} * SIZE(ARRAY_INTERSECT(w1, w2)) >= {top} * (SIZE(w1) + SIZE(w2))").select("later", "earlier")
 
 
@@ -250,15 +253,18 @@ def _best(pairs: DataFrame) -> DataFrame:
 
 
 def _word_sets(pairs: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    asked = pairs.select("later").union(pairs.select("earlier")).toDF("set_key")
-    return store(_words_of(docs, levels, flags(asked, "set_key")))
+    asked = store(pairs.select("later").union(pairs.select("earlier")).toDF("set_key").distinct())
+    found = store(_words_of(docs, levels, asked))
+    discard(asked)
+    return found
 
 
 def _led(sets: DataFrame, docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(set_key) of sets that match a leader at one of their common words; each is held against one."""
+    """(set_key) of sets that match a leader at a word of theirs; each is held against one."""
     posted = ["set_key", "at", "n", "parity", *_WIDE]
-    tail = f"POSEXPLODE(SLICE(prefix, SIZE(prefix) - common + 1, LEAST(common, {LED_BY}))) AS (k, word)"
-    postings = sets.where("common > 0").selectExpr(*posted, "skip + SIZE(prefix) - common AS before", tail)
+    ends = "SIZE(prefix) - GREATEST(common, 1)"
+    tail = f"POSEXPLODE(SLICE(prefix, {ends} + 1, LEAST(GREATEST(common, 1), {LED_BY}))) AS (k, word)"
+    postings = sets.where("SIZE(prefix) > 0").selectExpr(*posted, f"skip + {ends} AS before", tail)
     postings = postings.selectExpr("word", *posted, "before + k AS place")
     slot = F.pmod(F.xxhash64("set_key"), F.lit(LEADERS))
     first = F.min(F.struct("at", *(c for c in posted if c != "at"), "place")).alias("s")
@@ -285,10 +291,11 @@ def _gone(met: DataFrame, led: DataFrame, sets: DataFrame, docs: DataFrame, leve
     word_sets = _word_sets(pairs, docs, levels)
     best = store(_best(pairs))
     first = store(_similar(best, word_sets).select("later"))
-    rest = pairs.join(first, "later", "left_anti").join(best, ["later", "earlier"], "left_anti").select("later", "earlier")
+    rest = pairs.join(first, "later", "left_anti").join(best, ["later", "earlier"], "left_anti")
+    rest = store(rest.select("later", "earlier"))
     found = first.union(_similar(rest, word_sets).select("later").distinct()).union(known)
     gone = store(found.toDF("set_key"))
-    for used in (all_pairs, pairs, word_sets, best, first):
+    for used in (all_pairs, pairs, word_sets, best, first, rest):
         discard(used)
     release(docs.sparkSession)
     return gone
