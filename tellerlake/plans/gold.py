@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tellerlake import schemas
 from tellerlake.operators import changes, dims, facts, keys, scd, snapshots
@@ -24,12 +24,14 @@ log = logging.getLogger(__name__)
 
 FACT = "fact_transactions"
 FACT_PARTITIONS = ("transaction_year", "transaction_month")
+MONTH_OF_FACT = "FORMAT_STRING('%04d-%02d', transaction_year, transaction_month)"
 STORED_FACT = StructType(
     [*schemas.FACT_TRANSACTIONS.fields, *(StructField(name, IntegerType()) for name in FACT_PARTITIONS)]
 )
 SNAPSHOTS = "fact_account_snapshots"
 DAYS, BALANCES = "days", "balances"
 FACT_KEYS, REJECTS = "fact_keys", "fact_rejects"
+COMPACTED, MONTHS = "fact_compacted", "months"
 CALENDAR, TYPES = "dim_date", "dim_transaction_type"
 
 
@@ -66,10 +68,61 @@ def read_type2(spark: SparkSession, root: str, dimension: Dimension, current_onl
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame:
+    """Committed facts: compacted months as far as they go, and the versions after that."""
     last = tables.last_commit(spark, root, FACT)
     if last is None:
         return empty_frame(spark, STORED_FACT)
-    return tables.read_up_to(spark, root, FACT, last.version, STORED_FACT)
+    compacted = slices.current(spark, f"{root}/{COMPACTED}", MONTHS, snapshot=last.version)
+    if not compacted:
+        return tables.read_up_to(spark, root, FACT, last.version, STORED_FACT)
+    later = _versions(spark, root, last.version).filter(_not_compacted(compacted)).select(*STORED_FACT.names)
+    whole = slices.read(spark, f"{root}/{COMPACTED}", MONTHS, STORED_FACT, snapshot=last.version)
+    return whole.unionByName(later)
+
+
+def _versions(spark: SparkSession, root: str, version: int) -> DataFrame:
+    schema = StructType([*STORED_FACT.fields, StructField("version", LongType())])
+    return spark.read.schema(schema).parquet(f"{root}/{FACT}").filter(f"version <= {version}")
+
+
+def _not_compacted(compacted: dict[str, int]) -> str:
+    """SQL over directory columns only, so it prunes: rows that no compacted month has."""
+    through = {}
+    for month, version in compacted.items():
+        through.setdefault(version, []).append(month)
+    held = (
+        f"version <= {version} AND {MONTH_OF_FACT} IN ({', '.join(map(schemas.text_literal, sorted(months)))})"
+        for version, months in sorted(through.items())
+    )
+    return " AND ".join(f"NOT ({part})" for part in held)
+
+
+def compact_facts(spark: SparkSession, root: str, batch_id: str, least: int = 16) -> int:
+    """Rewrite the months that at least ``least`` loads wrote to since their last compaction; returns how many.
+
+    A month becomes a few files of a good size, sorted by account and day as each load's are. Rows, keys and versions
+    of the table stay what they are. The months of a run become visible with one commit; one that dies leaves nothing
+    that readers see. Other months are not read, beyond the footers that tell which loads wrote to them.
+    """
+    last = tables.last_commit(spark, root, FACT)
+    place = f"{root}/{COMPACTED}"
+    if last is None or slices.last_snapshot(spark, place) >= last.version:
+        return 0
+    compacted = slices.current(spark, place, MONTHS)
+    loads = tables.read_if_present(spark, f"{root}/{FACT}", "version long, transaction_year int, transaction_month int")
+    if loads is None:
+        return 0
+    loads = loads.filter(f"version <= {last.version}").filter(_not_compacted(compacted) if compacted else "TRUE")
+    counted = loads.groupBy(F.expr(MONTH_OF_FACT).alias("month")).agg(F.expr("COUNT(DISTINCT version) AS n"))
+    months = [row.month for row in counted.filter(f"n >= {least}").collect()]  # one entry a month
+    if not months:
+        return 0
+    run = Run(spark, place, batch_id, snapshot=last.version)
+    # On the directories' columns and the compacted slices' own: both sides of the union are pruned.
+    rows = read_fact(spark, root).filter(F.expr(MONTH_OF_FACT).isin(months))
+    run.replace(rows, MONTHS, MONTH_OF_FACT, months, ("account_key", "transaction_date", "transaction_time"))
+    run.commit()
+    return len(months)
 
 
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
