@@ -5,9 +5,10 @@ log-probabilities it gives all words of a text, added up, are the text's score.
 of the whole corpus by exact count, and others by a hash into ``TAIL`` units. The output is factored: a
 class of units first, then the unit in its class, so a word costs two small softmaxes.
 
-Training is data-parallel over all texts. In each round every task starts from the same weights, masks a
-share of the words of its texts, takes AdaGrad steps to predict them, and hands in its weights, which are
-averaged by the number of words they saw. Counts and weights are added up by Spark; the driver only gets
+Training is data-parallel over all texts and predicts every word of them once: a hash of the word and its
+place deals it to one of the rounds. In each round every task starts from the same weights, masks the round's
+words in its texts, takes AdaGrad steps to predict them, and hands in its weights, which are averaged by the
+number of words they saw. Counts and weights are added up by Spark; the driver only gets
 the commonest words and one set of averaged weights.
 """
 
@@ -30,7 +31,6 @@ NOTHING = UNITS
 REACH = 3
 DIM = 32
 ROUNDS = 2
-MASKED = 0.05
 BATCH = 2048
 RATE = 0.1
 _OFFSETS = [*range(-REACH, 0), *range(1, REACH + 1)]
@@ -116,29 +116,44 @@ def _log_softmax(logits: np.ndarray) -> np.ndarray:
 
 def _step(w: dict, squares: dict, units: np.ndarray, around: np.ndarray) -> None:
     """One AdaGrad step on a batch of masked words and what stands around them."""
-    n, every = len(units), np.arange(len(units))
-    seen = w["embed"][around].reshape(n, -1)
+    # By class, so each class has its rows side by side.
+    n, per_class = len(units), UNITS // CLASSES
+    order = np.argsort((units // per_class).astype(np.uint8), kind="stable")
+    units, around, every = units[order], around[order], np.arange(n)
+    classes, place = units // per_class, units % per_class
+    there, first = np.unique(classes, return_index=True)
+    spans = list(zip(there.tolist(), first.tolist(), [*first[1:].tolist(), n]))
+    seen = w["embed"].take(around.ravel(), axis=0).reshape(n, -1)
     hidden = np.tanh(seen @ w["inner"] + w["inner_bias"])
-    classes, place = units // (UNITS // CLASSES), units % (UNITS // CLASSES)
-    slopes = {k: np.zeros_like(v) for k, v in w.items() if k in ("leaf", "leaf_bias")}
     error = np.exp(_log_softmax(hidden @ w["outer"] + w["outer_bias"]))
     error[every, classes] -= 1
-    slopes["outer"], slopes["outer_bias"] = hidden.T @ error / n, error.sum(axis=0) / n
+    slopes = {"outer": hidden.T @ error / n, "outer_bias": error.sum(axis=0) / n}
+    own = w["leaf_bias"][classes]
+    for c, low, high in spans:
+        own[low:high] += hidden[low:high] @ w["leaf"][c]
+    own = np.exp(_log_softmax(own))
+    own[every, place] -= 1
     back = error @ w["outer"].T
-    for c, rows in _by_class(units):
-        own = np.exp(_log_softmax(hidden[rows] @ w["leaf"][c] + w["leaf_bias"][c]))
-        own[np.arange(len(rows)), place[rows]] -= 1
-        slopes["leaf"][c], slopes["leaf_bias"][c] = hidden[rows].T @ own / n, own.sum(axis=0) / n
-        back[rows] += own @ w["leaf"][c].T
+    slopes["leaf"], slopes["leaf_bias"] = np.zeros_like(w["leaf"]), np.zeros_like(w["leaf_bias"])
+    for c, low, high in spans:
+        slopes["leaf"][c] = hidden[low:high].T @ own[low:high]
+        back[low:high] += own[low:high] @ w["leaf"][c].T
+    slopes["leaf"] /= n
+    slopes["leaf_bias"][there] = np.add.reduceat(own, first, axis=0) / n
     back *= (1 - hidden**2) / n
     slopes["inner"], slopes["inner_bias"] = seen.T @ back, back.sum(axis=0)
     into = (back @ w["inner"].T).reshape(-1, DIM)
-    flat = around.ravel()
-    slopes["embed"] = np.stack([np.bincount(flat, into[:, k], UNITS + 1) for k in range(DIM)], axis=1).astype(np.float32)
-    slopes["embed"][NOTHING] = 0
     for name, slope in slopes.items():
         squares[name] += slope**2
         w[name] -= RATE * slope / np.sqrt(squares[name])
+    # Only units that stand around a word move; others have no slope.
+    flat = around.ravel().astype(np.uint16)
+    order = np.argsort(flat, kind="stable")
+    rows, first = np.unique(flat[order], return_index=True)
+    slope = np.add.reduceat(into.take(order, axis=0), first, axis=0)
+    slope[rows == NOTHING] = 0
+    squares["embed"][rows] += slope**2
+    w["embed"][rows] -= RATE * slope / np.sqrt(squares["embed"][rows])
 
 
 def _flat(weights: dict) -> np.ndarray:
@@ -151,8 +166,14 @@ def _shaped(flat: np.ndarray, like: dict) -> dict:
     return {k: p.reshape(v.shape).astype(np.float32) for (k, v), p in zip(like.items(), parts)}
 
 
-def _round(docs: DataFrame, model: Model, turn: int) -> dict:
-    """The weights after every task has trained on masked words of its texts."""
+def _turns(hashes: np.ndarray, first: np.ndarray, rounds: int) -> np.ndarray:
+    """The round, of ``rounds``, that predicts each word."""
+    spot = np.arange(len(hashes), dtype=np.uint64) - np.repeat(first[:-1], np.diff(first)).astype(np.uint64)
+    return (mix(hashes + mix(spot)) % np.uint64(rounds)).astype(np.int64)
+
+
+def _round(docs: DataFrame, model: Model, turn: int, rounds: int) -> dict:
+    """The weights after every task has trained on the words of its texts that round ``turn`` predicts."""
 
     def train(batches):
         weights = {k: v.copy() for k, v in model.weights.items()}
@@ -163,9 +184,7 @@ def _round(docs: DataFrame, model: Model, turn: int) -> dict:
                 found = words(piece)
                 hashes = found.hashes()
                 units = _units(hashes, model.common, model.unit)
-                spot = np.arange(len(hashes), dtype=np.uint64) - np.repeat(found.first[:-1], np.diff(found.first)).astype(np.uint64)
-                chance = mix(hashes + mix(spot + np.uint64(turn << 40))) >> np.uint64(40)
-                at = np.flatnonzero(chance < np.uint64(int(MASKED * (1 << 24))))
+                at = np.flatnonzero(_turns(hashes, found.first, rounds) == turn)
                 held_units.append(units[at])
                 held_around.append(_context(units, found.first, at))
                 if sum(map(len, held_units)) >= BATCH:
@@ -206,7 +225,7 @@ def fit(docs: DataFrame, rounds: int = ROUNDS) -> Model:
     model = Model(common, order.astype(np.int64), {})
     model.weights = _start(common, model.unit, top.n.to_numpy(float)[order], tail)
     for turn in range(rounds):
-        model.weights = _round(docs, model, turn)
+        model.weights = _round(docs, model, turn, rounds)
     return model
 
 

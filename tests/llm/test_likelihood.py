@@ -45,6 +45,21 @@ def test_context_beats_frequencies(docs):
     assert after[1] > before[1] + 0.3 and after[1] > after[2] + 0.3
 
 
+def test_training_predicts_every_word(docs):
+    rows = [(1, " ".join(f"word{k}" for k in range(40)))]
+    start, trained = (likelihood.fit(docs(rows), rounds=n) for n in (0, 1))
+    gain = (trained.weights["leaf_bias"] - start.weights["leaf_bias"]).ravel()
+    assert (gain[start.unit] > 0).all() and (np.delete(gain[:64], start.unit) < 0).all()
+
+
+def test_each_word_is_dealt_to_one_round():
+    hashes = np.random.default_rng(2).integers(0, 1 << 63, 3000).astype(np.uint64)
+    first = np.array([0, 0, 10, 3000])
+    assert (likelihood._turns(hashes, first, 1) == 0).all()
+    n = np.bincount(likelihood._turns(hashes, first, 3), minlength=3)
+    assert n.sum() == 3000 and len(n) == 3 and n.min() > 800
+
+
 def test_edges(docs):
     rows = [(1, None), (2, ""), (3, " \n"), (None, "some words here"), (4, "some words here"), (4, "some words here"), (5, "a b " * 30000)]
     model = likelihood.fit(docs(rows))
