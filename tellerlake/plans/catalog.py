@@ -4,7 +4,7 @@ import datetime
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -482,7 +482,8 @@ _LOADED: dict[tuple[str, str], str] = {}
 
 def _load_day(spark: SparkSession, sf_dir: str, root: str, number: int, load: scd.Load) -> None:
     """One day's delivery through bronze, silver and gold; dimensions get their second delivery on the second day."""
-    feed = view(spark, sf_dir, f"feed_day{number}").drop("_ingestion_ts", "_batch_id")
+    delivered = partial(view, spark, sf_dir, spread=True)
+    feed = delivered(f"feed_day{number}").drop("_ingestion_ts", "_batch_id")
     placed = feed.selectExpr("*", "'transactions.csv' AS _source_file", "CAST(NULL AS BIGINT) AS _source_row_number")
     batch = raw.with_lineage(placed, load.batch_id, load.loaded_at)
     tables.append_bronze(batch, f"{root}/bronze", "transactions", load.batch_id)
@@ -492,9 +493,9 @@ def _load_day(spark: SparkSession, sf_dir: str, root: str, number: int, load: sc
     gold.load_seeds(spark, warehouse, load)
     for dimension, clean in ((scd.BRANCHES, silver.branches), (scd.MERCHANTS, silver.merchants), (scd.CUSTOMERS, silver.customers)):
         table = dimension.name.removeprefix("dim_")
-        gold.load_dimension(spark, warehouse, dimension, clean(view(spark, sf_dir, f"{table}_day{delivery}")), load)
+        gold.load_dimension(spark, warehouse, dimension, clean(delivered(f"{table}_day{delivery}")), load)
     accounts = scd.resolve_account_keys(
-        _silver_accounts(spark, sf_dir, f"accounts_day{delivery}"),
+        silver.accounts(delivered(f"accounts_day{delivery}"), DAY_TWO.as_of),
         gold.read_type1(spark, warehouse, scd.BRANCHES),
         gold.read_type2(spark, warehouse, scd.CUSTOMERS, current_only=True),
     )

@@ -168,16 +168,17 @@ def load_seeds(spark: SparkSession, root: str, load: Load) -> None:
 def load_dimension(spark: SparkSession, root: str, dimension: Dimension, incoming: DataFrame, load: Load) -> dict:
     """Merge silver rows into a dimension; returns how many rows were added and changed.
 
-    Natural keys that come twice are refused before anything is written. New keys are numbered above the
+    Natural keys that come twice are refused before anything but staging is written. New keys are numbered above the
     highest one ever committed: closed versions keep theirs, though the merge does not read them.
 
-    The merge result is staged once and then read for the keys and the two writes. Closed versions
-    are only appended: a load rewrites the current rows and leaves all earlier history alone.
+    The incoming rows are staged once, for the check and the merge, and so is the merge result, for the keys and the
+    two writes. Closed versions are only appended: a load rewrites the current rows and leaves all earlier history alone.
     """
     following = _next(spark, root, dimension.name, load)
     if following is None:
         return {"n_rows": 0, "inserted": 0, "updated": 0}
     last, version = following
+    incoming = materialise(incoming, f"{root}/staging/{dimension.name}_incoming")
     twice = incoming.groupBy(dimension.natural).agg(F.expr("COUNT(*) AS n")).filter("n > 1").first()
     if twice is not None:
         raise ValueError(f"{dimension.name}: {dimension.natural} {twice[0]!r} comes {twice.n} times in {load.batch_id}")

@@ -2,6 +2,7 @@ import datetime
 
 import pytest
 from conftest import as_set
+from pyspark.sql import functions as F
 
 from tellerlake.operators import scd
 from tellerlake.plans import gold, incremental
@@ -104,3 +105,15 @@ def test_uncommitted_version_is_not_seen(spark, tmp_path):
     assert tables.last_commit(spark, root, "t").version == 1
     assert tables.read_up_to(spark, root, "t", 1, schema).count() == 3
     assert tables.last_commit(spark, root, "other") is None
+
+
+def test_view_of_one_row_group_is_spread_over_tasks(spark, tmp_path):
+    rows = spark.range(0, 150_000, 1, 1).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ'2024-01-05 10:00:00' AS ts", "id % 900 AS user_id", "'click' AS event_type",
+        "CAST(id AS DOUBLE) AS value", """CONCAT('{"k": ', id % 100, ', "h": "', MD5(CAST(id AS STRING)), '"}') AS props""",
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    few, many = (view(spark, str(tmp_path), "feed_day1", spread=spread) for spread in (False, True))
+    in_tasks = [df.select(F.spark_partition_id().alias("p")).distinct().count() for df in (few, many)]
+    assert in_tasks[0] == 1 < in_tasks[1]
+    assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()

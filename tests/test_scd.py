@@ -156,3 +156,17 @@ def test_stored_load_never_gives_a_key_twice(spark, tmp_path):
 def test_stored_load_refuses_a_key_that_comes_twice(spark, tmp_path):
     with pytest.raises(ValueError, match="comes 2 times"):
         gold.load_dimension(spark, str(tmp_path), scd.ACCOUNTS, accounts(spark, *[{"account_id": "A1"}] * 2), LOADS[0])
+
+
+def test_stored_load_computes_what_comes_in_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        seen.add(1)
+        return text
+
+    noted = F.udf(counted).asNondeterministic()(F.col("account_id"))
+    incoming = accounts(spark, {"account_id": "A1"}, {"account_id": "A2"}).withColumn("account_id", noted)
+    for load in LOADS:
+        gold.load_dimension(spark, str(tmp_path), scd.ACCOUNTS, incoming, load)
+    assert seen.value == 2 * len(LOADS)
