@@ -33,6 +33,11 @@ DIM = 32
 ROUNDS = 2
 BATCH = 2048
 RATE = 0.1
+#: Words scored at once, and rows from which a unit's slopes are added up by themselves: they decide the time only.
+SCORED = 4096
+DEEP = 24
+#: Floats hold the exponents of logits between this and its negative, and a row's sum of them.
+SAFE = 80
 _OFFSETS = [*range(-REACH, 0), *range(1, REACH + 1)]
 
 
@@ -45,11 +50,23 @@ class Model:
     weights: dict[str, np.ndarray]
 
 
+def _search(common: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """``np.searchsorted(common, hashes)``. Hashes are spread evenly, so their upper bits tell nearly where."""
+    bounds = np.searchsorted(common, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48))
+    at = bounds[(hashes >> np.uint64(48)).astype(np.int64)]
+    ended = np.append(common, np.uint64(2**64 - 1))
+    rest = np.flatnonzero(ended[at] < hashes)
+    while rest.size:
+        at[rest] += 1
+        rest = rest[ended[at[rest]] < hashes[rest]]
+    return at
+
+
 def _units(hashes: np.ndarray, common: np.ndarray, unit: np.ndarray) -> np.ndarray:
     tail = UNITS - TAIL + (mix(hashes) % np.uint64(TAIL)).astype(np.int64)
     if not len(common):
         return tail
-    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+    at = np.minimum(_search(common, hashes), len(common) - 1)
     return np.where(common[at] == hashes, unit[at], tail)
 
 
@@ -99,19 +116,74 @@ def _context(units: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray
     return around
 
 
-def _by_class(units: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each class that occurs, with the places of its units."""
-    classes = units // (UNITS // CLASSES)
-    order = np.argsort(classes, kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for c in np.flatnonzero(np.diff(bounds)):
-        yield int(c), order[bounds[c] : bounds[c + 1]]
+def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The exponents, in place, and their sum in each row."""
+    np.exp(logits, out=logits)
+    return logits, logits @ np.ones(logits.shape[1], logits.dtype)
+
+
+def _shift(logits: np.ndarray) -> None:
+    """Bring the highest logit of each row to zero, in place, unless floats hold all exponents as they are."""
+    if not (-SAFE < logits.min(initial=0) and logits.max(initial=0) < SAFE):
+        logits -= logits.max(axis=1, keepdims=True)
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Shares that add up to one in each row, in place."""
+    _shift(logits)
+    shares, total = _exp(logits)
+    shares /= total[:, None]
+    return shares
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+def _log_shares(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of each row the logarithm of the share that the softmax gives the column ``at``; the logits are used up."""
+    _shift(logits)
+    own = logits[np.arange(len(at)), at]
+    return own - np.log(_exp(logits)[1])
+
+
+def _class_spans(classes: np.ndarray) -> list[tuple[int, int, int]]:
+    """Each class that occurs among sorted ones, with its first place and the one after its last."""
+    bounds = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+    return [(c, low, high) for c, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])) if low < high]
+
+
+def _sums_of_units(flat: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The units that occur in ``flat``, and of each the sum of its rows of ``values``.
+
+    Units with most rows come first, so the next row of each is added to the head of the sums: a step for each row
+    of a unit, of all units at once. Those with more than ``DEEP`` rows are summed one by one.
+    """
+    counts = np.bincount(flat, minlength=UNITS + 1)
+    rows = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
+    counts = counts[rows]
+    place = np.empty(UNITS + 1, np.uint16)
+    place[rows] = np.arange(len(rows))
+    order = np.argsort(place[flat], kind="stable")
+    first = np.cumsum(counts) - counts
+    deep = int(np.searchsorted(-counts, -DEEP))
+    out = np.empty((len(rows), values.shape[1]), values.dtype)
+    for k, (low, n) in enumerate(zip(first[:deep].tolist(), counts[:deep].tolist())):
+        np.add.reduce(values.take(order[low : low + n], axis=0), axis=0, out=out[k])
+    if deep < len(rows):
+        first, counts, sums = first[deep:], counts[deep:], out[deep:]
+        np.take(values, order[first], axis=0, out=sums)
+        # How many units have more than k rows.
+        more = np.searchsorted(-counts, -np.arange(1, counts[0])).tolist()
+        for k, n in enumerate(more, 1):
+            sums[:n] += values.take(order[first[:n] + k], axis=0)
+    return rows, out
+
+
+def _move(weights: np.ndarray, squares: np.ndarray, slope: np.ndarray) -> None:
+    """One AdaGrad step of one array, in place; the slope is used up."""
+    step = np.square(slope)
+    squares += step
+    np.sqrt(squares, out=step)
+    np.divide(slope, step, out=slope)
+    slope *= RATE
+    weights -= slope
 
 
 def _step(w: dict, squares: dict, units: np.ndarray, around: np.ndarray) -> None:
@@ -121,39 +193,46 @@ def _step(w: dict, squares: dict, units: np.ndarray, around: np.ndarray) -> None
     order = np.argsort((units // per_class).astype(np.uint8), kind="stable")
     units, around, every = units[order], around[order], np.arange(n)
     classes, place = units // per_class, units % per_class
-    there, first = np.unique(classes, return_index=True)
-    spans = list(zip(there.tolist(), first.tolist(), [*first[1:].tolist(), n]))
+    spans = _class_spans(classes)
     seen = w["embed"].take(around.ravel(), axis=0).reshape(n, -1)
-    hidden = np.tanh(seen @ w["inner"] + w["inner_bias"])
-    error = np.exp(_log_softmax(hidden @ w["outer"] + w["outer_bias"]))
+    hidden = seen @ w["inner"]
+    hidden += w["inner_bias"]
+    np.tanh(hidden, out=hidden)
+    error = hidden @ w["outer"]
+    error += w["outer_bias"]
+    _softmax(error)
     error[every, classes] -= 1
-    slopes = {"outer": hidden.T @ error / n, "outer_bias": error.sum(axis=0) / n}
-    own = w["leaf_bias"][classes]
+    error /= n
+    slopes = {"outer": hidden.T @ error, "outer_bias": error.sum(axis=0)}
+    own = np.empty((n, per_class), np.float32)
     for c, low, high in spans:
-        own[low:high] += hidden[low:high] @ w["leaf"][c]
-    own = np.exp(_log_softmax(own))
+        np.matmul(hidden[low:high], w["leaf"][c], out=own[low:high])
+    own += w["leaf_bias"].take(classes, axis=0)
+    _softmax(own)
     own[every, place] -= 1
-    back = error @ w["outer"].T
+    own /= n
+    back, into = error @ w["outer"].T, np.empty_like(hidden)
     slopes["leaf"], slopes["leaf_bias"] = np.zeros_like(w["leaf"]), np.zeros_like(w["leaf_bias"])
+    ones = np.ones(n, np.float32)
     for c, low, high in spans:
-        slopes["leaf"][c] = hidden[low:high].T @ own[low:high]
-        back[low:high] += own[low:high] @ w["leaf"][c].T
-    slopes["leaf"] /= n
-    slopes["leaf_bias"][there] = np.add.reduceat(own, first, axis=0) / n
-    back *= (1 - hidden**2) / n
+        mine = own[low:high]
+        np.matmul(hidden[low:high].T, mine, out=slopes["leaf"][c])
+        np.matmul(ones[low:high], mine, out=slopes["leaf_bias"][c])
+        np.matmul(mine, w["leaf"][c].T, out=into[low:high])
+    back += into
+    np.square(hidden, out=hidden)
+    np.subtract(1, hidden, out=hidden)
+    back *= hidden
     slopes["inner"], slopes["inner_bias"] = seen.T @ back, back.sum(axis=0)
     into = (back @ w["inner"].T).reshape(-1, DIM)
     for name, slope in slopes.items():
-        squares[name] += slope**2
-        w[name] -= RATE * slope / np.sqrt(squares[name])
+        _move(w[name], squares[name], slope)
     # Only units that stand around a word move; others have no slope.
-    flat = around.ravel().astype(np.uint16)
-    order = np.argsort(flat, kind="stable")
-    rows, first = np.unique(flat[order], return_index=True)
-    slope = np.add.reduceat(into.take(order, axis=0), first, axis=0)
+    rows, slope = _sums_of_units(around.ravel(), into)
     slope[rows == NOTHING] = 0
-    squares["embed"][rows] += slope**2
-    w["embed"][rows] -= RATE * slope / np.sqrt(squares["embed"][rows])
+    weights, held = w["embed"].take(rows, axis=0), squares["embed"].take(rows, axis=0)
+    _move(weights, held, slope)
+    w["embed"][rows], squares["embed"][rows] = weights, held
 
 
 def _flat(weights: dict) -> np.ndarray:
@@ -231,19 +310,26 @@ def fit(docs: DataFrame, rounds: int = ROUNDS) -> Model:
 
 def log_probabilities(units: np.ndarray, first: np.ndarray, weights: dict) -> np.ndarray:
     """Of each word the log-probability that both its sides give it."""
-    out = np.zeros(len(units))
+    out, per_class = np.zeros(len(units)), UNITS // CLASSES
     inner = weights["inner"].reshape(len(_OFFSETS), DIM, DIM)
     tables = [weights["embed"] @ m for m in inner]
-    for low in range(0, len(units), 1 << 15):
-        own = units[low : low + (1 << 15)]
-        around = _context(units, first, np.arange(low, low + len(own)))
-        hidden = np.tanh(sum(t[around[:, k]] for k, t in enumerate(tables)) + weights["inner_bias"])
-        classes, place = own // (UNITS // CLASSES), own % (UNITS // CLASSES)
-        found = _log_softmax(hidden @ weights["outer"] + weights["outer_bias"])[np.arange(len(own)), classes]
-        for c, rows in _by_class(own):
-            leaf = _log_softmax(hidden[rows] @ weights["leaf"][c] + weights["leaf_bias"][c])
-            found[rows] += leaf[np.arange(len(rows)), place[rows]]
-        out[low : low + len(own)] = found
+    for low in range(0, len(units), SCORED):
+        at = np.arange(low, min(low + SCORED, len(units)))
+        at = at[np.argsort((units[at] // per_class).astype(np.uint8), kind="stable")]
+        own, around = units[at], _context(units, first, at)
+        hidden = tables[0].take(around[:, 0], axis=0)
+        for k in range(1, len(tables)):
+            hidden += tables[k].take(around[:, k], axis=0)
+        hidden += weights["inner_bias"]
+        np.tanh(hidden, out=hidden)
+        classes, place = own // per_class, own % per_class
+        logits = hidden @ weights["outer"]
+        logits += weights["outer_bias"]
+        leaf = np.empty((len(own), per_class), np.float32)
+        for c, start, stop in _class_spans(classes):
+            np.matmul(hidden[start:stop], weights["leaf"][c], out=leaf[start:stop])
+        leaf += weights["leaf_bias"].take(classes, axis=0)
+        out[at] = _log_shares(logits, classes) + _log_shares(leaf, place).astype(float)
     return out
 
 
