@@ -118,6 +118,14 @@ def test_rows_are_not_shuffled_for_numbering(spark, tmp_path):
     assert "Exchange" not in streamed_side
 
 
+def test_a_batch_without_rows_counts_none(spark, tmp_path):
+    path, bronze = write(tmp_path / "branches.csv", ["1,a,b,c,d,2020-01-01,True"]), str(tmp_path / "bronze")
+    rows = raw.with_lineage(raw.read_raw(spark, "branches", path), "b1", AT)
+    assert tables.append_bronze(rows.limit(0), bronze, "branches", "b1") == 0
+    assert tables.append_bronze(rows, bronze, "branches", "b1") == 1
+    assert tables.append_bronze(rows, bronze, "branches", "b2") == 1
+
+
 def test_lineage_and_append(spark, tmp_path):
     path, bronze = write(tmp_path / "branches.csv", ["1,a,b,c,d,2020-01-01,True", "2,a,b,c,d,2020-01-01,True"]), str(tmp_path / "bronze")
 

@@ -109,6 +109,15 @@ def test_every_row_takes_one_route(spark):
         facts.routed(rows, known, "x", D(2024, 1, 10))
 
 
+def test_staged_facts_are_not_sorted_into_directories_of_routes(spark, tmp_path):
+    rows = txns(spark, {"transaction_id": "1"}, {"transaction_id": "2", "transaction_date": None})
+    taken = gold.load_facts(spark, str(tmp_path), rows, Load("b1", D(2024, 1, 31), datetime.datetime(2024, 5, 1)))
+    assert (taken["n_rows"], taken["undated"]) == (1, 1)
+    assert not [path for path in (tmp_path / "staging" / gold.FACT).iterdir() if path.is_dir()]
+    assert as_set(gold.read_fact(spark, str(tmp_path)).select("transaction_id")) == {("1",)}
+    assert as_set(gold.read_rejects(spark, str(tmp_path)).select("transaction_id", "reason")) == {("2", facts.UNDATED)}
+
+
 def test_loads_route_reject_and_look_up_touched_blocks_only(spark, tmp_path):
     """Two loads with drop; rejects are kept, and a load that died before its commit leaves nothing behind."""
     root = str(tmp_path)
