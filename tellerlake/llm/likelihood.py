@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm.tables import table
+from tellerlake.llm.tables import discard, store, table
 from tellerlake.llm.words import mix, pieces, words
 
 CLASSES = 64
@@ -104,15 +104,19 @@ def _start(common: np.ndarray, unit: np.ndarray, n: np.ndarray, tail: np.ndarray
     }
 
 
-def _context(units: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The units around each position, by offset; ``NOTHING`` beyond the ends of its text."""
-    row = np.searchsorted(first, at, "right") - 1
-    low, high = first[row], first[row + 1]
-    around = np.empty((len(at), len(_OFFSETS)), np.int64)
+def _padded(units: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The units with ``REACH`` times ``NOTHING`` around each text, and the place of each there."""
+    place = np.arange(len(units)) + REACH * np.repeat(np.arange(1, len(first)), np.diff(first))
+    padded = np.full(len(units) + REACH * len(first), NOTHING, np.int64)
+    padded[place] = units
+    return padded, place
+
+
+def _context(padded: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The units around each place, by offset; ``NOTHING`` beyond the ends of its text."""
+    around = np.empty((len(place), len(_OFFSETS)), np.int64)
     for k, offset in enumerate(_OFFSETS):
-        there = at + offset
-        inside = (there >= low) & (there < high)
-        around[:, k] = np.where(inside, units[np.where(inside, there, 0)], NOTHING)
+        around[:, k] = padded.take(place + offset)
     return around
 
 
@@ -156,7 +160,8 @@ def _sums_of_units(flat: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np
     of a unit, of all units at once. Those with more than ``DEEP`` rows are summed one by one.
     """
     counts = np.bincount(flat, minlength=UNITS + 1)
-    rows = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
+    # Bytes are sorted fastest; counts they can't tell apart are of units that are summed one by one.
+    rows = np.argsort((255 - np.minimum(counts, 255)).astype(np.uint8), kind="stable")[: np.count_nonzero(counts)]
     counts = counts[rows]
     place = np.empty(UNITS + 1, np.uint16)
     place[rows] = np.arange(len(rows))
@@ -265,7 +270,8 @@ def _round(docs: DataFrame, model: Model, turn: int, rounds: int) -> dict:
                 units = _units(hashes, model.common, model.unit)
                 at = np.flatnonzero(_turns(hashes, found.first, rounds) == turn)
                 held_units.append(units[at])
-                held_around.append(_context(units, found.first, at))
+                padded, place = _padded(units, found.first)
+                held_around.append(_context(padded, place[at]))
                 if sum(map(len, held_units)) >= BATCH:
                     units, around = np.concatenate(held_units), np.concatenate(held_around)
                     whole = len(units) // BATCH * BATCH
@@ -294,10 +300,11 @@ def _round(docs: DataFrame, model: Model, turn: int, rounds: int) -> dict:
 
 def fit(docs: DataFrame, rounds: int = ROUNDS) -> Model:
     """The model of all texts of ``docs``."""
-    counted = _counts(docs)
+    counted = store(_counts(docs))
     most = UNITS - TAIL
     top = counted.orderBy(F.desc("n"), "word").limit(most).toArrow().to_pandas()
     total = counted.agg(F.sum("n")).first()[0] or 0
+    discard(counted)
     order = np.argsort(top.word.to_numpy(np.int64).view(np.uint64))
     common = top.word.to_numpy(np.int64).view(np.uint64)[order]
     tail = np.full(TAIL, max(total - top.n.sum(), 0) / TAIL)
@@ -313,10 +320,11 @@ def log_probabilities(units: np.ndarray, first: np.ndarray, weights: dict) -> np
     out, per_class = np.zeros(len(units)), UNITS // CLASSES
     inner = weights["inner"].reshape(len(_OFFSETS), DIM, DIM)
     tables = [weights["embed"] @ m for m in inner]
+    padded, spot = _padded(units, first)
     for low in range(0, len(units), SCORED):
         at = np.arange(low, min(low + SCORED, len(units)))
         at = at[np.argsort((units[at] // per_class).astype(np.uint8), kind="stable")]
-        own, around = units[at], _context(units, first, at)
+        own, around = units[at], _context(padded, spot[at])
         hidden = tables[0].take(around[:, 0], axis=0)
         for k in range(1, len(tables)):
             hidden += tables[k].take(around[:, k], axis=0)

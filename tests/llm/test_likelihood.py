@@ -138,3 +138,17 @@ def test_search_finds_where_hashes_stand():
     asked = np.concatenate([common, common + np.uint64(1), ends, random.integers(0, 1 << 63, 3000).astype(np.uint64)])
     for some in (common, common[:1]):
         assert (likelihood._search(some, asked) == np.searchsorted(some, asked)).all()
+
+
+def test_words_are_counted_once(spark, docs):
+    read = spark.sparkContext.accumulator(0)
+
+    def passing(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    given = docs([(i, f"some words of text {i}") for i in range(50)])
+    model = likelihood.fit(given.mapInArrow(passing, given.schema), rounds=0)
+    assert read.value == 50 and len(model.common) == 54
+    assert len(likelihood.fit(given.limit(0)).common) == 0
