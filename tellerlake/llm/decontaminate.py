@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm.tables import table
+from tellerlake.llm.tables import flagged, flags, store, table
 from tellerlake.llm.words import hash_spans, mix, pieces, raw
 
 WINDOW = 5
@@ -242,10 +242,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that leak an item; columns unchanged."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_key"))
-    return docs.join(bad, same, "left_anti")
+    """``docs`` without the documents that leak an item; columns unchanged.
+
+    Texts move only where a table of flags of fixed size can't rule out that they leak.
+    """
+    bad = store(leaks(docs, benchmark).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).distinct())
+    key = F.xxhash64(F.col("text").cast("string"))
+    may_leak = flagged(key, flags(bad, "_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (key == F.col("_key"))
+    return docs.where(may_leak).join(bad, same, "left_anti").unionByName(docs.where(~may_leak))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
